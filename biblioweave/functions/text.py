@@ -42,32 +42,26 @@ def _without_parentheses(c: Column) -> Column:
     return F.regexp_replace(c, r"\([^)]*\)", "")
 
 
-def _lemma(token: Column, irregular: dict[str, str]) -> Column:
-    size = F.length(token)
-
-    def cut(n: int) -> Column:
-        return F.substring(token, F.lit(1), size - n)
-
-    es_endings = token.rlike("(?:sses|xes|zes|ches|shes)$")
-    out = F.when(size <= 3, token)
-    for form, lemma in irregular.items():
-        out = out.when(token == form, F.lit(lemma))
-    return (
-        out.when(token.endswith("ies") & (size > 4), F.concat(cut(3), F.lit("y")))
-        .when(es_endings, cut(2))
-        .when(token.endswith("s") & ~token.rlike("(?:ss|us|is)$"), cut(1))
-        .otherwise(token)
-    )
-
-
-def title_key(c: Column, settings: Settings = DEFAULTS) -> Column:
-    """Normalised title: ASCII letters, lower case, no stop words, lemmas."""
-    stops = list(settings.stop_words)
-    letters = F.lower(F.regexp_replace(safe_text(c), r"[^a-zA-Z\s]", ""))
-    tokens = F.split(ws_trim(letters), r"\s+")
-    kept = F.filter(tokens, lambda t: (t != "") & ~t.isin(stops))
-    lemmas = F.transform(kept, lambda t: _lemma(t, dict(settings.lemmas)))
-    return F.array_join(F.filter(lemmas, lambda t: ~t.isin(stops)), " ")
+def _sql_text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def title_key(column: str, settings: Settings = DEFAULTS) -> Column:
+    """Normalised title: ASCII letters, lower case, no stop words, lemmas.
+
+    Written as one SQL text: the stop words become a hash-set test and the long
+    rule list costs a single call into the JVM.
+    """
+    stops = ", ".join(_sql_text(w) for w in settings.stop_words)
+    irregular = " ".join(f"WHEN t = {_sql_text(form)} THEN {_sql_text(lemma)}" for form, lemma in settings.lemmas)
+    lemma = f"""CASE WHEN length(t) <= 3 THEN t {irregular}
+        WHEN endswith(t, 'ies') AND length(t) > 4 THEN concat(substring(t, 1, length(t) - 3), 'y')
+        WHEN t RLIKE '(?:sses|xes|zes|ches|shes)$' THEN substring(t, 1, length(t) - 2)
+        WHEN endswith(t, 's') AND NOT t RLIKE '(?:ss|us|is)$' THEN substring(t, 1, length(t) - 1)
+        ELSE t END"""
+    letters = f"lower(regexp_replace(coalesce(cast(`{column}` AS string), ''), '[^a-zA-Z\\\\s]', ''))"
+    kept = f"filter(split({letters}, '\\\\s+'), t -> t <> '' AND t NOT IN ({stops}))"
+    return F.expr(f"array_join(filter(transform({kept}, t -> {lemma}), t -> t NOT IN ({stops})), ' ')")
 
 
 def author_names(c: Column) -> Column:

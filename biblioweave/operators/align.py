@@ -27,7 +27,7 @@ def prepare_a(raw: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
         df = df.withColumn("DOI", F.lit(""))
     tag = F.lit(SOURCE_A)
     df = df.withColumn("Source", F.coalesce("Source", tag) if "Source" in df.columns else tag)
-    return df.withColumn("title_key", text.title_key(F.col("Title"), settings))
+    return df.withColumn("title_key", text.title_key("Title", settings))
 
 
 def prepare_b(raw: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
@@ -47,7 +47,7 @@ def prepare_b(raw: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
         df = df.withColumn("Author(s) ID", F.col("Authors"))
     if "Publication Stage" not in df.columns:
         df = df.withColumn("Publication Stage", F.lit("Final"))
-    return df.withColumn("title_key", text.title_key(F.col("Article Title"), settings))
+    return df.withColumn("title_key", text.title_key("Article Title", settings))
 
 
 def kept_records(b: DataFrame) -> DataFrame:

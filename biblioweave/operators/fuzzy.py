@@ -63,29 +63,33 @@ def best_match(
     Only matches scoring at least ``percent`` are returned. ``query_id`` is unique;
     ``choice_order`` is unique, and the lowest wins a tie. With ``years`` (query
     column, choice column, tolerance) choices of another year are no candidates.
+    Both inputs are read several times: pass stored tables, or cheap plans on them.
     A chunk that more than ``hot_rows`` choices share is split over several tasks.
     """
     keep_q = [query_id] + ([years[0]] if years else [])
     keep_c = [choice_order] + ([years[1]] if years else [])
     same_year = f"coalesce(abs({years[0]} - {years[1]}) <= {years[2]}, true)" if years else "true"
-    queries = queries.select(*keep_q, query_text)
-    c = durable(_forms(choices.select(*keep_c, choice_text), choice_text, percent, token_sort_only), "choices")
+    c = _forms(choices.select(*keep_c, choice_text), choice_text, percent, token_sort_only)
 
     # Equal up to token order is the best score there is: an equi-join settles it.
-    c_equal = c.where(F.col("form") == _SORTED).groupBy("s", *keep_c[1:]).agg(F.min(choice_order).alias(choice_order))
-    equal = durable(
-        queries.withColumn("s", sim.sorted_tokens(F.col(query_text)))
-        .where("s <> ''")
-        .join(c_equal, "s")
-        .where(same_year)
-        .groupBy(query_id)
-        .agg(F.min(choice_order).alias(choice_order))
-        .withColumn("score", F.lit(1.0)),
-        "equal",
+    c_equal = (
+        choices.select(sim.sorted_tokens(F.col(choice_text)).alias("_s"), *keep_c)
+        .groupBy("_s", *keep_c[1:])
+        .agg(F.min(choice_order).alias("_equal"))
+        .where("_s <> ''")
     )
-
-    open_queries = queries.join(equal.select(query_id), query_id, "left_anti")
-    q = durable(_forms(open_queries, query_text, percent, token_sort_only), "queries")
+    settled = (
+        queries.select(*keep_q, F.col(query_text).alias("_text"), sim.sorted_tokens(F.col(query_text)).alias("_q"))
+        .join(c_equal, F.expr(f"_q = _s AND {same_year}"), "left")
+        .groupBy(*keep_q, "_text")
+        .agg(F.min("_equal").alias("_equal"))
+    )
+    settled = durable(settled, "queries")
+    equal = settled.where("_equal IS NOT NULL").select(
+        query_id, F.col("_equal").alias(choice_order), F.lit(1.0).alias("score")
+    )
+    open_queries = settled.where("_equal IS NULL").select(*keep_q, "_text")
+    q = _forms(open_queries, "_text", percent, token_sort_only)
     c_keys, q_keys = spread(
         _choice_keys(c, q, percent), _query_keys(q, c, percent), ["key"], choice_order, _HOT_SHARE, hot_rows
     )

@@ -37,37 +37,42 @@ def canonical_titles(records: DataFrame, journals: DataFrame, settings: Settings
     """
     if "Source title" not in records.columns:
         return records
-    names = issn_title_map(journals)
-    source = F.coalesce("Source", F.lit("unknown")) if "Source" in records.columns else F.lit("unknown")
-    own_issn = text.first_issn(F.col("ISSN")) if "ISSN" in records.columns else F.lit("")
-    own = text.ws_trim(text.safe_text(F.col("Source title")))
-    eligible = F.lower(text.ws_trim(source)) != "scopus"
     columns = records.columns
+    source = F.coalesce("Source", F.lit("unknown")) if "Source" in columns else F.lit("unknown")
+    eligible = F.lower(text.ws_trim(source)) != "scopus"
+    own_issn = text.first_issn(F.col("ISSN")) if "ISSN" in columns else F.lit("")
+    own = text.ws_trim(text.safe_text(F.col("Source title")))
     keyed = records.withColumns(
         {
             "_row": _row_id(records),
-            "j_issn": F.when(eligible & (own_issn != ""), own_issn),
+            "_issn": F.when(eligible & (own_issn != ""), own_issn),
             "_name": F.when(eligible & (own_issn == "") & (own != ""), own),
         }
-    )
-    joined = spread_join(keyed, names, ["j_issn"], "_row", "left")
+    ).withColumn("_key", F.coalesce(F.concat(F.lit("issn "), "_issn"), F.concat(F.lit("name "), "_name")))
+    found = _canonical_names(keyed.select("_key", "_issn", "_name"), journals, settings)
+    joined = spread_join(keyed, found, ["_key"], "_row", "left")
+    result = joined.withColumn("Source title", text.journal_name(F.coalesce("_found", own)))
+    if "Source" in columns:
+        result = result.withColumn("Source", source)
+    return result.select(*[F.col(f"`{c}`") for c in columns])
+
 
-    # Only distinct names are scored, against the distinct listed names.
-    wanted = durable(keyed.where("_name IS NOT NULL").select("_name").distinct(), "names")
-    listed = names.groupBy("canon_title").agg(F.min("j_issn").alias("first_issn"))
+def _canonical_names(keys: DataFrame, journals: DataFrame, settings: Settings) -> DataFrame:
+    """``(_key, _found)`` for the distinct ISSNs and names among the records."""
+    names = issn_title_map(journals)
+    by_issn = (
+        keys.where("_issn IS NOT NULL").select("_key", "_issn").distinct()
+        .join(names, F.col("_issn") == F.col("j_issn"))
+        .where(text.ws_trim(F.col("canon_title")) != "")
+        .select("_key", F.col("canon_title").alias("_found"))
+    )
+    listed = durable(names.groupBy("canon_title").agg(F.min("j_issn").alias("first_issn")), "journal-names")
     best = best_match(
-        wanted.withColumn("_text", F.col("_name")), listed, "_name", "_text", "first_issn", "canon_title",
-        settings.canonical_threshold, token_sort_only=True,
+        keys.where("_name IS NOT NULL").select("_key", "_name").distinct(), listed,
+        "_key", "_name", "first_issn", "canon_title", settings.canonical_threshold, token_sort_only=True,
     ).where(F.col("score") > settings.canonical_threshold / 100.0)
-    similar = best.join(listed, "first_issn").select("_name", F.col("canon_title").alias("_similar"))
-    joined = spread_join(joined, similar, ["_name"], "_row", "left")
-
-    by_issn = F.when(text.ws_trim(F.col("canon_title")) != "", F.col("canon_title"))
-    chosen = text.journal_name(F.coalesce(by_issn, F.col("_similar"), own))
-    result = joined.withColumn("Source title", chosen)
-    if "Source" in columns:
-        result = result.withColumn("Source", F.coalesce("Source", F.lit("unknown")))
-    return result.select(*[F.col(f"`{c}`") for c in columns])
+    by_name = best.join(listed, "first_issn").select("_key", F.col("canon_title").alias("_found"))
+    return by_issn.unionByName(by_name)
 
 
 def _metrics(journals: DataFrame) -> DataFrame:
@@ -91,42 +96,56 @@ def _first_metric(metrics: DataFrame, keys: list[str]) -> DataFrame:
     return ranked.where("_rank = 1").select(*keys, packed.alias("j"))
 
 
-def metrics_by_issn(records: DataFrame, journals: DataFrame) -> DataFrame:
-    """Every record once, with the journal row of its ISSN and year as ``j`` (or NULL)."""
+def journal_keys(records: DataFrame) -> DataFrame:
+    """The distinct (ISSN, year, name) among the records: all that metrics depend on."""
+    return records.select("ISSN", "Year", F.col("`Source title`").alias("_name")).distinct()
+
+
+def metrics_by_issn(keys: DataFrame, journals: DataFrame) -> DataFrame:
+    """Add the journal row of each key's ISSN and year as ``j`` (or NULL)."""
     listed = _exploded(journals).where("j_issn IS NOT NULL AND Year IS NOT NULL")
     first = _first_metric(listed, ["j_issn", "Year"]).withColumnRenamed("Year", "j_year")
-    keyed = records.withColumns(
-        {"j_issn": F.when(F.col("ISSN") != "", F.col("ISSN")), "j_year": F.col("Year"), "_row": _row_id(records)}
-    )
-    return spread_join(keyed, first, ["j_issn", "j_year"], "_row", "left").drop("j_issn", "j_year", "_row")
+    same = (F.col("ISSN") == F.col("j_issn")) & (F.col("Year") == F.col("j_year"))
+    return keys.join(first, same, "left").drop("j_issn", "j_year")
 
 
-def metrics_by_title(records: DataFrame, journals: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """Journal rows for records without one: most similar journal name, same year.
-
-    Takes the result of :func:`metrics_by_issn` and fills ``j`` where it is NULL.
-    """
+def metrics_by_title(keys: DataFrame, journals: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """Fill ``j`` where it is NULL: the most similar journal name, same year."""
     metrics = _exploded(journals)
-    listed = (
+    listed = durable(
         metrics.where("Title IS NOT NULL").groupBy("Title").agg(F.min("j_ord").alias("first_ord"))
-        .withColumn("_low", F.lower("Title"))
+        .withColumn("_low", F.lower("Title")),
+        "journal-names",
     )
-    open_name = F.when(F.col("j").isNull() & ~text.is_blank(F.col("Source title")), F.lower("Source title"))
-    keyed = records.withColumn("_name", open_name).withColumn("_row", _row_id(records))
-    wanted = durable(keyed.where("_name IS NOT NULL").select("_name").distinct(), "names")
+    low = keys.withColumn("_lower", F.when(F.col("j").isNull() & ~text.is_blank(F.col("_name")), F.lower("_name")))
+    wanted = low.where("_lower IS NOT NULL").select("_lower", F.col("_lower").alias("_wanted")).distinct()
     best = best_match(
-        wanted.withColumn("_text", F.col("_name")), listed, "_name", "_text", "first_ord", "_low",
-        settings.journal_threshold,
+        wanted, listed, "_lower", "_wanted", "first_ord", "_low", settings.journal_threshold
     ).join(listed, "first_ord")
     first = _first_metric(metrics.where("Title IS NOT NULL AND Year IS NOT NULL"), ["Title", "Year"])
-    found = best.join(first, "Title").select("_name", F.col("Year").alias("j_year"), F.col("j").alias("_similar"))
-    joined = spread_join(keyed.withColumn("j_year", F.col("Year")), found, ["_name", "j_year"], "_row", "left")
-    return joined.withColumn("j", F.coalesce("j", "_similar")).drop("_name", "j_year", "_row", "_similar")
+    found = best.join(first, "Title").select("_lower", F.col("Year").alias("j_year"), F.col("j").alias("_similar"))
+    joined = low.withColumn("j_year", F.col("Year")).join(found, ["_lower", "j_year"], "left")
+    return joined.withColumn("j", F.coalesce("j", "_similar")).drop("_lower", "j_year", "_similar")
+
+
+def with_metrics(records: DataFrame, keys: DataFrame) -> DataFrame:
+    """Every record once, with the ``j`` of its key."""
+    names = {"ISSN": "_i", "Year": "_y", "Source title": "_n"}
+    absent = {"ISSN": F.lit(""), "Year": F.lit(0), "Source title": F.lit("")}
+
+    def filled(column: str, name: str):
+        # NULL keys must meet their own row, so NULL gets a value and a flag.
+        return F.struct(F.col(f"`{column}`").isNull(), F.coalesce(F.col(f"`{column}`"), absent[name]))
+
+    left = records.withColumns({k: filled(n, n) for n, k in names.items()} | {"_row": _row_id(records)})
+    right = keys.select(filled("ISSN", "ISSN").alias("_i"), filled("Year", "Year").alias("_y"), filled("_name", "Source title").alias("_n"), "j")
+    return spread_join(left, right, list(names.values()), "_row", "left").drop(*names.values(), "_row")
 
 
 def enrich(records: DataFrame, journals: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Every record once, gaps in its metric columns filled from its journal row."""
-    matched = metrics_by_title(durable(metrics_by_issn(records, journals), "issn-metrics"), journals, settings)
+    keys = durable(metrics_by_issn(journal_keys(records), journals), "journal-keys")
+    matched = with_metrics(records, metrics_by_title(keys, journals, settings))
     return unpack_metrics(matched, records.columns)
 
 

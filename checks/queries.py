@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from biblioweave.config import DEFAULTS, Settings
 from biblioweave.functions import similarity, text
 from biblioweave.operators import align, dedup, journals
+from biblioweave.operators.durable import durable
 from biblioweave.plans import pipeline, reports
 
 from . import sql, tables
@@ -67,8 +68,16 @@ def _column(name: str, frame: Callable, source: str, column: str, change: Callab
     register(f"SELECT doc_ord, {oracle} AS value FROM {source}")(run)
 
 
-_column("title_key", tables.source_a, "raw_a", "Title", text.title_key, sql.title_key('"Title"'))
-_column("title_key_b", tables.source_b, "raw_b", "Article Title", text.title_key, sql.title_key('"Article Title"'))
+@register(f"""SELECT doc_ord, {sql.title_key('"Title"')} AS title_key FROM raw_a""")
+def title_key(spark, sf):
+    return tables.source_a(spark, sf).select("doc_ord", text.title_key("Title").alias("title_key"))
+
+
+@register(f"""SELECT doc_ord, {sql.title_key('"Article Title"')} AS title_key FROM raw_b""")
+def title_key_b(spark, sf):
+    return tables.source_b(spark, sf).select("doc_ord", text.title_key("Article Title").alias("title_key"))
+
+
 _column("author_names_clean", tables.source_a, "raw_a", "Author full names", text.author_names, sql.author_names('"Author full names"'))
 _column("doc_type_norm", tables.source_b, "raw_b", "Document Type", text.document_type, sql.document_type('"Document Type"'))
 _column("doi_norm", tables.source_b, "raw_b", "DOI", text.doi, sql.doi('"DOI"'))
@@ -260,29 +269,31 @@ def cleaned_records(spark, sf):
 
 @register('SELECT "Source", doc_ord, "Year", journal_issn, "SJR", "Areas" FROM by_issn')
 def journal_metrics_issn_year(spark, sf):
-    matched = journals.metrics_by_issn(_cleaned(spark, sf), tables.journal_reference(spark, sf))
-    return matched.select("Source", "doc_ord", "Year", "j.journal_issn", "j.SJR", "j.Areas")
+    records = durable(_cleaned(spark, sf), "records")
+    keys = journals.metrics_by_issn(journals.journal_keys(records), tables.journal_reference(spark, sf))
+    return journals.with_metrics(records, keys).select(
+        "Source", "doc_ord", "Year", "j.journal_issn", "j.SJR", "j.Areas"
+    )
 
 
 @register(
-    """SELECT c."Source", c.doc_ord, c."Year", b."Title" AS journal, t."SJR" FROM by_issn c
+    """SELECT c."Source", c.doc_ord, c."Year", t.j_issn AS journal_issn, t."SJR" FROM by_issn c
     JOIN title_best b ON c.journal_issn IS NULL AND lower(c."Source title") = b.low
     JOIN jtitle t ON t."Title" = b."Title" AND t."Year" = c."Year\""""
 )
 def journal_metrics_title_fallback(spark, sf):
     reference = tables.journal_reference(spark, sf)
-    matched = journals.metrics_by_issn(_cleaned(spark, sf), reference).where("j IS NULL")
-    filled = journals.metrics_by_title(matched, reference).where("j IS NOT NULL")
-    names = journals.issn_title_map(reference).select(
-        F.col("j_issn").alias("journal_issn"), text.journal_name(F.col("canon_title")).alias("journal")
+    records = durable(_cleaned(spark, sf), "records")
+    keys = durable(journals.metrics_by_issn(journals.journal_keys(records), reference).where("j IS NULL"), "keys")
+    filled = journals.metrics_by_title(keys, reference).where("j IS NOT NULL")
+    return journals.with_metrics(records, filled).where("j IS NOT NULL").select(
+        "Source", "doc_ord", "Year", "j.journal_issn", "j.SJR"
     )
-    rows = filled.select("Source", "doc_ord", "Year", "j.journal_issn", "j.SJR")
-    return rows.join(names, "journal_issn").drop("journal_issn")
 
 
 @register("SELECT * FROM enriched")
 def enriched_records(spark, sf):
-    return journals.enrich(_cleaned(spark, sf), tables.journal_reference(spark, sf))
+    return journals.enrich(durable(_cleaned(spark, sf), "records"), tables.journal_reference(spark, sf))
 
 
 @register(

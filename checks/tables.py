@@ -19,7 +19,7 @@ PLACES = (
 
 
 def _pick(number: Column, options) -> Column:
-    return F.element_at(F.array(*[F.lit(o) for o in options]), (number % len(options) + 1).cast("int"))
+    return F.element_at(F.split(F.lit("|".join(options)), "[|]"), (number % len(options) + 1).cast("int"))
 
 
 def _text(c: Column) -> Column:
@@ -45,10 +45,7 @@ def _year_text(number: Column, year: Column) -> Column:
 
 def _dirty(number: Column) -> dict[str, Column]:
     return {
-        "type": F.element_at(
-            F.array(*[F.lit(x) for x in ("Article", "Article; Proceedings Paper", "Review ;Early Access", "Article; ; Book Chapter")]),
-            (number % 4 + 1).cast("int"),
-        ),
+        "type": _pick(number, ("Article", "Article; Proceedings Paper", "Review ;Early Access", "Article; ; Book Chapter")),
         "cited": F.when(number % 31 == 0, "n/a").when(number % 13 == 0, "12.0").otherwise(_text(number % 50)),
         "oa": F.when(number % 4 == 0, F.lit(None).cast("string")).when(number % 4 == 1, "").when(number % 4 == 2, " \t ").otherwise("Gold"),
         "place": _pick(number, PLACES),

@@ -53,9 +53,8 @@ def _dirty(number: Column) -> dict[str, Column]:
 
 
 def source_a(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    n, j = F.col("doc_id"), _journal(F.col("doc_id"))
-    first = F.split_part("text", F.lit("\n"), F.lit(1))
+    d = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("first", F.substring_index("text", "\n", 1))
+    n, j, first = F.col("doc_id"), _journal(F.col("doc_id")), F.col("first")
     title = F.when(n % 41 != 0, first)
     dirty = _dirty(n)
     return d.select(
@@ -81,9 +80,9 @@ def source_a(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def source_b(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    n, j = F.col("page_id"), _journal(F.col("page_id"))
-    t = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
+    found = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
+    p = spark.read.parquet(f"{sf_dir}/pages.parquet").withColumn("t", found)
+    n, j, t = F.col("page_id"), _journal(F.col("page_id")), F.col("t")
     space = F.instr(t, " ")
     longer = (n % 5 == 1) & (F.length(t) >= 20)
     moved = (n % 5 == 3) & (space > 0)

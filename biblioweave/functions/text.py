@@ -53,12 +53,15 @@ def title_key(column: str, settings: Settings = DEFAULTS) -> Column:
     rule list costs a single call into the JVM.
     """
     stops = ", ".join(_sql_text(w) for w in settings.stop_words)
-    irregular = " ".join(f"WHEN t = {_sql_text(form)} THEN {_sql_text(lemma)}" for form, lemma in settings.lemmas)
-    lemma = f"""CASE WHEN length(t) <= 3 THEN t {irregular}
+    forms = ", ".join(_sql_text(form) for form, _ in settings.lemmas) or "''"
+    irregular = " ".join(f"WHEN {_sql_text(form)} THEN {_sql_text(lemma)}" for form, lemma in settings.lemmas)
+    drop_es = " OR ".join(f"endswith(t, '{e}')" for e in ("sses", "xes", "zes", "ches", "shes"))
+    lemma = f"""CASE WHEN length(t) <= 3 THEN t
+        WHEN t IN ({forms}) THEN CASE t {irregular or "WHEN '' THEN ''"} END
+        WHEN NOT endswith(t, 's') OR endswith(t, 'ss') OR endswith(t, 'us') OR endswith(t, 'is') THEN t
         WHEN endswith(t, 'ies') AND length(t) > 4 THEN concat(substring(t, 1, length(t) - 3), 'y')
-        WHEN t RLIKE '(?:sses|xes|zes|ches|shes)$' THEN substring(t, 1, length(t) - 2)
-        WHEN endswith(t, 's') AND NOT t RLIKE '(?:ss|us|is)$' THEN substring(t, 1, length(t) - 1)
-        ELSE t END"""
+        WHEN {drop_es} THEN substring(t, 1, length(t) - 2)
+        ELSE substring(t, 1, length(t) - 1) END"""
     letters = f"lower(regexp_replace(coalesce(cast(`{column}` AS string), ''), '[^a-zA-Z\\\\s]', ''))"
     kept = f"filter(split({letters}, '\\\\s+'), t -> t <> '' AND t NOT IN ({stops}))"
     return F.expr(f"array_join(filter(transform({kept}, t -> {lemma}), t -> t NOT IN ({stops})), ' ')")
@@ -144,9 +147,14 @@ def bracket_commas(c: Column) -> Column:
 
 
 def countries(c: Column, settings: Settings = DEFAULTS) -> Column:
+    """Apply the ordered country rules; one joint test spares texts that none matches."""
+    if not settings.country_rules:
+        return c
+    out = c
     for pattern, replacement in settings.country_rules:
-        c = F.regexp_replace(c, pattern, replacement)
-    return c
+        out = F.regexp_replace(out, pattern, replacement)
+    any_rule = "|".join(f"(?:{pattern})" for pattern, _ in settings.country_rules)
+    return F.when(c.rlike(any_rule), out).otherwise(c)
 
 
 def affiliations(c: Column, settings: Settings = DEFAULTS) -> Column:

@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from biblioweave.config import DEFAULTS, Settings
 from biblioweave.functions import similarity, text
 from biblioweave.operators import align, dedup, journals
-from biblioweave.operators.durable import durable
+from biblioweave.operators.durable import durable, shared_folder
 from biblioweave.plans import pipeline, reports
+from biblioweave.sources import exports, sinks, workbooks
 
 from . import sql, tables
+from .workbook_bytes import workbook
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -316,6 +319,64 @@ def clean_records(spark, sf):
     ).records
 
 
+def _cells(names) -> str:
+    """Columns as a reader returns them: text, with the usual missing-cell texts NULL."""
+    tokens = sql._quoted(DEFAULTS.null_tokens)
+    return ", ".join(f'CASE WHEN "{n}" NOT IN ({tokens}) THEN "{n}" END AS "{n}"' for n in names)
+
+
+_A_TEXTS = [
+    "Title", "Year", "DOI", "Source title", "ISSN", "Document Type", "Cited by", "Open Access", "Author full names",
+    "Authors", "Affiliations", "Authors with affiliations", "Publisher", "Language of Original Document", "Abstract",
+]
+_B_TEXTS = [
+    "Article Title", "Publication Year", "DOI", "Source Title", "ISSN", "Document Type", "Cited Reference Count",
+    "Open Access Designations", "Authors", "Author Full Names", "Language", "Addresses", "Affiliations",
+    "UT (Unique WOS ID)", "DOI Link",
+]
+
+
+@register(f"SELECT CAST(doc_ord AS VARCHAR) AS record, {_cells(_A_TEXTS)} FROM raw_a")
+def csv_scan(spark, sf):
+    """Source A written as CSV exports and scanned again."""
+    folder = f"{shared_folder(spark)}/csv-scan-{uuid4().hex}"
+    sinks.write_delimited(tables.source_a(spark, sf).withColumnRenamed("doc_ord", "record"), folder)
+    return exports.read_delimited(spark, exports.list_files(spark, folder, "*.csv")).drop("doc_ord")
+
+
+@register(f"SELECT j_ord AS record, {_cells(['Title', 'Issn', 'Categories'])} FROM jref")
+def journal_scan(spark, sf):
+    """The journal list written with semicolons and scanned again, in order."""
+    folder = f"{shared_folder(spark)}/journal-scan-{uuid4().hex}"
+    rows = tables.journal_reference(spark, sf).withColumnRenamed("j_ord", "record").orderBy("record")
+    sinks.write_delimited(rows, folder, ";")
+    scanned = exports.read_journals(spark, f"{folder}/*.csv")
+    return scanned.select(F.col("record").cast("long").alias("record"), "Title", "Issn", "Categories")
+
+
+@register(f"SELECT doc_ord % 500 AS number, {_cells(_B_TEXTS)} FROM raw_b")
+def xlsx_scan(spark, sf):
+    """Source B packed into workbooks of 500 rows and decoded again."""
+    rows = tables.source_b(spark, sf).withColumn("book", F.expr("doc_ord div 500"))
+    books = rows.groupBy("book").applyInPandas(workbook, "path string, content binary")
+    cells = workbooks.decode_workbooks(books)
+    picked = [text.null_if_token(F.col("cells")[c]).alias(c) for c in _B_TEXTS]
+    return cells.select("number", *picked)
+
+
+@register(
+    "\nUNION ALL ".join(
+        f"""SELECT '{source}' AS "Source", '{c}' AS "column", count(*) AS records, count(*) FILTER ({sql.blank(f'"{c}"')}) AS blank_cells FROM {raw}"""
+        for source, raw, c in (
+            ("Scopus", "raw_a", "Title"), ("Web of science", "raw_b", "Article Title"),
+            ("Web of science", "raw_b", "DOI"), ("Web of science", "raw_b", "Publication Year"),
+        )
+    )
+)
+def input_inventory(spark, sf):
+    return exports.input_inventory(tables.source_a(spark, sf), tables.source_b(spark, sf))
+
+
 def _per_year(value_a: str, value_b: str, names: tuple[str, str, str]) -> str:
     return f"""SELECT "Year", CAST(sum(b) AS BIGINT) AS "{names[0]}", CAST(sum(a) AS BIGINT) AS "{names[1]}", CAST(sum(a + b) AS BIGINT) AS "{names[2]}" FROM (
     SELECT {sql.year('"Year"')} AS "Year", 0 AS b, {value_a} AS a FROM a1

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..config import DEFAULTS, Settings
 from ..functions import text
+from .durable import durable
 from .fuzzy import best_match
 from .skew import spread_join
 
@@ -31,11 +32,28 @@ def first_per_title_and_year(df: DataFrame) -> DataFrame:
     return _first(named, ["Title", "Year", own], [rank, "doc_ord"])
 
 
-def doi_matches(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Rows of ``b`` whose DOI occurs in ``a``, with the first such ``a`` record."""
+def doi_lookup(a: DataFrame, b: DataFrame) -> DataFrame:
+    """``b_ord, title_key, b_year, a_ord``: every ``b`` record with the first ``a`` record of its DOI, or NULL."""
     keys = a.where("DOI <> ''").groupBy("DOI").agg(F.min("doc_ord").alias("a_ord"))
-    rows = b.where("DOI <> ''").select(F.col("doc_ord").alias("b_ord"), "title_key", "DOI")
-    return spread_join(rows, keys, ["DOI"], "b_ord", "inner").select("b_ord", "title_key", "a_ord")
+    rows = b.select(
+        F.col("doc_ord").alias("b_ord"), "title_key", text.year(F.col("Publication Year")).alias("b_year"),
+        F.when(F.col("DOI") != "", F.col("DOI")).alias("DOI"),
+    )
+    return spread_join(rows, keys, ["DOI"], "b_ord", "left").select("b_ord", "title_key", "b_year", "a_ord")
+
+
+def doi_matches(lookup: DataFrame) -> DataFrame:
+    """Records of ``b`` whose DOI occurs in ``a``."""
+    return lookup.where("a_ord IS NOT NULL").select("b_ord", "title_key", "a_ord")
+
+
+def fuzzy_candidates(lookup: DataFrame) -> DataFrame:
+    """Records of ``b`` without a DOI match.
+
+    A title key other than '' occurs once in ``b``, so no other record can have
+    made it a duplicate title already.
+    """
+    return lookup.where("a_ord IS NULL").select("b_ord", "title_key", "b_year")
 
 
 def _own_key(df: DataFrame) -> DataFrame:
@@ -44,55 +62,36 @@ def _own_key(df: DataFrame) -> DataFrame:
     return df.withColumn("_key", F.when(F.col("title_key") == "", own).otherwise(F.col("title_key")))
 
 
-def fuzzy_candidates(b: DataFrame, matched: DataFrame) -> DataFrame:
-    """Rows of ``b`` that no DOI match covers, by record or by title key."""
-    by_record = matched.select(F.col("b_ord").alias("doc_ord"))
-    by_title = matched.select(F.col("title_key").alias("_key")).distinct()
-    rest = _own_key(b).join(by_record, "doc_ord", "left_anti").join(by_title, "_key", "left_anti")
-    return rest.select(
-        F.col("doc_ord").alias("b_ord"), "title_key", text.year(F.col("Publication Year")).alias("b_year")
-    )
-
-
 def year_ok(b_year, a_year, settings: Settings = DEFAULTS):
     """Years agree within the tolerance; an unknown year agrees with any."""
     return F.coalesce(F.abs(b_year - a_year) <= settings.year_tolerance, F.lit(True))
 
 
 def fuzzy_matches(a: DataFrame, candidates: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """Best title of ``a`` for each candidate: ``b_ord, title_key, a_ord, score, year_ok``.
+    """Best title of ``a`` for each candidate, with its score, year and ``year_ok``.
 
     The best title is chosen before the year check unless ``year_first`` is set,
     as the second best is never tried.
     """
     choices = a.where("title_key <> ''").select(
-        F.col("doc_ord").alias("a_ord"), F.col("title_key").alias("a_key"),
-        text.year(F.col("Year")).alias("a_year"),
+        F.col("doc_ord").alias("a_ord"), F.col("title_key").alias("a_key"), text.year(F.col("Year")).alias("a_year")
     )
     wanted = candidates.where(F.length("title_key") >= settings.min_title_length)
-    pairs = best_match(
-        wanted, choices, "b_ord", "title_key", "a_ord", "a_key", settings.title_threshold,
-        years=("b_year", "a_year", settings.year_tolerance) if settings.year_first else None,
-    )
-    return (
-        pairs.join(wanted, "b_ord")
-        .join(choices.select("a_ord", "a_key", "a_year"), "a_ord")
-        .select(
-            "b_ord", "title_key", "b_year", "a_ord", "a_key", "a_year", "score",
-            year_ok(F.col("b_year"), F.col("a_year"), settings).alias("year_ok"),
-        )
-    )
+    years = ("b_year", "a_year", settings.year_tolerance) if settings.year_first else None
+    best = best_match(wanted, choices, "b_ord", "title_key", "a_ord", "a_key", settings.title_threshold, years=years)
+    return best.withColumn("year_ok", year_ok(F.col("b_year"), F.col("a_year"), settings))
 
 
-def duplicate_pairs(a: DataFrame, b: DataFrame, settings: Settings = DEFAULTS, candidates: DataFrame | None = None) -> DataFrame:
+def duplicate_pairs(a: DataFrame, b: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Every removed ``b`` record with its partner: ``title_key, match_method, a_ord, b_ord, score``."""
-    by_doi = doi_matches(a, b)
-    if candidates is None:
-        candidates = fuzzy_candidates(b, by_doi)
-    by_title = fuzzy_matches(a, candidates, settings).where("year_ok")
-    return by_doi.select(
-        "title_key", F.lit("doi").alias("match_method"), "a_ord", "b_ord", F.lit(None).cast("double").alias("score")
-    ).unionByName(by_title.select("title_key", F.lit("title").alias("match_method"), "a_ord", "b_ord", "score"))
+    lookup = durable(doi_lookup(a, b), "doi-lookup")
+    by_title = fuzzy_matches(a, fuzzy_candidates(lookup), settings).where("year_ok")
+    no_score = F.lit(None).cast("double").alias("score")
+    return (
+        doi_matches(lookup)
+        .select("title_key", F.lit("doi").alias("match_method"), "a_ord", "b_ord", no_score)
+        .unionByName(by_title.select("title_key", F.lit("title").alias("match_method"), "a_ord", "b_ord", "score"))
+    )
 
 
 def duplicate_titles(pairs: DataFrame) -> DataFrame:

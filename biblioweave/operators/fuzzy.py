@@ -37,15 +37,6 @@ def _forms(df: DataFrame, text: str, percent: int, token_sort_only: bool) -> Dat
     )
 
 
-def _near_bands(df: DataFrame) -> DataFrame:
-    """Bands that a partner of these texts can have: a few hundred rows at the very most.
-
-    Lengths fit into 31 bits, so there are under ln(2**31) / ln(100 / (T - 1)) bands.
-    """
-    near = F.explode(F.array(*[F.col("band") + d for d in (-1, 0, 1)]))
-    return df.select("form", "band").distinct().select("form", near.alias("band")).distinct()
-
-
 def best_match(
     queries: DataFrame,
     choices: DataFrame,
@@ -58,40 +49,39 @@ def best_match(
     years: tuple[str, str, int] | None = None,
     hot_rows: int = 2_000,
 ) -> DataFrame:
-    """``(query_id, choice_order, score)``: the most similar choice, first on ties.
-
-    Only matches scoring at least ``percent`` are returned. ``query_id`` is unique;
-    ``choice_order`` is unique, and the lowest wins a tie. With ``years`` (query
-    column, choice column, tolerance) choices of another year are no candidates.
-    Both inputs are read several times: pass stored tables, or cheap plans on them.
-    A chunk that more than ``hot_rows`` choices share is split over several tasks.
+    """The most similar choice of every query, the first one on ties.
+
+    Returns the columns of both sides (but for ``choice_text``) and ``score``, for
+    the queries whose best match scores at least ``percent``. ``query_id`` and
+    ``choice_order`` are unique; the lowest ``choice_order`` wins a tie. With
+    ``years`` (query column, choice column, tolerance) choices of another year
+    are no candidates. Both inputs are read several times: pass stored tables, or
+    cheap plans on them. A chunk that more than ``hot_rows`` choices share is
+    split over several tasks.
     """
-    keep_q = [query_id] + ([years[0]] if years else [])
-    keep_c = [choice_order] + ([years[1]] if years else [])
+    carried = [choice_order] + [c for c in choices.columns if c not in (choice_order, choice_text)]
+    match = F.struct(*carried)
     same_year = f"coalesce(abs({years[0]} - {years[1]}) <= {years[2]}, true)" if years else "true"
-    c = _forms(choices.select(*keep_c, choice_text), choice_text, percent, token_sort_only)
+    q_year, c_year = ([years[0]], [years[1]]) if years else ([], [])
 
     # Equal up to token order is the best score there is: an equi-join settles it.
     c_equal = (
-        choices.select(sim.sorted_tokens(F.col(choice_text)).alias("_s"), *keep_c)
-        .groupBy("_s", *keep_c[1:])
-        .agg(F.min(choice_order).alias("_equal"))
+        choices.withColumn("_s", sim.sorted_tokens(F.col(choice_text)))
         .where("_s <> ''")
+        .groupBy("_s", *c_year)
+        .agg(F.min(match).alias("_equal"))
     )
-    settled = (
-        queries.select(*keep_q, F.col(query_text).alias("_text"), sim.sorted_tokens(F.col(query_text)).alias("_q"))
-        .join(c_equal, F.expr(f"_q = _s AND {same_year}"), "left")
-        .groupBy(*keep_q, "_text")
-        .agg(F.min("_equal").alias("_equal"))
-    )
+    asked = queries.withColumn("_q", sim.sorted_tokens(F.col(query_text)))
+    settled = asked.join(c_equal, F.expr(f"_q = _s AND {same_year}"), "left").drop("_q", "_s", *c_year)
+    if years:
+        settled = settled.groupBy(*queries.columns).agg(F.min("_equal").alias("_equal"))
     settled = durable(settled, "queries")
-    equal = settled.where("_equal IS NOT NULL").select(
-        query_id, F.col("_equal").alias(choice_order), F.lit(1.0).alias("score")
-    )
-    open_queries = settled.where("_equal IS NULL").select(*keep_q, "_text")
-    q = _forms(open_queries, "_text", percent, token_sort_only)
+
+    c = _forms(choices, choice_text, percent, token_sort_only)
+    open_queries = settled.where("_equal IS NULL").select(query_id, *q_year, query_text)
+    q = _forms(open_queries, query_text, percent, token_sort_only)
     c_keys, q_keys = spread(
-        _choice_keys(c, q, percent), _query_keys(q, c, percent), ["key"], choice_order, _HOT_SHARE, hot_rows
+        _choice_keys(c, q, percent), _query_keys(q, percent), ["key"], choice_order, _HOT_SHARE, hot_rows
     )
     same_salt = "q._salt = c._salt" if "_salt" in c_keys.columns else "true"
 
@@ -108,16 +98,28 @@ def best_match(
     near = (
         q_keys.alias("q")
         .join(c_keys.alias("c"), condition)
-        .select(F.col(f"q.{query_id}").alias(query_id), F.struct((-score).alias("loss"), F.col(f"c.{choice_order}").alias("ord")).alias("m"))
+        .select(
+            F.col(f"q.{query_id}").alias(query_id),
+            F.struct((-score).alias("loss"), F.struct(*[F.col(f"c.{x}") for x in carried]).alias("match")).alias("_near"),
+        )
         .groupBy(query_id)
-        .agg(F.min("m").alias("m"))
-        .select(query_id, F.col("m.ord").alias(choice_order), (-F.col("m.loss")).alias("score"))
+        .agg(F.min("_near").alias("_near"))
+    )
+    found = settled.join(near, query_id, "left").where("_equal IS NOT NULL OR _near IS NOT NULL")
+    chosen = F.coalesce("_equal", "_near.match")
+    return found.select(
+        *queries.columns,
+        *[chosen[x].alias(x) for x in carried],
+        F.coalesce(-F.col("_near.loss"), F.lit(1.0)).alias("score"),
     )
-    return equal.unionByName(near)
 
 
 def _choice_keys(c: DataFrame, queries: DataFrame, percent: int) -> DataFrame:
-    """``most_edits + 1`` disjoint chunks per choice, for each band a query may have."""
+    """``most_edits + 1`` disjoint chunks per choice, for each band that queries have.
+
+    Lengths fit into 31 bits, so there are under ln(2**31) / ln(100 / (T - 1)) bands:
+    a few hundred rows at the very most, whatever the data.
+    """
     bands = F.broadcast(queries.select(F.col("form").alias("q_form"), F.col("band").alias("q_band")).distinct())
     edits = sim.most_edits("n", percent)
     size = sim.chunk_size("n", percent)
@@ -131,15 +133,13 @@ def _choice_keys(c: DataFrame, queries: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _query_keys(q: DataFrame, choices: DataFrame, percent: int) -> DataFrame:
+def _query_keys(q: DataFrame, percent: int) -> DataFrame:
     """Every substring of a query that has the chunk size of a possible partner."""
-    bands = F.broadcast(_near_bands(choices))
     shortest = f"(({percent} * n + 99) div 100)"
     longest = f"((100 * n) div {percent})"
     sizes = f"array_distinct(transform(sequence({shortest}, {longest}), l -> {sim.chunk_size('l', percent)}))"
     return (
-        q.join(bands, ["form", "band"], "left_semi")
-        .withColumn("size", F.explode(F.expr(sizes)))
+        q.withColumn("size", F.explode(F.expr(sizes)))
         .where("size <= n")
         .withColumn("pos", F.explode(F.expr("sequence(0, n - cast(size AS int))")))
         .withColumn("key", F.xxhash64("form", "band", F.expr("substring(s, pos + 1, cast(size AS int))")))

@@ -66,12 +66,16 @@ def _canonical_names(keys: DataFrame, journals: DataFrame, settings: Settings) -
         .where(text.ws_trim(F.col("canon_title")) != "")
         .select("_key", F.col("canon_title").alias("_found"))
     )
-    listed = durable(names.groupBy("canon_title").agg(F.min("j_issn").alias("first_issn")), "journal-names")
+    listed = durable(
+        names.groupBy("canon_title").agg(F.min("j_issn").alias("first_issn"))
+        .select("first_issn", "canon_title", F.col("canon_title").alias("_title")),
+        "journal-names",
+    )
     best = best_match(
         keys.where("_name IS NOT NULL").select("_key", "_name").distinct(), listed,
         "_key", "_name", "first_issn", "canon_title", settings.canonical_threshold, token_sort_only=True,
     ).where(F.col("score") > settings.canonical_threshold / 100.0)
-    by_name = best.join(listed, "first_issn").select("_key", F.col("canon_title").alias("_found"))
+    by_name = best.select("_key", F.col("_title").alias("_found"))
     return by_issn.unionByName(by_name)
 
 
@@ -121,7 +125,7 @@ def metrics_by_title(keys: DataFrame, journals: DataFrame, settings: Settings =
     wanted = low.where("_lower IS NOT NULL").select("_lower", F.col("_lower").alias("_wanted")).distinct()
     best = best_match(
         wanted, listed, "_lower", "_wanted", "first_ord", "_low", settings.journal_threshold
-    ).join(listed, "first_ord")
+    )
     first = _first_metric(metrics.where("Title IS NOT NULL AND Year IS NOT NULL"), ["Title", "Year"])
     found = best.join(first, "Title").select("_lower", F.col("Year").alias("j_year"), F.col("j").alias("_similar"))
     joined = low.withColumn("j_year", F.col("Year")).join(found, ["_lower", "j_year"], "left")

@@ -19,14 +19,12 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: int = SHARE, min_rows: i
     counts = df.groupBy(*[F.col(f"`{k}`").alias(f"_hot{i}") for i, k in enumerate(keys)]).agg(
         F.count(F.lit(1)).alias("_n")
     )
-    total = counts.agg(F.sum("_n")).scalar()
-    per_split = F.greatest(total / share, F.lit(float(min_rows)))
-    return (
-        counts.where(F.col("_n") > per_split)
-        .withColumn("_splits", F.ceil(F.col("_n") / per_split).cast("int"))
-        .drop("_n")
-        .collect()
-    )
+    sizes = counts.agg(F.sum("_n").alias("total"), F.max("_n").alias("largest")).first()
+    per_split = max((sizes.total or 0) / share, min_rows)
+    if not sizes.largest or sizes.largest <= per_split:
+        return []
+    splits = F.ceil(F.col("_n") / per_split).cast("int")
+    return counts.where(F.col("_n") > per_split).withColumn("_splits", splits).drop("_n").collect()
 
 
 def _with_splits(df: DataFrame, hot: list[Row], keys: Sequence[str]) -> DataFrame:

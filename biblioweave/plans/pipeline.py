@@ -72,20 +72,31 @@ def clean(combined: DataFrame, journals: DataFrame | None, settings: Settings =
     return dedup.first_per_title_and_year(records)
 
 
-def run(
+def consolidate(
     raw_a: DataFrame | None,
     raw_b: DataFrame | None,
     journals: DataFrame | None = None,
     settings: Settings = DEFAULTS,
-) -> Result:
-    """``raw_a`` and ``raw_b`` carry ``doc_ord``, ``journals`` carries ``j_ord`` (their input order)."""
+) -> tuple[Sources, DataFrame, DataFrame]:
+    """The cleaned sources, the pair table and the clean records."""
     if raw_a is None and raw_b is None:
         raise ValueError("there is no source to read")
     sources = read_sources(raw_a, raw_b, settings)
     pairs = match_sources(sources, settings)
-    titles = dedup.duplicate_titles(pairs)
-    records = durable(clean(combine(sources, pairs, settings), journals, settings), "clean")
-    return Result(records, titles, pairs, report_tables(raw_a, raw_b, sources, pairs, records, settings))
+    return sources, pairs, clean(combine(sources, pairs, settings), journals, settings)
+
+
+def run(
+    raw_a: DataFrame | None,
+    raw_b: DataFrame | None,
+    journals: DataFrame | None = None,
+    settings: Settings = DEFAULTS,
+) -> Result:
+    """``raw_a`` and ``raw_b`` carry ``doc_ord``, ``journals`` carries ``j_ord`` (their input order)."""
+    sources, pairs, records = consolidate(raw_a, raw_b, journals, settings)
+    records = durable(records, "clean")
+    tables = report_tables(raw_a, raw_b, sources, pairs, records, settings)
+    return Result(records, dedup.duplicate_titles(pairs), pairs, tables)
 
 
 def report_tables(raw_a, raw_b, sources: Sources, pairs, records, settings: Settings = DEFAULTS) -> dict[str, DataFrame]:

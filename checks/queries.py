@@ -164,28 +164,27 @@ def dedup_within_b(spark, sf):
 
 @register("SELECT * FROM doi_m")
 def doi_matches(spark, sf):
-    return dedup.doi_matches(_a1(spark, sf), _b1(spark, sf))
+    return dedup.doi_matches(dedup.doi_lookup(_a1(spark, sf), _b1(spark, sf)))
 
 
 @register("SELECT * FROM b1 WHERE doc_ord IN (SELECT b_ord FROM doi_m)")
 def doi_semi_join(spark, sf):
     b = _b1(spark, sf)
-    return b.join(dedup.doi_matches(_a1(spark, sf), b).select(F.col("b_ord").alias("doc_ord")), "doc_ord", "left_semi")
+    matched = dedup.doi_matches(dedup.doi_lookup(_a1(spark, sf), b))
+    return b.join(matched.select(F.col("b_ord").alias("doc_ord")), "doc_ord", "left_semi")
 
 
 @register("SELECT * FROM cand")
 def fuzzy_candidates_left(spark, sf):
-    sources = _sources(spark, sf)
-    return dedup.fuzzy_candidates(sources.b, dedup.doi_matches(sources.a, sources.b))
+    return dedup.fuzzy_candidates(dedup.doi_lookup(_a1(spark, sf), _b1(spark, sf)))
 
 
 def _fuzzy(spark, sf, settings: Settings = DEFAULTS):
     sources = _sources(spark, sf)
-    candidates = dedup.fuzzy_candidates(sources.b, dedup.doi_matches(sources.a, sources.b))
-    return dedup.fuzzy_matches(sources.a, candidates, settings)
+    return dedup.fuzzy_matches(sources.a, dedup.fuzzy_candidates(dedup.doi_lookup(sources.a, sources.b)), settings)
 
 
-@register("SELECT * FROM fuzzy")
+@register("SELECT * EXCLUDE (a_key) FROM fuzzy")
 def fuzzy_best_match(spark, sf):
     return _fuzzy(spark, sf)
 
@@ -195,7 +194,7 @@ def fuzzy_year_pairs(spark, sf):
     return _fuzzy(spark, sf).where("year_ok").select("b_ord", "a_ord", "b_year", "a_year", "score")
 
 
-@register("SELECT * FROM fuzzy_year_first")
+@register("SELECT * EXCLUDE (a_key) FROM fuzzy_year_first")
 def fuzzy_year_first(spark, sf):
     return _fuzzy(spark, sf, Settings(year_first=True))
 
@@ -314,9 +313,9 @@ def final_title_year_dedup(spark, sf):
 @register("SELECT * FROM final")
 def clean_records(spark, sf):
     """The whole consolidation run."""
-    return pipeline.run(
+    return pipeline.consolidate(
         tables.source_a(spark, sf), tables.source_b(spark, sf), tables.journal_reference(spark, sf)
-    ).records
+    )[2]
 
 
 def _cells(names) -> str:
@@ -416,7 +415,7 @@ def doc_types_by_year(spark, sf):
     + f' FROM ({_TYPES}) GROUP BY "Year" ORDER BY "Year"'
 )
 def doc_types_pivot(spark, sf):
-    return reports.doc_types_pivot(clean_records(spark, sf))
+    return reports.doc_types_pivot(durable(clean_records(spark, sf), "clean"))
 
 
 _COUNTS = """(SELECT (SELECT count(*) FROM raw_a) AS la, (SELECT count(*) FROM raw_b) AS lb, (SELECT count(*) FROM a1) AS fa,

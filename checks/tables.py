@@ -8,7 +8,7 @@ states the same tables in DuckDB SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 # Affiliation endings, by record number.
 PLACES = (
@@ -18,126 +18,103 @@ PLACES = (
 )
 
 
-def _pick(number: Column, options) -> Column:
-    return F.element_at(F.split(F.lit("|".join(options)), "[|]"), (number % len(options) + 1).cast("int"))
+TYPES = ("Article", "Article; Proceedings Paper", "Review ;Early Access", "Article; ; Book Chapter")
 
 
-def _text(c: Column) -> Column:
-    return c.cast("string")
+def _pick(number: str, options) -> str:
+    return f"element_at(split('{'|'.join(options)}', '[|]'), cast({number} % {len(options)} + 1 AS int))"
 
 
-def _journal(number: Column) -> Column:
-    return number % 120
+def _issn(j: str) -> str:
+    return f"if({j} % 10 = 3, concat(1000000 + {j} * 791, 'X'), string(10000000 + {j} * 7919))"
 
 
-def _issn(j: Column) -> Column:
-    return F.when(j % 10 == 3, F.concat(_text(1000000 + j * 791), F.lit("X"))).otherwise(_text(10000000 + j * 7919))
-
-
-def _year_text(number: Column, year: Column) -> Column:
+def _year_text(n: str, year: str) -> str:
     return (
-        F.when(number % 23 == 0, F.lit(None).cast("string"))
-        .when(number % 29 == 0, "n.d.")
-        .when(number % 19 == 0, F.concat(_text(year), F.lit(".0")))
-        .otherwise(_text(year))
+        f"CASE WHEN {n} % 23 = 0 THEN NULL WHEN {n} % 29 = 0 THEN 'n.d.' "
+        f"WHEN {n} % 19 = 0 THEN concat({year}, '.0') ELSE string({year}) END"
     )
 
 
-def _dirty(number: Column) -> dict[str, Column]:
-    return {
-        "type": _pick(number, ("Article", "Article; Proceedings Paper", "Review ;Early Access", "Article; ; Book Chapter")),
-        "cited": F.when(number % 31 == 0, "n/a").when(number % 13 == 0, "12.0").otherwise(_text(number % 50)),
-        "oa": F.when(number % 4 == 0, F.lit(None).cast("string")).when(number % 4 == 1, "").when(number % 4 == 2, " \t ").otherwise("Gold"),
-        "place": _pick(number, PLACES),
-    }
+def _cited(n: str) -> str:
+    return f"CASE WHEN {n} % 31 = 0 THEN 'n/a' WHEN {n} % 13 = 0 THEN '12.0' ELSE string({n} % 50) END"
+
+
+def _open_access(n: str) -> str:
+    return f"CASE {n} % 4 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN ' \t ' ELSE 'Gold' END"
 
 
 def source_a(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("first", F.substring_index("text", "\n", 1))
-    n, j, first = F.col("doc_id"), _journal(F.col("doc_id")), F.col("first")
-    title = F.when(n % 41 != 0, first)
-    dirty = _dirty(n)
-    return d.select(
-        n.alias("doc_ord"),
-        title.alias("Title"),
-        _year_text(n, 2014 + F.length(first) % 13).alias("Year"),
-        F.when(F.length(first) % 3 == 0, F.concat(F.lit("10.5555/"), F.md5(first))).when(n % 2 == 0, "").alias("DOI"),
-        F.concat(F.lit("Journal of Supplier "), _text(j), F.lit(" (print)")).alias("Source title"),
-        F.when(n % 17 != 0, _issn(j)).alias("ISSN"),
-        dirty["type"].alias("Document Type"),
-        dirty["cited"].alias("Cited by"),
-        dirty["oa"].alias("Open Access"),
-        F.concat(F.lit("Smith J. ("), _text(n), F.lit("); ; Doe A. (7)")).alias("Author full names"),
-        F.lit("Smith J.; Doe A.").alias("Authors"),
-        F.when(n % 8 == 0, "").otherwise(F.concat(F.lit("Univ X, "), dirty["place"])).alias("Affiliations"),
-        F.when(n % 12 != 0, F.concat(F.lit("[Smith, J.; Doe, A.] Univ X, "), dirty["place"], F.lit("; [Roe, B.] x, y"))).alias(
-            "Authors with affiliations"
-        ),
-        F.when(n % 3 == 0, F.lit("Own Press")).alias("Publisher"),
-        F.col("lang").alias("Language of Original Document"),
-        F.col("text").alias("Abstract"),
+    d = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    d = d.selectExpr("doc_id AS n", "doc_id % 120 AS j", "substring_index(text, '\n', 1) AS f", "lang", "text")
+    place = _pick("n", PLACES)
+    return d.selectExpr(
+        "n AS doc_ord",
+        "if(n % 41 <> 0, f, NULL) AS Title",
+        _year_text("n", "(2014 + length(f) % 13)") + " AS Year",
+        "CASE WHEN length(f) % 3 = 0 THEN concat('10.5555/', md5(f)) WHEN n % 2 = 0 THEN '' END AS DOI",
+        "concat('Journal of Supplier ', j, ' (print)') AS `Source title`",
+        f"if(n % 17 <> 0, {_issn('j')}, NULL) AS ISSN",
+        _pick("n", TYPES) + " AS `Document Type`",
+        _cited("n") + " AS `Cited by`",
+        _open_access("n") + " AS `Open Access`",
+        "concat('Smith J. (', n, '); ; Doe A. (7)') AS `Author full names`",
+        "'Smith J.; Doe A.' AS Authors",
+        f"if(n % 8 = 0, '', concat('Univ X, ', {place})) AS Affiliations",
+        f"if(n % 12 <> 0, concat('[Smith, J.; Doe, A.] Univ X, ', {place}, '; [Roe, B.] x, y'), NULL) AS `Authors with affiliations`",
+        "if(n % 3 = 0, 'Own Press', NULL) AS Publisher",
+        "lang AS `Language of Original Document`",
+        "text AS Abstract",
     )
 
 
 def source_b(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
-    p = spark.read.parquet(f"{sf_dir}/pages.parquet").withColumn("t", found)
-    n, j, t = F.col("page_id"), _journal(F.col("page_id")), F.col("t")
-    space = F.instr(t, " ")
-    longer = (n % 5 == 1) & (F.length(t) >= 20)
-    moved = (n % 5 == 3) & (space > 0)
-    title = (
-        F.when(longer, F.concat(t, F.lit(" rev")))
-        .when(moved, F.concat(F.substring(t, space + 1, F.length(t)), F.lit(" "), F.substring(t, F.lit(1), space - 1)))
-        .otherwise(t)
-    )
-    year = 2014 + F.length(t) % 13 + F.when(longer, n % 4).otherwise(0)
-    dirty = _dirty(n)
-    return p.select(
-        n.alias("doc_ord"),
-        title.alias("Article Title"),
-        _year_text(n, year).alias("Publication Year"),
-        F.when(
-            ~longer & ~moved & (F.length(t) % 3 == 0), F.concat(F.lit(" 10.5555/"), F.upper(F.md5(t)), F.lit("\t"))
-        ).when(n % 2 == 0, "").alias("DOI"),
-        F.when(n % 5 == 0, F.concat(F.lit("Journal of Suplier "), _text(j), F.lit(" (print)")))
-        .when(n % 5 == 2, F.concat(F.lit("Supplier of Journal "), _text(j), F.lit(" (print)")))
-        .otherwise(F.concat(F.lit("J & Supp "), _text(j), F.lit(" (web)")))
-        .alias("Source Title"),
-        F.when((n % 5 != 0) & (n % 5 != 2), F.lower(F.concat(F.substring(_issn(j), 1, 4), F.lit("-"), F.substring(_issn(j), 5, 4)))).alias("ISSN"),
-        dirty["type"].alias("Document Type"),
-        dirty["cited"].alias("Cited Reference Count"),
-        dirty["oa"].alias("Open Access Designations"),
-        F.lit("Smith, J.; Doe, A.").alias("Authors"),
-        F.lit("Smith, John; Doe, Ann").alias("Author Full Names"),
-        F.regexp_extract("html", 'lang="([a-z]+)"', 1).alias("Language"),
-        F.concat(F.lit("[Smith, J.; Doe, A.] Univ Y, "), dirty["place"]).alias("Addresses"),
-        F.lit("").alias("Affiliations"),
-        F.concat(F.lit("WOS:"), _text(n)).alias("UT (Unique WOS ID)"),
-        F.col("url").alias("DOI Link"),
+    p = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    p = p.selectExpr(
+        "page_id AS n", "page_id % 120 AS j", "url", "regexp_extract(html, '<title>([^<]*)</title>', 1) AS t",
+        "regexp_extract(html, 'lang=\"([a-z]+)\"', 1) AS lang",
+    ).selectExpr("*", "n % 5 = 1 AND length(t) >= 20 AS longer", "n % 5 = 3 AND instr(t, ' ') > 0 AS moved", f"{_issn('j')} AS issn8")
+    return p.selectExpr(
+        "n AS doc_ord",
+        """CASE WHEN longer THEN concat(t, ' rev') WHEN moved THEN concat(substring(t, instr(t, ' ') + 1), ' ',
+             substring(t, 1, instr(t, ' ') - 1)) ELSE t END AS `Article Title`""",
+        _year_text("n", "(2014 + length(t) % 13 + if(longer, n % 4, 0))") + " AS `Publication Year`",
+        """CASE WHEN NOT longer AND NOT moved AND length(t) % 3 = 0 THEN concat(' 10.5555/', upper(md5(t)), '\t')
+             WHEN n % 2 = 0 THEN '' END AS DOI""",
+        """CASE WHEN n % 5 = 0 THEN concat('Journal of Suplier ', j, ' (print)') WHEN n % 5 = 2
+             THEN concat('Supplier of Journal ', j, ' (print)') ELSE concat('J & Supp ', j, ' (web)') END AS `Source Title`""",
+        "if(n % 5 <> 0 AND n % 5 <> 2, lower(concat(substring(issn8, 1, 4), '-', substring(issn8, 5, 4))), NULL) AS ISSN",
+        _pick("n", TYPES) + " AS `Document Type`",
+        _cited("n") + " AS `Cited Reference Count`",
+        _open_access("n") + " AS `Open Access Designations`",
+        "'Smith, J.; Doe, A.' AS Authors",
+        "'Smith, John; Doe, Ann' AS `Author Full Names`",
+        "lang AS Language",
+        f"concat('[Smith, J.; Doe, A.] Univ Y, ', {_pick('n', PLACES)}) AS Addresses",
+        "'' AS Affiliations",
+        "concat('WOS:', n) AS `UT (Unique WOS ID)`",
+        "url AS `DOI Link`",
     )
 
 
 def journal_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All suppliers as journals, nine years each, two ISSNs each."""
-    read = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    s = F.col("s_suppkey")
-    nations = read("nation").join(read("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    return (
-        read("supplier").join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
-        .withColumn("y", F.explode(F.sequence(F.lit(2015), F.lit(2023))))
-        .select(
-            (s * 100 + F.col("y") - 2015).alias("j_ord"),
-            F.concat(F.lit("Journal of Supplier "), _text(s), F.lit(" (print)")).alias("Title"),
-            F.concat(_issn(s), F.lit(", "), _text(20000000 + s * 7919)).alias("Issn"),
-            _text(F.col("y")).alias("Year"),
-            (F.col("s_acctbal") / 1000).alias("SJR"),
-            F.concat(F.lit("Q"), _text(1 + s % 4)).alias("SJR Best Quartile"),
-            (s % 97).cast("int").alias("H index"),
-            F.col("n_name").alias("Country"),
-            F.col("r_name").alias("Region"),
-            F.col("s_name").alias("Publisher"),
-            F.lit("Catalysis (Q1);Optics (Q2); ").alias("Categories"),
-            F.lit("Science").alias("Areas"),
-        )
+    supplier, nation, region = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("supplier", "nation", "region"))
+    rows = (
+        supplier.withColumnRenamed("s_nationkey", "n_nationkey").join(nation, "n_nationkey")
+        .withColumnRenamed("n_regionkey", "r_regionkey").join(region, "r_regionkey")
+    )
+    return rows.selectExpr("*", "explode(sequence(2015, 2023)) AS y").selectExpr(
+        "s_suppkey * 100 + y - 2015 AS j_ord",
+        "concat('Journal of Supplier ', s_suppkey, ' (print)') AS Title",
+        f"concat({_issn('s_suppkey')}, ', ', 20000000 + s_suppkey * 7919) AS Issn",
+        "string(y) AS Year",
+        "s_acctbal / 1000 AS SJR",
+        "concat('Q', 1 + s_suppkey % 4) AS `SJR Best Quartile`",
+        "int(s_suppkey % 97) AS `H index`",
+        "n_name AS Country",
+        "r_name AS Region",
+        "s_name AS Publisher",
+        "'Catalysis (Q1);Optics (Q2); ' AS Categories",
+        "'Science' AS Areas",
     )

@@ -59,8 +59,9 @@ def test_final_dedup(spark):
 def test_doi_matches(spark):
     a = a_frame(spark, (1, "one thing", "2020", " 10.1/AB "), (2, "two thing", "2020", ""), (3, "six thing", "2020", "10.1/ab"))
     b = b_frame(spark, (1, "elsewhere", "2020", "10.1/Ab\t"), (2, "blank", "2020", ""), (3, "none", "2020", None))
-    assert [tuple(r) for r in dedup.doi_matches(a, b).collect()] == [(1, "elsewhere", 1)]
-    assert ords(dedup.fuzzy_candidates(b, dedup.doi_matches(a, b)), "b_ord") == [2, 3]
+    lookup = dedup.doi_lookup(a, b)
+    assert [tuple(r) for r in dedup.doi_matches(lookup).collect()] == [(1, "elsewhere", 1)]
+    assert ords(dedup.fuzzy_candidates(lookup), "b_ord") == [2, 3]
 
 
 @pytest.mark.parametrize("a_year,b_year,same", [("2020", "2021", True), ("2020", "2022", False), (None, "2022", True), ("n.d.", "2022", True)])

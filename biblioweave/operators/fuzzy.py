@@ -33,7 +33,6 @@ def _forms(df: DataFrame, text: str, percent: int, token_sort_only: bool) -> Dat
         .withColumn("n", F.length("s"))
         .where("n > 0")
         .withColumn("band", sim.length_band(F.col("n"), percent))
-        .withColumn("letters", sim.letter_bits("s"))
     )
 
 
@@ -120,16 +119,24 @@ def _choice_keys(c: DataFrame, queries: DataFrame, percent: int) -> DataFrame:
     Lengths fit into 31 bits, so there are under ln(2**31) / ln(100 / (T - 1)) bands:
     a few hundred rows at the very most, whatever the data.
     """
-    bands = F.broadcast(queries.select(F.col("form").alias("q_form"), F.col("band").alias("q_band")).distinct())
+    near = F.explode(F.array(*[F.col("band") + d for d in (-1, 0, 1)]))
+    bands = (
+        queries.select("form", "band").distinct()
+        .select("form", near.alias("c_band"), F.col("band").alias("q_band"))
+        .groupBy(F.col("form").alias("c_form"), "c_band")
+        .agg(F.collect_set("q_band").alias("q_bands"))
+    )
     edits = sim.most_edits("n", percent)
     size = sim.chunk_size("n", percent)
     return (
-        c.join(bands, F.expr("form = q_form AND abs(band - q_band) <= 1"))
+        c.join(F.broadcast(bands), F.expr("form = c_form AND band = c_band"))
+        .withColumn("letters", sim.letter_bits("s"))
         .withColumn("size", F.expr(f"cast({size} AS int)"))
         .withColumn("i", F.explode(F.expr(f"sequence(0, cast({edits} AS int))")))
+        .withColumn("q_band", F.explode("q_bands"))
         .withColumn("pos", F.expr("i * size"))
         .withColumn("key", F.xxhash64("form", "q_band", F.expr("substring(s, pos + 1, size)")))
-        .drop("band", "q_form", "q_band", "size", "i")
+        .drop("band", "c_form", "c_band", "q_bands", "q_band", "size", "i")
     )
 
 
@@ -139,7 +146,8 @@ def _query_keys(q: DataFrame, percent: int) -> DataFrame:
     longest = f"((100 * n) div {percent})"
     sizes = f"array_distinct(transform(sequence({shortest}, {longest}), l -> {sim.chunk_size('l', percent)}))"
     return (
-        q.withColumn("size", F.explode(F.expr(sizes)))
+        q.withColumn("letters", sim.letter_bits("s"))
+        .withColumn("size", F.explode(F.expr(sizes)))
         .where("size <= n")
         .withColumn("pos", F.explode(F.expr("sequence(0, n - cast(size AS int))")))
         .withColumn("key", F.xxhash64("form", "band", F.expr("substring(s, pos + 1, cast(size AS int))")))

@@ -7,7 +7,7 @@ ratios and, for texts of unequal length, the partial ratios, each weighted.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 
 def common_length(a: str, b: str) -> int:
@@ -78,7 +78,7 @@ def weighted_ratio(a: str, b: str) -> float:
     return max(plain, scale * partial_ratio(a, b), 0.95 * scale * partial_token_ratio(a, b))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _weighted(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([weighted_ratio(x or "", y or "") for x, y in zip(a, b)], dtype="float64")
 

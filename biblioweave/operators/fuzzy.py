@@ -79,10 +79,13 @@ def best_match(
     c = _forms(choices, choice_text, percent, token_sort_only)
     open_queries = settled.where("_equal IS NULL").select(query_id, *q_year, query_text)
     q = _forms(open_queries, query_text, percent, token_sort_only)
+    # A chunk may be common among the choices, among the queries, or both.
     c_keys, q_keys = spread(
-        _choice_keys(c, q, percent), _query_keys(q, percent), ["key"], choice_order, _HOT_SHARE, hot_rows
+        _choice_keys(c, q, percent), _query_keys(q, percent), ["key"], choice_order, _HOT_SHARE, hot_rows, "_c_salt"
     )
-    same_salt = "q._salt = c._salt" if "_salt" in c_keys.columns else "true"
+    q_keys, c_keys = spread(q_keys, c_keys, ["key"], query_id, _HOT_SHARE, 50 * hot_rows, "_q_salt")
+    salts = [x for x in ("_c_salt", "_q_salt") if x in c_keys.columns]
+    same_salt = " AND ".join(f"q.{x} = c.{x}" for x in salts) or "true"
 
     longer = f"(({100 - percent} * greatest(q.n, c.n)) div 100)"
     condition = F.expr(

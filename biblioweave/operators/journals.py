@@ -110,7 +110,9 @@ def metrics_by_issn(keys: DataFrame, journals: DataFrame) -> DataFrame:
     listed = _exploded(journals).where("j_issn IS NOT NULL AND Year IS NOT NULL")
     first = _first_metric(listed, ["j_issn", "Year"]).withColumnRenamed("Year", "j_year")
     same = (F.col("ISSN") == F.col("j_issn")) & (F.col("Year") == F.col("j_year"))
-    return keys.join(first, same, "left").drop("j_issn", "j_year")
+    # Keys without an ISSN cannot match; they would only meet in one task.
+    known = keys.where("ISSN <> ''").join(first, same, "left").drop("j_issn", "j_year")
+    return known.unionByName(keys.where("coalesce(ISSN, '') = ''"), allowMissingColumns=True)
 
 
 def metrics_by_title(keys: DataFrame, journals: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
@@ -128,8 +130,9 @@ def metrics_by_title(keys: DataFrame, journals: DataFrame, settings: Settings =
     )
     first = _first_metric(metrics.where("Title IS NOT NULL AND Year IS NOT NULL"), ["Title", "Year"])
     found = best.join(first, "Title").select("_lower", F.col("Year").alias("j_year"), F.col("j").alias("_similar"))
-    joined = low.withColumn("j_year", F.col("Year")).join(found, ["_lower", "j_year"], "left")
-    return joined.withColumn("j", F.coalesce("j", "_similar")).drop("_lower", "j_year", "_similar")
+    still_open = low.where("_lower IS NOT NULL").drop("j").withColumn("j_year", F.col("Year"))
+    filled = still_open.join(found, ["_lower", "j_year"], "left").withColumnRenamed("_similar", "j")
+    return low.where("_lower IS NULL").drop("_lower").unionByName(filled.drop("_lower", "j_year"))
 
 
 def with_metrics(records: DataFrame, keys: DataFrame) -> DataFrame:

@@ -42,21 +42,22 @@ def spread(
     row_id: str,
     share: int = SHARE,
     min_rows: int = MIN_ROWS,
+    salt: str = "_salt",
 ) -> tuple[DataFrame, DataFrame]:
-    """Add ``_salt`` to both sides if the left side has hot keys.
+    """Add column ``salt`` to both sides if the left side has hot keys.
 
     Left rows of a hot key (a NULL key included) are dealt over its splits and
     the right rows of that key are repeated once per split; every other row has
-    salt 0. Joining on ``keys`` and ``_salt`` gives the same rows as on ``keys``.
+    salt 0. Joining on ``keys`` and ``salt`` gives the same rows as on ``keys``.
     """
     hot = hot_keys(left, keys, share, min_rows)
     if not hot:
         return left, right
     salted = _with_splits(left, hot, keys).withColumn(
-        "_salt", F.pmod(F.xxhash64(row_id), F.col("_splits")).cast("int")
+        salt, F.pmod(F.xxhash64(row_id), F.col("_splits")).cast("int")
     )
     repeated = _with_splits(right, hot, keys).withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.col("_splits") - 1))
+        salt, F.explode(F.sequence(F.lit(0), F.col("_splits") - 1))
     )
     return salted.drop("_splits"), repeated.drop("_splits")
 

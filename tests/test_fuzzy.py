@@ -107,6 +107,12 @@ def test_a_third_of_the_titles_shares_a_template(spark):
     assert run(spark, queries, choices, 85, hot_rows=20) == brute(queries, choices, 85)
 
 
+def test_a_chunk_common_among_the_queries(spark):
+    queries = [(i, f"annual report of the number {i:04d} section", None) for i in range(400)]
+    choices = [(i, f"annual report of the number {i:04d} sections", None) for i in range(0, 400, 40)]
+    assert run(spark, queries, choices, 85, hot_rows=3) == brute(queries, choices, 85)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.integers(1, 400), st.sampled_from([50, 70, 85, 90, 95]))
 def test_chunks_fit_and_bands_are_near(length, percent):

@@ -97,9 +97,10 @@ def best_match(
         AND levenshtein(q.s, c.s, cast({longer} AS int)) >= 0"""
     )
     score = 1.0 - F.levenshtein("q.s", "c.s") / F.greatest("q.n", "c.n")
+    # Size estimates do not see the explosion into chunks, so neither side may be broadcast on them.
     near = (
         q_keys.alias("q")
-        .join(c_keys.alias("c"), condition)
+        .join(c_keys.alias("c").hint("merge"), condition)
         .select(
             F.col(f"q.{query_id}").alias(query_id),
             F.struct((-score).alias("loss"), F.struct(*[F.col(f"c.{x}") for x in carried]).alias("match")).alias("_near"),

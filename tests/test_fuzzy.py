@@ -148,4 +148,5 @@ def test_no_cross_join_and_no_python_in_the_plan(spark):
     q = spark.createDataFrame(queries, "q long, qt string, qy int")
     c = spark.createDataFrame(choices, "c long, ct string, cy int")
     plan = best_match(q, c, "q", "qt", "c", "ct", 85)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [key" in plan and "BroadcastHashJoin [key" not in plan
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "Python" not in plan

@@ -19,9 +19,11 @@ from ..operators.durable import durable
 from .common import LEAST, batch_of, slices, texts
 
 LENGTH, SEED = 100, 32
-_ROWS = "part long, kind int, rank long, run long, doc_id long, twin long, pos long, n long"
-_ROWS_ARROW = pa.schema([
-    ("part", pa.int64()), ("kind", pa.int32()), *[(c, pa.int64()) for c in ("rank", "run", "doc_id", "twin", "pos", "n")],
+_ROWS = "kind int, rank long, run long, doc_id long, twin long, pos long, n long"
+_ROWS_ARROW = pa.schema([("kind", pa.int32()), *[(c, pa.int64()) for c in ("rank", "run", "doc_id", "twin", "pos", "n")]])
+_STRINGS = "rank long, doc_id long, twin long, pos long, offsets binary, hashes binary"
+_STRINGS_ARROW = pa.schema([
+    *[(c, pa.int64()) for c in ("rank", "doc_id", "twin", "pos")], ("offsets", pa.binary()), ("hashes", pa.binary()),
 ])
 _FOUND = "kind int, rank long, doc_id long, twin long, pos long, n long"
 _FOUND_ARROW = pa.schema([("kind", pa.int32()), *[(c, pa.int64()) for c in ("rank", "doc_id", "twin", "pos", "n")]])
@@ -30,7 +32,7 @@ _KEPT_ARROW = pa.schema([
     ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()),
 ])
 _SORTED = ("kind", "rank", "run", "doc_id", "twin", "pos")
-_UNIQUE, _COVERED, _OPEN = 0, 1, 2
+_COVERED, _OPEN = 1, 2
 _PLACE_BITS = np.uint64(28)
 
 
@@ -119,7 +121,7 @@ def _first_and_rest(rank, run, doc_id, twin, pos, n, reach: int) -> list[np.ndar
     rank, run, doc_id, twin, pos, n = (a[order] for a in (rank, run, doc_id, twin, pos, n))
     repeat = np.zeros(len(rank), bool)
     repeat[1:] = (rank[1:] == rank[:-1]) & (run[1:] == run[:-1])
-    first = [rank[~repeat], np.zeros((~repeat).sum(), np.int32), *(a[~repeat] for a in (rank, run, doc_id, twin, pos, n))]
+    first = [np.zeros((~repeat).sum(), np.int32), *(a[~repeat] for a in (rank, run, doc_id, twin, pos, n))]
     d, t, p, size = (a[repeat] for a in (doc_id, twin, pos, n + reach - 1))
     order = np.lexsort((p, t, d))
     d, t, p, size = (a[order] for a in (d, t, p, size))
@@ -132,7 +134,7 @@ def _first_and_rest(rank, run, doc_id, twin, pos, n, reach: int) -> list[np.ndar
         size = end - p
     spread = _signed(_mix(d.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + p.astype(np.uint64)))
     zero = np.zeros(len(d), np.int64)
-    rest = [spread, np.ones(len(d), np.int32), zero, zero, d, t, p, size]
+    rest = [np.ones(len(d), np.int32), spread, zero, d, t, p, size]
     return [np.concatenate([a, b]) for a, b in zip(first, rest)]
 
 
@@ -154,16 +156,16 @@ def _ranked_cells(rows: DataFrame, length: int, seed: int) -> DataFrame:
     return rows.mapInArrow(run, _ROWS)
 
 
-def _scan(rows: DataFrame, reach: int, reopen: bool) -> DataFrame:
-    """Sort by rank and pass once over each partition: repeats are covered; with ``reopen``, ranks that hold different
-    runs are given out again, since strings inside of them may still be equal. One batch is in memory at a time."""
+def _scan(rows: DataFrame, reach: int) -> DataFrame:
+    """Sort by rank and pass once over each partition, with one batch in memory: repeated runs are covered; ranks that
+    hold different runs are given out again, since strings inside of them may still be equal."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, head = None, None  # (rank, run) of the row before; the first row of its rank while its run is the only one
         for batch in batches:
             if not batch.num_rows:
                 continue
-            _, kind, rank, runs, doc_id, twin, pos, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            kind, rank, runs, doc_id, twin, pos, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
             done = kind == 1
             out = [[np.ones(done.sum(), np.int32), rank[done], doc_id[done], twin[done], pos[done], n[done]]]
             rank, runs, doc_id, twin, pos, n = (a[~done] for a in (rank, runs, doc_id, twin, pos, n))
@@ -174,49 +176,91 @@ def _scan(rows: DataFrame, reach: int, reopen: bool) -> DataFrame:
                     same_rank[0], same_run[0] = rank[0] == last[0], runs[0] == last[1]
                 repeat = same_rank & same_run
                 out.append([np.ones(repeat.sum(), np.int32), *(a[repeat] for a in (rank, doc_id, twin, pos)), n[repeat] + reach - 1])
-                if reopen:
-                    group = np.cumsum(~same_rank)  # group 0 continues the rank of the batch before
-                    other = same_rank & ~same_run
-                    mixed = np.bincount(group[other], minlength=group[-1] + 1) > 0
-                    again = other | (~same_rank & mixed[group])
-                    out.append([np.full(again.sum(), _OPEN, np.int32), *(a[again] for a in (rank, doc_id, twin, pos, n))])
-                    if head is not None and mixed[0]:
-                        out.append([np.array([v]) for v in (_OPEN, *head)])
-                    if group[-1] > 0 or mixed[0]:
-                        head = None
-                    if group[-1] > 0 and not mixed[-1]:
-                        i = int(np.flatnonzero(~same_rank)[-1])
-                        head = tuple(int(a[i]) for a in (rank, doc_id, twin, pos, n))
+                group = np.cumsum(~same_rank)  # group 0 continues the rank of the batch before
+                other = same_rank & ~same_run
+                mixed = np.bincount(group[other], minlength=group[-1] + 1) > 0
+                again = other | (~same_rank & mixed[group])
+                out.append([np.full(again.sum(), _OPEN, np.int32), *(a[again] for a in (rank, doc_id, twin, pos, n))])
+                if head is not None and mixed[0]:
+                    out.append([np.array([v]) for v in (_OPEN, *head)])
+                if group[-1] > 0 or mixed[0]:
+                    head = None
+                if group[-1] > 0 and not mixed[-1]:
+                    i = int(np.flatnonzero(~same_rank)[-1])
+                    head = tuple(int(a[i]) for a in (rank, doc_id, twin, pos, n))
                 last = (rank[-1], runs[-1])
             yield batch_of(_FOUND_ARROW, *(np.concatenate(c) for c in zip(*out)))
 
-    return rows.repartition("part").sortWithinPartitions(*_SORTED).mapInArrow(run, _FOUND)
+    return rows.repartition("rank").sortWithinPartitions(*_SORTED).mapInArrow(run, _FOUND)
 
 
 def _ranked_strings(opened: DataFrame, length: int) -> DataFrame:
-    """Every single string of the reopened runs, ranked as a whole."""
+    """The strings of each reopened run, ranked as a whole: one row a run, or one per share of a crowded rank.
+
+    Equal strings have equal hashes, so a rank with too many runs for one group is dealt out by the hash.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = _Powers()
         for whole in batches:
             for batch in slices(whole, "text"):
-                parts = [[] for _ in range(6)]
+                out = []
                 for doc_id, twin, text, runs in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "twin", "text", "runs"))):
                     hasher = _Hasher(text.encode("utf-8", "surrogatepass"), powers)
-                    pos, n, rank = (np.array([r[k] for r in runs], np.int64) for k in ("pos", "n", "rank"))
-                    at = np.repeat(pos, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                    one = np.ones(len(at), np.int64)
-                    for held, new in zip(parts, (np.repeat(rank, n), _signed(hasher.at(at, length)), doc_id * one, twin * one, at, one)):
-                        held.append(new)
-                if parts[0]:
-                    rows = _first_and_rest(*(np.concatenate(p) for p in parts), length)
-                    rows[0] = np.where(rows[1] == 0, rows[2] ^ rows[3], rows[0])
-                    yield batch_of(_ROWS_ARROW, *rows)
+                    for r in runs:
+                        offsets = np.arange(r["n"], dtype=np.uint8)
+                        hashes = hasher.at(r["pos"] + np.arange(r["n"]), length)
+                        share = hashes % np.uint64(r["shares"])
+                        for k in range(r["shares"]) if r["shares"] < r["n"] else np.unique(share):
+                            mine = share == k
+                            if mine.any():
+                                rank = r["rank"] ^ (int(k) * 0x9E3779B97F4A7C15 & (1 << 63) - 1)
+                                out.append((rank, doc_id, twin, r["pos"], offsets[mine].tobytes(), hashes[mine].tobytes()))
+                if out:
+                    yield batch_of(_STRINGS_ARROW, *zip(*out))
 
-    return opened.mapInArrow(run, _ROWS)
+    return opened.mapInArrow(run, _STRINGS)
 
 
-def repeated_bytes(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+def _repeated_strings(strings: DataFrame, length: int) -> DataFrame:
+    """Covered spans among ranked strings: sorted by rank and position, every hash that the rank has had before."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, np.zeros(0, np.uint64)  # the last rank and its hashes so far
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rank, doc_id, twin, pos = (batch.column(c).to_numpy() for c in ("rank", "doc_id", "twin", "pos"))
+            offsets = [np.frombuffer(o, np.uint8) for o in batch.column("offsets").to_pylist()]
+            sizes = np.array([len(o) for o in offsets])
+            row = np.repeat(np.arange(len(rank)), sizes)
+            at = pos[row] + np.concatenate(offsets).astype(np.int64)
+            hashes = np.frombuffer(b"".join(batch.column("hashes").to_pylist()), np.uint64)
+            group = np.cumsum(np.append(rank[0] != last if last is not None else True, rank[1:] != rank[:-1]))
+            if group[0]:
+                held = held[:0]
+            # Group 0 goes on from the batch before; its hashes so far stand in front.
+            key = np.concatenate([np.zeros(len(held), np.int64), group[row]])
+            every = np.concatenate([held, hashes])
+            order = np.lexsort((every, key))
+            repeat = np.zeros(len(every), bool)
+            k, e = key[order], every[order]
+            repeat[order[1:]] = (k[1:] == k[:-1]) & (e[1:] == e[:-1])  # the sort is stable: the first stays
+            mine = every[(key == group[-1]) & ~repeat]
+            last, held = rank[-1], mine
+            again = repeat[len(every) - len(hashes) :]
+            row, at = row[again], at[again]
+            if len(row):
+                fresh = np.append(True, (row[1:] != row[:-1]) | (at[1:] > at[:-1] + length))
+                heads = np.flatnonzero(fresh)
+                ends = at[np.append(heads[1:] - 1, len(at) - 1)] + length
+                r = row[heads]
+                yield batch_of(_FOUND_ARROW, np.ones(len(r), np.int32), rank[r], doc_id[r], twin[r], at[heads], ends - at[heads])
+
+    return strings.repartition("rank").sortWithinPartitions("rank", "doc_id", "twin", "pos").mapInArrow(run, _FOUND)
+
+
+def repeated_bytes(docs: DataFrame, length: int = LENGTH, seed: int = SEED, crowd: int = 100_000) -> tuple[DataFrame, DataFrame]:
     """``(documents, spans)``: keyed texts, and ``doc_id, twin, pos, n`` byte spans covered by strings that start earlier.
 
     ``twin`` tells apart rows that share an id (0 where ids are unique): they are ordered by a hash of
@@ -227,10 +271,15 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> t
     twin = F.xxhash64("text") if shared else F.lit(0).cast("long")
     keyed = rows.select(F.coalesce("doc_id", F.lit(LEAST)).alias("doc_id"), twin.alias("twin"), "text")
     once = keyed.dropDuplicates() if shared else keyed
-    found = durable(_scan(_ranked_cells(once, length, seed), length, reopen=True), "suffix-runs")
-    opened = found.where(f"kind = {_OPEN}").groupBy("doc_id", "twin").agg(F.collect_list(F.struct("pos", "n", "rank")).alias("runs"))
-    strings = _ranked_strings(once.join(opened, ["doc_id", "twin"]), length)
-    late = _scan(strings, length, reopen=False)
+    found = durable(_scan(_ranked_cells(once, length, seed), length), "suffix-runs")
+    runs = found.where(f"kind = {_OPEN}")
+    # A rank of more than ``crowd`` runs is dealt out in shares; there are fewer of them than runs / crowd.
+    crowded = runs.groupBy("rank").count().where(F.col("count") > crowd).select(
+        "rank", F.ceil(F.col("count") / crowd).cast("int").alias("shares")
+    )
+    runs = runs.join(F.broadcast(crowded), "rank", "left").withColumn("shares", F.coalesce("shares", F.lit(1)))
+    opened = runs.groupBy("doc_id", "twin").agg(F.collect_list(F.struct("pos", "n", "rank", "shares")).alias("runs"))
+    late = _repeated_strings(_ranked_strings(once.join(opened, ["doc_id", "twin"]), length), length)
     spans = found.where(f"kind = {_COVERED}").unionByName(late).select("doc_id", "twin", "pos", "n")
     return keyed, spans
 

@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..operators.durable import durable
 from .common import batch_of, slices, texts
@@ -24,17 +24,16 @@ _CHUNK = 1 << 12
 
 @dataclass(frozen=True)
 class Settings:
-    """``bands`` of ``rows`` samples each; ``agree`` equal samples are needed before texts are compared.
+    """``bands`` of ``rows`` samples each: at the similarity of 0.8 a pair shares a band with a probability of 0.9992.
 
-    At the similarity of 0.8 a pair shares a band with a probability of 0.9988, and has fewer than ``agree``
-    equal samples with one of 0.0001. Document frequencies are counted in ``slots`` hashed counters.
+    Document frequencies are counted in ``slots`` hashed counters. The bound 1/9 of ``near_duplicates`` is that of
+    a similarity of 0.8 or more.
     """
 
     words: int = 5
     similarity: float = 0.8
     bands: int = 10
     rows: int = 3
-    agree: int = 15
     slots: int = 1 << 20
 
     @property
@@ -193,50 +192,77 @@ def signatures(docs: DataFrame, weights, settings: Settings) -> DataFrame:
     return rows.mapInArrow(run, _SIGNATURES)
 
 
-def _agreement(one: Column, two: Column) -> Column:
-    return F.size(F.filter(F.zip_with(one, two, lambda x, y: x == y), lambda same: same))
+_COMPARED = "a long, b long, crowded boolean, similarity double, rare array<long>, others array<long>"
+_COMPARED_ARROW = pa.schema([
+    ("a", pa.int64()), ("b", pa.int64()), ("crowded", pa.bool_()), ("similarity", pa.float64()), ("rare", pa.list_(pa.int64())),
+    ("others", pa.list_(pa.int64())),
+])
 
 
-def _verified(pairs: DataFrame, bodies: DataFrame, weights, settings: Settings) -> DataFrame:
-    """``a, b, similarity`` of the pairs whose weighted Jaccard similarity, counted on whole texts, suffices."""
+def compared(pairs: DataFrame, bodies: DataFrame, weights, settings: Settings) -> DataFrame:
+    """``a, b, crowded, similarity, rare, others``: weighted Jaccard similarity of each pair, counted on whole texts.
+
+    For ``crowded`` pairs also where ``b`` differs from ``a``: signed shingles, ``rare`` the rarest that hold more
+    than D / 2 + max(0, w(b) - w(a)) / 18 of the weighted difference D, ``others`` the rest.
+    """
     left = bodies.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = bodies.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("similarity", pa.float64())])
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "crowded", "text_a", "text_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, table = _Words(), weights.value
         for whole in batches:
             for batch in slices(whole, "text_a"):
+                n = batch.num_rows
                 one = shingles(batch.column("text_a").to_pylist(), known, settings.words)
                 two = shingles(batch.column("text_b").to_pylist(), known, settings.words)
                 doc, h = np.concatenate([one[0], two[0]]), np.concatenate([one[1], two[1]])
-                count = np.concatenate([one[2], two[2]])
+                count = np.concatenate([-one[2], two[2]])
                 order = np.lexsort((h, doc))
                 doc, h, count = doc[order], h[order], count[order]
-                w = table[_slot(h, settings.slots)].astype(float) * count
-                shared = np.zeros(len(doc), bool)
-                shared[1:] = (doc[1:] == doc[:-1]) & (h[1:] == h[:-1])
-                common = np.minimum(w[1:], w[:-1]) * shared[1:]
-                n = batch.num_rows
-                meet = np.bincount(doc[1:], common, n) if len(doc) else np.zeros(n)
-                join = np.bincount(doc, w, n) - meet
-                likeness = meet / np.maximum(join, 1e-9)
-                good = np.flatnonzero(likeness >= settings.similarity)
-                if len(good):
-                    keep = pa.array(good)
-                    yield batch_of(schema, batch.column("a").take(keep), batch.column("b").take(keep), likeness[good])
-
-    return both.mapInArrow(run, "a long, b long, similarity double")
+                heads = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (h[1:] != h[:-1]))[: len(doc)])
+                if not len(heads):
+                    yield batch_of(_COMPARED_ARROW, *(batch.column(c) for c in ("a", "b", "crowded")), np.zeros(n), [[]] * n, [[]] * n)
+                    continue
+                idf = table[_slot(h[heads], settings.slots)].astype(float)
+                gap, total = np.add.reduceat(count, heads), np.add.reduceat(np.abs(count), heads)
+                doc, h = doc[heads], h[heads]
+                apart = np.bincount(doc, np.abs(gap) * idf, n)
+                sums = np.bincount(doc, total * idf, n)
+                likeness = (sums - apart) / np.maximum(sums + apart, 1e-9)
+                crowded = np.array(batch.column("crowded").to_pylist(), bool)
+                keep = (gap != 0) & crowded[doc]
+                # What b adds comes first, the rarest ahead; of what b lacks, the most common, which others seldom lack.
+                shared = np.where(gap > 0, -idf, idf)
+                doc, h, gap, idf, shared = (a[keep] for a in (doc, h, gap, idf, shared))
+                order = np.lexsort((h, shared, doc))
+                doc, h, gap, idf = doc[order], h[order], gap[order], idf[order]
+                weight = np.abs(gap) * idf
+                signed = _mix(h ^ (gap > 0).astype(np.uint64)).view(np.int64)
+                ends = np.searchsorted(doc, np.arange(n), "right")
+                run_sum = np.cumsum(weight) - weight
+                starts = np.append(0, ends[:-1])
+                base = np.append(run_sum, 0.0)[np.minimum(starts, len(run_sum))] if len(run_sum) else np.zeros(n)
+                need = apart / 2 + np.maximum(np.bincount(doc, gap * idf, n), 0) / 18
+                is_rare = run_sum - base[doc] <= need[doc] * (1 + 1e-6)
+                rare = [signed[s:e][is_rare[s:e]] for s, e in zip(starts, ends)]
+                others = [signed[s:e][~is_rare[s:e]] for s, e in zip(starts, ends)]
+                yield batch_of(_COMPARED_ARROW, *(batch.column(c) for c in ("a", "b", "crowded")), likeness, rare, others)
+
+    return both.mapInArrow(run, _COMPARED)
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings(), broadcast_rows: int = 1_000_000) -> DataFrame:
     """``doc_id, class_id, n_links, is_first`` of every row; ``class_id`` is the least id of its class.
 
     A class is what links of similarity ``settings.similarity`` or more connect. Texts of equal words are one node,
-    so copies are never paired. In every bucket of a band each node is compared with the bucket's least node.
-    Nodes that fail against it are then compared with all others of that bucket that are in another class, so
-    no link is lost behind the least node, and a large group costs one comparison a node.
+    so copies are never paired. Each bucket of a band has a hub, the node that meets most others, and every node
+    of it is compared with the hub alone. For a node x that fails there, only few others are left. Write D for the
+    weight of the difference from the hub h; x fails where D(x) > (w(x) + w(h)) / 9, and x and y link where they
+    differ by (w(x) + w(y)) / 9 at most, which is at least D(x) + D(y) less twice what both differences share. So they
+    share (D(y) - max(0, w(y) - w(h)) / 9) / 2 or more, and with it one of the rarest shingles that hold all but
+    less than that of D(y). An equi-join on these finds all such y: edits are rarer than the common text of a
+    group, so a large group of copies is never paired out.
 
     ``is_first`` marks one row of each class: least id, nulls last, then the text's hash; of rows equal in both,
     all are marked. ``n_links`` counts the verified links of the row's words. Null and empty texts, and texts
@@ -255,36 +281,40 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), broadcast_
         F.xxhash64(F.lit(b), *[F.col("signature")[b * settings.rows + i] for i in range(settings.rows)])
         for b in range(settings.bands)
     ]
-    placed = filled.select("node", "signature", "at", F.explode(F.array(*bands)).alias("bucket"))
-    hubs = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("hub")).where("n > 1").select("bucket", "hub")
-    members = durable(placed.join(hubs, "bucket"), "buckets")
-    signature_of = members.select("node", "signature").dropDuplicates(["node"])
-    needed = durable(members.select("node", "at.doc_id", "at.copy").dropDuplicates(["node"]), "candidates")
+    placed = filled.select("node", F.explode(F.array(*bands)).alias("bucket"))
+    crowds = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = durable(placed.join(crowds, "bucket"), "buckets")
+    meets = members.groupBy("node").agg(F.sum("n").alias("meets"))
+    hubs = members.join(meets, "node").groupBy("bucket").agg(F.max(F.struct("meets", "node"))["node"].alias("hub"))
+    pairs = members.join(hubs, "bucket").where("node <> hub").groupBy(F.col("hub").alias("a"), F.col("node").alias("b")).agg(
+        (F.max("n") > 2).alias("crowded")
+    )
+    pairs = durable(pairs, "pairs")
+    needed = durable(
+        members.select("node").distinct().join(nodes, "node").select("node", "at.doc_id", "at.copy"), "candidates"
+    )
     if needed.count() <= broadcast_rows:
         needed = F.broadcast(needed)  # three numbers a row; above the bound both sides are shuffled
     keyed = texts(docs).withColumn("copy", F.xxhash64("text"))
     same = F.col("d.doc_id").eqNullSafe(F.col("n.doc_id")) & (F.col("d.copy") == F.col("n.copy"))
     bodies = durable(keyed.alias("d").join(needed.alias("n"), same).select("n.node", "d.text"), "candidate-texts")
 
-    stars = members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"), F.col("signature").alias("sb")).dropDuplicates(["a", "b"])
-    hub_signature = signature_of.select(F.col("node").alias("a"), F.col("signature").alias("sa"))
-    likely = stars.join(hub_signature, "a").where(_agreement(F.col("sa"), F.col("sb")) >= settings.agree).select("a", "b")
-    links = durable(_verified(likely, bodies, weights, settings).dropDuplicates(["a", "b"]), "star-links")
-    classes = components(links)
-
-    joined = links.select(F.col("a").alias("hub"), F.col("b").alias("node"), F.lit(True).alias("linked"))
-    placed_again = members.join(joined, ["hub", "node"], "left").join(classes, "node", "left").select(
-        "bucket", "node", "hub", "signature", "linked", F.coalesce("component", "node").alias("class")
-    )
-    placed_again = durable(placed_again, "placed")
-    failed = placed_again.where("linked IS NULL AND node <> hub").select(
-        "bucket", F.col("node").alias("x"), F.col("hub").alias("x_hub"), F.col("signature").alias("sx"), F.col("class").alias("cx")
-    )
-    meets = failed.join(placed_again, "bucket").where(
-        (F.col("cx") != F.col("class")) & (F.col("node") != F.col("x_hub")) & (_agreement(F.col("sx"), F.col("signature")) >= settings.agree)
+    found = durable(compared(pairs, bodies, weights, settings), "compared")
+    close = F.col("similarity") >= settings.similarity
+    links = found.where(close).select("a", "b").distinct()
+    classes = durable(components(links), "classes")
+    class_of = lambda name: classes.select(F.col("node").alias(name), F.col("component").alias(f"class_{name}"))
+    failed = found.where(~close & F.col("crowded")).select(
+        F.col("a").alias("hub"), F.col("b").alias("x"), F.explode(F.concat("rare", "others")).alias("shingle")
     )
-    more = meets.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
-    late = durable(_verified(more, bodies, weights, settings).dropDuplicates(["a", "b"]), "late-links")
+    others = found.where("crowded").select(F.col("a").alias("hub"), F.col("b").alias("y"), F.explode("rare").alias("shingle"))
+    shared = failed.join(others, ["hub", "shingle"]).where("x <> y").select(
+        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")
+    ).distinct()
+    open_ = shared.join(class_of("a"), "a", "left").join(class_of("b"), "b", "left").where(
+        "coalesce(class_a, a) <> coalesce(class_b, b)"
+    ).select("a", "b", F.lit(False).alias("crowded"))
+    late = durable(compared(open_, bodies, weights, settings).where(close).select("a", "b").distinct(), "late-links")
     links = links.unionByName(late)
     if late.limit(1).count():
         classes = components(links)

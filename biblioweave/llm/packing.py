@@ -100,7 +100,7 @@ def tokens(docs: DataFrame, vocabulary: str, window: int = Settings.window) -> D
 def combinations(histogram: np.ndarray, settings: Settings) -> np.ndarray:
     """Rows of three lengths (0 for none) that sum to the window: all pairs, and the triples of the most frequent lengths."""
     window = settings.window
-    have = np.flatnonzero(histogram > 0)
+    have = np.flatnonzero(histogram[1:] > 0) + 1
     pairs = [(a, window - a, 0) for a in have if a <= window - a and histogram[window - a] > 0]
     often = have[np.argsort(-histogram[have], kind="stable")]
     triples, width = [], int(np.sqrt(2 * settings.triples)) + 1

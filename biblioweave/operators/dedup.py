@@ -25,10 +25,10 @@ def first_per_title(df: DataFrame) -> DataFrame:
 
 
 def first_per_title_and_year(df: DataFrame) -> DataFrame:
-    """Keep the first record of every (title, year), first source first."""
+    """Keep the first record of every (title, year), first source first; blank titles are never equal."""
     named = df.withColumn("Title", text.ws_trim(F.col("Title"))).withColumn("Year", text.year(F.col("Year")))
     rank = F.when(F.col("Source") == "Web of science", 1).otherwise(0)
-    own = F.when(F.col("Title").isNull(), F.struct(rank, "doc_ord"))
+    own = F.when(text.is_blank(F.col("Title")), F.struct(rank, "doc_ord"))
     return _first(named, ["Title", "Year", own], [rank, "doc_ord"])
 
 

@@ -302,7 +302,7 @@ def enriched_records(spark, sf):
     f"""SELECT * EXCLUDE (rk) FROM (SELECT doc_ord, {sql.trim('"Title"')} AS "Title", {sql.year('"Year"')} AS "Year", "Source",
     row_number() OVER (PARTITION BY {sql.trim('"Title"')}, {sql.year('"Year"')} ORDER BY ("Source" = 'Web of science'), doc_ord) AS rk
     FROM (SELECT doc_ord, "Title", "Year", "Source" FROM src_a UNION ALL
-          SELECT doc_ord, "Article Title", "Publication Year", "Source" FROM src_b)) WHERE rk = 1 OR "Title" IS NULL"""
+          SELECT doc_ord, "Article Title", "Publication Year", "Source" FROM src_b)) WHERE rk = 1 OR coalesce("Title", '') = ''"""
 )
 def final_title_year_dedup(spark, sf):
     names = ["doc_ord", "Title", "Year", "Source"]

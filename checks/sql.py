@@ -326,7 +326,7 @@ CTES["enriched"] = (
 CTES["final"] = f"""
 SELECT * EXCLUDE (rk) REPLACE ({trim('"Title"')} AS "Title") FROM (
   SELECT *, row_number() OVER (PARTITION BY {trim('"Title"')}, "Year" ORDER BY ("Source" = 'Web of science'), doc_ord) AS rk FROM enriched)
-WHERE rk = 1 OR "Title" IS NULL"""
+WHERE rk = 1 OR coalesce("Title", '') = ''"""
 
 _ORDER = list(CTES)
 _HEAVY = {"src_a", "src_b", "a1", "b1", "fuzzy", "fuzzy_year_first", "pairs", "canon", "cleaned", "by_issn", "enriched", "final", "jrows"}

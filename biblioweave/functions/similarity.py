@@ -11,9 +11,11 @@ import string
 
 from pyspark.sql import Column, functions as F
 
+from .text import SPACE
+
 
 def sorted_tokens(c: Column) -> Column:
-    return F.array_join(F.array_sort(F.filter(F.split(c, r"\s+"), lambda t: t != "")), " ")
+    return F.array_join(F.array_sort(F.filter(F.split(c, f"{SPACE}+"), lambda t: t != "")), " ")
 
 
 def edit_similarity(a: Column, b: Column) -> Column:

@@ -13,6 +13,7 @@ WHITESPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
     "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
+SPACE = f"[{WHITESPACE}]"  # the same characters in a pattern, where \\s knows only the ASCII ones
 
 
 def ws_trim(c: Column) -> Column:
@@ -62,8 +63,9 @@ def title_key(column: str, settings: Settings = DEFAULTS) -> Column:
         WHEN endswith(t, 'ies') AND length(t) > 4 THEN concat(substring(t, 1, length(t) - 3), 'y')
         WHEN {drop_es} THEN substring(t, 1, length(t) - 2)
         ELSE substring(t, 1, length(t) - 1) END"""
-    letters = f"lower(regexp_replace(coalesce(cast(`{column}` AS string), ''), '[^a-zA-Z\\\\s]', ''))"
-    kept = f"filter(split({letters}, '\\\\s+'), t -> t <> '' AND t NOT IN ({stops}))"
+    others, gaps = _sql_text(f"[^a-zA-Z{WHITESPACE}]"), _sql_text(f"{SPACE}+")
+    letters = f"lower(regexp_replace(coalesce(cast(`{column}` AS string), ''), {others}, ''))"
+    kept = f"filter(split({letters}, {gaps}), t -> t <> '' AND t NOT IN ({stops}))"
     return F.expr(f"array_join(filter(transform({kept}, t -> {lemma}), t -> t NOT IN ({stops})), ' ')")
 
 
@@ -81,7 +83,7 @@ def document_type(c: Column) -> Column:
     """Spell conference papers one way and normalise the spacing of ``;``."""
     renamed = F.replace(c, F.lit("Proceedings Paper"), F.lit("Conference paper"))
     whole = F.when(F.lower(renamed).contains("conference paper"), "Conference Paper").otherwise(renamed)
-    return ws_trim(F.regexp_replace(whole, r"\s*;\s*", "; "))
+    return ws_trim(F.regexp_replace(whole, f"{SPACE}*;{SPACE}*", "; "))
 
 
 def doi(c: Column) -> Column:
@@ -118,9 +120,9 @@ def issn_list(c: Column) -> Column:
     return F.array_distinct(F.filter(F.transform(F.split(c, "[,;]"), issn), lambda x: x != ""))
 
 
-def first_issn(c: Column) -> Column:
-    """A record's ISSN cell may hold a list; the first one identifies the journal."""
-    return F.coalesce(F.get(issn_list(c), F.lit(0)), F.lit(""))
+def issn_cell(c: Column) -> Column:
+    """A record's ISSN cell with every ISSN of its list cleaned, in order; '' where there is none."""
+    return F.coalesce(F.array_join(issn_list(c), "; "), F.lit(""))
 
 
 def document_types(c: Column) -> Column:

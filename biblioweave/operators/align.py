@@ -85,7 +85,7 @@ def clean_combined(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     df = _change(
         df,
         {
-            "ISSN": text.first_issn,
+            "ISSN": text.issn_cell,
             **{p: lambda c: text.affiliations(c, settings) for p in places},
             "Open Access": text.open_access,
             "Cited by": text.cited_by,

@@ -31,16 +31,16 @@ def _row_id(df: DataFrame):
 def canonical_titles(records: DataFrame, journals: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Replace ``Source title`` of records outside the preferred source.
 
-    By ISSN where there is one, else by the most similar journal name; else the
-    record's own name without parentheses. A known but unlisted ISSN keeps the
-    record's own name.
+    By the first listed one of its ISSNs where there are any, else by the most
+    similar journal name; else the record's own name without parentheses. ISSNs
+    that are all unlisted keep the record's own name.
     """
     if "Source title" not in records.columns:
         return records
     columns = records.columns
     source = F.coalesce("Source", F.lit("unknown")) if "Source" in columns else F.lit("unknown")
     eligible = F.lower(text.ws_trim(source)) != "scopus"
-    own_issn = text.first_issn(F.col("ISSN")) if "ISSN" in columns else F.lit("")
+    own_issn = text.issn_cell(F.col("ISSN")) if "ISSN" in columns else F.lit("")
     own = text.ws_trim(text.safe_text(F.col("Source title")))
     keyed = records.withColumns(
         {
@@ -62,9 +62,10 @@ def _canonical_names(keys: DataFrame, journals: DataFrame, settings: Settings) -
     names = issn_title_map(journals)
     by_issn = (
         keys.where("_issn IS NOT NULL").select("_key", "_issn").distinct()
-        .join(names, F.col("_issn") == F.col("j_issn"))
+        .select("_key", F.posexplode(text.issn_list(F.col("_issn"))).alias("_place", "_one"))
+        .join(names, F.col("_one") == F.col("j_issn"))
         .where(text.ws_trim(F.col("canon_title")) != "")
-        .select("_key", F.col("canon_title").alias("_found"))
+        .groupBy("_key").agg(F.min_by("canon_title", "_place").alias("_found"))
     )
     listed = durable(
         names.groupBy("canon_title").agg(F.min("j_issn").alias("first_issn"))
@@ -106,13 +107,20 @@ def journal_keys(records: DataFrame) -> DataFrame:
 
 
 def metrics_by_issn(keys: DataFrame, journals: DataFrame) -> DataFrame:
-    """Add the journal row of each key's ISSN and year as ``j`` (or NULL)."""
+    """Add the journal row of each key's year and first listed ISSN as ``j`` (or NULL)."""
     listed = _exploded(journals).where("j_issn IS NOT NULL AND Year IS NOT NULL")
     first = _first_metric(listed, ["j_issn", "Year"]).withColumnRenamed("Year", "j_year")
-    same = (F.col("ISSN") == F.col("j_issn")) & (F.col("Year") == F.col("j_year"))
+    same = (F.col("_one") == F.col("j_issn")) & (F.col("Year") == F.col("j_year"))
     # Keys without an ISSN cannot match; they would only meet in one task.
-    known = keys.where("ISSN <> ''").join(first, same, "left").drop("j_issn", "j_year")
-    return known.unionByName(keys.where("coalesce(ISSN, '') = ''"), allowMissingColumns=True)
+    known = keys.where("ISSN <> ''")
+    found = (
+        known.select("ISSN", "Year").distinct()
+        .select("ISSN", "Year", F.posexplode(text.issn_list(F.col("ISSN"))).alias("_place", "_one"))
+        .join(first, same).groupBy("ISSN", "Year").agg(F.min_by("j", "_place").alias("j"))
+    )
+    return known.join(found, ["ISSN", "Year"], "left").unionByName(
+        keys.where("coalesce(ISSN, '') = ''"), allowMissingColumns=True
+    )
 
 
 def metrics_by_title(keys: DataFrame, journals: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from fnmatch import fnmatchcase
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..config import DEFAULTS, Settings
@@ -12,12 +14,13 @@ _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its low 33
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str) -> list[str]:
-    """Matching files in name order (a listing: contents are not read)."""
-    found = (
-        spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
-        .load(folder).select("path")
-    )
-    return sorted(row.path for row in found.toLocalIterator())
+    """Matching files of the folder itself in name order; an absent folder has none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not system.exists(path):
+        return []
+    found = [status.getPath() for status in system.listStatus(path) if status.isFile()]
+    return sorted(p.toString() for p in found if fnmatchcase(p.getName(), pattern))
 
 
 def read_delimited(
@@ -43,7 +46,7 @@ def read_delimited(
         )
         # Listed and reported paths spell their scheme differently (file:/ and file:///).
         plain = lambda c: F.regexp_replace(c, "^([a-z0-9]+:)/+", "$1/")
-        ranked = rows.join(ranks, plain(F.col("_path")) == plain(F.col("_file")))
+        ranked = rows.join(F.broadcast(ranks), plain(F.col("_path")) == plain(F.col("_file")))
         position = F.shiftleft(F.col("_rank"), _ROW_BITS) + F.col("_id").bitwiseAND((1 << _ROW_BITS) - 1)
         parts.append(ranked.withColumns(cells).select(position.alias(order), *[F.col(f"`{c}`") for c in header]))
     return align.union_sources(*parts)
@@ -76,7 +79,8 @@ def scan_inputs(spark: SparkSession, folder_a: str | None, folder_b: str | None,
 
 def read_journals(spark: SparkSession, file: str | None, settings: Settings = DEFAULTS) -> DataFrame | None:
     """The optional ``;``-separated journal list, or None where there is none."""
-    found = list_files(spark, file.rsplit("/", 1)[0], file.rsplit("/", 1)[1]) if file else []
+    folder, _, name = file.rpartition("/") if file else ("", "", "")
+    found = list_files(spark, folder or ".", name) if file else []
     return read_delimited(spark, found, ";", settings, order="j_ord") if found else None
 
 

@@ -92,4 +92,4 @@ def read_workbooks(
     ranks = spark.createDataFrame(list(zip(files, range(len(files)))), "path string, _rank long")
     picked = [text.null_if_token(F.col("cells")[c], settings.null_tokens).alias(c) for c in columns]
     position = F.shiftleft(F.col("_rank"), _ROW_BITS) + F.col("number")
-    return cells.join(ranks, "path").select(position.alias("doc_ord"), *picked)
+    return cells.join(F.broadcast(ranks), "path").select(position.alias("doc_ord"), *picked)

@@ -6,7 +6,10 @@ from biblioweave.config import COUNTRY_RULES_DEFAULT, DEFAULTS, TARGET_COLUMNS
 
 from .tables import PLACES
 
-_SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+# Every code point that Unicode counts as white space, and the four separators below the space.
+_CODES = (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
+_SPACES = " || ".join(f"chr({code})" for code in _CODES)
+_CLASS = "".join(map(chr, _CODES))
 
 
 def _quoted(values) -> str:
@@ -39,8 +42,8 @@ def categories(x: str) -> str:
 
 def title_key(x: str) -> str:
     stops = _quoted(DEFAULTS.stop_words)
-    letters = rf"lower(regexp_replace(coalesce({x}, ''), '[^a-zA-Z\s]', '', 'g'))"
-    tokens = rf"list_filter(string_split_regex({trim(letters)}, '\s+'), lambda t: t <> '' AND t NOT IN ({stops}))"
+    letters = rf"lower(regexp_replace(coalesce({x}, ''), '[^a-zA-Z{_CLASS}]', '', 'g'))"
+    tokens = rf"list_filter(string_split_regex({trim(letters)}, '[{_CLASS}]+'), lambda t: t <> '' AND t NOT IN ({stops}))"
     irregular = " ".join(f"WHEN t = '{form}' THEN '{lemma}'" for form, lemma in DEFAULTS.lemmas)
     lemma = (
         f"CASE WHEN length(t) <= 3 THEN t {irregular} "
@@ -56,7 +59,7 @@ def title_key(x: str) -> str:
 def document_type(x: str) -> str:
     renamed = f"replace({x}, 'Proceedings Paper', 'Conference paper')"
     whole = f"CASE WHEN contains(lower({renamed}), 'conference paper') THEN 'Conference Paper' ELSE {renamed} END"
-    return trim(rf"regexp_replace({whole}, '\s*;\s*', '; ', 'g')")
+    return trim(rf"regexp_replace({whole}, '[{_CLASS}]*;[{_CLASS}]*', '; ', 'g')")
 
 
 def doi(x: str) -> str:
@@ -83,8 +86,10 @@ def issns(x: str) -> str:
     return f"list_filter(list_transform(string_split_regex({x}, '[,;]'), lambda i: {issn('i')}), lambda i: i <> '')"
 
 
-def first_issn(x: str) -> str:
-    return f"coalesce({issns(x)}[1], '')"
+def issn_cell(x: str) -> str:
+    """The cleaned ISSNs of a list, each once, in order."""
+    listed = f"list_filter({issns(x)}, lambda i, k: list_position({issns(x)}, i) = k)"
+    return f"coalesce(array_to_string({listed}, '; '), '')"
 
 
 def bracket_commas(x: str) -> str:
@@ -126,7 +131,7 @@ def share(part: str, whole: str) -> str:
 
 
 def sorted_tokens(x: str) -> str:
-    return rf"array_to_string(list_sort(list_filter(string_split_regex({x}, '\s+'), lambda t: t <> '')), ' ')"
+    return rf"array_to_string(list_sort(list_filter(string_split_regex({x}, '[{_CLASS}]+'), lambda t: t <> '')), ' ')"
 
 
 def lev(a: str, b: str) -> str:
@@ -158,11 +163,11 @@ CTES["d"] = f"""
 SELECT doc_id AS n, doc_id % 120 AS j, split_part(text, chr(10), 1) AS f, lang, text, {_dirty('doc_id')} FROM documents"""
 
 CTES["raw_a"] = f"""
-SELECT n AS doc_ord, CASE WHEN n % 41 <> 0 THEN f END AS "Title",
+SELECT n AS doc_ord, CASE WHEN n % 43 = 0 THEN ' ' || chr(8195) WHEN n % 9 = 4 THEN replace(f, ' ', chr(160)) WHEN n % 41 <> 0 THEN f END AS "Title",
   {_year_text('n', '(2014 + length(f) % 13)')} AS "Year",
   CASE WHEN length(f) % 3 = 0 THEN '10.5555/' || md5(f) WHEN n % 2 = 0 THEN '' END AS "DOI",
   'Journal of Supplier ' || j || ' (print)' AS "Source title",
-  CASE WHEN n % 17 <> 0 THEN {_journal_issn('j')} END AS "ISSN",
+  CASE WHEN n % 7 = 0 THEN '0000-0019, ' || {_journal_issn('j')} || '; ' || {_journal_issn('j')} WHEN n % 17 <> 0 THEN {_journal_issn('j')} END AS "ISSN",
   dtype AS "Document Type", cited AS "Cited by", oa AS "Open Access",
   'Smith J. (' || n || '); ; Doe A. (7)' AS "Author full names", 'Smith J.; Doe A.' AS "Authors",
   CASE WHEN n % 8 = 0 THEN '' ELSE 'Univ X, ' || place END AS "Affiliations",
@@ -178,12 +183,14 @@ SELECT *, n % 5 = 1 AND length(t) >= 20 AS longer, n % 5 = 3 AND instr(t, ' ') >
 
 CTES["raw_b"] = f"""
 SELECT n AS doc_ord,
-  CASE WHEN longer THEN t || ' rev' WHEN moved THEN substr(t, instr(t, ' ') + 1) || ' ' || left(t, instr(t, ' ') - 1) ELSE t END AS "Article Title",
+  CASE WHEN longer THEN t || ' rev' WHEN moved THEN substr(t, instr(t, ' ') + 1) || ' ' || left(t, instr(t, ' ') - 1)
+       WHEN n % 9 = 5 THEN replace(t, ' ', chr(8195)) ELSE t END AS "Article Title",
   {_year_text('n', '(2014 + length(t) % 13 + CASE WHEN longer THEN n % 4 ELSE 0 END)')} AS "Publication Year",
   CASE WHEN NOT longer AND NOT moved AND length(t) % 3 = 0 THEN ' 10.5555/' || upper(md5(t)) || chr(9) WHEN n % 2 = 0 THEN '' END AS "DOI",
   CASE WHEN n % 5 = 0 THEN 'Journal of Suplier ' || j || ' (print)' WHEN n % 5 = 2 THEN 'Supplier of Journal ' || j || ' (print)'
        ELSE 'J & Supp ' || j || ' (web)' END AS "Source Title",
-  CASE WHEN n % 5 <> 0 AND n % 5 <> 2 THEN lower(left({_journal_issn('j')}, 4) || '-' || substr({_journal_issn('j')}, 5, 4)) END AS "ISSN",
+  CASE WHEN n % 5 <> 0 AND n % 5 <> 2 THEN CASE WHEN n % 3 = 0 THEN '0000-0019; ' ELSE '' END
+       || lower(left({_journal_issn('j')}, 4) || '-' || substr({_journal_issn('j')}, 5, 4)) END AS "ISSN",
   dtype AS "Document Type", cited AS "Cited Reference Count", oa AS "Open Access Designations",
   'Smith, J.; Doe, A.' AS "Authors", 'Smith, John; Doe, Ann' AS "Author Full Names", lang AS "Language",
   '[Smith, J.; Doe, A.] Univ Y, ' || place AS "Addresses", '' AS "Affiliations",
@@ -270,7 +277,7 @@ SELECT j_issn, canon_title FROM (
     SELECT unnest({issns('"Issn"')}) AS j_issn, "Title" AS canon_title, j_ord FROM jref WHERE "Title" IS NOT NULL)) WHERE rk = 1"""
 
 CTES["canon_in"] = f"""
-SELECT *, lower({trim('coalesce("Source", $$unknown$$)')}) <> 'scopus' AS elig, {first_issn('"ISSN"')} AS own_issn,
+SELECT *, lower({trim('coalesce("Source", $$unknown$$)')}) <> 'scopus' AS elig, {issn_cell('"ISSN"')} AS own_issn,
   {trim('coalesce("Source title", $$$$)')} AS own FROM combined"""
 
 CTES["canon_best"] = f"""
@@ -281,13 +288,19 @@ SELECT own, canon_title FROM (
          (SELECT canon_title, min(j_issn) AS first_issn, {sorted_tokens('canon_title')} AS s FROM jmap GROUP BY canon_title) l))
 WHERE rk = 1 AND score > 0.9::DOUBLE"""
 
+CTES["canon_listed"] = f"""
+SELECT own_issn, canon_title FROM (
+  SELECT *, row_number() OVER (PARTITION BY own_issn ORDER BY list_position(string_split(own_issn, '; '), one)) AS rk FROM (
+    SELECT own_issn, unnest(string_split(own_issn, '; ')) AS one FROM (SELECT DISTINCT own_issn FROM canon_in WHERE own_issn <> ''))
+  JOIN jmap ON one = j_issn WHERE {trim('canon_title')} <> '') WHERE rk = 1"""
+
 CTES["canon"] = f"""
 SELECT c.* EXCLUDE (elig, own_issn, own) REPLACE (
-  {journal_name("coalesce(CASE WHEN c.elig AND c.own_issn <> '' AND " + trim('m.canon_title') + " <> '' THEN m.canon_title END, CASE WHEN c.elig AND c.own_issn = '' THEN s.canon_title END, c.own)")} AS "Source title")
-FROM canon_in c LEFT JOIN jmap m ON c.own_issn = m.j_issn LEFT JOIN canon_best s ON c.own = s.own"""
+  {journal_name("coalesce(CASE WHEN c.elig THEN m.canon_title END, CASE WHEN c.elig AND c.own_issn = '' THEN s.canon_title END, c.own)")} AS "Source title")
+FROM canon_in c LEFT JOIN canon_listed m ON c.own_issn = m.own_issn LEFT JOIN canon_best s ON c.own = s.own"""
 
 CTES["cleaned"] = f"""
-SELECT * EXCLUDE (title_key) REPLACE ({year('"Year"')} AS "Year", {first_issn('"ISSN"')} AS "ISSN",
+SELECT * EXCLUDE (title_key) REPLACE ({year('"Year"')} AS "Year", {issn_cell('"ISSN"')} AS "ISSN",
   {affiliations(filled('"Affiliations"', '"Authors with affiliations"'))} AS "Affiliations",
   {affiliations(filled('"Authors with affiliations"', '"Affiliations"'))} AS "Authors with affiliations",
   {open_access('"Open Access"')} AS "Open Access", {cited('"Cited by"')} AS "Cited by", "Author full names" AS "Authors")
@@ -297,11 +310,18 @@ CTES["jrows"] = f"""
 SELECT * REPLACE ({journal_name('"Title"')} AS "Title", {year('"Year"')} AS "Year", {categories('"Categories"')} AS "Categories"),
   unnest({issns('"Issn"')}) AS j_issn FROM jref"""
 
+CTES["listed_issn"] = """
+SELECT cell, cell_year, one FROM (
+  SELECT *, row_number() OVER (PARTITION BY cell, cell_year ORDER BY list_position(string_split(cell, '; '), one)) AS rk FROM (
+    SELECT cell, cell_year, unnest(string_split(cell, '; ')) AS one FROM (
+      SELECT DISTINCT "ISSN" AS cell, "Year" AS cell_year FROM cleaned WHERE "ISSN" <> ''))
+  WHERE (one, cell_year) IN (SELECT (j_issn, "Year") FROM jrows)) WHERE rk = 1"""
+
 CTES["by_issn"] = """
-SELECT c.*, k.* FROM cleaned c LEFT JOIN (
+SELECT c.*, k.* FROM cleaned c LEFT JOIN listed_issn o ON c."ISSN" = o.cell AND c."Year" = o.cell_year LEFT JOIN (
   SELECT j_issn AS journal_issn, "Year" AS jy, "SJR", "SJR Best Quartile", "H index", "Country", "Region", "Publisher" AS jpub, "Categories", "Areas"
   FROM (SELECT *, row_number() OVER (PARTITION BY j_issn, "Year" ORDER BY j_ord) AS rk FROM jrows) WHERE rk = 1) k
-ON c."ISSN" = k.journal_issn AND c."Year" = k.jy"""
+ON o.one = k.journal_issn AND c."Year" = k.jy"""
 
 CTES["title_best"] = f"""
 SELECT low, "Title" FROM (
@@ -326,7 +346,7 @@ CTES["enriched"] = (
 CTES["final"] = f"""
 SELECT * EXCLUDE (rk) REPLACE ({trim('"Title"')} AS "Title") FROM (
   SELECT *, row_number() OVER (PARTITION BY {trim('"Title"')}, "Year" ORDER BY ("Source" = 'Web of science'), doc_ord) AS rk FROM enriched)
-WHERE rk = 1 OR coalesce("Title", '') = ''"""
+WHERE rk = 1 OR {blank('"Title"')}"""
 
 _ORDER = list(CTES)
 _HEAVY = {"src_a", "src_b", "a1", "b1", "fuzzy", "fuzzy_year_first", "pairs", "canon", "cleaned", "by_issn", "enriched", "final", "jrows"}

@@ -50,11 +50,11 @@ def source_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     place = _pick("n", PLACES)
     return d.selectExpr(
         "n AS doc_ord",
-        "if(n % 41 <> 0, f, NULL) AS Title",
+        "CASE WHEN n % 43 = 0 THEN ' \u2003' WHEN n % 9 = 4 THEN replace(f, ' ', '\u00a0') WHEN n % 41 <> 0 THEN f END AS Title",
         _year_text("n", "(2014 + length(f) % 13)") + " AS Year",
         "CASE WHEN length(f) % 3 = 0 THEN concat('10.5555/', md5(f)) WHEN n % 2 = 0 THEN '' END AS DOI",
         "concat('Journal of Supplier ', j, ' (print)') AS `Source title`",
-        f"if(n % 17 <> 0, {_issn('j')}, NULL) AS ISSN",
+        f"CASE WHEN n % 7 = 0 THEN concat('0000-0019, ', {_issn('j')}, '; ', {_issn('j')}) WHEN n % 17 <> 0 THEN {_issn('j')} END AS ISSN",
         _pick("n", TYPES) + " AS `Document Type`",
         _cited("n") + " AS `Cited by`",
         _open_access("n") + " AS `Open Access`",
@@ -77,13 +77,14 @@ def source_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.selectExpr(
         "n AS doc_ord",
         """CASE WHEN longer THEN concat(t, ' rev') WHEN moved THEN concat(substring(t, instr(t, ' ') + 1), ' ',
-             substring(t, 1, instr(t, ' ') - 1)) ELSE t END AS `Article Title`""",
+             substring(t, 1, instr(t, ' ') - 1)) WHEN n % 9 = 5 THEN replace(t, ' ', '\u2003') ELSE t END AS `Article Title`""",
         _year_text("n", "(2014 + length(t) % 13 + if(longer, n % 4, 0))") + " AS `Publication Year`",
         """CASE WHEN NOT longer AND NOT moved AND length(t) % 3 = 0 THEN concat(' 10.5555/', upper(md5(t)), '\t')
              WHEN n % 2 = 0 THEN '' END AS DOI""",
         """CASE WHEN n % 5 = 0 THEN concat('Journal of Suplier ', j, ' (print)') WHEN n % 5 = 2
              THEN concat('Supplier of Journal ', j, ' (print)') ELSE concat('J & Supp ', j, ' (web)') END AS `Source Title`""",
-        "if(n % 5 <> 0 AND n % 5 <> 2, lower(concat(substring(issn8, 1, 4), '-', substring(issn8, 5, 4))), NULL) AS ISSN",
+        """if(n % 5 <> 0 AND n % 5 <> 2, concat(if(n % 3 = 0, '0000-0019; ', ''),
+             lower(concat(substring(issn8, 1, 4), '-', substring(issn8, 5, 4)))), NULL) AS ISSN""",
         _pick("n", TYPES) + " AS `Document Type`",
         _cited("n") + " AS `Cited Reference Count`",
         _open_access("n") + " AS `Open Access Designations`",

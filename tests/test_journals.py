@@ -33,12 +33,13 @@ def test_canonical_titles(spark):
         (5, None, "Fuzzy Joins of Annals", "00000001", 2020, None),
         (6, "Web of science", None, None, 2020, None),
         (7, "Web of science", "Annals of Nothing", "", 2020, None),
+        (8, "Web of science", "own name", "0000-0001; 9999-0000, 1234-5678", 2020, None),
     )
     out = {r.doc_ord: (r.Source, r["Source title"]) for r in journals.canonical_titles(records, j).collect()}
     assert out == {
         1: ("Scopus", "Nat Lett"), 2: ("Web of science", "Nature Letters"), 3: ("Web of science", "Annals of Fuzzy Joins"),
         4: ("Web of science", "Annals of Fuzzy Joins"), 5: ("unknown", "Fuzzy Joins of Annals"), 6: ("Web of science", ""),
-        7: ("Web of science", "Annals of Nothing"),
+        7: ("Web of science", "Annals of Nothing"), 8: ("Web of science", "Annals of Fuzzy Joins"),
     }
 
 
@@ -52,10 +53,12 @@ def test_enrichment_keeps_every_record_once(spark):
         (4, "Scopus", "Annals of Fuzzy Joins", None, 2019, None),
         (5, "Scopus", None, "", 2020, None),
         (6, "Scopus", "Nature Letters", "1111222X", 2020, None),
+        (7, "Scopus", "whatever", "00000001; 99990000; 12345678", 2020, None),
+        (8, "Scopus", "whatever", "99990000; 12345678", 2021, None),
     )
     out = journals.enrich(records, j)
     rows = {(r.Source, r.doc_ord): r for r in out.collect()}
-    assert out.count() == len(rows) == 7
+    assert out.count() == len(rows) == 9
     assert rows["Scopus", 1].SJR == 1.5 and rows["Scopus", 1].Publisher == "Own"
     assert rows["Scopus", 1].Categories == "Optics"
     assert rows["Web of science", 1].Publisher == "P1"
@@ -63,6 +66,7 @@ def test_enrichment_keeps_every_record_once(spark):
     assert rows["Scopus", 3].SJR == 3.5
     assert rows["Scopus", 4].SJR is None and rows["Scopus", 5].SJR is None
     assert rows["Scopus", 6].SJR == 1.5
+    assert rows["Scopus", 7].SJR == 3.5 and rows["Scopus", 8].SJR == 2.5
 
 
 def test_reports(spark):

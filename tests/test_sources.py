@@ -56,6 +56,15 @@ def test_no_source_at_all(spark, tmp_path):
         exports.scan_inputs(spark, str(tmp_path), str(tmp_path))
 
 
+def test_absent_folders_and_sub_folders(spark, inputs):
+    assert exports.list_files(spark, str(inputs / "nowhere"), "*.csv") == []
+    assert exports.read_journals(spark, str(inputs / "nowhere" / "journals.csv")) is None
+    (inputs / "a" / "old.csv").mkdir()
+    write(inputs / "a" / "old.csv", "0.csv", "Title,Year\nElsewhere,2020\n")
+    raw, none = exports.scan_inputs(spark, str(inputs / "a"), str(inputs / "nowhere"))
+    assert none is None and raw.count() == 3
+
+
 def test_inventory(spark, inputs):
     raw_a, raw_b = exports.scan_inputs(spark, str(inputs / "a"), str(inputs / "b"))
     rows = {(r.Source, r.column): (r.records, r.blank_cells) for r in exports.input_inventory(raw_a, raw_b).collect()}

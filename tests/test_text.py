@@ -29,6 +29,7 @@ def test_title_key(spark):
         ("The  Studies of\tchildren", "study child"),
         ("Boxes, classes & analyses", "box class analysis"),
         ("Gas status", "gas status"),
+        ("Deep\u00a0learning\u2003methods", "deep learning method"),
         ("題名", ""),
     ]
     assert values(spark, [i for i, _ in cases], text.title_key("x")) == [o for _, o in cases]
@@ -51,6 +52,7 @@ def test_document_type(spark):
             ("Article; Proceedings Paper", "Conference Paper"),
             ("Review ;Early Access", "Review; Early Access"),
             ("proceedings paper", "proceedings paper"),
+            ("Review\u00a0;\u2003Book", "Review; Book"),
             (None, None),
         ],
     )
@@ -62,7 +64,8 @@ def test_doi(spark):
 
 def test_issn(spark):
     check(spark, text.issn, [("1234-567X", "1234567X"), ("1234-567x", "1234567X"), (None, "")])
-    check(spark, text.first_issn, [("1234-5678; 9999-0000", "12345678"), (" ", ""), (None, "")])
+    cells = [("1234-5678; 9999-0000, 12345678", "12345678; 99990000"), ("1234567x", "1234567X"), (" ;", ""), (None, "")]
+    check(spark, text.issn_cell, cells)
 
 
 def test_bracket_commas(spark):

@@ -10,7 +10,9 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import count
+from functools import lru_cache
+from itertools import chain, count
+from struct import pack as pack_ids
 from zlib import crc32
 
 import numpy as np
@@ -19,10 +21,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..operators.durable import durable
-from .common import batch_of, texts
+from .common import batch_of, slices, texts
 
 END_ID = 1
-# How byte-level BPE splits a text of Latin letters before merging; other texts go to the tokenizer whole.
+# How byte-level BPE splits a text of Latin letters before merging; other units go to the tokenizer itself.
 _LETTER = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
 _NUMBER = "0-9²³¹¼-¾"
 _SPACE = "\\t\\n\\x0b\\x0c\\r \u0085 "
@@ -30,6 +32,9 @@ _PIECE = re.compile(
     f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^{_SPACE}{_LETTER}{_NUMBER}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 )
 _OTHER = re.compile("[^\x00-ɏ]")
+# Byte-level BPE writes printable bytes of Latin-1 as themselves and the n-th other one as the character 256 + n.
+_PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTES = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PLAIN)}
 
 _TOKENS = "doc_id long, task long, row long, doc_tokens long, full array<long>, rest long, rest_rank long, rest_ids binary"
 _TOKENS_ARROW = pa.schema([
@@ -50,42 +55,91 @@ class Settings:
     steps: int = 400
 
 
-class _Ids(dict):
-    """Ids of each piece as little-endian unsigned 32-bit bytes, kept for the most recent 300,000 pieces of a task."""
+class Ids:
+    """A byte-level BPE tokenizer's ids as little-endian unsigned 32-bit bytes; it keeps up to ``most`` units that it has met, and their pieces.
 
-    def __init__(self, tokenizer):
-        self.tokenizer = tokenizer
+    No piece that such a tokenizer merges within reaches from a character that is not white space into white
+    space. So a text can be cut before each space or line end that has none on either side (two line ends are a
+    piece each), and the ids of its units can be put together. Other texts, and those with special
+    tokens, go to the tokenizer whole. A unit's first character says what stands before it: nothing, a line
+    end, or else a space.
+    """
+
+    def __init__(self, vocabulary: str, most: int = 300_000):
+        from tokenizers import Tokenizer
 
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= 300_000:
-            self.clear()
-        self[piece] = value = self.whole(piece)
-        return value
+        self.tokenizer, self.most = Tokenizer.from_file(vocabulary), most
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.apart = (*special, "\0", "\1", "\n\n\n", "\n\n ")
+        self.known: dict[str, bytes | None] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def of(self, text: str, special: tuple[str, ...]) -> bytes:
-        """The tokenizer's own ids; a text of Latin letters without special tokens is put together from pieces."""
-        if _OTHER.search(text) or any(s in text for s in special):
+    def units(self, text: str) -> list[str]:
+        if any(s in text for s in self.apart) or text.endswith("\n\n"):
+            return []
+        return ("\0" + text.replace("\n", " \1")).split(" ")
+
+    def unit(self, text: str) -> bytes:
+        """Ids of one unit: those of Latin letters are split here and only merged by the tokenizer's model."""
+        if _OTHER.search(text):
             return self.whole(text)
-        return b"".join(map(self.__getitem__, _PIECE.findall(text)))
+        return b"".join([self.pieces.get(p) or self.piece(p) for p in _PIECE.findall(text)])
+
+    def piece(self, text: str) -> bytes:
+        if text.isascii() and text.isprintable():
+            written = text.replace(" ", chr(_BYTES[32]))
+        else:
+            written = text.encode().decode("latin-1").translate(_BYTES)
+        ids = [t.id for t in self.model.tokenize(written)]
+        self.pieces[text] = made = pack_ids(f"<{len(ids)}I", *ids)
+        return made
+
+    def learn(self, units: set[str]) -> None:
+        """Ids of new units; None for one that is empty or has white space at an end, where it must not be cut."""
+        for unit in units:
+            mark = unit[:1] if unit[:1] in ("\0", "\1") else " "
+            body = unit if mark == " " else unit[1:]
+            if body[:1].isspace() or body[-1:].isspace() or (not body and mark == " "):
+                self.known[unit] = None
+            else:
+                self.known[unit] = self.unit({"\0": "", "\1": "\n"}.get(mark, mark) + body)
+
+    def of(self, bodies: list[str]) -> list[bytes]:
+        cut = [self.units(text) for text in bodies]
+        units = set(chain.from_iterable(cut))
+        fresh = units.difference(self.known)
+        if len(self.known) + len(fresh) > self.most:
+            self.known.clear()
+            self.pieces.clear()
+            fresh = units
+        self.learn(fresh)
+        out = []
+        for text, own in zip(bodies, cut):
+            found = [self.known[u] for u in own]
+            out.append(self.whole(text) if not found or None in found else b"".join(found))
+        return out
+
+
+@lru_cache(maxsize=1)
+def _ids(vocabulary: str) -> Ids:
+    """One per Python worker, so that small tasks do not read the vocabulary and learn the same units again."""
+    return Ids(vocabulary)
 
 
 def tokens(docs: DataFrame, vocabulary: str, window: int = Settings.window) -> DataFrame:
     """Every row's ids cut into full windows (their checksums) and the rest (its ids, and its rank among equal rests of its task)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(vocabulary)
-        special = tuple(t.content for t in tokenizer.get_added_tokens_decoder().values())
-        ids, task, rows, ranks = _Ids(tokenizer), TaskContext.get().partitionId(), count(), {}
+        ids, task, rows, ranks = _ids(vocabulary), TaskContext.get().partitionId(), count(), {}
         end, width = np.array([END_ID], "<u4").tobytes(), 4 * window
-        for batch in batches:
+        for batch in chain.from_iterable(slices(whole, "text") for whole in batches):
             out = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                raw = ids.of(text, special) + end
+            for doc_id, raw in zip(batch.column("doc_id").to_pylist(), ids.of(batch.column("text").to_pylist())):
+                raw += end
                 cut = len(raw) - len(raw) % width
                 rest = (len(raw) - cut) // 4
                 ranks[rest] = rank = ranks.get(rest, -1) + 1

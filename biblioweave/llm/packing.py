@@ -73,6 +73,7 @@ class Ids:
         self.apart = (*special, "\0", "\1", "\n\n\n", "\n\n ")
         self.known: dict[str, bytes | None] = {}
         self.pieces: dict[str, bytes] = {}
+        self.written = {chr(c): chr(c).encode().decode("latin-1").translate(_BYTES) for c in range(0x250)}
         self.model = self.tokenizer.model
 
     def whole(self, text: str) -> bytes:
@@ -93,7 +94,7 @@ class Ids:
         if text.isascii() and text.isprintable():
             written = text.replace(" ", chr(_BYTES[32]))
         else:
-            written = text.encode().decode("latin-1").translate(_BYTES)
+            written = "".join(map(self.written.__getitem__, text))
         ids = [t.id for t in self.model.tokenize(written)]
         self.pieces[text] = made = pack_ids(f"<{len(ids)}I", *ids)
         return made
@@ -101,12 +102,11 @@ class Ids:
     def learn(self, units: set[str]) -> None:
         """Ids of new units; None for one that is empty or has white space at an end, where it must not be cut."""
         for unit in units:
-            mark = unit[:1] if unit[:1] in ("\0", "\1") else " "
-            body = unit if mark == " " else unit[1:]
-            if body[:1].isspace() or body[-1:].isspace() or (not body and mark == " "):
+            mark, body = ("", unit[1:]) if unit[:1] == "\0" else ("\n", unit[1:]) if unit[:1] == "\1" else (" ", unit)
+            if len(body.strip()) < len(body) or not (body or mark != " "):
                 self.known[unit] = None
             else:
-                self.known[unit] = self.unit({"\0": "", "\1": "\n"}.get(mark, mark) + body)
+                self.known[unit] = self.unit(mark + body)
 
     def of(self, bodies: list[str]) -> list[bytes]:
         cut = [self.units(text) for text in bodies]
@@ -117,11 +117,13 @@ class Ids:
             self.pieces.clear()
             fresh = units
         self.learn(fresh)
-        out = []
-        for text, own in zip(bodies, cut):
-            found = [self.known[u] for u in own]
-            out.append(self.whole(text) if not found or None in found else b"".join(found))
-        return out
+        return [self.joined(text, own) for text, own in zip(bodies, cut)]
+
+    def joined(self, text: str, own: list[str]) -> bytes:
+        try:
+            return b"".join(map(self.known.__getitem__, own)) if own else self.whole(text)
+        except TypeError:  # a unit of None
+            return self.whole(text)
 
 
 @lru_cache(maxsize=1)

@@ -72,6 +72,7 @@ class Ids:
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.apart = (*special, "\0", "\1", "\n\n\n", "\n\n ")
         self.known: dict[str, bytes | None] = {}
+        self.again: set[str] = set()
         self.pieces: dict[str, bytes] = {}
         self.written = {chr(c): chr(c).encode().decode("latin-1").translate(_BYTES) for c in range(0x250)}
         self.model = self.tokenizer.model
@@ -113,9 +114,14 @@ class Ids:
         units = set(chain.from_iterable(cut))
         fresh = units.difference(self.known)
         if len(self.known) + len(fresh) > self.most:
-            self.known.clear()
+            # What came back since the last time stays, unless that is most of it.
+            again = self.again if 2 * len(self.again) < self.most else set()
+            self.known = {u: self.known[u] for u in again}
+            self.again = set()
+            fresh = units.difference(self.known)
+        if len(self.pieces) > self.most:
             self.pieces.clear()
-            fresh = units
+        self.again |= units - fresh
         self.learn(fresh)
         return [self.joined(text, own) for text, own in zip(bodies, cut)]
 

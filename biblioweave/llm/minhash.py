@@ -7,6 +7,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -62,10 +63,31 @@ def shingles(bodies: list[str], known: _Words, size: int) -> tuple[np.ndarray, n
 
     Words are lower-cased. A text of fewer words than ``size`` is one shingle, one without words none.
     """
+    flat, counts = words(bodies, known)
+    return shingles_of(flat, counts, size)
+
+
+def words(bodies: list[str], known: _Words) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all lower-cased words of the texts, one after another, and the number of words of each text."""
     found = [WORD.findall(t.lower()) for t in bodies]
     counts = np.array([len(f) for f in found], np.int64)
-    flat = np.fromiter((known[w] for f in found for w in f), np.uint64, int(counts.sum()))
-    doc_of = np.repeat(np.arange(len(found)), counts)
+    return np.fromiter(map(known.__getitem__, chain.from_iterable(found)), np.uint64, int(counts.sum())), counts
+
+
+def sequences(flat: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each text's words in their order; zero for texts without words."""
+    out = np.zeros(len(counts), np.uint64)
+    begins, filled = np.cumsum(counts) - counts, counts > 0
+    if filled.any():
+        place = np.arange(len(flat)) - np.repeat(begins, counts)
+        mixed = _mix(_mix(flat) + _mix((place + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+        out[filled] = _mix(np.add.reduceat(mixed, begins[filled]) + counts[filled].astype(np.uint64))
+    return out
+
+
+def shingles_of(flat: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``shingles`` of texts given by ``words``."""
+    doc_of = np.repeat(np.arange(len(counts)), counts)
     n = max(0, len(flat) - size + 1)
     h = np.zeros(n, np.uint64)
     for i in range(size):
@@ -178,14 +200,13 @@ def signatures(docs: DataFrame, weights, settings: Settings) -> DataFrame:
         for whole in batches:
             for batch in slices(whole, "text"):
                 bodies = batch.column("text").to_pylist()
-                doc, h, count = shingles(bodies, known, settings.words)
+                flat, counts = words(bodies, known)
+                doc, h, count = shingles_of(flat, counts, settings.words)
                 made = samples.signatures(doc, h, table[_slot(h, settings.slots)] * count, len(bodies))
-                nodes = []
-                for t in bodies:
-                    words = WORD.findall(t.lower())
-                    key = " ".join(words) if words else "\n" + t
-                    digest = hashlib.blake2b(key.encode("utf-8", "surrogatepass"), digest_size=8).digest()
-                    nodes.append(int.from_bytes(digest, "little", signed=True))
+                nodes = sequences(flat, counts).view(np.int64)
+                for i in np.flatnonzero(counts == 0):
+                    digest = hashlib.blake2b(bodies[i].encode("utf-8", "surrogatepass"), digest_size=8).digest()
+                    nodes[i] = int.from_bytes(digest, "little", signed=True)
                 yield batch_of(_SIGNATURES_ARROW, batch.column("doc_id"), batch.column("copy"), nodes, list(made))
 
     rows = texts(docs).withColumn("copy", F.xxhash64("text")).select("doc_id", "copy", "text")

@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, functions as F
 from .common import append, batch_of, slices, texts
 
 WORD = re.compile(r"\w+")
-# Masks of words that must agree; 0 marks a word that may differ. Each mask tolerates other places, and
-# substitutions that fall on every mask of a window leave the windows beside it.
-MASKS = ("111111111", "1101101011011", "1110010110111", "11101001100101111")
+# Masks of words that must agree; 0 marks a word that may differ. However four words of twenty are substituted, one
+# of these masks finds a place where it agrees (``lossless``).
+MASKS = ("11101111", "1110100000111", "1101000100010011", "1101001011000001", "101010101101")
 _HITS = "doc_id long, item_id long, start_word long, end_word long, same_words long, share double"
 _HITS_ARROW = pa.schema([
     ("doc_id", pa.int64()), ("item_id", pa.int64()), ("start_word", pa.int64()), ("end_word", pa.int64()),
@@ -28,7 +28,8 @@ class Settings:
     """A document is contaminated where ``window`` aligned words (or a whole shorter item) agree in ``share``.
 
     ``block_words`` bounds the words of the benchmark items that a task holds at once; a larger benchmark is
-    taken in several blocks, each against all documents.
+    taken in several blocks, each against all documents. Where ``masks`` can miss an overlap of this window and
+    share, a run of words that cannot is added to them.
     """
 
     masks: tuple[str, ...] = MASKS
@@ -66,8 +67,35 @@ def _hashes(ids: np.ndarray, places: np.ndarray, n: int) -> np.ndarray:
     return h
 
 
+def misses(words: int, share: float) -> int:
+    """How many of ``words`` aligned words may differ."""
+    return max(m for m in range(words + 1) if m == 0 or words - m >= share * words)
+
+
+def lossless(masks: tuple[str, ...], window: int, free: int) -> bool:
+    """Whether no ``free`` substitutions in ``window`` words touch every place of every mask."""
+    places = [
+        frozenset(s + i for i, c in enumerate(m) if c == "1") for m in masks for s in range(window - len(m) + 1)
+    ]
+
+    def escapes(left: list[frozenset[int]], free: int) -> bool:
+        if not left or not free:
+            return not left
+        return any(escapes([p for p in left if at not in p], free - 1) for at in left[0])
+
+    return not escapes(places, free)
+
+
+def masks_of(settings: Settings) -> tuple[str, ...]:
+    """The masks for items of ``window`` words or more: of the words left alike, one run has at least the mean length."""
+    free = misses(settings.window, settings.share)
+    if free <= 5 and lossless(settings.masks, settings.window, free):
+        return settings.masks
+    return (*settings.masks, "1" * max(1, -(-(settings.window - free) // (free + 1))))
+
+
 def build_index(items: list[tuple[int, str]], settings: Settings) -> Index:
-    """Items shorter than a mask are seeded by all their words, so they are found where they stand unchanged."""
+    """Items of fewer words than the window are cut into one part more than words may differ: one part agrees."""
     vocabulary: dict[str, int] = {}
     bodies, ids = [], []
     for item_id, text in items:
@@ -76,23 +104,27 @@ def build_index(items: list[tuple[int, str]], settings: Settings) -> Index:
             ids.append(item_id)
             bodies.append(np.array(own, np.int64))
     lengths = np.array([len(b) for b in bodies], np.int64)
-    masks = [np.array([i for i, c in enumerate(m) if c == "1"]) for m in settings.masks]
-    shortest = min(len(m) for m in settings.masks)
-    masks_for = [(places, int(places[-1]) + 1, None) for places in masks]
-    masks_for += [(np.arange(n), int(n), int(n)) for n in np.unique(lengths[lengths < shortest])]
+    parts: dict[tuple[int, ...], list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
+
+    def seed(places: np.ndarray, i: int, first: int, n: int) -> None:
+        at = np.arange(first, first + n)
+        parts.setdefault(tuple(places.tolist()), []).append((_hashes(bodies[i][first:], places, n), np.full(n, i), at))
+
+    masks = [np.array([i for i, c in enumerate(m) if c == "1"]) for m in masks_of(settings)]
+    for i, n in enumerate(lengths):
+        if n >= settings.window:
+            for places in masks:
+                if n > places[-1]:
+                    seed(places, i, 0, int(n - places[-1]))
+        else:
+            for part in np.array_split(np.arange(n), misses(int(n), settings.share) + 1):
+                if len(part):
+                    seed(part - part[0], i, int(part[0]), 1)
     seeds = []
-    for places, span, exact in masks_for:
-        hashes, item, position = [], [], []
-        for i, body in enumerate(bodies):
-            n = len(body) - span + 1
-            if n > 0 and (exact is None or len(body) == exact):
-                hashes.append(_hashes(body, places, n))
-                item.append(np.full(n, i))
-                position.append(np.arange(n))
-        if hashes:
-            h = np.concatenate(hashes)
-            order = np.argsort(h, kind="stable")
-            seeds.append((places, span, h[order], np.concatenate(item)[order], np.concatenate(position)[order]))
+    for key, made in parts.items():
+        h, item, position = (np.concatenate(x) for x in zip(*made))
+        order = np.argsort(h, kind="stable")
+        seeds.append((np.array(key), key[-1] + 1, h[order], item[order], position[order]))
     words = np.concatenate(bodies) if bodies else np.zeros(0, np.int64)
     return Index(vocabulary, np.array(ids, np.int64), words, np.cumsum(lengths) - lengths, lengths, seeds)
 
@@ -117,21 +149,20 @@ def find(ids: np.ndarray, doc_of: np.ndarray, begins: np.ndarray, counts: np.nda
         for p in places:
             h = _mix(h + ids[maybe + p].astype(np.uint64) + np.uint64(0x632BE59BD9B4E019))
         low, high = np.searchsorted(hashes, h, "left"), np.searchsorted(hashes, h, "right")
-        times = high - low
-        hit = np.repeat(np.arange(len(h)), times)
-        at = np.repeat(low, times) + np.arange(len(hit)) - np.repeat(np.cumsum(times) - times, times)
-        doc = doc_of[maybe[hit]]
-        found.append(np.stack([doc, item[at], maybe[hit] - begins[doc] - position[at]], 1))
+        for one in _pieces(high - low):
+            times = (high - low)[one]
+            hit = np.repeat(np.arange(one.start, one.stop), times)
+            at = np.repeat(low[one], times) + np.arange(len(hit)) - np.repeat(np.cumsum(times) - times, times)
+            doc = doc_of[maybe[hit]]
+            found.append(_distinct(np.stack([doc, item[at], maybe[hit] - begins[doc] - position[at]])))
     if not found:
         return []
     out = []
-    for doc, item, shift in np.unique(np.concatenate(found), axis=0):
+    for doc, item, shift in _likely(_distinct(np.concatenate(found, 1)), ids, begins, counts, index, settings).T:
         own = index.words[index.begins[item] : index.begins[item] + index.lengths[item]]
         first, last = max(0, shift), min(counts[doc], shift + len(own))
         same = ids[begins[doc] + first : begins[doc] + last] == own[first - shift : last - shift]
         width = min(settings.window, len(own))
-        if len(same) < width:
-            continue
         total = np.concatenate([[0], np.cumsum(same)])
         sums = total[width:] - total[:-width]
         best = int(sums.argmax())
@@ -143,6 +174,42 @@ def find(ids: np.ndarray, doc_of: np.ndarray, begins: np.ndarray, counts: np.nda
     return out
 
 
+def _pieces(sizes: np.ndarray, budget: int = 1 << 20) -> Iterator[slice]:
+    """Runs of entries whose sizes add up to about ``budget``; entries of nothing on their own are left out."""
+    ends = np.cumsum(sizes)
+    start = 0
+    while start < len(sizes) and ends[-1] > (ends[start - 1] if start else 0):
+        stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + budget, "right")))
+        yield slice(start, stop)
+        start = stop
+
+
+def _distinct(rows: np.ndarray) -> np.ndarray:
+    rows = rows[:, np.lexsort(rows[::-1])]
+    fresh = np.ones(rows.shape[1], bool)
+    fresh[1:] = (rows[:, 1:] != rows[:, :-1]).any(0)
+    return rows[:, fresh]
+
+
+def _likely(rows: np.ndarray, ids: np.ndarray, begins: np.ndarray, counts: np.ndarray, index: Index, settings: Settings) -> np.ndarray:
+    """Alignments (document, item, shift) that are long enough and have, over all their words, enough words alike."""
+    doc, item, shift = rows
+    width = np.minimum(settings.window, index.lengths[item])
+    first = np.maximum(0, shift)
+    size = np.minimum(counts[doc], shift + index.lengths[item]) - first
+    rows, first, size, width = rows[:, size >= width], first[size >= width], size[size >= width], width[size >= width]
+    alike = np.zeros(len(size), np.int64)
+    for one in _pieces(size):
+        doc, item, shift = rows[:, one]
+        n = size[one]
+        heads = np.cumsum(n) - n
+        step = np.arange(int(n.sum())) - np.repeat(heads, n)
+        here = ids[np.repeat(begins[doc] + first[one], n) + step]
+        there = index.words[np.repeat(index.begins[item] + first[one] - shift, n) + step]
+        alike[one] = np.add.reduceat((here == there).astype(np.int64), heads)
+    return rows[:, alike >= settings.share * width]
+
+
 def hits_of(bodies: list[str], index: Index, settings: Settings):
     """``find`` over whole texts."""
     known = index.vocabulary.get

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+from itertools import combinations
 from zlib import crc32
 
 import numpy as np
@@ -201,6 +202,54 @@ def test_decontamination_tolerates_substitutions(spark):
         assert flags == [True, False, True, False, False, False, True]
 
 
+def test_seeds_miss_no_pattern_of_substitutions():
+    """Every way to substitute as many words as the share allows, in items of 1 to 20 words and inside a longer one."""
+    settings = decontam.Settings()
+    for n in [*range(1, 21), 33]:
+        body = [f"w{i}" for i in range(n)]
+        index = decontam.build_index([(7, " ".join(body))], settings)
+        width = min(n, 20)
+        free = max(m for m in range(width) if width - m >= 0.8 * width)
+        for begin in {0, (n - width) // 2, n - width}:
+            bodies = []
+            for at in combinations(range(begin, begin + width), free):
+                hurt = [w if begin <= i < begin + width and i not in at else "zzz" for i, w in enumerate(body)]
+                bodies.append("x " + " ".join(hurt) + " x")
+            assert {h[0] for h in decontam.hits_of(bodies, index, settings)} == set(range(len(bodies)))
+    assert not decontam.lossless(("111111111", "1101101011011", "1110010110111", "11101001100101111"), 20, 4)
+    assert decontam.lossless(decontam.MASKS, 20, 4)
+    for window, share in ((12, 0.5), (30, 0.9), (4, 0.2)):
+        masks, free = decontam.masks_of(decontam.Settings(window=window, share=share)), decontam.misses(window, share)
+        assert decontam.lossless(masks, window, free)
+
+
+def test_overlaps_equal_brute_force(spark):
+    """All alignments of a small vocabulary, so chance agreements are many."""
+    rng = np.random.RandomState(8)
+    few = WORDS[:12]
+    items = [[str(w) for w in rng.choice(few, n)] for n in (1, 2, 3, 4, 5, 7, 9, 12, 15, 16, 18, 19, 20, 23, 40)]
+    bodies = []
+    for item in items * 6:
+        hurt = [w if rng.rand() > 0.17 else str(rng.choice(few)) for w in item]
+        bodies.append([*map(str, rng.choice(few, rng.randint(0, 12))), *hurt, *map(str, rng.choice(few, rng.randint(0, 12)))])
+    expected = set()
+    for d, body in enumerate(bodies):
+        for k, item in enumerate(items):
+            width = min(20, len(item))
+            for shift in range(-len(item), len(body)):
+                same = [item[i] == body[i + shift] for i in range(len(item)) if 0 <= i + shift < len(body)]
+                sums = [sum(same[i : i + width]) for i in range(len(same) - width + 1)]
+                good = [i for i, s in enumerate(sums) if s >= 0.8 * width]
+                if good:
+                    start, end = good[0], good[-1] + width
+                    first = max(0, shift)
+                    expected.add((d, k, first + start, first + end, sum(same[start:end]), max(sums) / width))
+    frame = lambda rows, name: spark.createDataFrame([(i, " ".join(r)) for i, r in enumerate(rows)], f"{name} long, text string")
+    for settings in (decontam.Settings(), decontam.Settings(block_words=40)):
+        found = [tuple(r) for r in decontam.overlaps(frame(bodies, "doc_id"), frame(items, "item_id"), settings).collect()]
+        assert len(found) == len(set(found)) and set(found) == expected
+
+
 def test_near_duplicates(spark):
     rng = np.random.RandomState(6)
     base = text_of(rng, 120).split()

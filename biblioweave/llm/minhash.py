@@ -27,8 +27,9 @@ _CHUNK = 1 << 12
 class Settings:
     """``bands`` of ``rows`` samples each: at the similarity of 0.8 a pair shares a band with a probability of 0.9992.
 
-    Document frequencies are counted in ``slots`` hashed counters. The bound 1/9 of ``near_duplicates`` is that of
-    a similarity of 0.8 or more.
+    Document frequencies are counted in ``slots`` hashed counters, which bound the true ones from above; pairs that
+    these bounds leave open are counted exactly. The bound 1/9 of ``near_duplicates`` is that of a similarity of 0.8
+    or more.
     """
 
     words: int = 5
@@ -118,8 +119,8 @@ def document_frequencies(docs: DataFrame, settings: Settings) -> tuple[np.ndarra
     """Documents per hashed shingle, and the number of documents, over all rows.
 
     Tasks add up counters of a fixed number and send them in compressed pieces, which are summed piece by piece:
-    neither the shuffle per task nor the result grows with the data. Shingles that share a counter add up,
-    so a rare shingle gets about the mean count of a counter at every size of the corpus.
+    neither the shuffle per task nor the result grows with the data. Shingles that share a counter add up, so a
+    counter is never less than the true count.
     """
     schema = pa.schema([("piece", pa.int64()), ("docs", pa.int64()), ("counts", pa.binary())])
 
@@ -137,7 +138,7 @@ def document_frequencies(docs: DataFrame, settings: Settings) -> tuple[np.ndarra
         )
 
     def add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(_CHUNK, np.int64)
+        total = np.zeros(min(_CHUNK, settings.slots), np.int64)
         for batch in batches:
             for c in batch.column("counts").to_pylist():
                 total += np.frombuffer(zlib.decompress(c), np.int64)
@@ -158,7 +159,16 @@ def inverse_frequencies(frequency: np.ndarray, n: int) -> np.ndarray:
     Half a natural logarithm: the words that an editor has changed are rarer than those of a large group of copies,
     and a full logarithm would let them outweigh the group's common text.
     """
-    return (1 + 0.5 * np.log(1 + n / np.maximum(frequency, 1.0)) / np.log(1 + max(n, 1))).astype(np.float32)
+    return true_weights(frequency, n).astype(np.float32)
+
+
+def true_weights(frequency: np.ndarray, n: int) -> np.ndarray:
+    return 1 + 0.5 * np.log(1 + n / np.maximum(frequency, 1.0)) / np.log(1 + max(n, 1))
+
+
+def typical(frequency: np.ndarray) -> np.ndarray:
+    """Counters less what the other shingles of a counter add to it; only to draw signatures with."""
+    return np.maximum(frequency - int(np.median(frequency)), 1)
 
 
 class _Samples:
@@ -213,44 +223,64 @@ def signatures(docs: DataFrame, weights, settings: Settings) -> DataFrame:
     return rows.mapInArrow(run, _SIGNATURES)
 
 
-_COMPARED = "a long, b long, crowded boolean, similarity double, rare array<long>, others array<long>"
+_COMPARED = "a long, b long, crowded boolean, low double, high double, rare array<long>, others array<long>"
 _COMPARED_ARROW = pa.schema([
-    ("a", pa.int64()), ("b", pa.int64()), ("crowded", pa.bool_()), ("similarity", pa.float64()), ("rare", pa.list_(pa.int64())),
-    ("others", pa.list_(pa.int64())),
+    ("a", pa.int64()), ("b", pa.int64()), ("crowded", pa.bool_()), ("low", pa.float64()), ("high", pa.float64()),
+    ("rare", pa.list_(pa.int64())), ("others", pa.list_(pa.int64())),
 ])
+_TERMS = "a long, b long, shingle long, gap long, total long"
+_TERMS_ARROW = pa.schema([(c, pa.int64()) for c in ("a", "b", "shingle", "gap", "total")])
+_BITS, _PIECE = 1 << 26, 1 << 20
 
 
-def compared(pairs: DataFrame, bodies: DataFrame, weights, settings: Settings) -> DataFrame:
-    """``a, b, crowded, similarity, rare, others``: weighted Jaccard similarity of each pair, counted on whole texts.
+def in_both(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
+    left = bodies.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+    right = bodies.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
+    return pairs.join(left, "a").join(right, "b").select(*pairs.columns, "text_a", "text_b")
+
+
+def differences(batch: pa.RecordBatch, known: _Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, shingle, count in b less that in a, count in both) of the different shingles of each row's two texts."""
+    one = shingles(batch.column("text_a").to_pylist(), known, size)
+    two = shingles(batch.column("text_b").to_pylist(), known, size)
+    doc, h = np.concatenate([one[0], two[0]]), np.concatenate([one[1], two[1]])
+    count = np.concatenate([-one[2], two[2]])
+    order = np.lexsort((h, doc))
+    doc, h, count = doc[order], h[order], count[order]
+    heads = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (h[1:] != h[:-1]))[: len(doc)])
+    if not len(heads):
+        return doc, h, count, count
+    return doc[heads], h[heads], np.add.reduceat(count, heads), np.add.reduceat(np.abs(count), heads)
 
-    For ``crowded`` pairs also where ``b`` differs from ``a``: signed shingles, ``rare`` the rarest that hold more
+
+def compared(pairs: DataFrame, bodies: DataFrame, bounds, settings: Settings) -> DataFrame:
+    """``a, b, crowded, low, high, rare, others``: bounds of the weighted Jaccard similarity of each pair's whole texts.
+
+    ``bounds`` are the least weight per counter, and the weights of what stands in one document and in two: a shingle
+    is no lighter than its counter says, and no heavier than what the pair itself shows.
+    For ``crowded`` pairs also where ``b`` differs from ``a``: signed shingles, ``rare`` the rarest that surely hold more
     than D / 2 + max(0, w(b) - w(a)) / 18 of the weighted difference D, ``others`` the rest.
     """
-    left = bodies.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-    right = bodies.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "crowded", "text_a", "text_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, table = _Words(), weights.value
+        known, (table, single, double) = _Words(), bounds.value
         for whole in batches:
             for batch in slices(whole, "text_a"):
                 n = batch.num_rows
-                one = shingles(batch.column("text_a").to_pylist(), known, settings.words)
-                two = shingles(batch.column("text_b").to_pylist(), known, settings.words)
-                doc, h = np.concatenate([one[0], two[0]]), np.concatenate([one[1], two[1]])
-                count = np.concatenate([-one[2], two[2]])
-                order = np.lexsort((h, doc))
-                doc, h, count = doc[order], h[order], count[order]
-                heads = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (h[1:] != h[:-1]))[: len(doc)])
-                if not len(heads):
-                    yield batch_of(_COMPARED_ARROW, *(batch.column(c) for c in ("a", "b", "crowded")), np.zeros(n), [[]] * n, [[]] * n)
+                doc, h, gap, total = differences(batch, known, settings.words)
+                if not len(doc):
+                    yield batch_of(
+                        _COMPARED_ARROW, *(batch.column(c) for c in ("a", "b", "crowded")), np.zeros(n), np.zeros(n), [[]] * n, [[]] * n
+                    )
                     continue
-                idf = table[_slot(h[heads], settings.slots)].astype(float)
-                gap, total = np.add.reduceat(count, heads), np.add.reduceat(np.abs(count), heads)
-                doc, h = doc[heads], h[heads]
-                apart = np.bincount(doc, np.abs(gap) * idf, n)
-                sums = np.bincount(doc, total * idf, n)
-                likeness = (sums - apart) / np.maximum(sums + apart, 1e-9)
+                idf = table[_slot(h, settings.slots)]
+                top = np.maximum(idf, np.where(np.abs(gap) < total, double, single))
+                apart, most_apart = np.bincount(doc, np.abs(gap) * idf, n), np.bincount(doc, np.abs(gap) * top, n)
+                same = (total - np.abs(gap)) / 2
+                alike, most_alike = np.bincount(doc, same * idf, n), np.bincount(doc, same * top, n)
+                low = alike / np.maximum(alike + most_apart, 1e-9)
+                high = most_alike / np.maximum(most_alike + apart, 1e-9)
+                need = most_apart / 2 + np.maximum(np.bincount(doc, gap * np.where(gap > 0, top, idf), n), 0) / 18
                 crowded = np.array(batch.column("crowded").to_pylist(), bool)
                 keep = (gap != 0) & crowded[doc]
                 # What b adds comes first, the rarest ahead; of what b lacks, the most common, which others seldom lack.
@@ -264,13 +294,77 @@ def compared(pairs: DataFrame, bodies: DataFrame, weights, settings: Settings) -
                 run_sum = np.cumsum(weight) - weight
                 starts = np.append(0, ends[:-1])
                 base = np.append(run_sum, 0.0)[np.minimum(starts, len(run_sum))] if len(run_sum) else np.zeros(n)
-                need = apart / 2 + np.maximum(np.bincount(doc, gap * idf, n), 0) / 18
                 is_rare = run_sum - base[doc] <= need[doc] * (1 + 1e-6)
                 rare = [signed[s:e][is_rare[s:e]] for s, e in zip(starts, ends)]
                 others = [signed[s:e][~is_rare[s:e]] for s, e in zip(starts, ends)]
-                yield batch_of(_COMPARED_ARROW, *(batch.column(c) for c in ("a", "b", "crowded")), likeness, rare, others)
+                yield batch_of(_COMPARED_ARROW, *(batch.column(c) for c in ("a", "b", "crowded")), low, high, rare, others)
+
+    return in_both(pairs, bodies).mapInArrow(run, _COMPARED)
+
+
+def exact(pairs: DataFrame, bodies: DataFrame, docs: DataFrame, n: int, settings: Settings) -> DataFrame:
+    """``a, b, similarity`` with the true document frequencies of all shingles of the pairs, over all rows of ``docs``.
+
+    A bitmap of fixed size keeps most shingles that no pair holds out of the count; the join drops the others.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _Words()
+        for whole in batches:
+            for batch in slices(whole, "text_a"):
+                row, h, gap, total = differences(batch, known, settings.words)
+                a, b = (batch.column(c).to_numpy()[row] for c in ("a", "b"))
+                yield batch_of(_TERMS_ARROW, a, b, h.view(np.int64), gap, total)
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(_BITS, bool)
+        for batch in batches:
+            bits[_slot(batch.column("shingle").to_numpy().view(np.uint64), _BITS)] = True
+        pieces = [p for p in range(0, _BITS, _PIECE) if bits[p : p + _PIECE].any()]
+        yield batch_of(marked, pieces, [zlib.compress(np.packbits(bits[p : p + _PIECE]).tobytes(), 1) for p in pieces])
+
+    def unite(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(_PIECE // 8, np.uint8)
+        for batch in batches:
+            for c in batch.column("bits").to_pylist():
+                bits |= np.frombuffer(zlib.decompress(c), np.uint8)
+        yield batch_of(marked, [key[0].as_py()], [bits.tobytes()])
+
+    marked = pa.schema([("piece", pa.int64()), ("bits", pa.binary())])
+    terms = durable(in_both(pairs, bodies).mapInArrow(run, _TERMS), "terms")
+    wanted = np.zeros(_BITS // 8, np.uint8)
+    found = terms.select("shingle").mapInArrow(mark, "piece long, bits binary")
+    for r in found.groupBy("piece").applyInArrow(unite, "piece long, bits binary").toLocalIterator():
+        wanted[r.piece // 8 : (r.piece + _PIECE) // 8] = np.frombuffer(r.bits, np.uint8)
+    shared = docs.sparkSession.sparkContext.broadcast(wanted)
+    counted = pa.schema([("shingle", pa.int64()), ("n", pa.int64())])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, bits = _Words(), shared.value
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                _, h, _ = shingles(batch.column("text").to_pylist(), known, settings.words)
+                at = _slot(h, _BITS)
+                h, times = np.unique(h[(bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1], return_counts=True)
+                yield batch_of(counted, h.view(np.int64), times)
+
+    frequency = texts(docs).select("text").mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("df"))
+    weight = 1 + 0.5 * F.log(1 + F.lit(float(n)) / F.col("df")) / F.log(F.lit(1.0 + max(n, 1)))
+    sums = terms.join(frequency, "shingle").groupBy("a", "b").agg(
+        F.sum(F.abs("gap") * weight).alias("apart"), F.sum(F.col("total") * weight).alias("all")
+    )
+    return sums.select("a", "b", ((F.col("all") - F.col("apart")) / (F.col("all") + F.col("apart"))).alias("similarity"))
+
 
-    return both.mapInArrow(run, _COMPARED)
+def verified(pairs: DataFrame, bodies: DataFrame, docs: DataFrame, bounds, n: int, settings: Settings, name: str) -> DataFrame:
+    """``compared`` with ``close``, whether the true similarity is that of the settings or more."""
+    found = durable(compared(pairs, bodies, bounds, settings), name)
+    sure = F.col("low") >= settings.similarity + 1e-9
+    left = found.where(~sure & (F.col("high") >= settings.similarity - 1e-9)).select("a", "b").distinct()
+    if not left.limit(1).count():
+        return found.withColumn("close", sure)
+    known = durable(exact(left, bodies, docs, n, settings), f"{name}-exact")
+    return found.join(known, ["a", "b"], "left").withColumn("close", F.coalesce(F.col("similarity") >= settings.similarity, sure))
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings(), broadcast_rows: int = 1_000_000) -> DataFrame:
@@ -291,7 +385,9 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), broadcast_
     """
     spark = docs.sparkSession
     frequency, n = document_frequencies(docs, settings)
-    weights = spark.sparkContext.broadcast(inverse_frequencies(frequency, n))  # ``slots`` numbers
+    weights = spark.sparkContext.broadcast(inverse_frequencies(typical(frequency), n))  # ``slots`` numbers
+    one, two = true_weights(np.array([1, 2]), n).tolist()
+    bounds = spark.sparkContext.broadcast((true_weights(frequency, n), one, two))
     rows = durable(signatures(docs, weights, settings), "signatures")
     nodes = rows.groupBy("node").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "copy")).alias("at"), F.first("signature").alias("signature")
@@ -320,12 +416,11 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), broadcast_
     same = F.col("d.doc_id").eqNullSafe(F.col("n.doc_id")) & (F.col("d.copy") == F.col("n.copy"))
     bodies = durable(keyed.alias("d").join(needed.alias("n"), same).select("n.node", "d.text"), "candidate-texts")
 
-    found = durable(compared(pairs, bodies, weights, settings), "compared")
-    close = F.col("similarity") >= settings.similarity
-    links = found.where(close).select("a", "b").distinct()
+    found = verified(pairs, bodies, docs, bounds, n, settings, "compared")
+    links = found.where("close").select("a", "b").distinct()
     classes = durable(components(links), "classes")
     class_of = lambda name: classes.select(F.col("node").alias(name), F.col("component").alias(f"class_{name}"))
-    failed = found.where(~close & F.col("crowded")).select(
+    failed = found.where("NOT close AND crowded").select(
         F.col("a").alias("hub"), F.col("b").alias("x"), F.explode(F.concat("rare", "others")).alias("shingle")
     )
     others = found.where("crowded").select(F.col("a").alias("hub"), F.col("b").alias("y"), F.explode("rare").alias("shingle"))
@@ -335,7 +430,8 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), broadcast_
     open_ = shared.join(class_of("a"), "a", "left").join(class_of("b"), "b", "left").where(
         "coalesce(class_a, a) <> coalesce(class_b, b)"
     ).select("a", "b", F.lit(False).alias("crowded"))
-    late = durable(compared(open_, bodies, weights, settings).where(close).select("a", "b").distinct(), "late-links")
+    late = verified(open_, bodies, docs, bounds, n, settings, "late")
+    late = durable(late.where("close").select("a", "b").distinct(), "late-links")
     links = links.unionByName(late)
     if late.limit(1).count():
         classes = components(links)

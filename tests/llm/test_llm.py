@@ -281,6 +281,33 @@ def test_near_duplicates(spark):
     assert minhash.near_duplicates(empty(spark)).count() == 0
 
 
+def test_near_duplicates_have_true_weights_whatever_the_counters(spark):
+    """Pairs around the similarity of 0.8, with as good as no counters, against true document frequencies."""
+    rng = np.random.RandomState(9)
+    common = [text_of(rng, 40).split() for _ in range(3)]
+    bodies = []
+    for k in range(60):
+        base = [*common[k % 3], *(f"b{k}x{i}" for i in range(40))]
+        hurt = list(base)
+        cut = rng.randint(1, 12)
+        at = 20 if k % 2 else 60
+        hurt[at : at + cut] = [f"h{k}x{i}" for i in range(cut + rng.randint(0, 3))]
+        bodies += [" ".join(base), " ".join(hurt)]
+    bags = [{" ".join(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, bodies)]
+    df, n = {}, len(bodies)
+    for bag in bags:
+        for s in bag:
+            df[s] = df.get(s, 0) + 1
+    mass = lambda bag: sum(1 + 0.5 * np.log(1 + n / df[s]) / np.log(1 + n) for s in bag)
+    same = [mass(bags[i] & bags[i + 1]) / mass(bags[i] | bags[i + 1]) for i in range(0, n, 2)]
+    plain = [len(bags[i] & bags[i + 1]) / len(bags[i] | bags[i + 1]) for i in range(0, n, 2)]
+    assert any((a >= 0.8) != (b >= 0.8) for a, b in zip(same, plain))
+    docs = spark.createDataFrame(list(enumerate(bodies)), "doc_id long, text string")
+    for slots in (1 << 20, 2):
+        found = {r.doc_id: r.class_id for r in minhash.near_duplicates(docs, minhash.Settings(slots=slots)).collect()}
+        assert [found[i] == found[i + 1] for i in range(0, n, 2)] == [s >= 0.8 for s in same]
+
+
 def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(9)] + [(20, 21), (21, 20), (30, 30), (20, 25)], "a long, b long")
     got = {r.node: r.component for r in components(links).collect()}

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from biblioweave.llm import decontam, minhash, packing, queries, secrets, toxicity
@@ -9,11 +12,27 @@ from biblioweave.llm.common import table
 from biblioweave.operators.durable import durable
 
 
+_READ = ("doc_id", "text", "n_chars")
+
+
+def passing(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The stage with all columns it does not read under numbered names, so that none meets its working columns."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, *rest, **settings) -> DataFrame:
+        names = [c if c.lower() in _READ else f"_passed_{i}" for i, c in enumerate(docs.columns)]
+        return stage(spark, docs.toDF(*names), *rest, **settings).toDF(*docs.columns)
+
+    return run
+
+
+@passing
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     field = queries.toxicity_field(docs, table(spark, sf_dir, "labels"))
     return toxicity.with_score(docs, field).where("score < 0.5").select(*docs.columns)
 
 
+@passing
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str, broadcast_rows: int = 1_000_000) -> DataFrame:
     """One row of each class stays. Ids of the rows that go are broadcast only up to ``broadcast_rows``."""
     found = durable(minhash.near_duplicates(docs), "near-copies")
@@ -28,10 +47,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str, broadcas
     return kept.select(*docs.columns)
 
 
+@passing
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontam.with_flag(docs, table(spark, sf_dir, "benchmark")).where("NOT contaminated").select(*docs.columns)
 
 
+@passing
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret span becomes ``[SECRET]``; a text without one stays as it is, a null text null."""
     model = secrets.train(secrets.labelled_strings(docs.select(F.coalesce("text", F.lit("")).alias("text"))))

@@ -1,4 +1,4 @@
-"""Removal of repeated byte strings: hashed prefix-doubling ranks, sorted by Spark at growing lengths.
+"""Removal of repeated byte strings: ranks are hashes taken at growing lengths and sorted by Spark; no prefix doubling.
 
 A string of ``length`` bytes is ranked first by its rarest-looking ``SEED`` bytes (the least hash inside it), then by
 the run of neighbouring strings that share this seed, then as a whole. Spark sorts (rank, position) rows at each

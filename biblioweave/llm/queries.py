@@ -7,11 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontam, minhash, packing, quality, secrets, suffix, syncmers, toxicity, urls
+from . import audit, chat, codes, decontam, minhash, neighbours, oracles, packing, quality, secrets, suffix, syncmers, toxicity, urls
 from .common import table, texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op11_filter_audit": oracles.FILTER_AUDIT, "op13_box_codes": oracles.BOX_CODES}
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -117,3 +117,21 @@ def op9_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@register
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register
+def op12_collision_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@register
+def op13_box_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, codebooks = codes.compress(table(spark, sf_dir, "embeddings"))
+    return codes.with_label_error(coded).select(
+        "vec_id", "code", "error", "label_error", F.lit(codes.digest(codebooks)).alias("codebooks_sha256")
+    )

@@ -11,11 +11,12 @@ import string
 
 from pyspark.sql import Column, functions as F
 
-from .text import SPACE
+from .text import WHITESPACE
 
 
 def sorted_tokens(c: Column) -> Column:
-    return F.array_join(F.array_sort(F.filter(F.split(c, f"{SPACE}+"), lambda t: t != "")), " ")
+    spaced = F.translate(c, WHITESPACE, " " * len(WHITESPACE))
+    return F.array_join(F.array_sort(F.filter(F.split(spaced, " "), lambda t: t != "")), " ")
 
 
 def edit_similarity(a: Column, b: Column) -> Column:
@@ -53,8 +54,8 @@ def most_edits(size: str, percent: int) -> str:
 
 
 def chunk_size(size: str, percent: int) -> str:
-    """Longest chunk of which ``most_edits + 1`` fit side by side into the text."""
-    return f"({size} div ({most_edits(size, percent)} + 1))"
+    """Longest chunk of which ``most_edits + 2`` fit side by side into the text; two of them survive."""
+    return f"({size} div ({most_edits(size, percent)} + 2))"
 
 
 def letter_bits(column: str) -> Column:

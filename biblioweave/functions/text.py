@@ -63,9 +63,10 @@ def title_key(column: str, settings: Settings = DEFAULTS) -> Column:
         WHEN endswith(t, 'ies') AND length(t) > 4 THEN concat(substring(t, 1, length(t) - 3), 'y')
         WHEN {drop_es} THEN substring(t, 1, length(t) - 2)
         ELSE substring(t, 1, length(t) - 1) END"""
-    others, gaps = _sql_text(f"[^a-zA-Z{WHITESPACE}]"), _sql_text(f"{SPACE}+")
-    letters = f"lower(regexp_replace(coalesce(cast(`{column}` AS string), ''), {others}, ''))"
-    kept = f"filter(split({letters}, {gaps}), t -> t <> '' AND t NOT IN ({stops}))"
+    # White space of every kind becomes the space first: patterns of ASCII characters alone are several times faster.
+    spaced = f"translate(coalesce(cast(`{column}` AS string), ''), {_sql_text(WHITESPACE)}, '{' ' * len(WHITESPACE)}')"
+    letters = f"lower(regexp_replace({spaced}, '[^a-zA-Z ]', ''))"
+    kept = f"filter(split({letters}, ' '), t -> t <> '' AND t NOT IN ({stops}))"
     return F.expr(f"array_join(filter(transform({kept}, t -> {lemma}), t -> t NOT IN ({stops})), ' ')")
 
 

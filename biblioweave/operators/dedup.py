@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..config import DEFAULTS, Settings
@@ -18,18 +20,33 @@ def _first(df: DataFrame, keys, order) -> DataFrame:
     return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 
 
-def first_per_title(df: DataFrame) -> DataFrame:
-    """Keep the first record of every title key; blank keys are never equal."""
+def _hash(c):
+    return F.unhex(F.md5(c))
+
+
+def first_per_title(keys: DataFrame) -> DataFrame:
+    """Keep the first record of every title key; blank keys are never equal.
+
+    The rows themselves are shuffled, so pass the few columns that are needed; ``first_whole`` is for whole records.
+    """
     own = F.when(F.col("title_key") == "", F.col("doc_ord"))
-    return _first(df, ["title_key", own], ["doc_ord"])
+    return _first(keys, [_hash("title_key"), own], ["doc_ord"])
 
 
-def first_per_title_and_year(df: DataFrame) -> DataFrame:
-    """Keep the first record of every (title, year), first source first; blank titles are never equal."""
+def first_whole(df: DataFrame) -> DataFrame:
+    """As ``first_per_title`` for records of many columns: they only meet the numbers that stay."""
+    return df.join(first_per_title(df.select("doc_ord", "title_key")).select("doc_ord"), "doc_ord", "left_semi")
+
+
+def first_per_title_and_year(df: DataFrame, row: Sequence[str] = ("doc_ord",)) -> DataFrame:
+    """Keep the first record of every (title, year), first source first; blank titles are never equal.
+
+    Records of one source have different names ``row``. For a few columns, as ``first_per_title``.
+    """
     named = df.withColumn("Title", text.ws_trim(F.col("Title"))).withColumn("Year", text.year(F.col("Year")))
     rank = F.when(F.col("Source") == "Web of science", 1).otherwise(0)
-    own = F.when(text.is_blank(F.col("Title")), F.struct(rank, "doc_ord"))
-    return _first(named, ["Title", "Year", own], [rank, "doc_ord"])
+    own = F.when(text.is_blank(F.col("Title")), F.struct(rank, *[F.col(f"`{c}`") for c in row]))
+    return _first(named, [_hash("Title"), "Year", own], [rank, "doc_ord", *[F.col(f"`{c}`") for c in row]])
 
 
 def doi_lookup(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -1,29 +1,31 @@
 """Best fuzzy match of every query text among all choice texts, without a cross join.
 
-Exact by construction (the pigeonhole argument of partition-based similarity
-joins): k edits can damage at most k of k + 1 disjoint chunks of a text, so some
-chunk survives inside every text within k edits, shifted by at most k places.
-Choices emit their chunks, queries emit all their substrings of chunk size, and
-an equi-join on (length band, chunk) meets every pair that can pass. Position,
-letter and bounded edit-distance tests run inside the join, so only passing
-pairs leave it, and the best of each query is pre-aggregated before the shuffle.
+Exact by construction. Of the k + 2 disjoint chunks of a choice at least two survive k edits. Reading from the left,
+take the first chunk i that is unharmed with no more edits before it than i, and the next one in the same way: before
+chunk i of the two there are at most i edits and after it at most k + 1 - i, which bounds how far it can have moved.
+Choices emit their chunks at the places they can move to, queries all their substrings of chunk size at their own place, and an
+equi-join on (length band, place, chunk) meets them. Its rows carry ids, numbers and letter flags only. Pairs of ids that
+share two different chunks are left; their texts are fetched and compared once, and the best of each query is
+pre-aggregated before the shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from ..functions import similarity as sim
+from ..functions.text import WHITESPACE
 from .durable import durable
-from .skew import spread
 
 _PLAIN, _SORTED = 0, 1
-# Pairs, not rows, are the work of a chunk, so its choices are split finer than elsewhere.
+# Pairs, not rows, are the work of a key, so its rows are split finer than elsewhere. Fewer keys than this can be hot on a side.
 _HOT_SHARE = 4096
+# Texts are cut into stretches before they are exploded, so that no emitted place walks a text from its start.
+_STRETCH = 512
 
 
 def _forms(df: DataFrame, text: str, percent: int, token_sort_only: bool) -> DataFrame:
-    """One row per text and form (as written, tokens sorted) with its length band."""
+    """One row per text and form (as written, tokens sorted) with its length, band, letters and place width."""
     forms = [F.struct(F.lit(_SORTED).alias("form"), sim.sorted_tokens(F.col(text)).alias("s"))]
     if not token_sort_only:
         forms.append(F.struct(F.lit(_PLAIN).alias("form"), F.col(text).alias("s")))
@@ -36,6 +38,141 @@ def _forms(df: DataFrame, text: str, percent: int, token_sort_only: bool) -> Dat
     )
 
 
+def _width(band: str, percent: int) -> str:
+    """Places in a key are counted in steps of this width: half the edits that its length band allows."""
+    return f"greatest(4, cast(floor(pow({100.0 / (percent - 1)}, {band}) * {(100 - percent) / 200}) AS int))"
+
+
+def choice_keys(c: DataFrame, queries: DataFrame, percent: int) -> DataFrame:
+    """``most_edits + 2`` chunks (``i``, ``pos``) per choice, for each band that queries have and each place they can move to.
+
+    Lengths fit into 31 bits, so there are under ln(2**31) / ln(100 / (T - 1)) bands:
+    a few hundred rows at the very most, whatever the data.
+    """
+    near = F.explode(F.array(*[F.col("band") + d for d in (-1, 0, 1)]))
+    bands = (
+        queries.select("form", "band").distinct()
+        .select("form", near.alias("c_band"), F.col("band").alias("q_band"))
+        .groupBy(F.col("form").alias("c_form"), "c_band")
+        .agg(F.collect_set("q_band").alias("q_bands"))
+    )
+    chunks = f"(cast({sim.most_edits('n', percent)} AS int) + 2)"
+    at_once = f"cast(greatest(1, {_STRETCH} div greatest(size, 1)) AS int)"
+    own = [x for x in c.columns if x not in ("s", "band")]
+    width = _width("q_band", percent)
+    return (
+        c.join(F.broadcast(bands), F.expr("form = c_form AND band = c_band"))
+        .select(*own, "s", "q_bands", sim.letter_bits("s").alias("letters"), F.expr(f"cast({sim.chunk_size('n', percent)} AS int) AS size"))
+        .selectExpr("*", f"explode(sequence(0, {chunks} - 1, {at_once})) AS first")
+        .selectExpr("*", f"substring(s, first * size + 1, size * {at_once}) AS stretch")
+        .selectExpr("*", f"explode(sequence(0, least({at_once}, {chunks} - first) - 1)) AS next")
+        .select(*own, "letters", "q_bands", F.expr("first + next AS i"), F.expr("(first + next) * size AS pos"),
+                F.expr("xxhash64(substring(stretch, next * size + 1, size)) AS chunk"))
+        .selectExpr("*", "explode(q_bands) AS q_band")
+        .selectExpr("*", f"explode(sequence(greatest(0, pos - i) div {width}, (pos + i) div {width})) AS place")
+        .select(*own, "letters", "i", "pos", F.xxhash64("form", "q_band", "place", "chunk").alias("key"))
+    )
+
+
+def query_keys(q: DataFrame, percent: int) -> DataFrame:
+    """Every substring of a query that has the chunk size of a possible partner."""
+    shortest = f"(({percent} * n + 99) div 100)"
+    longest = f"((100 * n) div {percent})"
+    sizes = f"array_distinct(transform(sequence({shortest}, {longest}), l -> cast({sim.chunk_size('l', percent)} AS int)))"
+    own = [x for x in q.columns if x not in ("s", "band")]
+    return (
+        q.select(*own, "s", "band", sim.letter_bits("s").alias("letters"), F.explode(F.expr(sizes)).alias("size"))
+        .selectExpr("*", f"{_width('band', percent)} AS width", f"explode(sequence(0, n - 1, {_STRETCH})) AS first")
+        .selectExpr("*", f"substring(s, first + 1, {_STRETCH} + size) AS stretch")
+        .selectExpr("*", f"explode(sequence(0, least({_STRETCH}, n - first) - 1)) AS next")
+        .where("first + next + size <= n")
+        .select(*own, "letters", F.expr("first + next AS pos"),
+                F.expr("xxhash64(form, band, (first + next) div width, xxhash64(substring(stretch, next + 1, size))) AS key"))
+    )
+
+
+def _hot_pairs(c_keys: DataFrame, q_keys: DataFrame, hot_rows: int) -> list[Row]:
+    """Keys of both sides that many choices or very many queries share, with the splits each side needs."""
+    sides = c_keys.select("key", F.lit(1).alias("_c"), F.lit(0).alias("_q")).unionByName(
+        q_keys.select("key", F.lit(0).alias("_c"), F.lit(1).alias("_q"))
+    )
+    counts = sides.groupBy("key").agg(F.sum("_c").alias("_c"), F.sum("_q").alias("_q"))
+    # The totals follow from the counts, so one pass finds keys above the fixed bounds and the totals that raise them.
+    large = counts.where(f"_c > 0 AND _q > 0 AND (_c > {hot_rows} OR _q > {50 * hot_rows})")
+    if not large.limit(1).count():
+        return []
+    total = counts.agg(F.sum("_c").alias("c"), F.sum("_q").alias("q")).first()
+    per_c, per_q = max(total.c / _HOT_SHARE, hot_rows), max(total.q / _HOT_SHARE, 50 * hot_rows)
+    return (
+        large.where(f"_c > {per_c} OR _q > {per_q}")
+        .select("key", F.ceil(F.col("_c") / per_c).cast("int").alias("c_splits"), F.ceil(F.col("_q") / per_q).cast("int").alias("q_splits"))
+        .collect()
+    )
+
+
+def _split(keys: DataFrame, hot: DataFrame, row_id: str, own: str, other: str) -> DataFrame:
+    """Rows of a hot key are dealt over their own side's splits and repeated for each split of the other side."""
+    dealt = F.pmod(F.xxhash64(row_id), F.coalesce(f"{own}_splits", F.lit(1))).alias(f"{own}_salt")
+    repeated = F.explode(F.sequence(F.lit(0), F.coalesce(f"{other}_splits", F.lit(1)) - 1)).alias(f"{other}_salt")
+    salted = F.when(F.col("c_splits").isNull(), F.col("key")).otherwise(F.xxhash64("key", F.col("c_salt").cast("long"), F.col("q_salt").cast("long")))
+    return (
+        keys.join(F.broadcast(hot), "key", "left").select("*", dealt, repeated)
+        .withColumn("key", salted).drop("c_splits", "q_splits", "c_salt", "q_salt")
+    )
+
+
+def _loss(one: Column, other: Column, percent: int) -> Column:
+    """The negative similarity, or NULL where there are more edits than allowed."""
+    longer = F.greatest(F.length(one), F.length(other))
+    some = (F.length(one) > 0) & (F.length(other) > 0)
+    allowed = F.floor((100 - percent) * longer / F.lit(100)).cast("int")
+    edits = F.call_function("levenshtein", one, other, allowed)
+    return F.when(some & (edits >= 0), -(1.0 - edits / longer))
+
+
+def _within_reach(queries: DataFrame, choices: DataFrame, query_text: str, choice_text: str, percent: int) -> DataFrame:
+    """Choices that are not too long for the longest query in either form: white space aside, no form has fewer letters."""
+    longest = queries.agg(F.max(F.length(query_text))).first()[0] or 0
+    letters = F.length(F.translate(F.col(choice_text), WHITESPACE, ""))
+    return choices.where(letters <= 100 * longest // percent)
+
+
+def candidates(
+    queries: DataFrame, choices: DataFrame, query_id: str, query_text: str, choice_order: str, choice_text: str, percent: int,
+    token_sort_only: bool = False, years: tuple[str, str, int] | None = None, hot_rows: int = 2_000,
+) -> DataFrame:
+    """The distinct pairs of ids that share two chunks of one form and pass the tests on places and letters.
+
+    A superset of all pairs that can pass.
+    """
+    same_year = f"coalesce(abs(q.{years[0]} - c.{years[1]}) <= {years[2]}, true)" if years else "true"
+    q_year, c_year = ([years[0]], [years[1]]) if years else ([], [])
+    c = _forms(choices.select(choice_order, *c_year, choice_text), choice_text, percent, token_sort_only)
+    q = _forms(queries.select(query_id, *q_year, query_text), query_text, percent, token_sort_only)
+    c_keys, q_keys = choice_keys(c, q, percent), query_keys(q, percent)
+    spark = queries.sparkSession
+    if hot := _hot_pairs(c_keys, q_keys, hot_rows):
+        table = spark.createDataFrame(hot, "key long, c_splits int, q_splits int")
+        c_keys, q_keys = _split(c_keys, table, choice_order, "c", "q"), _split(q_keys, table, query_id, "q", "c")
+    edits = f"(({100 - percent} * greatest(q.n, c.n)) div 100)"
+    condition = F.expr(
+        f"""q.key = c.key AND q.form <= c.form AND q.form >= c.form
+        AND abs(q.pos - c.pos) <= c.i
+        AND abs((q.n - q.pos) - (c.n - c.pos)) <= cast({sim.most_edits('c.n', percent)} AS int) + 1 - c.i
+        AND abs(q.pos - c.pos) + abs((q.n - q.pos) - (c.n - c.pos)) <= {edits}
+        AND bit_count(q.letters & ~c.letters) <= {edits}
+        AND bit_count(c.letters & ~q.letters) <= {edits}
+        AND {same_year}"""
+    )
+    # Sizes do not tell the work of this join, which is pairs: neither side is broadcast, and small partitions are not merged.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    met = q_keys.repartition(parts, "key").alias("q").join(c_keys.repartition(parts, "key").alias("c").hint("merge"), condition)
+    shared = met.groupBy(F.col(f"q.{query_id}").alias(query_id), F.col(f"c.{choice_order}").alias(choice_order), F.col("q.form").alias("_form")).agg(
+        F.min("c.i").alias("_low"), F.max("c.i").alias("_high")
+    )
+    return shared.where("_low < _high").select(query_id, choice_order).distinct()
+
+
 def best_match(
     queries: DataFrame,
     choices: DataFrame,
@@ -55,7 +192,7 @@ def best_match(
     ``choice_order`` are unique; the lowest ``choice_order`` wins a tie. With
     ``years`` (query column, choice column, tolerance) choices of another year
     are no candidates. Both inputs are read several times: pass stored tables, or
-    cheap plans on them. A chunk that more than ``hot_rows`` choices share is
+    cheap plans on them. A key that more than ``hot_rows`` choices share is
     split over several tasks.
     """
     carried = [choice_order] + [c for c in choices.columns if c not in (choice_order, choice_text)]
@@ -63,6 +200,7 @@ def best_match(
     same_year = f"coalesce(abs({years[0]} - {years[1]}) <= {years[2]}, true)" if years else "true"
     q_year, c_year = ([years[0]], [years[1]]) if years else ([], [])
 
+    choices = _within_reach(queries, choices, query_text, choice_text, percent)
     # Equal up to token order is the best score there is: an equi-join settles it.
     c_equal = (
         choices.withColumn("_s", sim.sorted_tokens(F.col(choice_text)))
@@ -75,38 +213,18 @@ def best_match(
     if years:
         settled = settled.groupBy(*queries.columns).agg(F.min("_equal").alias("_equal"))
     settled = durable(settled, "queries")
+    still_open = settled.where("_equal IS NULL").select(query_id, *q_year, query_text)
 
-    c = _forms(choices, choice_text, percent, token_sort_only)
-    open_queries = settled.where("_equal IS NULL").select(query_id, *q_year, query_text)
-    q = _forms(open_queries, query_text, percent, token_sort_only)
-    # A chunk may be common among the choices, among the queries, or both.
-    c_keys, q_keys = spread(
-        _choice_keys(c, q, percent), _query_keys(q, percent), ["key"], choice_order, _HOT_SHARE, hot_rows, "_c_salt"
-    )
-    q_keys, c_keys = spread(q_keys, c_keys, ["key"], query_id, _HOT_SHARE, 50 * hot_rows, "_q_salt")
-    salts = [x for x in ("_c_salt", "_q_salt") if x in c_keys.columns]
-    same_salt = " AND ".join(f"q.{x} = c.{x}" for x in salts) or "true"
-
-    longer = f"(({100 - percent} * greatest(q.n, c.n)) div 100)"
-    condition = F.expr(
-        f"""q.key = c.key AND {same_salt} AND q.form = c.form
-        AND abs(q.pos - c.pos) + abs((q.n - q.pos) - (c.n - c.pos)) <= {longer}
-        AND bit_count(q.letters & ~c.letters) <= {longer}
-        AND bit_count(c.letters & ~q.letters) <= {longer}
-        AND {same_year}
-        AND levenshtein(q.s, c.s, cast({longer} AS int)) >= 0"""
-    )
-    score = 1.0 - F.levenshtein("q.s", "c.s") / F.greatest("q.n", "c.n")
-    # Size estimates do not see the explosion into chunks, so neither side may be broadcast on them.
+    met = candidates(still_open, choices, query_id, query_text, choice_order, choice_text, percent, token_sort_only, years, hot_rows)
+    wanted = still_open.select(query_id, F.col(query_text).alias("_q"))
+    offered = choices.select(F.col(choice_order), match.alias("_match"), F.col(choice_text).alias("_c"))
+    both = met.join(wanted, query_id).join(offered, choice_order)
+    loss = _loss(sim.sorted_tokens(F.col("_q")), sim.sorted_tokens(F.col("_c")), percent)
+    if not token_sort_only:
+        loss = F.least(loss, _loss(F.col("_q"), F.col("_c"), percent))
     near = (
-        q_keys.alias("q")
-        .join(c_keys.alias("c").hint("merge"), condition)
-        .select(
-            F.col(f"q.{query_id}").alias(query_id),
-            F.struct((-score).alias("loss"), F.struct(*[F.col(f"c.{x}") for x in carried]).alias("match")).alias("_near"),
-        )
-        .groupBy(query_id)
-        .agg(F.min("_near").alias("_near"))
+        both.select(query_id, loss.alias("loss"), F.col("_match").alias("match"))
+        .groupBy(query_id).agg(F.min(F.when(F.col("loss").isNotNull(), F.struct("loss", "match"))).alias("_near"))
     )
     found = settled.join(near, query_id, "left").where("_equal IS NOT NULL OR _near IS NOT NULL")
     chosen = F.coalesce("_equal", "_near.match")
@@ -115,45 +233,3 @@ def best_match(
         *[chosen[x].alias(x) for x in carried],
         F.coalesce(-F.col("_near.loss"), F.lit(1.0)).alias("score"),
     )
-
-
-def _choice_keys(c: DataFrame, queries: DataFrame, percent: int) -> DataFrame:
-    """``most_edits + 1`` disjoint chunks per choice, for each band that queries have.
-
-    Lengths fit into 31 bits, so there are under ln(2**31) / ln(100 / (T - 1)) bands:
-    a few hundred rows at the very most, whatever the data.
-    """
-    near = F.explode(F.array(*[F.col("band") + d for d in (-1, 0, 1)]))
-    bands = (
-        queries.select("form", "band").distinct()
-        .select("form", near.alias("c_band"), F.col("band").alias("q_band"))
-        .groupBy(F.col("form").alias("c_form"), "c_band")
-        .agg(F.collect_set("q_band").alias("q_bands"))
-    )
-    edits = sim.most_edits("n", percent)
-    size = sim.chunk_size("n", percent)
-    return (
-        c.join(F.broadcast(bands), F.expr("form = c_form AND band = c_band"))
-        .withColumn("letters", sim.letter_bits("s"))
-        .withColumn("size", F.expr(f"cast({size} AS int)"))
-        .withColumn("i", F.explode(F.expr(f"sequence(0, cast({edits} AS int))")))
-        .withColumn("q_band", F.explode("q_bands"))
-        .withColumn("pos", F.expr("i * size"))
-        .withColumn("key", F.xxhash64("form", "q_band", F.expr("substring(s, pos + 1, size)")))
-        .drop("band", "c_form", "c_band", "q_bands", "q_band", "size", "i")
-    )
-
-
-def _query_keys(q: DataFrame, percent: int) -> DataFrame:
-    """Every substring of a query that has the chunk size of a possible partner."""
-    shortest = f"(({percent} * n + 99) div 100)"
-    longest = f"((100 * n) div {percent})"
-    sizes = f"array_distinct(transform(sequence({shortest}, {longest}), l -> {sim.chunk_size('l', percent)}))"
-    return (
-        q.withColumn("letters", sim.letter_bits("s"))
-        .withColumn("size", F.explode(F.expr(sizes)))
-        .where("size <= n")
-        .withColumn("pos", F.explode(F.expr("sequence(0, n - cast(size AS int))")))
-        .withColumn("key", F.xxhash64("form", "band", F.expr("substring(s, pos + 1, cast(size AS int))")))
-        .drop("band", "size")
-    )

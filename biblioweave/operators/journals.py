@@ -50,7 +50,9 @@ def canonical_titles(records: DataFrame, journals: DataFrame, settings: Settings
         }
     ).withColumn("_key", F.coalesce(F.concat(F.lit("issn "), "_issn"), F.concat(F.lit("name "), "_name")))
     found = _canonical_names(keyed.select("_key", "_issn", "_name"), journals, settings)
-    joined = spread_join(keyed, found, ["_key"], "_row", "left")
+    # Records of the preferred source have no key: they keep their names and are not moved.
+    joined = spread_join(keyed.where("_key IS NOT NULL"), found, ["_key"], "_row", "left")
+    joined = joined.unionByName(keyed.where("_key IS NULL"), allowMissingColumns=True)
     result = joined.withColumn("Source title", text.journal_name(F.coalesce("_found", own)))
     if "Source" in columns:
         result = result.withColumn("Source", source)
@@ -157,11 +159,15 @@ def with_metrics(records: DataFrame, keys: DataFrame) -> DataFrame:
     return spread_join(left, right, list(names.values()), "_row", "left").drop(*names.values(), "_row")
 
 
+def journal_rows(records: DataFrame, journals: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """The journal row ``j`` (or NULL) of every key: by ISSN and year, else by name and year."""
+    keys = durable(metrics_by_issn(journal_keys(records), journals), "journal-keys")
+    return metrics_by_title(keys, journals, settings)
+
+
 def enrich(records: DataFrame, journals: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Every record once, gaps in its metric columns filled from its journal row."""
-    keys = durable(metrics_by_issn(journal_keys(records), journals), "journal-keys")
-    matched = with_metrics(records, metrics_by_title(keys, journals, settings))
-    return unpack_metrics(matched, records.columns)
+    return unpack_metrics(with_metrics(records, journal_rows(records, journals, settings)), records.columns)
 
 
 def unpack_metrics(matched: DataFrame, own: list[str]) -> DataFrame:

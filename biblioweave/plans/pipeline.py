@@ -1,21 +1,36 @@
-"""The whole consolidation run: two sources and a journal list in, clean data and reports out."""
+"""The whole consolidation run: two sources and a journal list in, clean data and reports out.
+
+Everything that is decided about a record (duplicates, flags, journal name and metrics, the final exact dedup) depends on a few
+narrow columns. So the records are cleaned and stored once, the decisions are made on narrow tables, and the
+whole records meet their decision in a single join.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from ..config import DEFAULTS, Settings
+from ..functions import text
 from ..operators import align, dedup, journals as journal_ops
 from ..operators.durable import durable
 from . import reports
 
+# Columns of each source that decisions and reports need.
+_NARROW_A = ("doc_ord", "Title", "Year", "DOI", "Source", "Source title", "ISSN", "Cited by", "title_key")
+_NARROW_B = (
+    "doc_ord", "Article Title", "Publication Year", "DOI", "Source", "Source Title", "ISSN", "Cited Reference Count", "title_key",
+)
+_ROW = ["_origin", "doc_ord"]
+
 
 @dataclass(frozen=True)
 class Sources:
-    """Cleaned sources after the duplicates inside each are gone."""
+    """Cleaned sources: whole records, and the narrow columns of those that are left after the duplicates inside each are gone."""
 
+    records_a: DataFrame | None
+    records_b: DataFrame | None
     a: DataFrame | None
     b: DataFrame | None
 
@@ -31,14 +46,26 @@ class Result:
 _PAIR_SCHEMA = "title_key string, match_method string, a_ord long, b_ord long, score double"
 
 
-def read_sources(raw_a: DataFrame | None, raw_b: DataFrame | None, settings: Settings = DEFAULTS) -> Sources:
+def _narrow(records: DataFrame | None, columns: tuple[str, ...], name: str) -> DataFrame | None:
+    if records is None:
+        return None
+    kept = records.select(*[F.col(f"`{c}`") for c in columns if c in records.columns])
+    return durable(dedup.first_per_title(kept), name)
+
+
+def read_sources(
+    raw_a: DataFrame | None, raw_b: DataFrame | None, settings: Settings = DEFAULTS, stable: bool = False
+) -> Sources:
     """Clean both sources and keep the first record of every title.
 
-    Both results feed several consumers, so they are written once.
+    The records are read twice: a few columns for the decisions, and whole at the end. Scans of exports number their records
+    while reading, so the cleaned records are written once, without a shuffle. ``stable`` inputs give
+    every record the same ``doc_ord`` at each reading (tables that hold it) and are read again instead.
     """
-    a = durable(dedup.first_per_title(align.prepare_a(raw_a, settings)), "source-a") if raw_a is not None else None
-    b = durable(dedup.first_per_title(align.prepare_b(raw_b, settings)), "source-b") if raw_b is not None else None
-    return Sources(a, b)
+    keep = (lambda df, name: df) if stable else durable
+    a = keep(align.prepare_a(raw_a, settings), "source-a") if raw_a is not None else None
+    b = keep(align.prepare_b(raw_b, settings), "source-b") if raw_b is not None else None
+    return Sources(a, b, _narrow(a, _NARROW_A, "keys-a"), _narrow(b, _NARROW_B, "keys-b"))
 
 
 def match_sources(sources: Sources, settings: Settings = DEFAULTS) -> DataFrame:
@@ -50,26 +77,77 @@ def match_sources(sources: Sources, settings: Settings = DEFAULTS) -> DataFrame:
 
 
 def kept_of_b(sources: Sources, pairs: DataFrame) -> DataFrame | None:
+    """The narrow columns of the second source's records that stay."""
     return None if sources.b is None else align.kept_records(dedup.flag_records(sources.b, pairs))
 
 
+def flagged(sources: Sources, pairs: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """The narrow columns of all kept records with ``In_Both``, in the first source's names; a row is (``_origin``, ``doc_ord``)."""
+    a, kept = sources.a, kept_of_b(sources, pairs)
+    first = None if a is None else dedup.flag_titles(a, dedup.duplicate_titles(pairs)).withColumn("_origin", F.lit(0))
+    second = None if kept is None else align.b_in_a_schema(kept, settings).withColumn("_origin", F.lit(1))
+    return align.union_sources(first, second)
+
+
+def whole_records(sources: Sources, settings: Settings = DEFAULTS) -> DataFrame:
+    """All cleaned records of both sources in one schema, duplicates included; a row is (``_origin``, ``doc_ord``)."""
+    a, b = sources.records_a, sources.records_b
+    first = None if a is None else a.withColumn("_origin", F.lit(0))
+    second = None if b is None else align.b_in_a_schema(b, settings).withColumn("_origin", F.lit(1))
+    return align.union_sources(first, second)
+
+
+def with_decisions(records: DataFrame, decided: DataFrame) -> DataFrame:
+    """The decided records, each with the columns of its decision in place of its own: the one join that moves whole records."""
+    changed = [c for c in decided.columns if c not in _ROW]
+    own = [c for c in records.columns if c not in changed]
+    return records.select(*[F.col(f"`{c}`") for c in own]).join(decided, _ROW).select(
+        *[F.col(f"`{c}`") for c in [*records.columns, *[c for c in changed if c not in records.columns]]]
+    )
+
+
 def combine(sources: Sources, pairs: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Flagged records of both sources in one schema."""
-    kept = kept_of_b(sources, pairs)
-    flagged = None if sources.a is None else dedup.flag_titles(sources.a, dedup.duplicate_titles(pairs))
-    return align.union_sources(flagged, None if kept is None else align.b_in_a_schema(kept, settings))
+    marks = flagged(sources, pairs, settings).select(*_ROW, "In_Both")
+    return with_decisions(whole_records(sources, settings), marks).drop("_origin")
+
 
+def decide(
+    sources: Sources, pairs: DataFrame, journals: DataFrame | None, settings: Settings = DEFAULTS, unique: bool = True
+) -> DataFrame:
+    """Which records stay, and what replaces their columns: flag, journal name, and the journal row ``j`` of their metrics.
 
-def clean(combined: DataFrame, journals: DataFrame | None, settings: Settings = DEFAULTS) -> DataFrame:
-    """Canonical journal names, cleaned columns, journal metrics, final exact dedup."""
-    if journals is not None:
-        combined = journal_ops.canonical_titles(combined, journals, settings)
-    records = align.clean_combined(combined, settings)
-    if journals is not None:
-        needed = {"ISSN", "Year", "Source title"}
-        if needed <= set(records.columns):
-            records = journal_ops.enrich(durable(records, "records"), journals, settings)
-    return dedup.first_per_title_and_year(records)
+    With ``unique`` only the first record of every title and year stays. Nothing after that depends on other records, so it
+    comes before the journals are looked up.
+    """
+    rows = flagged(sources, pairs, settings)
+    if "Year" in rows.columns:
+        rows = rows.withColumn("Year", text.year(F.col("Year")))
+        rows = rows.where(F.col("Year").between(settings.year_start, settings.year_end))
+    if unique:
+        rows = dedup.first_per_title_and_year(rows, _ROW)
+    if journals is None:
+        return rows.select(*_ROW, "In_Both")
+    rows = journal_ops.canonical_titles(durable(rows, "flagged"), journals, settings)
+    changed = ["In_Both", *[c for c in ("Source", "Source title") if c in rows.columns]]
+    if not {"ISSN", "Year", "Source title"} <= set(rows.columns):
+        return rows.select(*_ROW, *changed)
+    rows = rows.withColumn("ISSN", text.issn_cell(F.col("ISSN")))
+    rows = durable(rows.select(*dict.fromkeys([*_ROW, *changed, "ISSN", "Year"])), "named")
+    return journal_ops.with_metrics(rows, journal_ops.journal_rows(rows, journals, settings)).select(*_ROW, *changed, "j")
+
+
+def clean(records: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """Cleaned columns, and gaps of the metric columns filled from the journal row ``j`` where there is one."""
+    cleaned = align.clean_combined(records, settings).drop("_origin")
+    if "j" not in cleaned.columns:
+        return cleaned
+    return journal_ops.unpack_metrics(cleaned, [c for c in cleaned.columns if c != "j"])
+
+
+def assemble(sources: Sources, decided: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """The clean records that ``decided`` (stored) keeps."""
+    return clean(with_decisions(whole_records(sources, settings), decided), settings)
 
 
 def consolidate(
@@ -77,13 +155,15 @@ def consolidate(
     raw_b: DataFrame | None,
     journals: DataFrame | None = None,
     settings: Settings = DEFAULTS,
+    stable: bool = False,
 ) -> tuple[Sources, DataFrame, DataFrame]:
     """The cleaned sources, the pair table and the clean records."""
     if raw_a is None and raw_b is None:
         raise ValueError("there is no source to read")
-    sources = read_sources(raw_a, raw_b, settings)
+    sources = read_sources(raw_a, raw_b, settings, stable)
     pairs = match_sources(sources, settings)
-    return sources, pairs, clean(combine(sources, pairs, settings), journals, settings)
+    decided = durable(decide(sources, pairs, journals, settings), "decisions")
+    return sources, pairs, assemble(sources, decided, settings).withColumn("Title", text.ws_trim(F.col("Title")))
 
 
 def run(
@@ -91,9 +171,10 @@ def run(
     raw_b: DataFrame | None,
     journals: DataFrame | None = None,
     settings: Settings = DEFAULTS,
+    stable: bool = False,
 ) -> Result:
     """``raw_a`` and ``raw_b`` carry ``doc_ord``, ``journals`` carries ``j_ord`` (their input order)."""
-    sources, pairs, records = consolidate(raw_a, raw_b, journals, settings)
+    sources, pairs, records = consolidate(raw_a, raw_b, journals, settings, stable)
     records = durable(records, "clean")
     tables = report_tables(raw_a, raw_b, sources, pairs, records, settings)
     return Result(records, dedup.duplicate_titles(pairs), pairs, tables)

@@ -48,7 +48,7 @@ def _b1(spark, sf):
 
 
 def _sources(spark, sf):
-    return pipeline.read_sources(tables.source_a(spark, sf), tables.source_b(spark, sf))
+    return pipeline.read_sources(tables.source_a(spark, sf), tables.source_b(spark, sf), stable=True)
 
 
 def _combined(spark, sf):
@@ -154,12 +154,12 @@ def prepared_b(spark, sf):
 
 @register("SELECT * FROM a1")
 def dedup_within_a(spark, sf):
-    return _a1(spark, sf)
+    return dedup.first_whole(_a(spark, sf))
 
 
 @register("SELECT * FROM b1")
 def dedup_within_b(spark, sf):
-    return _b1(spark, sf)
+    return dedup.first_whole(_b(spark, sf))
 
 
 @register("SELECT * FROM doi_m")
@@ -169,9 +169,8 @@ def doi_matches(spark, sf):
 
 @register("SELECT * FROM b1 WHERE doc_ord IN (SELECT b_ord FROM doi_m)")
 def doi_semi_join(spark, sf):
-    b = _b1(spark, sf)
-    matched = dedup.doi_matches(dedup.doi_lookup(_a1(spark, sf), b))
-    return b.join(matched.select(F.col("b_ord").alias("doc_ord")), "doc_ord", "left_semi")
+    matched = dedup.doi_matches(dedup.doi_lookup(_a1(spark, sf), _b1(spark, sf)))
+    return _b(spark, sf).join(matched.select(F.col("b_ord").alias("doc_ord")), "doc_ord", "left_semi")
 
 
 @register("SELECT * FROM cand")
@@ -230,7 +229,8 @@ def in_both_flags(spark, sf):
 @register("SELECT * FROM b_kept")
 def b_to_a_schema(spark, sf):
     sources = _sources(spark, sf)
-    return align.b_in_a_schema(pipeline.kept_of_b(sources, pipeline.match_sources(sources)))
+    marks = pipeline.flagged(sources, pipeline.match_sources(sources)).where("_origin = 1").select("doc_ord", "In_Both")
+    return align.b_in_a_schema(sources.records_b.join(marks, "doc_ord"))
 
 
 @register("SELECT * FROM combined")
@@ -245,7 +245,8 @@ def union_sources(spark, sf):
 )
 def records_per_source_and_year(spark, sf):
     """Flagship: both sources deduplicated, united and counted."""
-    records = _combined(spark, sf).select("Source", text.year(F.col("Year")).alias("Year"))
+    sources = _sources(spark, sf)
+    records = pipeline.flagged(sources, pipeline.match_sources(sources)).select("Source", text.year(F.col("Year")).alias("Year"))
     return (
         records.where(F.col("Year").between(DEFAULTS.year_start, DEFAULTS.year_end))
         .groupBy("Source", "Year")
@@ -260,8 +261,9 @@ def issn_title_map(spark, sf):
 
 @register('SELECT "Source", doc_ord, "Source title" FROM canon')
 def canonical_titles(spark, sf):
-    canon = journals.canonical_titles(_combined(spark, sf), tables.journal_reference(spark, sf))
-    return canon.select("Source", "doc_ord", "Source title")
+    sources = _sources(spark, sf)
+    rows = durable(pipeline.flagged(sources, pipeline.match_sources(sources)), "flagged")
+    return journals.canonical_titles(rows, tables.journal_reference(spark, sf)).select("Source", "doc_ord", "Source title")
 
 
 @register("SELECT * FROM cleaned")
@@ -295,7 +297,9 @@ def journal_metrics_title_fallback(spark, sf):
 
 @register("SELECT * FROM enriched")
 def enriched_records(spark, sf):
-    return journals.enrich(durable(_cleaned(spark, sf), "records"), tables.journal_reference(spark, sf))
+    sources = _sources(spark, sf)
+    decided = pipeline.decide(sources, pipeline.match_sources(sources), tables.journal_reference(spark, sf), unique=False)
+    return pipeline.assemble(sources, durable(decided, "decisions"))
 
 
 @register(
@@ -314,7 +318,7 @@ def final_title_year_dedup(spark, sf):
 def clean_records(spark, sf):
     """The whole consolidation run."""
     return pipeline.consolidate(
-        tables.source_a(spark, sf), tables.source_b(spark, sf), tables.journal_reference(spark, sf)
+        tables.source_a(spark, sf), tables.source_b(spark, sf), tables.journal_reference(spark, sf), stable=True
     )[2]
 
 
@@ -456,5 +460,5 @@ def dedup_distribution(spark, sf):
 
 def _reports(spark, sf):
     return pipeline.run(
-        tables.source_a(spark, sf), tables.source_b(spark, sf), tables.journal_reference(spark, sf)
+        tables.source_a(spark, sf), tables.source_b(spark, sf), tables.journal_reference(spark, sf), stable=True
     ).reports

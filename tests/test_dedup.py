@@ -36,6 +36,14 @@ def test_copies_meet_reduced(spark):
     assert "WindowGroupLimit" in plan
 
 
+def test_whole_records_meet_numbers_only(spark):
+    raw = spark.createDataFrame([(2, "t", None, None), (1, "T", None, None), (3, None, None, None)], A).withColumn("Abstract", F.repeat(F.lit("x"), 99))
+    kept = dedup.first_whole(align.prepare_a(raw))
+    assert ords(kept) == [1, 3] and "Abstract" in kept.columns
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "Abstract" not in plan[plan.index("Window ["):].split("\n")[0]
+
+
 def test_result_does_not_depend_on_partitions(spark):
     rows = [(i, f"Title of group {'abcdefg'[i % 7]}", str(2015 + i % 3), None) for i in range(200)]
     raw = align.prepare_a(spark.createDataFrame(rows, A))

@@ -5,7 +5,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from biblioweave.functions import similarity as sim
-from biblioweave.operators.fuzzy import best_match
+from biblioweave.operators.fuzzy import _forms, best_match, candidates, choice_keys, query_keys
 
 ALPHABET = "abcdeXY3 éß"
 
@@ -79,7 +79,7 @@ def run(spark, queries, choices, percent, **options):
 
 
 @pytest.mark.parametrize(
-    "seed,percent,hot_rows", [(1, 85, 2000), (2, 85, 2), (3, 90, 2), (4, 70, 5)]
+    "seed,percent,hot_rows", [(1, 85, 2000), (2, 85, 2), (3, 90, 2), (4, 70, 5), (5, 50, 2000)]
 )
 def test_equals_brute_force(spark, seed, percent, hot_rows):
     queries, choices = world(seed, 60)
@@ -118,13 +118,39 @@ def test_a_chunk_common_among_the_queries(spark):
 def test_chunks_fit_and_bands_are_near(length, percent):
     longest = 100 * length // percent
     edits = (100 - percent) * longest // 100
-    assert (edits + 1) * (length // (edits + 1)) <= length
+    assert (edits + 2) * (length // (edits + 2)) <= length
     import math
 
     band = lambda n: math.floor(math.log(n) / math.log(100 / (percent - 1)))
     assert band(longest) - band(length) <= 1
 
 
+def test_a_title_of_thirty_thousand_letters(spark):
+    rng = random.Random(11)
+    long = "".join(rng.choice("abcdefghij ") for _ in range(30_000)).strip()
+    queries = [(1, damaged(rng, long, 40), None), (2, "short title of the usual kind", None)]
+    choices = [(5, long, None), (6, "short titles of the usual kind", None), (7, long[:12_000], None)]
+    found = run(spark, queries, choices, 85)
+    assert {q: c for q, (c, _) in found.items()} == {1: 5, 2: 6}
+    assert 0.99 < found[1][1] < 1
+
+
+def test_few_pairs_meet_and_rows_carry_no_text(spark):
+    rng = random.Random(3)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnopqrst") for _ in range(rng.randrange(4, 9))) for _ in range(300)]
+    titles = [" ".join(rng.choice(vocabulary) for _ in range(7)) for _ in range(500)]
+    q = spark.createDataFrame([(i, t + " rev") for i, t in enumerate(titles[:250])], "q long, qt string")
+    c = spark.createDataFrame(list(enumerate(titles)), "c long, ct string")
+    met = candidates(q, c, "q", "qt", "c", "ct", 85)
+    rows = {tuple(r) for r in met.collect()}
+    assert {(i, i) for i in range(250)} <= rows and len(rows) < 500
+    plan = met._jdf.queryExecution().optimizedPlan().toString()
+    join = next(line for line in plan.splitlines() if "Join Inner, " in line and "bit_count" in line)
+    assert "levenshtein" not in join
+    emitted = query_keys(_forms(q, "qt", 85, False), 85).columns + choice_keys(_forms(c, "ct", 85, False), _forms(q, "qt", 85, False), 85).columns
+    assert not {"s", "qt", "ct", "stretch"} & set(emitted)
+
+
 def test_letter_bits_bound_the_distance(spark):
     rng = random.Random(5)
     pairs = []

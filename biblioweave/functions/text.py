@@ -16,6 +16,9 @@ WHITESPACE = (
 SPACE = f"[{WHITESPACE}]"  # the same characters in a pattern, where \\s knows only the ASCII ones
 
 
+_DECIMAL = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+
+
 def ws_trim(c: Column) -> Column:
     """Trim every kind of white space (the built-in ``trim`` knows only the space)."""
     return F.btrim(c, F.lit(WHITESPACE))
@@ -47,6 +50,28 @@ def _sql_text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def title_tokens(column: str, settings: Settings = DEFAULTS) -> str:
+    """SQL text of a title's tokens: ASCII letters, lower case, no stop words."""
+    stops = ", ".join(_sql_text(w) for w in settings.stop_words)
+    # White space of every kind becomes the space first: patterns of ASCII characters alone are several times faster.
+    spaced = f"translate(coalesce(cast(`{column}` AS string), ''), {_sql_text(WHITESPACE)}, '{' ' * len(WHITESPACE)}')"
+    letters = f"lower(regexp_replace({spaced}, '[^a-zA-Z ]', ''))"
+    return f"filter(split({letters}, ' '), t -> t <> '' AND t NOT IN ({stops}))"
+
+
+def lemma(t: str, settings: Settings = DEFAULTS) -> str:
+    """SQL text of a token's lemma by the irregular forms and the plural rules."""
+    forms = ", ".join(_sql_text(form) for form, _ in settings.lemmas) or "''"
+    irregular = " ".join(f"WHEN {_sql_text(form)} THEN {_sql_text(lemma)}" for form, lemma in settings.lemmas)
+    drop_es = " OR ".join(f"endswith({t}, '{e}')" for e in ("sses", "xes", "zes", "ches", "shes"))
+    return f"""CASE WHEN length({t}) <= 3 THEN {t}
+        WHEN {t} IN ({forms}) THEN CASE {t} {irregular or "WHEN '' THEN ''"} END
+        WHEN NOT endswith({t}, 's') OR endswith({t}, 'ss') OR endswith({t}, 'us') OR endswith({t}, 'is') THEN {t}
+        WHEN endswith({t}, 'ies') AND length({t}) > 4 THEN concat(substring({t}, 1, length({t}) - 3), 'y')
+        WHEN {drop_es} THEN substring({t}, 1, length({t}) - 2)
+        ELSE substring({t}, 1, length({t}) - 1) END"""
+
+
 def title_key(column: str, settings: Settings = DEFAULTS) -> Column:
     """Normalised title: ASCII letters, lower case, no stop words, lemmas.
 
@@ -54,20 +79,8 @@ def title_key(column: str, settings: Settings = DEFAULTS) -> Column:
     rule list costs a single call into the JVM.
     """
     stops = ", ".join(_sql_text(w) for w in settings.stop_words)
-    forms = ", ".join(_sql_text(form) for form, _ in settings.lemmas) or "''"
-    irregular = " ".join(f"WHEN {_sql_text(form)} THEN {_sql_text(lemma)}" for form, lemma in settings.lemmas)
-    drop_es = " OR ".join(f"endswith(t, '{e}')" for e in ("sses", "xes", "zes", "ches", "shes"))
-    lemma = f"""CASE WHEN length(t) <= 3 THEN t
-        WHEN t IN ({forms}) THEN CASE t {irregular or "WHEN '' THEN ''"} END
-        WHEN NOT endswith(t, 's') OR endswith(t, 'ss') OR endswith(t, 'us') OR endswith(t, 'is') THEN t
-        WHEN endswith(t, 'ies') AND length(t) > 4 THEN concat(substring(t, 1, length(t) - 3), 'y')
-        WHEN {drop_es} THEN substring(t, 1, length(t) - 2)
-        ELSE substring(t, 1, length(t) - 1) END"""
-    # White space of every kind becomes the space first: patterns of ASCII characters alone are several times faster.
-    spaced = f"translate(coalesce(cast(`{column}` AS string), ''), {_sql_text(WHITESPACE)}, '{' ' * len(WHITESPACE)}')"
-    letters = f"lower(regexp_replace({spaced}, '[^a-zA-Z ]', ''))"
-    kept = f"filter(split({letters}, ' '), t -> t <> '' AND t NOT IN ({stops}))"
-    return F.expr(f"array_join(filter(transform({kept}, t -> {lemma}), t -> t NOT IN ({stops})), ' ')")
+    lemmas = f"transform({title_tokens(column, settings)}, t -> {lemma('t', settings)})"
+    return F.expr(f"array_join(filter({lemmas}, t -> t NOT IN ({stops})), ' ')")
 
 
 def author_names(c: Column) -> Column:
@@ -100,8 +113,9 @@ def ampersand_to_and(c: Column) -> Column:
 
 
 def number(c: Column) -> Column:
-    """Numeric value, or NULL where the text is not a number."""
-    return ws_trim(c.cast("string")).try_cast("double")
+    """Numeric value of a decimal number, or NULL where the text is none (the cast alone takes ``12d``, ``0x1p3``, ``Infinity``)."""
+    trimmed = ws_trim(c.cast("string"))
+    return F.when(trimmed.rlike(_DECIMAL), trimmed.try_cast("double"))
 
 
 def year(c: Column) -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from ..functions import similarity as sim
 from ..functions.text import WHITESPACE
+from ..functions.wratio import weighted_ratio
 from .durable import durable
 
 _PLAIN, _SORTED = 0, 1
@@ -173,6 +174,30 @@ def candidates(
     return shared.where("_low < _high").select(query_id, choice_order).distinct()
 
 
+def best_weighted(
+    queries: DataFrame, choices: DataFrame, query_id: str, query_text: str, choice_order: str, choice_text: str, percent: int,
+) -> DataFrame:
+    """The choice of the highest weighted ratio for every query, the first one on ties: the optional scorer.
+
+    Returns ``query_id, choice_order, score`` for best scores of ``percent`` or more. Levenshtein never exceeds the insertions and
+    deletions that the ratio counts, so every pair whose plain or token-sorted ratio passes is within
+    ``100 - percent`` percent of both lengths together; those pairs are searched without loss and scored. Pairs that would pass by
+    shared tokens or windows alone (one common word can do) are not searched for.
+    """
+    met = candidates(queries, choices, query_id, query_text, choice_order, choice_text, max(2, 2 * percent - 100))
+    both = met.join(queries.select(query_id, F.col(query_text).alias("_q")), query_id)
+    both = both.join(choices.select(choice_order, F.col(choice_text).alias("_c")), choice_order)
+
+    def near(one: Column, other: Column) -> Column:
+        allowed = F.floor((100 - percent) * (F.length(one) + F.length(other)) / F.lit(100)).cast("int")
+        return F.call_function("levenshtein", one, other, allowed) >= 0
+
+    close = near(F.col("_q"), F.col("_c")) | near(sim.sorted_tokens(F.col("_q")), sim.sorted_tokens(F.col("_c")))
+    scored = both.where(close).select(query_id, choice_order, weighted_ratio(F.col("_q"), F.col("_c")).alias("score"))
+    best = scored.groupBy(query_id).agg(F.min(F.struct((-F.col("score")).alias("loss"), choice_order)).alias("_best"))
+    return best.select(query_id, f"_best.{choice_order}", (-F.col("_best.loss")).alias("score")).where(F.col("score") >= percent / 100)
+
+
 def best_match(
     queries: DataFrame,
     choices: DataFrame,

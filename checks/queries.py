@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from biblioweave.config import DEFAULTS, Settings
 from biblioweave.functions import similarity, text
-from biblioweave.operators import align, dedup, journals
+from biblioweave.operators import align, dedup, fuzzy, journals, lemmas
 from biblioweave.operators.durable import durable, shared_folder
 from biblioweave.plans import pipeline, reports
 from biblioweave.sources import exports, sinks, workbooks
@@ -81,6 +81,20 @@ def title_key_b(spark, sf):
     return tables.source_b(spark, sf).select("doc_ord", text.title_key("Article Title").alias("title_key"))
 
 
+@register(
+    f"""SELECT doc_ord, coalesce(title_key, '') AS title_key FROM raw_a LEFT JOIN (
+    SELECT doc_ord, string_agg(lemma, ' ' ORDER BY place) AS title_key FROM (
+      SELECT doc_ord, place, coalesce(lemma, {sql.lemma('token')}) AS lemma FROM (
+        SELECT doc_ord, unnest(tokens) AS token, unnest(range(len(tokens))) AS place FROM (
+          SELECT doc_ord, {sql.title_tokens('"Title"')} AS tokens FROM raw_a)) LEFT JOIN lemmas ON token = form)
+    WHERE lemma NOT IN ({sql.STOPS}) GROUP BY doc_ord) USING (doc_ord)"""
+)
+def title_key_lemma(spark, sf):
+    """Title keys whose lemmas come from a dictionary table, joined by token."""
+    titles = tables.source_a(spark, sf).select("doc_ord", "Title")
+    return lemmas.with_title_key(titles, "Title", tables.lemma_dictionary(spark, sf)).select("doc_ord", "title_key")
+
+
 _column("author_names_clean", tables.source_a, "raw_a", "Author full names", text.author_names, sql.author_names('"Author full names"'))
 _column("doc_type_norm", tables.source_b, "raw_b", "Document Type", text.document_type, sql.document_type('"Document Type"'))
 _column("doi_norm", tables.source_b, "raw_b", "DOI", text.doi, sql.doi('"DOI"'))
@@ -198,6 +212,18 @@ def fuzzy_year_first(spark, sf):
     return _fuzzy(spark, sf, Settings(year_first=True))
 
 
+@register(None)
+def fuzzy_wratio(spark, sf):
+    """The best title by the weighted ratio; SQL has no common subsequences, so tests hold it against a plain programme."""
+    sources = _sources(spark, sf)
+    asked = durable(
+        dedup.fuzzy_candidates(dedup.doi_lookup(sources.a, sources.b)).where(F.length("title_key") >= DEFAULTS.min_title_length)
+        .select("b_ord", "title_key"), "queries",
+    )
+    choices = sources.a.where("title_key <> ''").select(F.col("doc_ord").alias("a_ord"), F.col("title_key").alias("a_key"))
+    return fuzzy.best_weighted(asked, choices, "b_ord", "title_key", "a_ord", "a_key", DEFAULTS.title_threshold)
+
+
 @register("SELECT * FROM pairs")
 def duplicate_pairs(spark, sf):
     return pipeline.match_sources(_sources(spark, sf))

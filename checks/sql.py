@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from biblioweave.config import COUNTRY_RULES_DEFAULT, DEFAULTS, TARGET_COLUMNS
 
-from .tables import PLACES
+from .tables import ODD_NUMBERS, PLACES
 
 # Every code point that Unicode counts as white space, and the four separators below the space.
 _CODES = (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
@@ -40,22 +40,29 @@ def categories(x: str) -> str:
     return _joined(no_parens(f"coalesce({x}, '')"))
 
 
-def title_key(x: str) -> str:
-    stops = _quoted(DEFAULTS.stop_words)
+STOPS = _quoted(DEFAULTS.stop_words)
+
+
+def title_tokens(x: str) -> str:
     letters = rf"lower(regexp_replace(coalesce({x}, ''), '[^a-zA-Z{_CLASS}]', '', 'g'))"
-    tokens = rf"list_filter(string_split_regex({trim(letters)}, '[{_CLASS}]+'), lambda t: t <> '' AND t NOT IN ({stops}))"
-    irregular = " ".join(f"WHEN t = '{form}' THEN '{lemma}'" for form, lemma in DEFAULTS.lemmas)
-    lemma = (
-        f"CASE WHEN length(t) <= 3 THEN t {irregular} "
-        "WHEN suffix(t, 'ies') AND length(t) > 4 THEN left(t, length(t) - 3) || 'y' "
-        "WHEN regexp_matches(t, '(?:sses|xes|zes|ches|shes)$') THEN left(t, length(t) - 2) "
-        "WHEN suffix(t, 's') AND NOT regexp_matches(t, '(?:ss|us|is)$') THEN left(t, length(t) - 1) ELSE t END"
-    )
+    return rf"list_filter(string_split_regex({trim(letters)}, '[{_CLASS}]+'), lambda t: t <> '' AND t NOT IN ({STOPS}))"
+
+
+def lemma(t: str) -> str:
+    irregular = " ".join(f"WHEN {t} = '{form}' THEN '{lemma}'" for form, lemma in DEFAULTS.lemmas)
     return (
-        f"array_to_string(list_filter(list_transform({tokens}, lambda t: {lemma}), lambda t: t NOT IN ({stops})), ' ')"
+        f"CASE WHEN length({t}) <= 3 THEN {t} {irregular} "
+        f"WHEN suffix({t}, 'ies') AND length({t}) > 4 THEN left({t}, length({t}) - 3) || 'y' "
+        f"WHEN regexp_matches({t}, '(?:sses|xes|zes|ches|shes)$') THEN left({t}, length({t}) - 2) "
+        f"WHEN suffix({t}, 's') AND NOT regexp_matches({t}, '(?:ss|us|is)$') THEN left({t}, length({t}) - 1) ELSE {t} END"
     )
 
 
+def title_key(x: str) -> str:
+    lemmas = f"list_transform({title_tokens(x)}, lambda t: {lemma('t')})"
+    return f"array_to_string(list_filter({lemmas}, lambda t: t NOT IN ({STOPS})), ' ')"
+
+
 def document_type(x: str) -> str:
     renamed = f"replace({x}, 'Proceedings Paper', 'Conference paper')"
     whole = f"CASE WHEN contains(lower({renamed}), 'conference paper') THEN 'Conference Paper' ELSE {renamed} END"
@@ -67,7 +74,7 @@ def doi(x: str) -> str:
 
 
 def number(x: str) -> str:
-    return f"try_cast({trim(x)} AS DOUBLE)"
+    return f"CASE WHEN regexp_matches({trim(x)}, '^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$') THEN try_cast({trim(x)} AS DOUBLE) END"
 
 
 def year(x: str) -> str:
@@ -145,6 +152,7 @@ def _journal_issn(j: str) -> str:
 def _year_text(n: str, y: str) -> str:
     return (
         f"CASE WHEN {n} % 23 = 0 THEN NULL WHEN {n} % 29 = 0 THEN 'n.d.' "
+        f"WHEN {n} % 37 = 5 THEN list_extract([{_quoted(ODD_NUMBERS)}], {n} % {len(ODD_NUMBERS)} + 1) "
         f"WHEN {n} % 19 = 0 THEN CAST({y} AS VARCHAR) || '.0' ELSE CAST({y} AS VARCHAR) END"
     )
 
@@ -152,7 +160,7 @@ def _year_text(n: str, y: str) -> str:
 def _dirty(n: str) -> str:
     return f"""
   list_extract(['Article', 'Article; Proceedings Paper', 'Review ;Early Access', 'Article; ; Book Chapter'], {n} % 4 + 1) AS dtype,
-  CASE WHEN {n} % 31 = 0 THEN 'n/a' WHEN {n} % 13 = 0 THEN '12.0' ELSE CAST({n} % 50 AS VARCHAR) END AS cited,
+  CASE WHEN {n} % 31 = 0 THEN 'n/a' WHEN {n} % 37 = 0 THEN list_extract([{_quoted(ODD_NUMBERS)}], {n} % {len(ODD_NUMBERS)} + 1) WHEN {n} % 13 = 0 THEN '12.0' ELSE CAST({n} % 50 AS VARCHAR) END AS cited,
   CASE WHEN {n} % 4 = 0 THEN NULL WHEN {n} % 4 = 1 THEN '' WHEN {n} % 4 = 2 THEN ' ' || chr(9) || ' ' ELSE 'Gold' END AS oa,
   list_extract([{_quoted(PLACES)}], {n} % {len(PLACES)} + 1) AS place"""
 
@@ -205,6 +213,10 @@ SELECT s_suppkey * 100 + y - 2015 AS j_ord, 'Journal of Supplier ' || s_suppkey
 FROM (SELECT *, unnest(generate_series(2015, 2023)) AS y FROM supplier)
 JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""
 
+CTES["lemmas"] = """
+SELECT form, left(form, length(form) - 2) AS lemma FROM (
+  SELECT DISTINCT unnest(string_split_regex(lower(text), '[^a-z]+')) AS form FROM documents) WHERE length(form) >= 5 AND length(form) % 3 = 0"""
+
 CTES["src_a"] = f"""
 SELECT * REPLACE ({author_names('"Author full names"')} AS "Author full names", {doi('"DOI"')} AS "DOI"),
   'Scopus' AS "Source", {title_key('"Title"')} AS title_key FROM raw_a"""

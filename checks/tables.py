@@ -21,6 +21,10 @@ PLACES = (
 TYPES = ("Article", "Article; Proceedings Paper", "Review ;Early Access", "Article; ; Book Chapter")
 
 
+# Cells that are numbers in some spelling: only decimal ones count.
+ODD_NUMBERS = ("12d", "2019f", "0x1p3", "Infinity", "+7", "201950e-2", ".5", "2020.", "1_000", "NaN", "-3", "2,021")
+
+
 def _pick(number: str, options) -> str:
     return f"element_at(split('{'|'.join(options)}', '[|]'), cast({number} % {len(options)} + 1 AS int))"
 
@@ -32,12 +36,12 @@ def _issn(j: str) -> str:
 def _year_text(n: str, year: str) -> str:
     return (
         f"CASE WHEN {n} % 23 = 0 THEN NULL WHEN {n} % 29 = 0 THEN 'n.d.' "
-        f"WHEN {n} % 19 = 0 THEN concat({year}, '.0') ELSE string({year}) END"
+        f"WHEN {n} % 37 = 5 THEN {_pick(n, ODD_NUMBERS)} WHEN {n} % 19 = 0 THEN concat({year}, '.0') ELSE string({year}) END"
     )
 
 
 def _cited(n: str) -> str:
-    return f"CASE WHEN {n} % 31 = 0 THEN 'n/a' WHEN {n} % 13 = 0 THEN '12.0' ELSE string({n} % 50) END"
+    return f"CASE WHEN {n} % 31 = 0 THEN 'n/a' WHEN {n} % 37 = 0 THEN {_pick(n, ODD_NUMBERS)} WHEN {n} % 13 = 0 THEN '12.0' ELSE string({n} % 50) END"
 
 
 def _open_access(n: str) -> str:
@@ -119,3 +123,9 @@ def journal_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
         "'Catalysis (Q1);Optics (Q2); ' AS Categories",
         "'Science' AS Areas",
     )
+
+
+def lemma_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forms and lemmas made of all words of all texts: every word of 6, 9, 12 ... letters loses two."""
+    words = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("explode(split(lower(text), '[^a-z]+')) AS form").distinct()
+    return words.where("length(form) >= 5 AND length(form) % 3 = 0").selectExpr("form", "left(form, length(form) - 2) AS lemma")

@@ -48,7 +48,7 @@ def main(sf_dir: str, names: list[str]) -> int:
     )
     spark.sparkContext.setLogLevel("ERROR")
     db, failed = connect(sf_dir), 0
-    for name in names or QUERIES:
+    for name in names or ORACLES:
         start = time.time()
         problem = compare(spark, db, sf_dir, QUERIES[name], ORACLES[name])
         failed += problem is not None

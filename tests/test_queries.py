@@ -15,7 +15,7 @@ STEPS = {
     "union_sources", "canonical_titles", "cleaned_records", "journal_metrics_issn_year", "enriched_records",
     "doc_types_by_year", "dedup_distribution",
 }
-TESTED = sorted(QUERIES if os.environ.get("CHECK_ALL") else set(QUERIES) - STEPS)
+TESTED = sorted(ORACLES if os.environ.get("CHECK_ALL") else set(ORACLES) - STEPS)
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +24,8 @@ def db():
 
 
 def test_every_query_has_an_oracle():
-    assert set(checks_queries.ORACLES) == set(checks_queries.QUERIES)
+    # The weighted ratio counts common subsequences, which SQL has no function for: test_wratio.py is its brute force.
+    assert set(checks_queries.QUERIES) - set(checks_queries.ORACLES) == {"fuzzy_wratio"}
 
 
 @pytest.mark.parametrize("name", TESTED)

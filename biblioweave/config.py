@@ -155,6 +155,11 @@ METRIC_COLUMNS = (
     "SJR", "SJR Best Quartile", "H index", "Country", "Region", "Publisher", "Categories", "Areas",
 )
 
+# Document types that have a column of their own in the report by year.
+DOCUMENT_TYPES = (
+    "Article", "Book", "Book Chapter", "Conference Paper", "Early Access", "Editorial", "Letter", "Note", "Proceedings Paper", "Review",
+)
+
 SOURCE_A = "Scopus"
 SOURCE_B = "Web of science"
 
@@ -177,6 +182,7 @@ class Settings:
     null_tokens: tuple[str, ...] = NULL_TOKENS
     b_to_a: tuple[tuple[str, str], ...] = tuple(B_TO_A_COLUMNS.items())
     target_columns: tuple[str, ...] = TARGET_COLUMNS
+    document_types: tuple[str, ...] = DOCUMENT_TYPES
 
 
 DEFAULTS = Settings()

@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 _SETTING = "spark.checkpoint.dir"
 _LOCAL_FOLDER: list[str] = []
@@ -32,3 +34,14 @@ def durable(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def counted(df: DataFrame, name: str, **kinds: Column) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """``durable``, and the number of ``rows`` written (and of those that each of ``kinds`` holds for).
+
+    The rows are counted on their way into the files, by the tasks that write them, so no frame is read again for its count.
+    """
+    seen = Observation()
+    marks = [F.count_if(condition).alias(kind) for kind, condition in kinds.items()]
+    stored = durable(df.observe(seen, F.count(F.lit(1)).alias("rows"), *marks), name)
+    return stored, lambda: dict(seen.get)

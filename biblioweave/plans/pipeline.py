@@ -7,14 +7,15 @@ whole records meet their decision in a single join.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
 
 from ..config import DEFAULTS, Settings
 from ..functions import text
 from ..operators import align, dedup, journals as journal_ops
-from ..operators.durable import durable
+from ..operators.durable import counted, durable
 from . import reports
 
 # Columns of each source that decisions and reports need.
@@ -33,6 +34,7 @@ class Sources:
     records_b: DataFrame | None
     a: DataFrame | None
     b: DataFrame | None
+    counts: dict[str, Callable[[], dict[str, int]]] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -46,13 +48,6 @@ class Result:
 _PAIR_SCHEMA = "title_key string, match_method string, a_ord long, b_ord long, score double"
 
 
-def _narrow(records: DataFrame | None, columns: tuple[str, ...], name: str) -> DataFrame | None:
-    if records is None:
-        return None
-    kept = records.select(*[F.col(f"`{c}`") for c in columns if c in records.columns])
-    return durable(dedup.first_per_title(kept), name)
-
-
 def read_sources(
     raw_a: DataFrame | None, raw_b: DataFrame | None, settings: Settings = DEFAULTS, stable: bool = False
 ) -> Sources:
@@ -60,12 +55,28 @@ def read_sources(
 
     The records are read twice: a few columns for the decisions, and whole at the end. Scans of exports number their records
     while reading, so the cleaned records are written once, without a shuffle. ``stable`` inputs give
-    every record the same ``doc_ord`` at each reading (tables that hold it) and are read again instead.
+    every record the same ``doc_ord`` at each reading (tables that hold it) and are read again instead. ``counts`` has
+    the rows of each table, counted as it was written.
     """
-    keep = (lambda df, name: df) if stable else durable
-    a = keep(align.prepare_a(raw_a, settings), "source-a") if raw_a is not None else None
-    b = keep(align.prepare_b(raw_b, settings), "source-b") if raw_b is not None else None
-    return Sources(a, b, _narrow(a, _NARROW_A, "keys-a"), _narrow(b, _NARROW_B, "keys-b"))
+    counts = {}
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        table, counts[name] = counted(df, name)
+        return table
+
+    def narrow(records: DataFrame | None, columns: tuple[str, ...], side: str) -> tuple[DataFrame | None, DataFrame | None]:
+        if records is None:
+            return None, None
+        if not stable:
+            records = stored(records, f"loaded_{side}")
+        few = records.select(*[F.col(f"`{c}`") for c in columns if c in records.columns])
+        if stable:
+            few = stored(few, f"loaded_{side}")
+        return records, stored(dedup.first_per_title(few), f"final_{side}")
+
+    records_a, a = narrow(align.prepare_a(raw_a, settings) if raw_a is not None else None, _NARROW_A, "a")
+    records_b, b = narrow(align.prepare_b(raw_b, settings) if raw_b is not None else None, _NARROW_B, "b")
+    return Sources(records_a, records_b, a, b, counts)
 
 
 def match_sources(sources: Sources, settings: Settings = DEFAULTS) -> DataFrame:
@@ -73,7 +84,9 @@ def match_sources(sources: Sources, settings: Settings = DEFAULTS) -> DataFrame:
     if sources.a is None or sources.b is None:
         spark = (sources.a if sources.a is not None else sources.b).sparkSession
         return spark.createDataFrame([], _PAIR_SCHEMA)
-    return durable(dedup.duplicate_pairs(sources.a, sources.b, settings), "pairs")
+    named = F.col("title_key") != ""
+    pairs, sources.counts["pairs"] = counted(dedup.duplicate_pairs(sources.a, sources.b, settings), "pairs", titles=named)
+    return pairs
 
 
 def kept_of_b(sources: Sources, pairs: DataFrame) -> DataFrame | None:
@@ -175,27 +188,40 @@ def run(
 ) -> Result:
     """``raw_a`` and ``raw_b`` carry ``doc_ord``, ``journals`` carries ``j_ord`` (their input order)."""
     sources, pairs, records = consolidate(raw_a, raw_b, journals, settings, stable)
-    records = durable(records, "clean")
-    tables = report_tables(raw_a, raw_b, sources, pairs, records, settings)
+    records, sources.counts["final_total"] = counted(records, "clean")
+    tables = report_tables(sources, records, settings)
     return Result(records, dedup.duplicate_titles(pairs), pairs, tables)
 
 
-def report_tables(raw_a, raw_b, sources: Sources, pairs, records, settings: Settings = DEFAULTS) -> dict[str, DataFrame]:
+def run_counts(counts: dict[str, Callable[[], dict[str, int]]]) -> dict[str, int]:
+    """The numbers of the run from what was counted while its tables were written.
+
+    A record of the second source has one partner at most, and its title key is its own unless it is blank.
+    """
+    rows = {name: seen() for name, seen in counts.items()}
+    number = lambda name: rows.get(name, {}).get("rows", 0)
+    pairs, titles = number("pairs"), rows.get("pairs", {}).get("titles", 0)
+    return {
+        "loaded_a": number("loaded_a"), "loaded_b": number("loaded_b"), "final_a": number("final_a"),
+        "kept_b": number("final_b") - pairs, "final_total": number("final_total"), "duplicates": titles + (pairs > titles),
+    }
+
+
+def report_tables(sources: Sources, records: DataFrame, settings: Settings = DEFAULTS) -> dict[str, DataFrame]:
+    """The report tables of a run whose tables are all written."""
     spark = records.sparkSession
-    empty = spark.createDataFrame([], "doc_ord long")
-    titles = dedup.duplicate_titles(pairs)
-    kept = kept_of_b(sources, pairs)
-    counted = [x if x is not None else empty for x in (raw_a, raw_b, sources.a, kept)]
+    counts = reports.known_counts(spark, run_counts(sources.counts))
     no_a = spark.createDataFrame([], "`Year` string, `Cited by` string")
     no_b = spark.createDataFrame([], "`Publication Year` string, `Cited Reference Count` string")
     a = sources.a if sources.a is not None and "Year" in sources.a.columns else no_a
     b = sources.b if sources.b is not None else no_b
     tables = {
-        "stats_summary": reports.stats_summary(*counted, records, titles),
-        "dedup_distribution": reports.dedup_distribution(*counted, records, titles),
+        "stats_summary": reports.stats_summary(counts),
+        "dedup_distribution": reports.dedup_distribution(counts),
         "raw_counts_by_year": reports.raw_counts_by_year(a, b, settings),
         "raw_citations_by_year": reports.raw_citations_by_year(a, b, settings),
     }
     if {"Year", "Document Type"} <= set(records.columns):
-        tables["doc_types_by_year"] = reports.doc_types_pivot(records, settings)
+        tables["doc_types_by_year"] = reports.doc_types_by_year(records, settings)
+        tables["doc_types_pivot"] = reports.doc_types_pivot(records, settings.document_types, settings)
     return tables

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..config import DEFAULTS, Settings
 from ..functions import text
@@ -47,28 +47,40 @@ def doc_types_by_year(records: DataFrame, settings: Settings = DEFAULTS) -> Data
     )
 
 
-def doc_types_pivot(records: DataFrame, settings: Settings = DEFAULTS, types: list[str] | None = None) -> DataFrame:
-    """Years by document types, 0 where a type is missing.
-
-    The pivot works on the small counted table. Pass ``types`` to fix the columns.
-    """
+def doc_types_by_year_map(records: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """``Year, documents``: a map from each document type of the year to its count, whatever the number of types."""
     counted = doc_types_by_year(records, settings)
-    return counted.groupBy("Year").pivot("Document Type", types).sum("documents").na.fill(0).orderBy("Year")
+    entries = F.array_sort(F.collect_list(F.struct("Document Type", "documents")))
+    return counted.groupBy("Year").agg(F.map_from_entries(entries).alias("documents")).orderBy("Year")
+
+
+def doc_types_pivot(records: DataFrame, types: Sequence[str], settings: Settings = DEFAULTS) -> DataFrame:
+    """Years by the given document types, 0 where a type is missing. Nothing is collected to plan it."""
+    by_year = doc_types_by_year_map(records, settings)
+    cells = [F.coalesce(F.try_element_at("documents", F.lit(t)), F.lit(0).cast("long")).alias(t) for t in types]
+    return by_year.select("Year", *cells)
+
+
+_PARTS = ("loaded_a", "loaded_b", "final_a", "kept_b", "final_total", "duplicates")
 
 
-def _counts(raw_a, raw_b, a, kept_b, combined, titles) -> DataFrame:
+def counts_of(raw_a, raw_b, a, kept_b, combined, titles) -> DataFrame:
     """One row with every count: each frame is aggregated to one row first."""
-    parts = {
-        "loaded_a": raw_a, "loaded_b": raw_b, "final_a": a, "kept_b": kept_b,
-        "final_total": combined, "duplicates": titles,
-    }
     rows = None
-    for name, df in parts.items():
+    for name, df in zip(_PARTS, (raw_a, raw_b, a, kept_b, combined, titles)):
         row = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("part"), "n")
         rows = row if rows is None else rows.unionByName(row)
-    picked = [F.max(F.when(F.col("part") == p, F.col("n"))).alias(p) for p in parts]
+    return rows.agg(*[F.max(F.when(F.col("part") == p, F.col("n"))).alias(p) for p in _PARTS])
+
+
+def known_counts(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """The same row from counts that were taken while the tables were written."""
+    return spark.range(1).select(*[F.lit(counts[p]).cast("long").alias(p) for p in _PARTS])
+
+
+def _derived(counts: DataFrame) -> DataFrame:
     total = F.col("loaded_a") + F.col("loaded_b")
-    return rows.agg(*picked).withColumns(
+    return counts.withColumns(
         {
             "loaded": total,
             "removed_a": F.col("loaded_a") - F.col("final_a"),
@@ -77,8 +89,8 @@ def _counts(raw_a, raw_b, a, kept_b, combined, titles) -> DataFrame:
     )
 
 
-def stats_summary(raw_a, raw_b, a, kept_b, combined, titles) -> DataFrame:
-    """``Metric, Value``: 18 rows describing the run."""
+def stats_summary(counts: DataFrame) -> DataFrame:
+    """``Metric, Value``: 18 rows describing the run. The metrics' names are fixed values."""
     col, share = F.col, text.percentage
     values = [
         ("Loaded papers", col("loaded")),
@@ -101,10 +113,10 @@ def stats_summary(raw_a, raw_b, a, kept_b, combined, titles) -> DataFrame:
         ("Final Scopus (%)", share(col("final_a"), col("final_total"))),
     ]
     rows = [F.struct(F.lit(m).alias("Metric"), v.cast("double").alias("Value")) for m, v in values]
-    return _counts(raw_a, raw_b, a, kept_b, combined, titles).select(F.inline(F.array(*rows)))
+    return _derived(counts).select(F.inline(F.array(*rows)))
 
 
-def dedup_distribution(raw_a, raw_b, a, kept_b, combined, titles) -> DataFrame:
+def dedup_distribution(counts: DataFrame) -> DataFrame:
     """Kept and removed records per source, the larger source first."""
     rows = [
         F.struct(F.lit(name).alias("Source"), F.col(kept).alias("Kept"), F.col(removed).alias("Removed"))
@@ -112,7 +124,7 @@ def dedup_distribution(raw_a, raw_b, a, kept_b, combined, titles) -> DataFrame:
     ]
     total = F.col("Kept") + F.col("Removed")
     return (
-        _counts(raw_a, raw_b, a, kept_b, combined, titles)
+        _derived(counts)
         .select(F.inline(F.array(*rows)))
         .withColumn("Total", total)
         .withColumn("Kept (%)", text.percentage(F.col("Kept"), F.col("Total")))

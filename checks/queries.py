@@ -440,12 +440,12 @@ def doc_types_by_year(spark, sf):
     'SELECT "Year", '
     + ", ".join(
         f"""count(*) FILTER ("Document Type" = '{t}') AS "{t}\""""
-        for t in ("Article", "Book Chapter", "Conference Paper", "Early Access", "Proceedings Paper", "Review")
+        for t in DEFAULTS.document_types
     )
     + f' FROM ({_TYPES}) GROUP BY "Year" ORDER BY "Year"'
 )
 def doc_types_pivot(spark, sf):
-    return reports.doc_types_pivot(durable(clean_records(spark, sf), "clean"))
+    return reports.doc_types_pivot(clean_records(spark, sf), DEFAULTS.document_types)
 
 
 _COUNTS = """(SELECT (SELECT count(*) FROM raw_a) AS la, (SELECT count(*) FROM raw_b) AS lb, (SELECT count(*) FROM a1) AS fa,

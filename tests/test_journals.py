@@ -1,5 +1,5 @@
-from biblioweave.operators import journals
-from biblioweave.plans import reports
+from biblioweave.operators import dedup, journals
+from biblioweave.plans import pipeline, reports
 
 J = "j_ord long, Title string, Issn string, Year string, SJR double, Publisher string, Categories string"
 JOURNALS = [
@@ -75,13 +75,38 @@ def test_reports(spark):
     assert [tuple(r) for r in reports.raw_counts_by_year(a, b).collect()] == [(2020, 1, 2, 3), (2021, 1, 0, 1)]
     assert [tuple(r) for r in reports.raw_citations_by_year(a, b).collect()] == [(2020, 10, 3, 13), (2021, 2, 0, 2)]
     types = spark.createDataFrame([(2020, "Article; ; Review"), (2020, "Article"), (2021, None), (None, "Article")], "Year int, `Document Type` string")
-    assert [r.asDict() for r in reports.doc_types_pivot(types).collect()] == [{"Year": 2020, "Article": 2, "Review": 1}]
+    assert [r.asDict() for r in reports.doc_types_pivot(types, ["Article", "Review"]).collect()] == [{"Year": 2020, "Article": 2, "Review": 1}]
 
 
 def test_distribution_adds_up_and_survives_empty_sources(spark):
     empty = spark.createDataFrame([], "x int")
     ten, six, titles = spark.range(10), spark.range(6), spark.createDataFrame([("t",)], "title_key string")
-    rows = reports.dedup_distribution(ten, empty, six, empty, six, titles).collect()
+    rows = reports.dedup_distribution(reports.counts_of(ten, empty, six, empty, six, titles)).collect()
     assert [tuple(r) for r in rows] == [("Scopus", 6, 4, 10, 60.0, 40.0), ("WoS", 0, 0, 0, 0.0, 0.0)]
-    stats = {r.Metric: r.Value for r in reports.stats_summary(ten, empty, six, empty, six, titles).collect()}
+    stats = {r.Metric: r.Value for r in reports.stats_summary(reports.counts_of(ten, empty, six, empty, six, titles)).collect()}
     assert len(stats) == 18 and stats["Removed duplicated Scopus (%)"] == 40.0 and stats["Loaded WoS (%)"] == 0.0
+
+
+def test_counts_are_taken_while_tables_are_written(spark):
+    a = spark.createDataFrame([(1, "shared title here", "2020", "10.1/x"), (2, "shared title here", "2020", ""), (3, "題", "2020", "10.1/y"), (4, "own work", "2020", None)],
+                              "doc_ord long, Title string, Year string, DOI string")
+    b = spark.createDataFrame([(1, "shared title here", "2020", "", "X"), (2, "標", "2020", "10.1/X", "X"), (3, "題", "2020", "10.1/Y", "X"), (4, "fresh work", "2020", None, "X")],
+                              "doc_ord long, `Article Title` string, `Publication Year` string, DOI string, Authors string")
+    expected = {"loaded_a": 4, "loaded_b": 4, "final_a": 3, "kept_b": 1, "final_total": 4, "duplicates": 2}
+    for stable in (False, True):
+        sources = pipeline.read_sources(a, b, stable=stable)
+        pairs = pipeline.match_sources(sources)
+        sources.counts["final_total"] = lambda: {"rows": 4}
+        assert pipeline.run_counts(sources.counts) == expected
+        frames = (a, b, sources.a, pipeline.kept_of_b(sources, pairs), spark.range(4), dedup.duplicate_titles(pairs))
+        assert reports.counts_of(*frames).first().asDict() == expected
+    only = pipeline.run(a, None)
+    assert {r.Metric: r.Value for r in only.reports["stats_summary"].collect()}["Loaded papers"] == 4
+
+
+def test_pivot_of_many_types_collects_nothing(spark):
+    types = ";".join(f"type {i:05d}" for i in range(12_000))
+    records = spark.createDataFrame([("2020", types), ("2021", "type 00007; type 00007"), ("1999", "x")], "Year string, `Document Type` string")
+    wide = reports.doc_types_pivot(records, ["type 00007", "absent"]).collect()
+    assert [tuple(r) for r in wide] == [(2020, 1, 0), (2021, 2, 0)]
+    assert [(r.Year, len(r.documents)) for r in reports.doc_types_by_year_map(records).collect()] == [(2020, 12_000), (2021, 1)]

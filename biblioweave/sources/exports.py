@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from fnmatch import fnmatchcase
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -9,49 +10,90 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..config import DEFAULTS, Settings
 from ..functions import text
 from ..operators import align
+from ..operators.durable import file_system
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its low 33 bits
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str) -> list[str]:
     """Matching files of the folder itself in name order; an absent folder has none."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    system = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    path, system = file_system(spark, folder)
     if not system.exists(path):
         return []
     found = [status.getPath() for status in system.listStatus(path) if status.isFile()]
     return sorted(p.toString() for p in found if fnmatchcase(p.getName(), pattern))
 
 
+def _plain(path: str) -> str:
+    """Listed and reported paths spell their scheme differently (file:/ and file:///)."""
+    return re.sub("^([a-z0-9]+:)/+", r"\1/", path)
+
+
+def first_lines(spark: SparkSession, files: list[str]) -> dict[str, str]:
+    """The first line of every file, read by the tasks of one Spark job; files without a line are left out."""
+    lines = spark.read.text(files).select(
+        "_metadata.file_path", "_metadata.file_block_start", "value", F.monotonically_increasing_id().alias("_id")
+    )
+    first = lines.where("file_block_start = 0").groupBy("file_path").agg(F.min_by("value", "_id").alias("value"))
+    found = {_plain(r.file_path): r.value for r in first.collect()}
+    return {f: found[_plain(f)] for f in files if _plain(f) in found}
+
+
 def read_delimited(
-    spark: SparkSession, files: list[str], sep: str = ",", settings: Settings = DEFAULTS, order: str = "doc_ord"
+    spark: SparkSession, files: list[str], sep: str = ",", settings: Settings = DEFAULTS, order: str = "doc_ord",
+    file_column: str | None = None,
 ) -> DataFrame:
     """All files united by column name, every column as text, missing cells NULL.
 
-    Files with the same header share one scan. Quoted newlines are allowed, so a
-    file is read by one task; its rows are numbered in file order, files in name
-    order, and ``order`` holds that position.
+    Files with the same first line share one scan, so the number of jobs follows the number of headers, not of files. Quoted
+    newlines are allowed, so a file is read by one task; its rows are numbered in file order, files in name
+    order, and ``order`` holds that position. Files without a line have no records. ``file_column`` adds the file.
     """
-    by_header: dict[tuple[str, ...], list[str]] = {}
     reader = spark.read.option("sep", sep).option("header", True).option("multiLine", True).option("escape", '"')
-    for file in files:
-        by_header.setdefault(tuple(reader.csv(file).columns), []).append(file)
-    ranks = spark.createDataFrame(list(zip(files, range(len(files)))), "_file string, _rank long")
+    by_line: dict[str, list[str]] = {}
+    for file, line in first_lines(spark, files).items():
+        # A header that goes on after a line break inside quotes is told by the reader, file by file.
+        by_line.setdefault(f"{line}\n{file}" if line.count('"') % 2 else line, []).append(file)
+    ranks = spark.createDataFrame([(_plain(f), i) for i, f in enumerate(files)], "_file string, _rank long")
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for members in by_line.values():
+        by_header.setdefault(tuple(reader.csv(members[0]).columns), []).extend(members)
     parts = []
     for header, members in by_header.items():
         schema = ", ".join(f"`{c}` string" for c in header)
         cells = {c: text.null_if_token(F.col(f"`{c}`"), settings.null_tokens) for c in header}
         rows = reader.schema(schema).csv(members).select(
-            "*", F.col("_metadata.file_path").alias("_path"), F.monotonically_increasing_id().alias("_id")
+            "*", F.regexp_replace("_metadata.file_path", "^([a-z0-9]+:)/+", "$1/").alias("_path"),
+            F.monotonically_increasing_id().alias("_id"),
         )
-        # Listed and reported paths spell their scheme differently (file:/ and file:///).
-        plain = lambda c: F.regexp_replace(c, "^([a-z0-9]+:)/+", "$1/")
-        ranked = rows.join(F.broadcast(ranks), plain(F.col("_path")) == plain(F.col("_file")))
+        ranked = rows.join(F.broadcast(ranks), F.col("_path") == F.col("_file"))
         position = F.shiftleft(F.col("_rank"), _ROW_BITS) + F.col("_id").bitwiseAND((1 << _ROW_BITS) - 1)
-        parts.append(ranked.withColumns(cells).select(position.alias(order), *[F.col(f"`{c}`") for c in header]))
+        named = [F.col("_file").alias(file_column)] if file_column else []
+        parts.append(ranked.withColumns(cells).select(position.alias(order), *named, *[F.col(f"`{c}`") for c in header]))
+    if not parts:
+        columns = [f"{order} long", *([f"{file_column} string"] if file_column else [])]
+        return spark.createDataFrame([], ", ".join(columns))
     return align.union_sources(*parts)
 
 
+def inventory_by_file(
+    spark: SparkSession, files: list[str], required: list[str], sep: str = ",", settings: Settings = DEFAULTS
+) -> DataFrame:
+    """``file, column, records, blank_cells`` for every listed file and required column.
+
+    Files without records count 0; a column that a file lacks is blank in all of its records.
+    """
+    rows = read_delimited(spark, files, sep, settings, file_column="_file")
+    cells = F.array(*[
+        F.struct(F.lit(c).alias("column"), (text.is_blank(F.col(f"`{c}`")) if c in rows.columns else F.lit(True)).alias("blank")) for c in required
+    ])
+    counted = rows.select("_file", F.inline(cells)).groupBy(F.col("_file").alias("file"), "column").agg(
+        F.count(F.lit(1)).alias("records"), F.count_if("blank").alias("blank_cells")
+    )
+    listed = spark.createDataFrame([(_plain(f), c) for f in files for c in required], "file string, column string")
+    return listed.join(counted, ["file", "column"], "left").na.fill(0, ["records", "blank_cells"])
+
+
 def scan_inputs(spark: SparkSession, folder_a: str | None, folder_b: str | None, settings: Settings = DEFAULTS):
     """``(raw_a, raw_b)``: a missing or empty source is None, none at all is an error.
 

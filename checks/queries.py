@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from biblioweave.config import DEFAULTS, Settings
 from biblioweave.functions import similarity, text
 from biblioweave.operators import align, dedup, fuzzy, journals, lemmas
-from biblioweave.operators.durable import durable, shared_folder
+from biblioweave.operators.durable import durable, file_system, run_folder, shared_folder
 from biblioweave.plans import pipeline, reports
 from biblioweave.sources import exports, sinks, workbooks
 
@@ -373,6 +373,79 @@ def csv_scan(spark, sf):
     return exports.read_delimited(spark, exports.list_files(spark, folder, "*.csv")).drop("doc_ord")
 
 
+_GROUPS = {0: _A_TEXTS, 1: list(reversed([c for c in _A_TEXTS if c != "Publisher"])), 2: ["Title", "Year"]}
+
+
+def _three_headers(spark, sf) -> str:
+    """Source A in files of three headers, and a file without a line in a folder of its own."""
+    folder = f"{shared_folder(spark)}/headers-{uuid4().hex}"
+    rows = tables.source_a(spark, sf).withColumnRenamed("doc_ord", "record")
+    for group, columns in _GROUPS.items():
+        part = rows.where(F.col("record") % 3 == group).select("record", *[F.col(f"`{c}`") for c in columns])
+        sinks.write_delimited(part.sortWithinPartitions("record"), f"{folder}/{group}")
+    path, system = file_system(spark, f"{folder}/3/empty.csv")
+    system.create(path).close()
+    return folder
+
+
+def _files(spark, folder: str) -> list[str]:
+    return [f for group in range(4) for f in exports.list_files(spark, f"{folder}/{group}", "*.csv")]
+
+
+@register(
+    "\nUNION ALL ".join(
+        f"""SELECT CAST(doc_ord AS VARCHAR) AS record, {group} AS header, {", ".join(f'{_cells([c])}' if c in columns else f'CAST(NULL AS VARCHAR) AS "{c}"'
+        for c in ("Title", "Year", "DOI", "Publisher", "Abstract"))}, true AS in_order FROM raw_a WHERE doc_ord % 3 = {group}"""
+        for group, columns in _GROUPS.items()
+    )
+)
+def headers_scan(spark, sf):
+    """Files of three headers scanned together: columns by name, absent ones null, rows in the order of their file."""
+    rows = exports.read_delimited(spark, _files(spark, _three_headers(spark, sf)), file_column="file")
+    before = F.lag(F.col("record").cast("long")).over(Window.partitionBy("file").orderBy("doc_ord"))
+    return rows.select(
+        "record", F.regexp_extract("file", "/([0-9])/[^/]*$", 1).cast("int").alias("header"), "Title", "Year", "DOI", "Publisher", "Abstract",
+        F.coalesce(F.col("record").cast("long") > before, F.lit(True)).alias("in_order"),
+    )
+
+
+@register(
+    f"""SELECT header, "column", CAST(sum(records) AS BIGINT) AS records, CAST(sum(blank_cells) AS BIGINT) AS blank_cells FROM (
+    SELECT doc_ord % 3 AS header, 'Title' AS "column", 1 AS records, CASE WHEN {sql.blank('c')} THEN 1 ELSE 0 END AS blank_cells
+      FROM (SELECT doc_ord, {_cells(['Title']).replace(' AS "Title"', ' AS c')} FROM raw_a)
+    UNION ALL SELECT doc_ord % 3, 'DOI', 1, CASE WHEN doc_ord % 3 = 2 OR {sql.blank('c')} THEN 1 ELSE 0 END
+      FROM (SELECT doc_ord, {_cells(['DOI']).replace(' AS "DOI"', ' AS c')} FROM raw_a)
+    UNION ALL SELECT 3, unnest(['Title', 'DOI']), 0, 0) GROUP BY ALL"""
+)
+def inventory_by_file(spark, sf):
+    """Records and blank cells of every file, summed over the files of one header, as file names are made up by the writer."""
+    counted = exports.inventory_by_file(spark, _files(spark, _three_headers(spark, sf)), ["Title", "DOI"])
+    header = F.regexp_extract("file", "/([0-9])/[^/]*$", 1).cast("long").alias("header")
+    return counted.groupBy(header, "column").agg(F.sum("records").alias("records"), F.sum("blank_cells").alias("blank_cells"))
+
+
+def _written(spark, sf) -> str:
+    """A whole run written to a folder; its intermediate tables are gone."""
+    folder = f"{shared_folder(spark)}/written-{uuid4().hex}"
+    with run_folder(spark):
+        result = pipeline.run(
+            tables.source_a(spark, sf), tables.source_b(spark, sf), tables.journal_reference(spark, sf), stable=True
+        )
+        sinks.write_run(result, folder)
+    return folder
+
+
+@register("SELECT * EXCLUDE (doc_ord) FROM final")
+def written_records(spark, sf):
+    return spark.read.parquet(f"{_written(spark, sf)}/records")
+
+
+@register("SELECT DISTINCT title_key FROM pairs")
+def written_titles(spark, sf):
+    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"').schema("title_key string")
+    return reader.csv(f"{_written(spark, sf)}/duplicate_titles").na.fill("")
+
+
 @register(f"SELECT j_ord AS record, {_cells(['Title', 'Issn', 'Categories'])} FROM jref")
 def journal_scan(spark, sf):
     """The journal list written with semicolons and scanned again, in order."""
@@ -473,6 +546,12 @@ def stats_summary(spark, sf):
     return _reports(spark, sf)["stats_summary"]
 
 
+@register(_stats_sql())
+def written_reports(spark, sf):
+    reader = spark.read.option("header", True).schema("Metric string, Value double")
+    return reader.csv(f"{_written(spark, sf)}/report/stats_summary")
+
+
 @register(
     "\nUNION ALL ".join(
         f"""SELECT '{name}' AS "Source", {kept} AS "Kept", {loaded} - {kept} AS "Removed", {loaded} AS "Total",

@@ -4,9 +4,10 @@ Exact by construction. Of the k + 2 disjoint chunks of a choice at least two sur
 take the first chunk i that is unharmed with no more edits before it than i, and the next one in the same way: before
 chunk i of the two there are at most i edits and after it at most k + 1 - i, which bounds how far it can have moved.
 Choices emit their chunks at the places they can move to, queries all their substrings of chunk size at their own place, and an
-equi-join on (length band, place, chunk) meets them. Its rows carry ids, numbers and letter flags only. Pairs of ids that
-share two different chunks are left; their texts are fetched and compared once, and the best of each query is
-pre-aggregated before the shuffle.
+equi-join on (length band, place, chunk) meets them. Its rows have a bounded size: ids, numbers, letter flags and the few letters
+on either side of the chunk, which may differ by twice the edits of their side. Pairs of ids that share two different
+chunks are left; their texts are fetched and compared once, and the best of each query is pre-aggregated before
+the shuffle.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ _PLAIN, _SORTED = 0, 1
 _HOT_SHARE = 4096
 # Texts are cut into stretches before they are exploded, so that no emitted place walks a text from its start.
 _STRETCH = 512
+# Letters before and after a chunk that its rows carry.
+_AROUND = 16
 
 
 def _forms(df: DataFrame, text: str, percent: int, token_sort_only: bool) -> DataFrame:
@@ -44,6 +47,15 @@ def _width(band: str, percent: int) -> str:
     return f"greatest(4, cast(floor(pow({100.0 / (percent - 1)}, {band}) * {(100 - percent) / 200}) AS int))"
 
 
+def _around(at: str, size: str) -> list[Column]:
+    """The hash of the chunk at a place of the stretch, and the letters before and after it."""
+    return [
+        F.expr(f"xxhash64(substring(stretch, {at} + 1, {size})) AS chunk"),
+        F.expr(f"substring(stretch, greatest({at} - {_AROUND}, 0) + 1, least({at}, {_AROUND})) AS before"),
+        F.expr(f"substring(stretch, {at} + {size} + 1, {_AROUND}) AS after"),
+    ]
+
+
 def choice_keys(c: DataFrame, queries: DataFrame, percent: int) -> DataFrame:
     """``most_edits + 2`` chunks (``i``, ``pos``) per choice, for each band that queries have and each place they can move to.
 
@@ -65,13 +77,14 @@ def choice_keys(c: DataFrame, queries: DataFrame, percent: int) -> DataFrame:
         c.join(F.broadcast(bands), F.expr("form = c_form AND band = c_band"))
         .select(*own, "s", "q_bands", sim.letter_bits("s").alias("letters"), F.expr(f"cast({sim.chunk_size('n', percent)} AS int) AS size"))
         .selectExpr("*", f"explode(sequence(0, {chunks} - 1, {at_once})) AS first")
-        .selectExpr("*", f"substring(s, first * size + 1, size * {at_once}) AS stretch")
+        .selectExpr("*", f"greatest(first * size - {_AROUND}, 0) AS start")
+        .selectExpr("*", f"substring(s, start + 1, size * {at_once} + {2 * _AROUND}) AS stretch")
         .selectExpr("*", f"explode(sequence(0, least({at_once}, {chunks} - first) - 1)) AS next")
-        .select(*own, "letters", "q_bands", F.expr("first + next AS i"), F.expr("(first + next) * size AS pos"),
-                F.expr("xxhash64(substring(stretch, next * size + 1, size)) AS chunk"))
+        .selectExpr("*", "first + next AS i", "(first + next) * size AS pos")
+        .select(*own, "letters", "q_bands", "i", "pos", *_around("pos - start", "size"))
         .selectExpr("*", "explode(q_bands) AS q_band")
         .selectExpr("*", f"explode(sequence(greatest(0, pos - i) div {width}, (pos + i) div {width})) AS place")
-        .select(*own, "letters", "i", "pos", F.xxhash64("form", "q_band", "place", "chunk").alias("key"))
+        .select(*own, "letters", "i", "pos", "before", "after", F.xxhash64("form", "q_band", "place", "chunk").alias("key"))
     )
 
 
@@ -84,11 +97,12 @@ def query_keys(q: DataFrame, percent: int) -> DataFrame:
     return (
         q.select(*own, "s", "band", sim.letter_bits("s").alias("letters"), F.explode(F.expr(sizes)).alias("size"))
         .selectExpr("*", f"{_width('band', percent)} AS width", f"explode(sequence(0, n - 1, {_STRETCH})) AS first")
-        .selectExpr("*", f"substring(s, first + 1, {_STRETCH} + size) AS stretch")
+        .selectExpr("*", f"greatest(first - {_AROUND}, 0) AS start")
+        .selectExpr("*", f"substring(s, start + 1, {_STRETCH + 2 * _AROUND} + size) AS stretch")
         .selectExpr("*", f"explode(sequence(0, least({_STRETCH}, n - first) - 1)) AS next")
         .where("first + next + size <= n")
-        .select(*own, "letters", F.expr("first + next AS pos"),
-                F.expr("xxhash64(form, band, (first + next) div width, xxhash64(substring(stretch, next + 1, size))) AS key"))
+        .select(*own, "letters", "band", "width", F.expr("first + next AS pos"), *_around("first + next - start", "size"))
+        .select(*own, "letters", "pos", "before", "after", F.expr("xxhash64(form, band, pos div width, chunk) AS key"))
     )
 
 
@@ -163,7 +177,9 @@ def candidates(
         AND abs(q.pos - c.pos) + abs((q.n - q.pos) - (c.n - c.pos)) <= {edits}
         AND bit_count(q.letters & ~c.letters) <= {edits}
         AND bit_count(c.letters & ~q.letters) <= {edits}
-        AND {same_year}"""
+        AND {same_year}
+        AND levenshtein(q.before, c.before, least(2 * c.i, {_AROUND})) >= 0
+        AND levenshtein(q.after, c.after, least(2 * (cast({sim.most_edits('c.n', percent)} AS int) + 1 - c.i), {_AROUND})) >= 0"""
     )
     # Sizes do not tell the work of this join, which is pairs: neither side is broadcast, and small partitions are not merged.
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -123,6 +123,48 @@ def affiliation_fill(spark, sf):
     )
 
 
+# The cleaning rules over whole given texts, with edge cases among them.
+for _name, _change, _oracle in (
+    ("texts_author_names", text.author_names, sql.author_names("cell")),
+    ("texts_document_type", text.document_type, sql.document_type("cell")),
+    ("texts_without_commas", text.without_commas, "replace(cell, ',', '')"),
+    ("texts_ampersand", text.ampersand_to_and, "replace(cell, '&', 'and')"),
+    ("texts_year", text.year, sql.year("cell")),
+    ("texts_cited_by", text.cited_by, sql.cited("cell")),
+    ("texts_issn", text.issn, sql.issn("cell")),
+    ("texts_open_access", text.open_access, sql.open_access("cell")),
+    ("texts_bracket_commas", text.bracket_commas, sql.bracket_commas("cell")),
+    ("texts_countries", text.countries, sql.countries("cell")),
+    ("texts_journal_name", text.journal_name, sql.journal_name("cell")),
+    ("texts_blank", text.is_blank, sql.blank("cell")),
+    ("texts_categories", text.categories, sql.categories("cell")),
+):
+    _column(_name, tables.given_cells, "cells", "cell", _change, _oracle)
+
+
+@register(f"SELECT doc_ord, {sql.filled('cell', 'other')} AS one, {sql.filled('other', 'cell')} AS two FROM cells")
+def texts_filled(spark, sf):
+    one, two = F.col("cell"), F.col("other")
+    return tables.given_cells(spark, sf).select("doc_ord", text.filled_from(one, two).alias("one"), text.filled_from(two, one).alias("two"))
+
+
+@register(
+    f"""SELECT doc_ord, unnest(list_filter(list_transform(string_split(cell, ';'), lambda p: {sql.trim('p')}), lambda p: p <> '')) AS one_type
+    FROM cells"""
+)
+def texts_document_types(spark, sf):
+    return tables.given_cells(spark, sf).select("doc_ord", F.explode(text.document_types(F.col("cell"))).alias("one_type"))
+
+
+@register("""SELECT doc_ord, coalesce("Source", 'unknown') AS "Source" FROM (
+    SELECT doc_ord, CASE WHEN doc_ord % 3 = 0 THEN NULL WHEN doc_ord % 3 = 1 THEN 'Scopus' ELSE 'Web of science' END AS "Source" FROM raw_b)""")
+def unknown_source(spark, sf):
+    """Records whose source is not told pass the journal names as the source ``unknown``."""
+    source = F.expr("CASE WHEN doc_ord % 3 = 0 THEN NULL WHEN doc_ord % 3 = 1 THEN 'Scopus' ELSE 'Web of science' END")
+    rows = tables.source_b(spark, sf).select("doc_ord", source.alias("Source"), F.col("Source Title").alias("Source title"), "ISSN")
+    return journals.canonical_titles(rows, tables.journal_reference(spark, sf)).select("doc_ord", "Source")
+
+
 @register(f"""SELECT j_ord, {sql.categories('"Categories"')} AS value FROM jref""")
 def categories_clean(spark, sf):
     return tables.journal_reference(spark, sf).select("j_ord", text.categories(F.col("Categories")).alias("value"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from biblioweave.config import COUNTRY_RULES_DEFAULT, DEFAULTS, TARGET_COLUMNS
 
-from .tables import ODD_NUMBERS, PLACES
+from .tables import ODD_NUMBERS, PLACES, RULE_PLACES
 
 # Every code point that Unicode counts as white space, and the four separators below the space.
 _CODES = (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
@@ -213,6 +213,15 @@ SELECT s_suppkey * 100 + y - 2015 AS j_ord, 'Journal of Supplier ' || s_suppkey
 FROM (SELECT *, unnest(generate_series(2015, 2023)) AS y FROM supplier)
 JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""
 
+_RULE_PLACE = [f"list_extract([{_quoted(RULE_PLACES)}], (n // 12 + {k}) % {len(RULE_PLACES)} + 1)" for k in (0, 7)]
+CTES["cells"] = f"""
+SELECT n AS doc_ord, t AS other, CASE n % 12 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN ' ' || chr(9) || ' ' || chr(8195)
+  WHEN 3 THEN 'Smith J. (' || t || '); ; Doe A. (7)' WHEN 4 THEN '[' || t || ', x] , a; [b, c' WHEN 5 THEN ' ' || t || ' ;Proceedings Paper;  Early Access '
+  WHEN 6 THEN {_RULE_PLACE[0]} || ', ' || t || '; ' || {_RULE_PLACE[1]} WHEN 7 THEN '1234-567x, ' || t
+  WHEN 8 THEN list_extract([{_quoted(ODD_NUMBERS)}], n // 12 % {len(ODD_NUMBERS)} + 1) WHEN 9 THEN ' ' || (n % 50) || '.0 '
+  WHEN 10 THEN t || ' & (web) & more' ELSE t END AS cell
+FROM (SELECT doc_id AS n, text AS t FROM documents UNION ALL SELECT page_id + 1000000000, html FROM pages)"""
+
 CTES["lemmas"] = """
 SELECT form, left(form, length(form) - 2) AS lemma FROM (
   SELECT DISTINCT unnest(string_split_regex(lower(text), '[^a-z]+')) AS form FROM documents) WHERE length(form) >= 5 AND length(form) % 3 = 0"""

@@ -18,6 +18,16 @@ PLACES = (
 )
 
 
+# A text for every country rule, and two that must stay as they are.
+RULE_PLACES = (
+    "USA", "U.S.A.", "united states of America", "U.K.", "united kingdom", "united arab emirates", "Republic of Korea", "Peoples R China",
+    "Russian Federation", "England", "SCOTLAND", "Wales", "Northern Ireland", "Viet Nam", "VietNam", "Côte d'Ivoire", "Cote d'Ivoire",
+    "Cote Ivoire", "Dominican Rep", "Trinidad Tobago", "Timor Leste", "St Vincent", "Germany (Democratic Republic, DDR)", "Sao Tome & Prin",
+    "St Lucia", "St Kitts & Nevi", "Papua N Guinea", "Guinea Bissau", "Cent Afr Republ", "Cape Verde", "Brunei", "Nigeria", "DEM REP CONGO",
+    "Democratic Republic of the Congo", "Turkiye", "St Martin", "Saint Martin", "New South Wales", "Brunei Darussalam",
+)
+
+
 TYPES = ("Article", "Article; Proceedings Paper", "Review ;Early Access", "Article; ; Book Chapter")
 
 
@@ -26,7 +36,8 @@ ODD_NUMBERS = ("12d", "2019f", "0x1p3", "Infinity", "+7", "201950e-2", ".5", "20
 
 
 def _pick(number: str, options) -> str:
-    return f"element_at(split('{'|'.join(options)}', '[|]'), cast({number} % {len(options)} + 1 AS int))"
+    listed = "|".join(options).replace("'", "\\'")
+    return f"element_at(split('{listed}', '[|]'), cast({number} % {len(options)} + 1 AS int))"
 
 
 def _issn(j: str) -> str:
@@ -129,3 +140,17 @@ def lemma_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forms and lemmas made of all words of all texts: every word of 6, 9, 12 ... letters loses two."""
     words = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("explode(split(lower(text), '[^a-z]+')) AS form").distinct()
     return words.where("length(form) >= 5 AND length(form) % 3 = 0").selectExpr("form", "left(form, length(form) - 2) AS lemma")
+
+
+def given_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All whole texts and pages as cells, with the edge cases of every cleaning rule around or between them."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("doc_id AS n", "text AS t")
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").selectExpr("page_id + 1000000000 AS n", "html AS t")
+    place = [_pick(f"(n div 12 + {k})", RULE_PLACES) for k in (0, 7)]
+    return docs.unionByName(pages).selectExpr(
+        "n AS doc_ord", "t AS other",
+        f"""CASE n % 12 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN ' \t \u2003' WHEN 3 THEN concat('Smith J. (', t, '); ; Doe A. (7)')
+        WHEN 4 THEN concat('[', t, ', x] , a; [b, c') WHEN 5 THEN concat(' ', t, ' ;Proceedings Paper;  Early Access ')
+        WHEN 6 THEN concat({place[0]}, ', ', t, '; ', {place[1]}) WHEN 7 THEN concat('1234-567x, ', t)
+        WHEN 8 THEN {_pick("(n div 12)", ODD_NUMBERS)} WHEN 9 THEN concat(' ', n % 50, '.0 ') WHEN 10 THEN concat(t, ' & (web) & more') ELSE t END AS cell""",
+    )

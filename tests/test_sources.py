@@ -1,7 +1,9 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
+from biblioweave.operators.durable import run_folder
 from biblioweave.plans import pipeline
 from biblioweave.sources import exports, sinks
 from checks.workbook_bytes import workbook_bytes
@@ -92,3 +94,34 @@ def test_run_and_write(spark, inputs, use_a, use_b, use_j, expected):
     assert titles.count() == (2 if use_a and use_b else 0)
     stats = spark.read.option("header", True).csv(f"{out}/report/stats_summary")
     assert stats.count() == 18
+
+
+def test_run_folder_leaves_nothing_and_outputs_have_a_manifest(spark, tmp_path):
+    a = spark.createDataFrame([(1, "one thing", "2020", None), (2, "one thing", "2021", None)], "doc_ord long, Title string, Year string, DOI string")
+    with run_folder(spark) as folder:
+        result = pipeline.run(a, None)
+        rows = sinks.write_run(result, str(tmp_path / "out"))
+        assert os.listdir(folder.removeprefix("file:"))
+    assert not os.path.exists(folder.removeprefix("file:"))
+    written = spark.read.option("header", True).csv(str(tmp_path / "out" / "manifest"))
+    assert {r.table: int(r.rows) for r in written.collect()} == rows
+    assert rows["records"] == rows["records_csv"] == 1 and rows["report/stats_summary"] == 18
+    assert spark.read.parquet(str(tmp_path / "out" / "records")).count() == 1
+    assert not [n for n in os.listdir(tmp_path / "out") if n.startswith("_staged")]
+    again = pipeline.run(a, None)
+    with pytest.raises(FileExistsError):
+        sinks.write_run(again, str(tmp_path / "out"))
+
+
+def test_headers_are_read_in_one_job(spark, tmp_path):
+    for i in range(9):
+        (tmp_path / f"{i}.csv").write_text(("Title,Year\n" if i % 2 else "Year,Title,DOI\n") + ("x,1\n" if i % 2 else "1,x,y\n"))
+    (tmp_path / "odd.csv").write_text('"Ti\ntle",Year\n"a\nb",3\n')
+    (tmp_path / "void.csv").write_text("")
+    files = exports.list_files(spark, str(tmp_path), "*.csv")
+    assert len(exports.first_lines(spark, files)) == 10
+    rows = exports.read_delimited(spark, files, file_column="file")
+    assert rows.columns[:2] == ["doc_ord", "file"] and rows.count() == 10
+    assert rows.where("DOI IS NULL").count() == 5 and rows.where(F.col("`Ti\ntle`") == "a\nb").count() == 1
+    counted = {(r.file.rsplit("/", 1)[1], r.column): (r.records, r.blank_cells) for r in exports.inventory_by_file(spark, files, ["Title", "DOI"]).collect()}
+    assert counted["void.csv", "Title"] == (0, 0) and counted["1.csv", "DOI"] == (1, 1) and counted["0.csv", "DOI"] == (1, 0)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -466,6 +467,7 @@ def inventory_by_file(spark, sf):
     return counted.groupBy(header, "column").agg(F.sum("records").alias("records"), F.sum("blank_cells").alias("blank_cells"))
 
 
+@lru_cache(maxsize=4)
 def _written(spark, sf) -> str:
     """A whole run written to a folder; its intermediate tables are gone."""
     folder = f"{shared_folder(spark)}/written-{uuid4().hex}"

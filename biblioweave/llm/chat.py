@@ -150,7 +150,8 @@ def digests(rendered: DataFrame) -> DataFrame:
 def table_events(rows: DataFrame, delta_chars: int = 512) -> DataFrame:
     """The log of a table ``conv_id, turn, role, text``: every row is a message, streamed in deltas of ``delta_chars``.
 
-    Rows of one turn number stay messages of their own, in the order of role and text.
+    Rows of one turn number stay messages of their own, in the order of role and text. A long text is cut into stretches of
+    about the root of its deltas first, so no delta is looked up from the start of the whole text.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     pieces = F.greatest(F.lit(1), F.ceil(F.length("text") / delta_chars).cast("int"))
@@ -158,7 +159,13 @@ def table_events(rows: DataFrame, delta_chars: int = 512) -> DataFrame:
     numbered = rows.select("conv_id", F.col("turn").alias("message"), "role", text.alias("text"), "turn").withColumn(
         "copy", F.row_number().over(same_turn)
     )
-    return numbered.select("*", F.explode(F.sequence(F.lit(0), pieces - 1)).alias("seq")).select(
-        "conv_id", "message", "copy", "seq", F.lit("delta").alias("kind"), "role",
-        F.substr("text", F.col("seq") * delta_chars + 1, F.lit(delta_chars)).alias("text"),
+    place = ("conv_id", "message", "copy", "role")
+    sized = numbered.select(*place, "text", pieces.alias("pieces"), F.greatest(F.lit(16), F.ceil(F.sqrt(pieces))).cast("int").alias("run"))
+    stretches = sized.select(*place, "text", "pieces", "run", F.explode(F.expr("sequence(0, pieces - 1, run)")).alias("first")).select(
+        *place, "first", F.least("run", F.col("pieces") - F.col("first")).alias("held"),
+        F.substr("text", F.col("first") * delta_chars + 1, F.col("run") * delta_chars).alias("stretch"),
+    )
+    return stretches.select("*", F.explode(F.expr("sequence(0, held - 1)")).alias("next")).select(
+        "conv_id", "message", "copy", (F.col("first") + F.col("next")).alias("seq"), F.lit("delta").alias("kind"), "role",
+        F.substr("stretch", F.col("next") * delta_chars + 1, F.lit(delta_chars)).alias("text"),
     )

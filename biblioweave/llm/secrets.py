@@ -40,6 +40,27 @@ def _matches(text: Column, pattern: str, body) -> Column:
     return let(pieces, lambda p: F.when(F.size(p) > 1, let(F.transform(p, F.length), lambda n: body(n, p))))
 
 
+def _prefix_sums(numbers: Column, body) -> Column:
+    """``body`` of a function that sums the first i numbers: whole blocks of about their root, then what is left of one."""
+    total = lambda some: F.aggregate(some, F.lit(0).cast("long"), lambda a, x: a + x)
+    size = F.greatest(F.lit(8), F.ceil(F.sqrt(F.size(numbers)))).cast("int")
+
+    def summed(block):
+        count = F.floor(F.size(numbers) / block).cast("int")
+        sums = F.transform(F.sequence(F.lit(0), count), lambda b: total(F.slice(numbers, b * block + 1, block)))
+        before = lambda sums: F.transform(F.sequence(F.lit(0), count), lambda b: total(F.slice(sums, F.lit(1), b)))
+
+        def of(starts):
+            def first(i):
+                return let(F.floor(i / block).cast("int"), lambda b: starts[b] + total(F.slice(numbers, b * block + 1, i - b * block)))
+
+            return body(first)
+
+        return let(let(sums, before), of)
+
+    return let(size, summed)
+
+
 def _spans(text: Column, pattern: str, kind: str, keep=None) -> Column:
     """``array<struct<start, kind, end>>`` of the matches, in code points, end exclusive."""
 
@@ -48,14 +69,15 @@ def _spans(text: Column, pattern: str, kind: str, keep=None) -> Column:
         if keep is not None:
             at = F.filter(at, lambda i: keep(pieces[i]))
 
-        def span(i):
-            start = F.aggregate(F.slice(lengths, 1, i), F.lit(0), lambda a, x: a + x)
-            return F.struct(
-                start.cast("long").alias("start"), F.lit(KINDS.index(kind)).alias("kind"),
-                (start + lengths[i]).cast("long").alias("end"),
-            )
+        def spans(start_of):
+            def span(i):
+                return let(start_of(i), lambda start: F.struct(
+                    start.alias("start"), F.lit(KINDS.index(kind)).alias("kind"), (start + lengths[i]).alias("end")
+                ))
+
+            return F.transform(at, span)
 
-        return F.transform(at, span)
+        return _prefix_sums(lengths, spans)
 
     none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
     return F.coalesce(_matches(text, pattern, found), none)

@@ -24,6 +24,8 @@ _NARROW_B = (
     "doc_ord", "Article Title", "Publication Year", "DOI", "Source", "Source Title", "ISSN", "Cited Reference Count", "title_key",
 )
 _ROW = ["_origin", "doc_ord"]
+# Decisions of so many records may be broadcast; of more, both sides are shuffled. Their files, compressed, do not tell their size.
+_BROADCAST_DECISIONS = 20_000
 
 
 @dataclass(frozen=True)
@@ -158,8 +160,11 @@ def clean(records: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     return journal_ops.unpack_metrics(cleaned, [c for c in cleaned.columns if c != "j"])
 
 
-def assemble(sources: Sources, decided: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """The clean records that ``decided`` (stored) keeps."""
+def assemble(sources: Sources, decisions: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """The clean records that ``decisions`` keeps. The decisions are stored, and counted on the way."""
+    decided, seen = counted(decisions, "decisions")
+    if seen()["rows"] > _BROADCAST_DECISIONS:
+        decided = decided.hint("merge")
     return clean(with_decisions(whole_records(sources, settings), decided), settings)
 
 
@@ -175,8 +180,8 @@ def consolidate(
         raise ValueError("there is no source to read")
     sources = read_sources(raw_a, raw_b, settings, stable)
     pairs = match_sources(sources, settings)
-    decided = durable(decide(sources, pairs, journals, settings), "decisions")
-    return sources, pairs, assemble(sources, decided, settings).withColumn("Title", text.ws_trim(F.col("Title")))
+    decisions = decide(sources, pairs, journals, settings)
+    return sources, pairs, assemble(sources, decisions, settings).withColumn("Title", text.ws_trim(F.col("Title")))
 
 
 def run(

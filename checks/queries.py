@@ -367,8 +367,9 @@ def journal_metrics_title_fallback(spark, sf):
 @register("SELECT * FROM enriched")
 def enriched_records(spark, sf):
     sources = _sources(spark, sf)
-    decided = pipeline.decide(sources, pipeline.match_sources(sources), tables.journal_reference(spark, sf), unique=False)
-    return pipeline.assemble(sources, durable(decided, "decisions"))
+    return pipeline.assemble(
+        sources, pipeline.decide(sources, pipeline.match_sources(sources), tables.journal_reference(spark, sf), unique=False)
+    )
 
 
 @register(

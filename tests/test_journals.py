@@ -110,3 +110,17 @@ def test_pivot_of_many_types_collects_nothing(spark):
     wide = reports.doc_types_pivot(records, ["type 00007", "absent"]).collect()
     assert [tuple(r) for r in wide] == [(2020, 1, 0), (2021, 2, 0)]
     assert [(r.Year, len(r.documents)) for r in reports.doc_types_by_year_map(records).collect()] == [(2020, 12_000), (2021, 1)]
+
+
+def test_whole_records_move_in_one_join(spark):
+    columns = "doc_ord long, Title string, Year string, DOI string, `Source title` string, ISSN string, Abstract string"
+    a = spark.createDataFrame([(1, "one thing", "2020", None, "Nature Letters", "12345678", "long"), (2, "one thing", "2020", None, None, None, "x")], columns)
+    journal_list = spark.createDataFrame(JOURNALS, J)
+    sources = pipeline.read_sources(a, None, stable=True)
+    pairs = pipeline.match_sources(sources)
+    decisions = pipeline.decide(sources, pairs, journal_list)
+    assert "Abstract" not in {*sources.a.columns, *pipeline.flagged(sources, pairs).columns, *decisions.columns}
+    records = pipeline.assemble(sources, decisions)
+    plan = records._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 1 and "Window" not in plan and "Aggregate" not in plan and "Repartition" not in plan
+    assert [(r.Title, r.Abstract, r.SJR) for r in records.collect()] == [("one thing", "long", 1.5)]

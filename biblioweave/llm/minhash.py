@@ -11,7 +11,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..operators.durable import durable
 from .common import batch_of, slices, texts
@@ -223,10 +223,14 @@ def signatures(docs: DataFrame, weights, settings: Settings) -> DataFrame:
     return rows.mapInArrow(run, _SIGNATURES)
 
 
-_COMPARED = "a long, b long, crowded boolean, low double, high double, rare array<long>, others array<long>"
+_COMPARED = "a long, b long, crowded boolean, low double, high double, same double, shingles array<long>, gaps array<int>, totals array<int>, idfs array<float>"
 _COMPARED_ARROW = pa.schema([
-    ("a", pa.int64()), ("b", pa.int64()), ("crowded", pa.bool_()), ("low", pa.float64()), ("high", pa.float64()),
-    ("rare", pa.list_(pa.int64())), ("others", pa.list_(pa.int64())),
+    ("a", pa.int64()), ("b", pa.int64()), ("crowded", pa.bool_()), ("low", pa.float64()), ("high", pa.float64()), ("same", pa.float64()),
+    ("shingles", pa.list_(pa.int64())), ("gaps", pa.list_(pa.int32())), ("totals", pa.list_(pa.int32())), ("idfs", pa.list_(pa.float32())),
+])
+_HEADS = "hub long, node long, failed boolean, own array<long>, any array<long>"
+_HEADS_ARROW = pa.schema([
+    ("hub", pa.int64()), ("node", pa.int64()), ("failed", pa.bool_()), ("own", pa.list_(pa.int64())), ("any", pa.list_(pa.int64())),
 ])
 _TERMS = "a long, b long, shingle long, gap long, total long"
 _TERMS_ARROW = pa.schema([(c, pa.int64()) for c in ("a", "b", "shingle", "gap", "total")])
@@ -254,24 +258,22 @@ def differences(batch: pa.RecordBatch, known: _Words, size: int) -> tuple[np.nda
 
 
 def compared(pairs: DataFrame, bodies: DataFrame, bounds, settings: Settings) -> DataFrame:
-    """``a, b, crowded, low, high, rare, others``: bounds of the weighted Jaccard similarity of each pair's whole texts.
+    """``a, b, crowded, low, high, ...``: bounds of the weighted Jaccard similarity of each pair's whole texts.
 
     ``bounds`` are the least weight per counter, and the weights of what stands in one document and in two: a shingle
     is no lighter than its counter says, and no heavier than what the pair itself shows.
-    For ``crowded`` pairs also where ``b`` differs from ``a``: signed shingles, ``rare`` the rarest that surely hold more
-    than D / 2 + max(0, w(b) - w(a)) / 18 of the weighted difference D, ``others`` the rest.
+    For ``crowded`` pairs also where ``b`` differs from ``a``: signed shingles with their gaps, counts in both and least
+    weights, and ``same``, the most that all other shingles can weigh.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, (table, single, double) = _Words(), bounds.value
         for whole in batches:
             for batch in slices(whole, "text_a"):
-                n = batch.num_rows
+                n, pair = batch.num_rows, [batch.column(c) for c in ("a", "b", "crowded")]
                 doc, h, gap, total = differences(batch, known, settings.words)
                 if not len(doc):
-                    yield batch_of(
-                        _COMPARED_ARROW, *(batch.column(c) for c in ("a", "b", "crowded")), np.zeros(n), np.zeros(n), [[]] * n, [[]] * n
-                    )
+                    yield batch_of(_COMPARED_ARROW, *pair, *[np.zeros(n)] * 3, *[[[]] * n] * 4)
                     continue
                 idf = table[_slot(h, settings.slots)]
                 top = np.maximum(idf, np.where(np.abs(gap) < total, double, single))
@@ -280,28 +282,119 @@ def compared(pairs: DataFrame, bodies: DataFrame, bounds, settings: Settings) ->
                 alike, most_alike = np.bincount(doc, same * idf, n), np.bincount(doc, same * top, n)
                 low = alike / np.maximum(alike + most_apart, 1e-9)
                 high = most_alike / np.maximum(most_alike + apart, 1e-9)
-                need = most_apart / 2 + np.maximum(np.bincount(doc, gap * np.where(gap > 0, top, idf), n), 0) / 18
-                crowded = np.array(batch.column("crowded").to_pylist(), bool)
-                keep = (gap != 0) & crowded[doc]
-                # What b adds comes first, the rarest ahead; of what b lacks, the most common, which others seldom lack.
-                shared = np.where(gap > 0, -idf, idf)
-                doc, h, gap, idf, shared = (a[keep] for a in (doc, h, gap, idf, shared))
-                order = np.lexsort((h, shared, doc))
-                doc, h, gap, idf = doc[order], h[order], gap[order], idf[order]
-                weight = np.abs(gap) * idf
+                equal = np.bincount(doc, np.where(gap == 0, total * top, 0), n)
+                keep = (gap != 0) & np.array(batch.column("crowded").to_pylist(), bool)[doc]
+                doc, h, gap, total, idf = (x[keep] for x in (doc, h, gap, total, idf))
                 signed = _mix(h ^ (gap > 0).astype(np.uint64)).view(np.int64)
-                ends = np.searchsorted(doc, np.arange(n), "right")
-                run_sum = np.cumsum(weight) - weight
-                starts = np.append(0, ends[:-1])
-                base = np.append(run_sum, 0.0)[np.minimum(starts, len(run_sum))] if len(run_sum) else np.zeros(n)
-                is_rare = run_sum - base[doc] <= need[doc] * (1 + 1e-6)
-                rare = [signed[s:e][is_rare[s:e]] for s, e in zip(starts, ends)]
-                others = [signed[s:e][~is_rare[s:e]] for s, e in zip(starts, ends)]
-                yield batch_of(_COMPARED_ARROW, *(batch.column(c) for c in ("a", "b", "crowded")), low, high, rare, others)
+                cuts = np.searchsorted(doc, np.arange(n + 1)).astype(np.int32)
+                lists = [
+                    pa.ListArray.from_arrays(pa.array(cuts), pa.array(x, kind)) for x, kind in
+                    ((signed, pa.int64()), (gap.astype(np.int32), pa.int32()), (total.astype(np.int32), pa.int32()), (idf.astype(np.float32), pa.float32()))
+                ]
+                yield batch_of(_COMPARED_ARROW, *pair, low, high, equal, *lists)
 
     return in_both(pairs, bodies).mapInArrow(run, _COMPARED)
 
 
+def head(least: np.ndarray, most: np.ndarray):
+    """A function of ``less``: the length of the shortest head whose ``least`` sum is above the ``most`` sum of the rest plus ``less``."""
+    both, total = np.cumsum(least + most), most.sum()
+
+    def length(less: float) -> int:
+        bound = (total + less) * (1 + 1e-6) + 1e-6 if total + less > -1e-6 else total + less
+        return 0 if bound < 0 else min(int(np.searchsorted(both, bound, "right")) + 1, len(both))
+
+    return length
+
+
+def _grade(weight: float) -> int:
+    """Grades double; ``_grade_from`` is where one begins."""
+    return int(np.log2(weight)) if weight >= 1 else 0
+
+
+def _grade_from(grade: int) -> float:
+    return 2.0**grade if grade > 0 else 0.0
+
+
+def heads(found: DataFrame, bounds) -> DataFrame:
+    """``hub, node, failed, own, any`` of all members of hubs where a member fails: the differences to look others up by.
+
+    All members of a hub h put their differences in one order, those that fewest members have ahead: what h has alone
+    all others lack, and it comes last. Write w for weights and D for the weight of the difference from h. Members x and y
+    link only where they share N = (D(x) + D(y) - (w(x) + w(y)) / 9) / 2 or more of their differences, and where neither
+    is heavier than 5/4 of the other nor D(x) and D(y) are further apart than w / 4. Whatever the other one is, N is at
+    least (D - w / 4) / 2 of the one, plus half of the other one's D, which is known by its grade. Where x has failed, so
+    D(x) = (w(x) + w(h)) / 9 + t with t > 0, N is at least t / 2 and more than (D(y) - (w(y) - w(h)) / 9) / 2 too.
+    So each member gives, for every grade that its partner can have, the head of its list behind which less than N is
+    left: the first difference that two members share stands in the heads of both. ``own`` is for failed partners, ``any``
+    what a failed member looks for. Values are hashes of the difference and both grades, so that only members of these grades
+    meet. Differences of a 16th of the members or more are counted, at most 16 times the mean list per hub.
+    """
+    wide = found.where("crowded").select(
+        F.col("a").alias("hub"), F.col("b").alias("node"), (~F.col("close")).alias("failed"), "same", "shingles", "gaps", "totals", "idfs"
+    )
+    hubs = wide.groupBy("hub").agg(F.count(F.lit(1)).alias("members"), F.max("failed").alias("open")).where("open").select("hub", "members")
+    wide = wide.join(hubs, "hub")
+    often = (
+        wide.select("hub", "members", F.explode("shingles").alias("shingle")).groupBy("hub", "shingle")
+        .agg(F.count(F.lit(1)).alias("n"), F.first("members").alias("members")).where("n > 1 AND 16 * n >= members")
+        .groupBy("hub").agg(F.sort_array(F.collect_list(F.struct("n", "shingle")))["shingle"].alias("often"))
+    )
+    listed = wide.join(often, "hub", "left").select("hub", "node", "failed", "same", "shingles", "gaps", "totals", "idfs", "often")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, single, double = bounds.value
+        hub, place, common = None, np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+        def keys(ids: np.ndarray, x: int, y: int) -> np.ndarray:
+            return _mix(ids.view(np.uint64) ^ np.uint64((x << 10 | y) * 0x9E3779B97F4A7C15 % (1 << 64))).view(np.int64)
+
+        for batch in batches:
+            own, any_ = [], []
+            hubs, failed, same = (batch.column(c).to_pylist() for c in ("hub", "failed", "same"))
+            for i in range(batch.num_rows):
+                if hub != hubs[i]:
+                    hub, common = hubs[i], batch.column("often")[i].values
+                    common = np.zeros(0, np.int64) if common is None else common.to_numpy()
+                    order = np.argsort(common, kind="stable")
+                    place, common = order + 1, common[order]
+                ids, gap, total, idf = (batch.column(c)[i].values.to_numpy() for c in ("shingles", "gaps", "totals", "idfs"))
+                rank = np.zeros(len(ids), np.int64)
+                if len(common) and len(ids):
+                    at = np.minimum(np.searchsorted(common, ids), len(common) - 1)
+                    rank = np.where(common[at] == ids, place[at], 0)
+                line = np.lexsort((ids, rank))
+                ids, gap, total, idf = ids[line], gap[line].astype(float), total[line].astype(float), idf[line].astype(float) * (1 - 1e-6)
+                size = np.abs(gap)
+                top = np.maximum(idf, np.where(size < total, double, single))
+                weighed = lambda part: np.where(part > 0, idf, top) * part
+                far, heavy = (size * idf).sum(), ((total + gap) * top).sum() / 2 + same[i] / 2
+                light = ((total + gap) / 2 * idf).sum() + same[i] / 2 / single  # a weight is at least 1, and ``single`` at most
+                light_hub = ((total - gap) / 2 * idf).sum() + same[i] / 2 / single
+                grade, last = _grade(far), _grade((far + heavy / 4) * (1 + 1e-6))
+                by_far = head(weighed(size / 2 - (total + gap) / 16), top * (size / 2 + (total + gap) / 16))
+                as_partner = head(idf * (size / 2 - gap / 18), top * (size / 2 + gap / 18))(0.0)
+                # Grades go by D in least weights, which differs by w / 4 at most too; ``single`` times it is more than the true D.
+                near = (far - heavy / 4) * (1 - 1e-6)
+                least = max(near, (0.8 * light + light_hub) / 9 / single * (1 - 1e-6))
+                own.append(np.concatenate([ids[:0]] + [
+                    keys(ids[: min(as_partner, by_far(same[i] / 16 - _grade_from(g) / 2))], g, grade)
+                    for g in range(last + 1) if _grade_from(g + 1) > least
+                ]))
+                if not failed[i]:
+                    any_.append(ids[:0])
+                    continue
+                as_failed = head(weighed(size / 2 - total / 18), top * (size / 2 + total / 18))(same[i] / 18)
+                any_.append(np.concatenate([ids[:0]] + [
+                    keys(ids[: min(as_failed, by_far(same[i] / 16 - _grade_from(g) / 2))], grade, g)
+                    for g in range(last + 1) if _grade_from(g + 1) > near
+                ]))
+            if batch.num_rows:
+                yield batch_of(_HEADS_ARROW, *(batch.column(c) for c in ("hub", "node", "failed")), own, any_)
+
+    return listed.mapInArrow(run, _HEADS)
+
+
 def exact(pairs: DataFrame, bodies: DataFrame, docs: DataFrame, n: int, settings: Settings) -> DataFrame:
     """``a, b, similarity`` with the true document frequencies of all shingles of the pairs, over all rows of ``docs``.
 
@@ -372,12 +465,9 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), broadcast_
 
     A class is what links of similarity ``settings.similarity`` or more connect. Texts of equal words are one node,
     so copies are never paired. Each bucket of a band has a hub, the node that meets most others, and every node
-    of it is compared with the hub alone. For a node x that fails there, only few others are left. Write D for the
-    weight of the difference from the hub h; x fails where D(x) > (w(x) + w(h)) / 9, and x and y link where they
-    differ by (w(x) + w(y)) / 9 at most, which is at least D(x) + D(y) less twice what both differences share. So they
-    share (D(y) - max(0, w(y) - w(h)) / 9) / 2 or more, and with it one of the rarest shingles that hold all but
-    less than that of D(y). An equi-join on these finds all such y: edits are rarer than the common text of a
-    group, so a large group of copies is never paired out.
+    of it is compared with the hub alone. A node x that fails there can still link to a member y of another class: only
+    where both differ from the hub alike, so an equi-join on the differences that fewest members have (``heads``) finds all such
+    y. Keys that one class holds alone are dropped before the join, so a large group of copies is never paired out.
 
     ``is_first`` marks one row of each class: least id, nulls last, then the text's hash; of rows equal in both,
     all are marked. ``n_links`` counts the verified links of the row's words. Null and empty texts, and texts
@@ -419,17 +509,22 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), broadcast_
     found = verified(pairs, bodies, docs, bounds, n, settings, "compared")
     links = found.where("close").select("a", "b").distinct()
     classes = durable(components(links), "classes")
-    class_of = lambda name: classes.select(F.col("node").alias(name), F.col("component").alias(f"class_{name}"))
-    failed = found.where("NOT close AND crowded").select(
-        F.col("a").alias("hub"), F.col("b").alias("x"), F.explode(F.concat("rare", "others")).alias("shingle")
+    listed = heads(found, bounds).join(classes.select("node", "component"), "node", "left").withColumn(
+        "class", F.coalesce("component", "node")
     )
-    others = found.where("crowded").select(F.col("a").alias("hub"), F.col("b").alias("y"), F.explode("rare").alias("shingle"))
-    shared = failed.join(others, ["hub", "shingle"]).where("x <> y").select(
-        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")
+    sides = F.explode(F.array(F.struct(F.lit(True).alias("looks"), F.col("any").alias("keys")), F.struct(F.lit(False).alias("looks"), F.col("own").alias("keys"))))
+    keys = listed.select("hub", "node", "class", sides.alias("side")).select(
+        "node", "class", "side.looks", F.explode("side.keys").alias("key"), "hub"
+    ).withColumn("key", F.xxhash64("hub", "key")).drop("hub")
+    # Members of one class are not looked up: a key that one class holds alone goes before the join.
+    group = Window.partitionBy("key")
+    met = keys.withColumns({"least": F.min("class").over(group), "most": F.max("class").over(group), "looked": F.max("looks").over(group)})
+    met = durable(met.where("looked AND least <> most").select("key", "looks", "node", "class"), "heads")
+    failed = met.where("looks").select("key", F.col("node").alias("x"), F.col("class").alias("class_x"))
+    others = met.where("NOT looks").select("key", F.col("node").alias("y"), F.col("class").alias("class_y"))
+    open_ = failed.join(others, (failed.key == others.key) & (F.col("class_x") != F.col("class_y"))).select(
+        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.lit(False).alias("crowded")
     ).distinct()
-    open_ = shared.join(class_of("a"), "a", "left").join(class_of("b"), "b", "left").where(
-        "coalesce(class_a, a) <> coalesce(class_b, b)"
-    ).select("a", "b", F.lit(False).alias("crowded"))
     late = verified(open_, bodies, docs, bounds, n, settings, "late")
     late = durable(late.where("close").select("a", "b").distinct(), "late-links")
     links = links.unionByName(late)

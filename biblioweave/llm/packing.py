@@ -11,7 +11,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain, count
+from itertools import chain
 from struct import pack as pack_ids
 from zlib import crc32
 
@@ -36,9 +36,9 @@ _OTHER = re.compile("[^\x00-ɏ]")
 _PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTES = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PLAIN)}
 
-_TOKENS = "doc_id long, task long, row long, doc_tokens long, full array<long>, rest long, rest_rank long, rest_ids binary"
+_TOKENS = "doc_id long, task long, ahead long, doc_tokens long, full array<long>, rest long, rest_rank long, rest_ids binary"
 _TOKENS_ARROW = pa.schema([
-    ("doc_id", pa.int64()), ("task", pa.int64()), ("row", pa.int64()), ("doc_tokens", pa.int64()), ("full", pa.list_(pa.int64())),
+    ("doc_id", pa.int64()), ("task", pa.int64()), ("ahead", pa.int64()), ("doc_tokens", pa.int64()), ("full", pa.list_(pa.int64())),
     ("rest", pa.int64()), ("rest_rank", pa.int64()), ("rest_ids", pa.binary()),
 ])
 _PIECES = (
@@ -139,10 +139,11 @@ def _ids(vocabulary: str) -> Ids:
 
 
 def tokens(docs: DataFrame, vocabulary: str, window: int = Settings.window) -> DataFrame:
-    """Every row's ids cut into full windows (their checksums) and the rest (its ids, and its rank among equal rests of its task)."""
+    """Every row's ids cut into full windows (their checksums; ``ahead`` of them are full windows of earlier rows of its task)
+    and the rest (its ids, and its rank among equal rests of its task)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, task, rows, ranks = _ids(vocabulary), TaskContext.get().partitionId(), count(), {}
+        ids, task, ahead, ranks = _ids(vocabulary), TaskContext.get().partitionId(), 0, {}
         end, width = np.array([END_ID], "<u4").tobytes(), 4 * window
         for batch in chain.from_iterable(slices(whole, "text") for whole in batches):
             out = []
@@ -152,7 +153,8 @@ def tokens(docs: DataFrame, vocabulary: str, window: int = Settings.window) -> D
                 rest = (len(raw) - cut) // 4
                 ranks[rest] = rank = ranks.get(rest, -1) + 1
                 full = [crc32(raw[i : i + width]) for i in range(0, cut, width)]
-                out.append((doc_id, task, next(rows), len(raw) // 4, full, rest, rank, raw[cut:]))
+                out.append((doc_id, task, ahead, len(raw) // 4, full, rest, rank, raw[cut:]))
+                ahead += len(full)
             if out:
                 yield batch_of(_TOKENS_ARROW, *zip(*out))
 
@@ -289,10 +291,10 @@ def pack(docs: DataFrame, vocabulary: str, settings: Settings = Settings()) -> D
         edges = np.cumsum([0, *powers]) + tail_full * window
         for batch in batches:
             out = []
-            for doc_id, task, row, n, full, rest, _, ids, rank in zip(*(c.to_pylist() for c in batch.columns)):
-                # Full windows are sequences of their own: numbered below zero by task, row and window.
+            for doc_id, task, ahead, n, full, rest, _, ids, rank in zip(*(c.to_pylist() for c in batch.columns)):
+                # Full windows are sequences of their own: numbered below zero by task and place among its full windows.
                 for i, check in enumerate(full):
-                    out.append((doc_id, i * window, window, check, n, -1 - (task << 42 | row << 20 | i), 0, window))
+                    out.append((doc_id, i * window, window, check, n, -1 - (task << 42 | ahead + i), 0, window))
                 if not rest:
                     continue
                 start = n - rest

@@ -410,11 +410,12 @@ def exact(pairs: DataFrame, bodies: DataFrame, docs: DataFrame, n: int, settings
                 yield batch_of(_TERMS_ARROW, a, b, h.view(np.int64), gap, total)
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(_BITS, bool)
+        bits = np.zeros(_BITS // 8, np.uint8)
         for batch in batches:
-            bits[_slot(batch.column("shingle").to_numpy().view(np.uint64), _BITS)] = True
-        pieces = [p for p in range(0, _BITS, _PIECE) if bits[p : p + _PIECE].any()]
-        yield batch_of(marked, pieces, [zlib.compress(np.packbits(bits[p : p + _PIECE]).tobytes(), 1) for p in pieces])
+            at = _slot(batch.column("shingle").to_numpy().view(np.uint64), _BITS)
+            np.bitwise_or.at(bits, at >> 3, (128 >> (at & 7)).astype(np.uint8))
+        pieces = [p for p in range(0, _BITS, _PIECE) if bits[p // 8 : (p + _PIECE) // 8].any()]
+        yield batch_of(marked, pieces, [zlib.compress(bits[p // 8 : (p + _PIECE) // 8].tobytes(), 1) for p in pieces])
 
     def unite(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(_PIECE // 8, np.uint8)
@@ -479,6 +480,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), broadcast_
     one, two = true_weights(np.array([1, 2]), n).tolist()
     bounds = spark.sparkContext.broadcast((true_weights(frequency, n), one, two))
     rows = durable(signatures(docs, weights, settings), "signatures")
+    weights.unpersist()
     nodes = rows.groupBy("node").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "copy")).alias("at"), F.first("signature").alias("signature")
     )
@@ -527,6 +529,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), broadcast_
     ).distinct()
     late = verified(open_, bodies, docs, bounds, n, settings, "late")
     late = durable(late.where("close").select("a", "b").distinct(), "late-links")
+    bounds.unpersist()
     links = links.unionByName(late)
     if late.limit(1).count():
         classes = components(links)

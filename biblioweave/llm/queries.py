@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from . import audit, chat, codes, decontam, minhash, neighbours, oracles, packing, quality, secrets, suffix, syncmers, toxicity, urls
 from .common import table, texts
@@ -51,14 +51,17 @@ def secret_spans(docs: DataFrame) -> DataFrame:
     return secrets.scan(docs, model)
 
 
+def _count_of(kind: str) -> Column:
+    """``n_<kind>``: base spans of the kind. The lambda has one parameter, as Spark passes the place in the array as a second one."""
+    number = secrets.KINDS.index(kind)
+    return F.size(F.filter("base", lambda s: s.kind == number)).cast("long").alias(f"n_{kind}")
+
+
 @register
 def op3_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_spans(table(spark, sf_dir, "documents"))
-    counts = [
-        F.size(F.filter("base", lambda s, k=k: s.kind == k)).cast("long").alias(f"n_{secrets.KINDS[k]}") for k in range(3)
-    ]
     return found.select(
-        "doc_id", *counts, F.sha2(secrets.span_text(F.col("base")), 256).alias("base_sha256"),
+        "doc_id", *[_count_of(kind) for kind in secrets.KINDS[:3]], F.sha2(secrets.span_text(F.col("base")), 256).alias("base_sha256"),
         secrets.span_text(F.col("spans")).alias("spans"),
     )
 

@@ -116,6 +116,19 @@ def _fixed(rules):
 COUNTRY_RULES_STRICT = _bounded(STRICT_COUNTRY_RULES)
 COUNTRY_RULES_DEFAULT = _fixed(STRICT_COUNTRY_RULES)
 
+# Lower-case texts one of which stands in every match of a rule that is more than a plain text.
+_RULE_TEXTS = {
+    STRICT_COUNTRY_RULES[0][0]: ("usa", "u.s.a.", "united states"),
+    STRICT_COUNTRY_RULES[1][0]: ("uk", "u.k.", "united kingdom"),
+    r"viet\s?nam": ("viet",),
+    r"Germany \(Democratic Republic, DDR\)": ("germany (democratic republic, ddr)",),
+}
+# The same by the complete regex. A rule that is not listed is simply tried on every text.
+COUNTRY_RULE_TEXTS = {
+    regex: _RULE_TEXTS.get(pattern, (pattern.lower(),))
+    for rules in (_bounded, _fixed) for pattern, replacement in STRICT_COUNTRY_RULES for regex, _ in rules([(pattern, replacement)])
+}
+
 # Column names of the second source and their names in the first.
 B_TO_A_COLUMNS = {
     "UT (Unique WOS ID)": "EID",

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, functions as F
 
-from ..config import DEFAULTS, Settings
+from ..config import COUNTRY_RULE_TEXTS, DEFAULTS, Settings
 
 # Every character that counts as white space when trimming.
 WHITESPACE = (
@@ -163,15 +164,44 @@ def bracket_commas(c: Column) -> Column:
     return F.array_join(F.transform(pieces, clean), "]")
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it in ``body``."""
+    return F.transform(F.array(value), body)[0]
+
+
+# Characters that a pattern of either case takes for ASCII letters.
+_ODD_LETTERS = "\u0130\u0131\u017f\u212a"
+
+
+def _any_country(patterns: Sequence[str]) -> str | None:
+    """A cheap pattern that is found wherever one of the country patterns is, or None where their texts are not known."""
+    if any(p not in COUNTRY_RULE_TEXTS for p in patterns):
+        return None
+    ends: dict[str, set[str]] = {}
+    for t in (t for p in patterns for t in COUNTRY_RULE_TEXTS[p]):
+        ends.setdefault(t[0], set()).add("".join(re.escape(x) if x.isascii() else "." for x in t[1:]))
+    return f"(?i)\\b(?:{'|'.join(f'{first}(?:{"|".join(sorted(rest))})' for first, rest in sorted(ends.items()))})|[{_ODD_LETTERS}]"
+
+
 def countries(c: Column, settings: Settings = DEFAULTS) -> Column:
-    """Apply the ordered country rules; one joint test spares texts that none matches."""
-    if not settings.country_rules:
-        return c
-    out = c
-    for pattern, replacement in settings.country_rules:
-        out = F.regexp_replace(out, pattern, replacement)
-    any_rule = "|".join(f"(?:{pattern})" for pattern, _ in settings.country_rules)
-    return F.when(c.rlike(any_rule), out).otherwise(c)
+    """Apply the ordered country rules. Cheap patterns find the texts that all, six or one of them are for: the rules cost far more."""
+
+    def apply(rules, t: Column, at_once: int) -> Column:
+        out = t
+        for i in range(0, len(rules), at_once):
+            part = rules[i : i + at_once]
+            if at_once > 1:
+                out = _let(out, group(part))
+            else:
+                out = F.regexp_replace(out, *part[0])
+        found = _any_country([pattern for pattern, _ in rules])
+        return F.when(t.rlike(found), out).otherwise(t) if found else out
+
+    def group(rules) -> Callable[[Column], Column]:
+        return lambda t: apply(rules, t, 6 if len(rules) > 6 else 1)
+
+    rules = settings.country_rules
+    return _let(c, group(rules)) if rules else c
 
 
 def affiliations(c: Column, settings: Settings = DEFAULTS) -> Column:

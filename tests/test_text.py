@@ -125,3 +125,26 @@ def test_categories_and_names(spark):
 
 def test_null_tokens(spark):
     check(spark, text.null_if_token, [("N/A", None), ("", None), ("NAN", "NAN"), ("x", "x"), (None, None)])
+
+
+def test_country_rules_behind_cheap_patterns(spark):
+    from pyspark.sql import functions as F
+
+    from biblioweave.config import COUNTRY_RULE_TEXTS, COUNTRY_RULES_DEFAULT, COUNTRY_RULES_STRICT, Settings
+
+    cells = [
+        None, "", "none of them", "the usage of thousands", "Univ, USA; x, u.s.a.", "Democratic Republic of the DEM REP CONGO", "new south wales, Wales",
+        "viet nam", "Viet Nam", "CÔTE D'IVOIRE", "uſa; ſcotland", "Enɡland", "Kurkıye; TURKİYE; Turkıye", "éuk uké _uk uk",
+        "Saint Martin st martin", "St Kitts & Nevi; Sao Tome & Prin", "Germany (Democratic Republic, DDR)", "úk éuk", "NIGERIA", "Brunei Brunei Darussalam",
+    ]
+    rows = spark.createDataFrame([(i, c) for i, c in enumerate(cells)], "i long, c string").cache()
+    for rules in (COUNTRY_RULES_DEFAULT, COUNTRY_RULES_STRICT, (("(?i)none", "All"), *COUNTRY_RULES_DEFAULT)):
+        plain = F.col("c")
+        for pattern, replacement in rules:
+            plain = F.regexp_replace(plain, pattern, replacement)
+        wrong = rows.where(~plain.eqNullSafe(text.countries(F.col("c"), Settings(country_rules=rules))))
+        assert wrong.collect() == []
+    # Every rule is behind a cheap pattern, which finds whatever the rule finds.
+    for pattern, _ in (*COUNTRY_RULES_DEFAULT, *COUNTRY_RULES_STRICT):
+        assert pattern in COUNTRY_RULE_TEXTS
+        assert rows.where(F.col("c").rlike(pattern) & ~F.col("c").rlike(text._any_country([pattern]))).count() == 0

@@ -225,6 +225,7 @@ def best_match(
     token_sort_only: bool = False,
     years: tuple[str, str, int] | None = None,
     hot_rows: int = 2_000,
+    first_percent: int | None = None,
 ) -> DataFrame:
     """The most similar choice of every query, the first one on ties.
 
@@ -234,7 +235,9 @@ def best_match(
     ``years`` (query column, choice column, tolerance) choices of another year
     are no candidates. Both inputs are read several times: pass stored tables, or
     cheap plans on them. A key that more than ``hot_rows`` choices share is
-    split over several tasks.
+    split over several tasks. With ``first_percent``, above ``percent``, all queries are
+    searched for choices that near first, and only those without one for the others: the
+    best choice and all that tie with it are within any bound that one choice is within.
     """
     carried = [choice_order] + [c for c in choices.columns if c not in (choice_order, choice_text)]
     match = F.struct(*carried)
@@ -256,17 +259,25 @@ def best_match(
     settled = durable(settled, "queries")
     still_open = settled.where("_equal IS NULL").select(query_id, *q_year, query_text)
 
-    met = candidates(still_open, choices, query_id, query_text, choice_order, choice_text, percent, token_sort_only, years, hot_rows)
-    wanted = still_open.select(query_id, F.col(query_text).alias("_q"))
     offered = choices.select(F.col(choice_order), match.alias("_match"), F.col(choice_text).alias("_c"))
-    both = met.join(wanted, query_id).join(offered, choice_order)
-    loss = _loss(sim.sorted_tokens(F.col("_q")), sim.sorted_tokens(F.col("_c")), percent)
-    if not token_sort_only:
-        loss = F.least(loss, _loss(F.col("_q"), F.col("_c"), percent))
-    near = (
-        both.select(query_id, loss.alias("loss"), F.col("_match").alias("match"))
-        .groupBy(query_id).agg(F.min(F.when(F.col("loss").isNotNull(), F.struct("loss", "match"))).alias("_near"))
-    )
+
+    def nearest(asked: DataFrame, percent: int) -> DataFrame:
+        met = candidates(asked, choices, query_id, query_text, choice_order, choice_text, percent, token_sort_only, years, hot_rows)
+        both = met.join(asked.select(query_id, F.col(query_text).alias("_q")), query_id).join(offered, choice_order)
+        loss = _loss(sim.sorted_tokens(F.col("_q")), sim.sorted_tokens(F.col("_c")), percent)
+        if not token_sort_only:
+            loss = F.least(loss, _loss(F.col("_q"), F.col("_c"), percent))
+        return (
+            both.select(query_id, loss.alias("loss"), F.col("_match").alias("match"))
+            .groupBy(query_id).agg(F.min(F.when(F.col("loss").isNotNull(), F.struct("loss", "match"))).alias("_near"))
+        )
+
+    if first_percent is None:
+        near = nearest(still_open, percent)
+    else:
+        first = durable(nearest(still_open, first_percent).where("_near IS NOT NULL"), "nearest")
+        rest = durable(still_open.join(first.select(query_id), query_id, "left_anti"), "queries")
+        near = first.unionByName(nearest(rest, percent))
     found = settled.join(near, query_id, "left").where("_equal IS NOT NULL OR _near IS NOT NULL")
     chosen = F.coalesce("_equal", "_near.match")
     return found.select(

@@ -23,6 +23,11 @@ def issn_title_map(journals: DataFrame) -> DataFrame:
     )
 
 
+def _half_as_far(percent: int) -> int | None:
+    """Names of numbered journals are alike, so most pairs of a list lie near the bound: names with a nearer one skip these."""
+    return (percent + 100) // 2 if percent < 98 else None
+
+
 def _row_id(df: DataFrame):
     """Both sources count their records from the start, so a row is (source, number)."""
     return F.struct("Source", "doc_ord") if "Source" in df.columns else F.struct("doc_ord")
@@ -77,6 +82,7 @@ def _canonical_names(keys: DataFrame, journals: DataFrame, settings: Settings) -
     best = best_match(
         keys.where("_name IS NOT NULL").select("_key", "_name").distinct(), listed,
         "_key", "_name", "first_issn", "canon_title", settings.canonical_threshold, token_sort_only=True,
+        first_percent=_half_as_far(settings.canonical_threshold),
     ).where(F.col("score") > settings.canonical_threshold / 100.0)
     by_name = best.select("_key", F.col("_title").alias("_found"))
     return by_issn.unionByName(by_name)
@@ -136,7 +142,8 @@ def metrics_by_title(keys: DataFrame, journals: DataFrame, settings: Settings =
     low = keys.withColumn("_lower", F.when(F.col("j").isNull() & ~text.is_blank(F.col("_name")), F.lower("_name")))
     wanted = low.where("_lower IS NOT NULL").select("_lower", F.col("_lower").alias("_wanted")).distinct()
     best = best_match(
-        wanted, listed, "_lower", "_wanted", "first_ord", "_low", settings.journal_threshold
+        wanted, listed, "_lower", "_wanted", "first_ord", "_low", settings.journal_threshold,
+        first_percent=_half_as_far(settings.journal_threshold),
     )
     first = _first_metric(metrics.where("Title IS NOT NULL AND Year IS NOT NULL"), ["Title", "Year"])
     found = best.join(first, "Title").select("_lower", F.col("Year").alias("j_year"), F.col("j").alias("_similar"))

@@ -5,6 +5,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from biblioweave.functions import similarity as sim
+from biblioweave.operators import fuzzy
 from biblioweave.operators.fuzzy import _forms, best_match, candidates, choice_keys, query_keys
 
 ALPHABET = "abcdeXY3 éß"
@@ -176,3 +177,35 @@ def test_no_cross_join_and_no_python_in_the_plan(spark):
     plan = best_match(q, c, "q", "qt", "c", "ct", 85)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin [key" in plan and "BroadcastHashJoin [key" not in plan
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "Python" not in plan
+
+
+def test_nearer_choices_first(spark, monkeypatch):
+    """The same matches with and without the search of nearer choices first, which leaves few pairs of alike names."""
+    rnd = random.Random(3)
+    names = [f"Journal of Supplier {i} (print)" for i in range(0, 900, 3)] + [f"Annals of {x} letters" for x in ("optics", "acoustics", "botany")]
+    asked = [f"Journal of Suplier {i} (print)" for i in range(0, 60, 5)] + ["Jornal of Suplier 299 (prnt)", "Anals of optic leters", "nothing near", "", None]
+    for _ in range(20):
+        letters = list(rnd.choice(names))
+        for _ in range(rnd.randint(0, 4)):
+            letters[rnd.randrange(len(letters))] = rnd.choice("abc 1")
+        asked.append("".join(letters))
+    choices = spark.createDataFrame([(i, n, n.upper()) for i, n in enumerate(names)], "c_ord long, c_text string, kept string").cache()
+    queries = spark.createDataFrame(list(enumerate(asked)), "q_id long, q_text string").cache()
+    searched = []
+    plain = fuzzy.candidates
+
+    def counting(*args, **kwargs):
+        found = plain(*args, **kwargs)
+        searched.append((args[0].count(), found.count()))
+        return found
+
+    monkeypatch.setattr(fuzzy, "candidates", counting)
+    for sort_only in (True, False):
+        results = [
+            sorted(map(tuple, fuzzy.best_match(queries, choices, "q_id", "q_text", "c_ord", "c_text", 90, sort_only, first_percent=first).collect()))
+            for first in (None, 95)
+        ]
+        assert results[0] == results[1] and len(results[0]) > 12
+        (all_asked, all_pairs), (near_asked, near_pairs), (rest_asked, rest_pairs) = searched
+        assert near_asked == all_asked > rest_asked and near_pairs + rest_pairs < all_pairs
+        searched.clear()

@@ -35,6 +35,7 @@ _OTHER = re.compile("[^\x00-ɏ]")
 # Byte-level BPE writes printable bytes of Latin-1 as themselves and the n-th other one as the character 256 + n.
 _PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTES = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PLAIN)}
+_WRITTEN_SPACE = chr(_BYTES[32])
 
 _TOKENS = "doc_id long, task long, ahead long, doc_tokens long, full array<long>, rest long, rest_rank long, rest_ids binary"
 _TOKENS_ARROW = pa.schema([
@@ -55,27 +56,40 @@ class Settings:
     steps: int = 400
 
 
+class _Recent(dict):
+    """``make(key)`` of the keys met last: up to ``most`` of them, and the ``most`` before these until they are full again."""
+
+    def __init__(self, make, most: int):
+        self.make, self.most, self.before = make, most, {}
+
+    def __missing__(self, key: str) -> bytes | None:
+        value = self.before[key] if key in self.before else self.make(key)
+        if len(self) >= self.most:
+            self.before = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class Ids:
-    """A byte-level BPE tokenizer's ids as little-endian unsigned 32-bit bytes; it keeps up to ``most`` units that it has met, and their pieces.
+    """A byte-level BPE tokenizer's ids as little-endian unsigned 32-bit bytes; it keeps those of up to ``most`` units that it has met last.
 
     No piece that such a tokenizer merges within reaches from a character that is not white space into white
     space. So a text can be cut before each space or line end that has none on either side (two line ends are a
     piece each), and the ids of its units can be put together. Other texts, and those with special
     tokens, go to the tokenizer whole. A unit's first character says what stands before it: nothing, a line
-    end, or else a space.
+    end, or else a space. A piece that begins with a space is looked up as the unit of what follows it, so that a word is kept once.
     """
 
-    def __init__(self, vocabulary: str, most: int = 300_000):
+    def __init__(self, vocabulary: str, most: int = 600_000):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most = Tokenizer.from_file(vocabulary), most
+        self.tokenizer = Tokenizer.from_file(vocabulary)
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.apart = (*special, "\0", "\1", "\n\n\n", "\n\n ")
-        self.known: dict[str, bytes | None] = {}
-        self.again: set[str] = set()
-        self.pieces: dict[str, bytes] = {}
+        self.known, self.pieces = _Recent(self.unit, max(most // 2, 1)), _Recent(self.piece, max(most // 12, 1))
         self.written = {chr(c): chr(c).encode().decode("latin-1").translate(_BYTES) for c in range(0x250)}
-        self.model = self.tokenizer.model
+        self.tokenize = self.tokenizer.model.tokenize
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -85,45 +99,34 @@ class Ids:
             return []
         return ("\0" + text.replace("\n", " \1")).split(" ")
 
-    def unit(self, text: str) -> bytes:
-        """Ids of one unit: those of Latin letters are split here and only merged by the tokenizer's model."""
+    def unit(self, unit: str) -> bytes | None:
+        """Ids of one unit: those of Latin letters are split here and only merged by the tokenizer's model.
+
+        None for one that is empty or has white space at an end, where it must not be cut.
+        """
+        if unit.isalpha() and unit.isascii():
+            return self.piece(" " + unit)
+        mark, body = ("", unit[1:]) if unit[:1] == "\0" else ("\n", unit[1:]) if unit[:1] == "\1" else (" ", unit)
+        if len(body.strip()) < len(body) or not (body or mark != " "):
+            return None
+        text = mark + body
         if _OTHER.search(text):
             return self.whole(text)
-        return b"".join([self.pieces.get(p) or self.piece(p) for p in _PIECE.findall(text)])
+        parts = _PIECE.findall(text)
+        if len(parts) == 1:
+            return self.piece(text)
+        return b"".join([self.known[p[1:]] if p[0] == " " and len(p) > 1 else self.pieces[p] for p in parts])
 
     def piece(self, text: str) -> bytes:
         if text.isascii() and text.isprintable():
-            written = text.replace(" ", chr(_BYTES[32]))
+            written = text.replace(" ", _WRITTEN_SPACE)
         else:
             written = "".join(map(self.written.__getitem__, text))
-        ids = [t.id for t in self.model.tokenize(written)]
-        self.pieces[text] = made = pack_ids(f"<{len(ids)}I", *ids)
-        return made
-
-    def learn(self, units: set[str]) -> None:
-        """Ids of new units; None for one that is empty or has white space at an end, where it must not be cut."""
-        for unit in units:
-            mark, body = ("", unit[1:]) if unit[:1] == "\0" else ("\n", unit[1:]) if unit[:1] == "\1" else (" ", unit)
-            if len(body.strip()) < len(body) or not (body or mark != " "):
-                self.known[unit] = None
-            else:
-                self.known[unit] = self.unit(mark + body)
+        ids = [t.id for t in self.tokenize(written)]
+        return pack_ids(f"<{len(ids)}I", *ids)
 
     def of(self, bodies: list[str]) -> list[bytes]:
-        cut = [self.units(text) for text in bodies]
-        units = set(chain.from_iterable(cut))
-        fresh = units.difference(self.known)
-        if len(self.known) + len(fresh) > self.most:
-            # What came back since the last time stays, unless that is most of it.
-            again = self.again if 2 * len(self.again) < self.most else set()
-            self.known = {u: self.known[u] for u in again}
-            self.again = set()
-            fresh = units.difference(self.known)
-        if len(self.pieces) > self.most:
-            self.pieces.clear()
-        self.again |= units - fresh
-        self.learn(fresh)
-        return [self.joined(text, own) for text, own in zip(bodies, cut)]
+        return [self.joined(text, self.units(text)) for text in bodies]
 
     def joined(self, text: str, own: list[str]) -> bytes:
         try:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..config import DEFAULTS, METRIC_COLUMNS, Settings
 from ..functions import text
-from .durable import durable
+from .durable import counted, durable
 from .fuzzy import best_match
 from .skew import spread_join
 
@@ -88,12 +88,13 @@ def _canonical_names(keys: DataFrame, journals: DataFrame, settings: Settings) -
     return by_issn.unionByName(by_name)
 
 
+# Keys of so many rows may be broadcast to the journal list; of more, both sides are shuffled.
+_BROADCAST_KEYS = 20_000
+
+
 def _metrics(journals: DataFrame) -> DataFrame:
-    """Journal rows with cleaned names and categories and a numeric year."""
-    df = journals.withColumn("Title", text.journal_name(F.col("Title"))).withColumn("Year", text.year(F.col("Year")))
-    if "Categories" in df.columns:
-        df = df.withColumn("Categories", text.categories(F.col("Categories")))
-    return df
+    """Journal rows with cleaned names and a numeric year."""
+    return journals.withColumn("Title", text.journal_name(F.col("Title"))).withColumn("Year", text.year(F.col("Year")))
 
 
 def _exploded(journals: DataFrame) -> DataFrame:
@@ -101,12 +102,21 @@ def _exploded(journals: DataFrame) -> DataFrame:
     return _metrics(journals).withColumn("j_issn", F.explode_outer(text.issn_list(F.col("Issn")))).drop("Issn")
 
 
+def _asked_for(metrics: DataFrame, keys: DataFrame, rows: int) -> DataFrame:
+    """The journal rows that some of ``keys`` (stored, of so many rows) can meet, so that the others are not shuffled, sorted and ranked."""
+    wanted = keys.distinct()
+    return metrics.join(wanted.hint("merge") if rows > _BROADCAST_KEYS else wanted, keys.columns, "left_semi")
+
+
 def _first_metric(metrics: DataFrame, keys: list[str]) -> DataFrame:
-    """One journal row per key, the first in file order, packed as struct ``j``."""
+    """One journal row per key, the first in file order, with cleaned categories and packed as struct ``j``."""
     extra = [c for c in metrics.columns if c not in {"j_ord", "j_issn", "Title", "Year"}]
     packed = F.struct(F.col("j_issn").alias("journal_issn"), *[F.col(f"`{c}`") for c in extra])
     ranked = metrics.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy("j_ord", "j_issn")))
-    return ranked.where("_rank = 1").select(*keys, packed.alias("j"))
+    first = ranked.where("_rank = 1")
+    if "Categories" in extra:
+        first = first.withColumn("Categories", text.categories(F.col("Categories")))
+    return first.select(*keys, packed.alias("j"))
 
 
 def journal_keys(records: DataFrame) -> DataFrame:
@@ -116,16 +126,18 @@ def journal_keys(records: DataFrame) -> DataFrame:
 
 def metrics_by_issn(keys: DataFrame, journals: DataFrame) -> DataFrame:
     """Add the journal row of each key's year and first listed ISSN as ``j`` (or NULL)."""
-    listed = _exploded(journals).where("j_issn IS NOT NULL AND Year IS NOT NULL")
-    first = _first_metric(listed, ["j_issn", "Year"]).withColumnRenamed("Year", "j_year")
-    same = (F.col("_one") == F.col("j_issn")) & (F.col("Year") == F.col("j_year"))
     # Keys without an ISSN cannot match; they would only meet in one task.
     known = keys.where("ISSN <> ''")
-    found = (
+    asked, seen = counted(
         known.select("ISSN", "Year").distinct()
-        .select("ISSN", "Year", F.posexplode(text.issn_list(F.col("ISSN"))).alias("_place", "_one"))
-        .join(first, same).groupBy("ISSN", "Year").agg(F.min_by("j", "_place").alias("j"))
+        .select("ISSN", "Year", F.posexplode(text.issn_list(F.col("ISSN"))).alias("_place", "_one")),
+        "journal-issns",
     )
+    listed = _exploded(journals).where("j_issn IS NOT NULL AND Year IS NOT NULL")
+    listed = _asked_for(listed, asked.select(F.col("_one").alias("j_issn"), "Year"), seen()["rows"])
+    first = _first_metric(listed, ["j_issn", "Year"]).withColumnRenamed("Year", "j_year")
+    same = (F.col("_one") == F.col("j_issn")) & (F.col("Year") == F.col("j_year"))
+    found = asked.join(first, same).groupBy("ISSN", "Year").agg(F.min_by("j", "_place").alias("j"))
     return known.join(found, ["ISSN", "Year"], "left").unionByName(
         keys.where("coalesce(ISSN, '') = ''"), allowMissingColumns=True
     )
@@ -145,7 +157,9 @@ def metrics_by_title(keys: DataFrame, journals: DataFrame, settings: Settings =
         wanted, listed, "_lower", "_wanted", "first_ord", "_low", settings.journal_threshold,
         first_percent=_half_as_far(settings.journal_threshold),
     )
-    first = _first_metric(metrics.where("Title IS NOT NULL AND Year IS NOT NULL"), ["Title", "Year"])
+    best, seen = counted(best, "journal-titles")
+    dated = metrics.where("Title IS NOT NULL AND Year IS NOT NULL")
+    first = _first_metric(_asked_for(dated, best.select("Title"), seen()["rows"]), ["Title", "Year"])
     found = best.join(first, "Title").select("_lower", F.col("Year").alias("j_year"), F.col("j").alias("_similar"))
     still_open = low.where("_lower IS NOT NULL").drop("j").withColumn("j_year", F.col("Year"))
     filled = still_open.join(found, ["_lower", "j_year"], "left").withColumnRenamed("_similar", "j")

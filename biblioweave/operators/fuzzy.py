@@ -190,27 +190,56 @@ def candidates(
     return shared.where("_low < _high").select(query_id, choice_order).distinct()
 
 
+def _whole_pairs(queries: DataFrame, choices: DataFrame, percent: int, block: int) -> DataFrame:
+    """``_q, _c``: the distinct pairs of texts of which a form is within ``100 - percent`` percent of both lengths together.
+
+    Half of the letters of such a pair can differ, so no chunk tells it from others: all texts in reach of each other's length are
+    compared, first by length and letters and last by their distance. Each side of a length band is dealt into parts of about
+    ``block`` texts, and every part meets every part of the other side in a task of its own, which holds that many texts at a time.
+    """
+    reach = max(2, 2 * percent - 100)
+    c, q = (_forms(x.select("_text", F.col("_text").alias("_form")), "_form", reach, False).withColumn("letters", sim.letter_bits("s")) for x in (choices, queries))
+    q = q.withColumn("band", F.explode(F.array(*[F.col("band") + d for d in (-1, 0, 1)])))
+    parts = lambda x, name: x.groupBy("form", "band").agg(F.ceil(F.count(F.lit(1)) / block).alias(name))
+    # Lengths fit into 31 bits, so there are a few hundred rows at the very most (``choice_keys``).
+    cells = F.broadcast(parts(c, "c_parts").join(parts(q, "q_parts"), ["form", "band"]))
+    tasks = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def dealt(x: DataFrame, own: str, other: str) -> DataFrame:
+        placed = x.join(cells, ["form", "band"]).withColumn(f"{own}_part", F.pmod(F.xxhash64("_text"), F.col(f"{own}_parts")))
+        return placed.withColumn(f"{other}_part", F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"{other}_parts") - 1))).select(
+            "_text", "s", "n", "letters", F.xxhash64("form", "band", "c_part", "q_part").alias("key"), "form", "band"
+        ).repartition(tasks, "key")
+
+    edits = f"cast(({100 - percent} * (q.n + c.n)) div 100 AS int)"
+    # Sizes do not tell the work of this join, which is pairs: neither side is broadcast, and small partitions are not merged.
+    return dealt(q, "q", "c").alias("q").join(dealt(c, "c", "q").alias("c").hint("merge"), F.expr(
+        f"""q.key = c.key AND q.form <= c.form AND q.form >= c.form AND q.band <= c.band AND q.band >= c.band
+        AND abs(q.n - c.n) <= {edits}
+        AND bit_count(q.letters & ~c.letters) <= {edits}
+        AND bit_count(c.letters & ~q.letters) <= {edits}
+        AND levenshtein(q.s, c.s, {edits}) >= 0"""
+    )).select(F.col("q._text").alias("_q"), F.col("c._text").alias("_c")).distinct()
+
+
 def best_weighted(
     queries: DataFrame, choices: DataFrame, query_id: str, query_text: str, choice_order: str, choice_text: str, percent: int,
+    block: int = 2_000,
 ) -> DataFrame:
     """The choice of the highest weighted ratio for every query, the first one on ties: the optional scorer.
 
     Returns ``query_id, choice_order, score`` for best scores of ``percent`` or more. Levenshtein never exceeds the insertions and
     deletions that the ratio counts, so every pair whose plain or token-sorted ratio passes is within
     ``100 - percent`` percent of both lengths together; those pairs are searched without loss and scored. Pairs that would pass by
-    shared tokens or windows alone (one common word can do) are not searched for.
+    shared tokens or windows alone (one common word can do) are not searched for. Equal texts are compared once.
     """
-    met = candidates(queries, choices, query_id, query_text, choice_order, choice_text, max(2, 2 * percent - 100))
-    both = met.join(queries.select(query_id, F.col(query_text).alias("_q")), query_id)
-    both = both.join(choices.select(choice_order, F.col(choice_text).alias("_c")), choice_order)
-
-    def near(one: Column, other: Column) -> Column:
-        allowed = F.floor((100 - percent) * (F.length(one) + F.length(other)) / F.lit(100)).cast("int")
-        return F.call_function("levenshtein", one, other, allowed) >= 0
-
-    close = near(F.col("_q"), F.col("_c")) | near(sim.sorted_tokens(F.col("_q")), sim.sorted_tokens(F.col("_c")))
-    scored = both.where(close).select(query_id, choice_order, weighted_ratio(F.col("_q"), F.col("_c")).alias("score"))
-    best = scored.groupBy(query_id).agg(F.min(F.struct((-F.col("score")).alias("loss"), choice_order)).alias("_best"))
+    asked = durable(queries.where(F.col(query_id).isNotNull()).select(query_id, F.col(query_text).alias("_text")), "queries")
+    offered = choices.where(F.col(choice_order).isNotNull()).groupBy(F.col(choice_text).alias("_text")).agg(F.min(choice_order).alias(choice_order))
+    offered = durable(offered, "choices")
+    met = durable(_whole_pairs(asked.select("_text").distinct(), offered, percent, block), "near-texts")
+    scored = met.withColumn("score", weighted_ratio(F.col("_q"), F.col("_c"))).join(offered.withColumnRenamed("_text", "_c"), "_c")
+    best = scored.groupBy("_q").agg(F.min(F.struct((-F.col("score")).alias("loss"), choice_order)).alias("_best"))
+    best = asked.join(best, F.col("_text") == F.col("_q")).groupBy(query_id).agg(F.min("_best").alias("_best"))
     return best.select(query_id, f"_best.{choice_order}", (-F.col("_best.loss")).alias("score")).where(F.col("score") >= percent / 100)
 
 

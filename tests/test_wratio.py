@@ -108,3 +108,23 @@ def test_best_weighted_equals_the_nested_loop(spark):
     found = {r.q: (r.c, r.score) for r in best_weighted(q, c, "q", "qt", "c", "ct", 85).collect()}
     assert {k: v[0] for k, v in found.items()} == {k: v[0] for k, v in expected.items()}
     assert all(found[k][1] == pytest.approx(v[1]) for k, v in expected.items())
+
+
+@pytest.mark.parametrize("block", [1, 3, 2_000])
+def test_parts_of_any_size_find_the_same(spark, block):
+    """Equal texts, repeated ids and nulls among them; every text in reach of another's length meets it, whatever the parts."""
+    rng = random.Random(9)
+    base = [" ".join("".join(rng.choice("abcdef") for _ in range(rng.randrange(2, 7))) for _ in range(rng.randrange(2, 6))) for _ in range(25)]
+    choices = [(i % 23, t) for i, t in enumerate(base)] + [(50, base[0]), (None, base[1]), (51, None), (52, "")]
+    queries = [(i % 21, t[:1] + "z" + t[2:]) for i, t in enumerate(base)] + [(60, base[0]), (None, base[2]), (61, None), (62, "")]
+    sort = lambda s: " ".join(sorted(s.split()))
+    close = lambda a, b: 100 * levenshtein(a, b) <= 15 * (len(a) + len(b))
+    expected = {}
+    for q, a in queries:
+        for c, b in choices:
+            if q is not None and c is not None and a and b and (close(a, b) or close(sort(a), sort(b))) and (x := weighted(a, b)) >= 0.85:
+                expected[q] = min(expected.get(q, (0, 0)), (-x, c))
+    q, c = spark.createDataFrame(queries, "q long, qt string"), spark.createDataFrame(choices, "c long, ct string")
+    found = {r.q: (r.c, r.score) for r in best_weighted(q, c, "q", "qt", "c", "ct", 85, block=block).collect()}
+    assert {k: v[0] for k, v in found.items()} == {k: v[1] for k, v in expected.items()} and len(found) > 10
+    assert all(found[k][1] == pytest.approx(-v[0]) for k, v in expected.items())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 from zlib import crc32
 
@@ -42,19 +43,27 @@ class Field:
     document: np.ndarray
 
 
+# Windows, and words, that are fitted at a time: they bound the driver's memory, as each takes some hundred bytes then.
+_ROWS, _WORDS = 1 << 12, 1 << 19
+
+
 def word_hash(word: str, buckets: int) -> int:
     return crc32(word.lower().encode("utf-8", "surrogatepass")) % buckets
 
 
-def families(docs: list[list[int]]) -> np.ndarray:
+def families(docs: list[np.ndarray]) -> np.ndarray:
     """One number per document that near-copies mostly share: the least hash of two neighbouring words."""
     def least(words: list[int]) -> int:
         return min((crc32(b"%d %d" % pair) for pair in zip(words, words[1:])), default=sum(words[:1]))
 
-    return np.array([least(w) for w in docs], np.int64)
+    return np.array([least(_listed(w)) for w in docs], np.int64)
+
 
+def _listed(words: np.ndarray | list[int]) -> list[int]:
+    return np.asarray(words, np.int64).tolist()
 
-def token_labels(docs: list[list[int]], toxic: np.ndarray, settings: Settings) -> list[np.ndarray]:
+
+def token_labels(docs: list[np.ndarray], toxic: np.ndarray, settings: Settings) -> list[np.ndarray]:
     """1 where a word of a toxic document is far more frequent among toxic documents, else 0.
 
     Near-copies count once, so the rare words of a copied toxic document are not taken for toxic ones.
@@ -62,31 +71,33 @@ def token_labels(docs: list[list[int]], toxic: np.ndarray, settings: Settings) -
     family = families(docs)
     seen, totals = np.zeros((2, settings.buckets)), np.zeros(2)
     for y in (0, 1):
-        met: dict[int, set[int]] = {}
-        for words, own, label in zip(docs, family, toxic):
-            if label == y:
-                met.setdefault(int(own), set()).update(words)
-        for words in met.values():
-            seen[y, list(words)] += 1
-        totals[y] = len(met) + 1.0
+        own = np.flatnonzero(toxic == y)
+        kinds, kind = np.unique(family[own], return_inverse=True)
+        each = np.concatenate([np.zeros(0, np.int64), *[np.unique(k * settings.buckets + np.asarray(docs[i], np.int64)) for i, k in zip(own, kind)]])
+        seen[y] = np.bincount(np.unique(each) % settings.buckets, minlength=settings.buckets)
+        totals[y] = len(kinds) + 1.0
     odds = np.log((seen[1] + 0.5) / totals[1]) - np.log((seen[0] + 0.5) / totals[0])
     marked = (odds >= settings.least_odds) & (seen[1] >= settings.least_docs)
-    return [marked[words].astype(np.int8) * int(y) for words, y in zip(docs, toxic)]
+    return [marked[np.asarray(words, np.int64)].astype(np.int8) * int(y) for words, y in zip(docs, toxic)]
 
 
 def _log_sum(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.logaddexp(a, b)
 
 
-def fit_chain(docs: list[list[int]], tags: list[np.ndarray], settings: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Maximum likelihood of the chain by adaptive gradient steps; documents are cut into windows for fitting only."""
+def fit_chain(docs: list[np.ndarray], tags: list[np.ndarray], settings: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Maximum likelihood of the chain by adaptive gradient steps; documents are cut into windows for fitting only.
+
+    A step takes ``_ROWS`` windows at a time. Only the exponents of neighbouring words are kept until its end, so that
+    sums run over the same numbers in the same order, however many windows are taken at a time.
+    """
     size = settings.window
     cut = [(w[i : i + size], t[i : i + size]) for w, t in zip(docs, tags) for i in range(0, len(w), size)]
     words, moves, start = np.zeros(settings.buckets), np.zeros((2, 2)), np.zeros(2)
     if not cut:
         return words, moves, start
     rows = len(cut)
-    ids, tag, held = np.zeros((rows, size), np.int64), np.zeros((rows, size), np.int64), np.zeros((rows, size), bool)
+    ids, tag, held = np.zeros((rows, size), np.int32), np.zeros((rows, size), np.int8), np.zeros((rows, size), bool)
     for r, (w, t) in enumerate(cut):
         ids[r, : len(w)], tag[r, : len(w)], held[r, : len(w)] = w, t, True
     pair_held = held[:, 1:]
@@ -94,34 +105,42 @@ def fit_chain(docs: list[list[int]], tags: list[np.ndarray], settings: Settings)
     true_moves = np.bincount((tag[:, :-1] * 2 + tag[:, 1:])[pair_held], minlength=4).reshape(2, 2)
     true_start = np.bincount(tag[:, 0], minlength=2)
     frequency = np.bincount(ids[held], minlength=settings.buckets)
+    words_held = held.sum()
+    ends = np.append(0, np.cumsum(pair_held.sum(1)))
+    joints, firsts = np.empty((2, 2, ends[-1])), np.empty(rows)
     memory = [np.full(settings.buckets, 1e-8), np.full((2, 2), 1e-8), np.full(2, 1e-8)]
     for _ in range(settings.steps):
-        emit = np.where(held, words[ids], 0.0)
-        forward, backward = np.zeros((size, rows, 2)), np.zeros((size, rows, 2))
-        forward[0] = start
-        forward[0, :, 1] += emit[:, 0]
-        for t in range(1, size):
-            step = np.stack([_log_sum(forward[t - 1, :, 0] + moves[0, s], forward[t - 1, :, 1] + moves[1, s]) for s in (0, 1)], 1)
-            step[:, 1] += emit[:, t]
-            forward[t] = np.where(held[:, t, None], step, forward[t - 1])
-        for t in range(size - 2, -1, -1):
-            nxt = backward[t + 1].copy()
-            nxt[:, 1] += emit[:, t + 1]
-            step = np.stack([_log_sum(moves[s, 0] + nxt[:, 0], moves[s, 1] + nxt[:, 1]) for s in (0, 1)], 1)
-            backward[t] = np.where(held[:, t + 1, None], step, backward[t + 1])
-        total = _log_sum(forward[-1, :, 0], forward[-1, :, 1])
-        one = np.exp(forward[:, :, 1] + backward[:, :, 1] - total).T
-        expected = np.bincount(ids[held], one[held], settings.buckets)
-        pairs = np.zeros((2, 2))
-        for a in (0, 1):
-            for b in (0, 1):
-                joint = forward[:-1, :, a] + moves[a, b] + backward[1:, :, b] - total
-                if b:
-                    joint = joint + emit.T[1:]
-                pairs[a, b] = np.exp(joint.T[pair_held]).sum()
-        first = np.array([1 - one[:, 0], one[:, 0]]).sum(1)
+        expected = np.zeros(settings.buckets)
+        for at in range(0, rows, _ROWS):
+            to = min(at + _ROWS, rows)
+            own, ids_, place = held[at:to], ids[at:to], slice(ends[at], ends[to])
+            emit = np.where(own, words[ids_], 0.0)
+            forward, backward = np.zeros((size, to - at, 2)), np.zeros((size, to - at, 2))
+            forward[0] = start
+            forward[0, :, 1] += emit[:, 0]
+            for t in range(1, size):
+                step = np.stack([_log_sum(forward[t - 1, :, 0] + moves[0, s], forward[t - 1, :, 1] + moves[1, s]) for s in (0, 1)], 1)
+                step[:, 1] += emit[:, t]
+                forward[t] = np.where(own[:, t, None], step, forward[t - 1])
+            for t in range(size - 2, -1, -1):
+                nxt = backward[t + 1].copy()
+                nxt[:, 1] += emit[:, t + 1]
+                step = np.stack([_log_sum(moves[s, 0] + nxt[:, 0], moves[s, 1] + nxt[:, 1]) for s in (0, 1)], 1)
+                backward[t] = np.where(own[:, t + 1, None], step, backward[t + 1])
+            total = _log_sum(forward[-1, :, 0], forward[-1, :, 1])
+            one = np.exp(forward[:, :, 1] + backward[:, :, 1] - total).T
+            np.add.at(expected, ids_[own], one[own])
+            firsts[at:to] = one[:, 0]
+            for a in (0, 1):
+                for b in (0, 1):
+                    joint = forward[:-1, :, a] + moves[a, b] + backward[1:, :, b] - total
+                    if b:
+                        joint = joint + emit.T[1:]
+                    joints[a, b, place] = np.exp(joint.T[pair_held[at:to]])
+        pairs = np.array([[joints[a, b].sum() for b in (0, 1)] for a in (0, 1)])
+        first = np.array([1 - firsts, firsts]).sum(1)
         slopes = [
-            (true_words - expected) / (1 + frequency) - settings.ridge * words, (true_moves - pairs) / held.sum(),
+            (true_words - expected) / (1 + frequency) - settings.ridge * words, (true_moves - pairs) / words_held,
             (true_start - first) / rows,
         ]
         for weight, slope, past in zip((words, moves, start), slopes, memory):
@@ -195,6 +214,25 @@ def document_features(p: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.stack([np.ones(len(counts)), top, np.log1p(mass), mass / np.maximum(counts, 1)], 1)
 
 
+def _runs_of(docs: list[np.ndarray], words: int) -> Iterator[list[np.ndarray]]:
+    """Neighbouring documents, up to about so many words together."""
+    part, held = [], 0
+    for d in docs:
+        if part and held + len(d) > words:
+            yield part
+            part, held = [], 0
+        part.append(d)
+        held += len(d)
+    if part:
+        yield part
+
+
+def _features_of(docs: list[np.ndarray], field: Field) -> np.ndarray:
+    counts = np.array([len(d) for d in docs], np.int64)
+    firsts = (np.cumsum(counts) - counts)[counts > 0]
+    return document_features(marginals(np.concatenate(docs), firsts, field), counts)
+
+
 def fit_document(features: np.ndarray, labels: np.ndarray, steps: int = 30, ridge: float = 1.0) -> np.ndarray:
     """Logistic regression by Newton steps: marginals to a document's probability."""
     weight = np.zeros(features.shape[1])
@@ -210,13 +248,11 @@ def fit_document(features: np.ndarray, labels: np.ndarray, steps: int = 30, ridg
 def fit(bodies: list[str], labels: list[int], settings: Settings = Settings()) -> Field:
     """Field and document weights of labelled texts. Without texts, or toxic ones, nothing is toxic."""
     toxic = np.array(labels, np.int64)
-    docs = [[word_hash(w, settings.buckets) for w in WORD.findall(t)] for t in bodies]
+    docs = [np.array([word_hash(w, settings.buckets) for w in WORD.findall(t)], np.int32) for t in bodies]
     tags = token_labels(docs, toxic, settings) if docs else []
     field = Field(*fit_chain(docs, tags, settings), document=np.zeros(4))
-    counts = np.array([len(d) for d in docs], np.int64)
-    flat = np.array([w for d in docs for w in d], np.int64)
-    firsts = (np.cumsum(counts) - counts)[counts > 0] if len(docs) else np.zeros(0, np.int64)
-    features = document_features(marginals(flat, firsts, field), counts) if docs else np.zeros((0, 4))
+    features = [_features_of(part, field) for part in _runs_of(docs, _WORDS)]
+    features = np.concatenate([np.zeros((0, 4)), *features])
     weight = fit_document(features, toxic.astype(float)) if toxic.any() else np.array([-5.0, 0, 0, 0])
     return Field(field.words, field.moves, field.start, weight)
 

@@ -1,12 +1,13 @@
 """Filter audit, collision-counting neighbours and box codes against brute force, with odd rows."""
 
+import tracemalloc
 from itertools import permutations
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from biblioweave.llm import audit, codes, neighbours, queries
+from biblioweave.llm import audit, codes, neighbours, queries, toxicity
 from checks.verify import compare, connect
 
 TEXTS = [
@@ -176,3 +177,19 @@ def test_hilbert_curve_visits_neighbours(dims):
 def test_query_equals_its_sql(spark, name):
     sf_dir = "/root/testdata/sf0.001"
     assert compare(spark, connect(sf_dir), sf_dir, queries.QUERIES[name], queries.ORACLES[name]) is None
+
+
+def test_fit_of_toxicity_takes_little_memory(monkeypatch):
+    """The driver fits it: what a step makes of all windows at once must not add up."""
+    rng = np.random.RandomState(5)
+    docs = [rng.randint(0, 5_000, 640) for _ in range(400)]
+    tags = [(d < 50).astype(np.int8) for d in docs]
+    settings = toxicity.Settings(steps=3)
+    whole = toxicity.fit_chain(docs, tags, settings)
+    monkeypatch.setattr(toxicity, "_ROWS", 256, raising=False)
+    tracemalloc.start()
+    parts = toxicity.fit_chain(docs, tags, settings)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert all(np.array_equal(x, y) for x, y in zip(whole, parts))
+    assert peak / (400 * 640) < 70  # bytes a word

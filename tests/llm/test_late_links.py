@@ -1,6 +1,8 @@
 """Members that fail against their bucket's hub still find every partner that they link to."""
 
+import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -46,3 +48,31 @@ def test_heads_lose_no_link(spark):
     met = {(x, y) for x in failed for y in held if x != y and looks[x] & held[y]}
     assert len(links) > 50 and met.issuperset(links)
     assert len(met) < len(failed) * (n - 2) / 2
+
+
+def plain_shingles(bodies, size):
+    """By a plain programme: words by the pattern alone, shingles sorted by document and hash together."""
+    rows = []
+    for i, text in enumerate(bodies):
+        known = [np.frombuffer(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "<u8") for w in minhash.WORD.findall(text.lower())]
+        for run in [known[j : j + size] for j in range(max(1, len(known) - size + 1))] if known else []:
+            h = np.zeros(1, np.uint64)
+            for w in run:
+                h = minhash._mix(h + w + np.uint64(0x9E3779B97F4A7C15))
+            rows.append((i, int((h + np.uint64(len(known) if len(known) < size else 0))[0])))
+    return sorted(Counter(rows).items())
+
+
+def test_shingles_and_signatures_of_runs_equal_those_of_each_text(monkeypatch):
+    rng = random.Random(3)
+    pieces = ["a", "A_b", "\x1f", "\x00", "!", "é", "ß", " ", "x1", "The"]
+    bodies = ["", "!!", "".join(map(chr, range(128))), *["".join(rng.choice(pieces) + rng.choice(" .\n") for _ in range(rng.randrange(0, 60))) for _ in range(80)]]
+    doc, h, count = minhash.shingles(bodies, minhash._Words(), 5)
+    assert [((int(d), int(x)), int(c)) for d, x, c in zip(doc, h, count)] == plain_shingles(bodies, 5)
+    weight = np.linspace(0.5, 2, len(doc))
+    whole = minhash._Samples(6).signatures(doc, h, weight, len(bodies))
+    monkeypatch.setattr(minhash, "_NEAR", 7)
+    assert (minhash._Samples(6).signatures(doc, h, weight, len(bodies)) == whole).all()
+    for i in range(len(bodies)):
+        own = doc == i
+        assert (minhash._Samples(6).signatures(doc[own], h[own], weight[own], len(bodies))[i] == whole[i]).all()

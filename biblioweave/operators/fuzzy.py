@@ -193,7 +193,7 @@ def candidates(
 def _whole_pairs(queries: DataFrame, choices: DataFrame, percent: int, block: int) -> DataFrame:
     """``_q, _c``: the distinct pairs of texts of which a form is within ``100 - percent`` percent of both lengths together.
 
-    Half of the letters of such a pair can differ, so no chunk tells it from others: all texts in reach of each other's length are
+    Nearly a third of the letters of such a pair can differ, so no chunk tells it from others: all texts in reach of each other's length are
     compared, first by length and letters and last by their distance. Each side of a length band is dealt into parts of about
     ``block`` texts, and every part meets every part of the other side in a task of its own, which holds that many texts at a time.
     """

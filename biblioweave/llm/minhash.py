@@ -237,18 +237,21 @@ def signatures(docs: DataFrame, weights, settings: Settings) -> DataFrame:
     return rows.mapInArrow(run, _SIGNATURES)
 
 
-_COMPARED = "a long, b long, crowded boolean, low double, high double, same double, shingles array<long>, gaps array<int>, totals array<int>, idfs array<float>"
+_COMPARED = "a long, b long, crowded boolean, low double, high double, same double, same_low double, same_count long, shingles array<long>, gaps array<int>, totals array<int>, idfs array<float>"
 _COMPARED_ARROW = pa.schema([
     ("a", pa.int64()), ("b", pa.int64()), ("crowded", pa.bool_()), ("low", pa.float64()), ("high", pa.float64()), ("same", pa.float64()),
+    ("same_low", pa.float64()), ("same_count", pa.int64()),
     ("shingles", pa.list_(pa.int64())), ("gaps", pa.list_(pa.int32())), ("totals", pa.list_(pa.int32())), ("idfs", pa.list_(pa.float32())),
 ])
-_HEADS = "hub long, node long, failed boolean, own array<long>, any array<long>"
+_HEADS = "hub long, node long, failed boolean, least double, own array<long>, any array<long>, own_left array<double>, any_left array<double>"
 _HEADS_ARROW = pa.schema([
-    ("hub", pa.int64()), ("node", pa.int64()), ("failed", pa.bool_()), ("own", pa.list_(pa.int64())), ("any", pa.list_(pa.int64())),
+    ("hub", pa.int64()), ("node", pa.int64()), ("failed", pa.bool_()), ("least", pa.float64()), ("own", pa.list_(pa.int64())), ("any", pa.list_(pa.int64())),
+    ("own_left", pa.list_(pa.float64())), ("any_left", pa.list_(pa.float64())),
 ])
 _TERMS = "a long, b long, shingle long, gap long, total long"
 _TERMS_ARROW = pa.schema([(c, pa.int64()) for c in ("a", "b", "shingle", "gap", "total")])
-_BITS, _PIECE = 1 << 26, 1 << 20
+_BITS, _PIECE, _FINE = 1 << 26, 1 << 20, 1 << 22
+_STEPS = 2.0 ** (np.arange(256) / 8)
 
 
 def in_both(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
@@ -277,7 +280,7 @@ def compared(pairs: DataFrame, bodies: DataFrame, bounds, settings: Settings) ->
     ``bounds`` are the least weight per counter, and the weights of what stands in one document and in two: a shingle
     is no lighter than its counter says, and no heavier than what the pair itself shows.
     For ``crowded`` pairs also where ``b`` differs from ``a``: signed shingles with their gaps, counts in both and least
-    weights, and ``same``, the most that all other shingles can weigh.
+    weights, and ``same``, the most that all other shingles can weigh, ``same_low``, the least, and ``same_count``, how many there are.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,7 +290,7 @@ def compared(pairs: DataFrame, bodies: DataFrame, bounds, settings: Settings) ->
                 n, pair = batch.num_rows, [batch.column(c) for c in ("a", "b", "crowded")]
                 doc, h, gap, total = differences(batch, known, settings.words)
                 if not len(doc):
-                    yield batch_of(_COMPARED_ARROW, *pair, *[np.zeros(n)] * 3, *[[[]] * n] * 4)
+                    yield batch_of(_COMPARED_ARROW, *pair, *[np.zeros(n)] * 4, np.zeros(n, np.int64), *[[[]] * n] * 4)
                     continue
                 idf = table[_slot(h, settings.slots)]
                 top = np.maximum(idf, np.where(np.abs(gap) < total, double, single))
@@ -296,7 +299,7 @@ def compared(pairs: DataFrame, bodies: DataFrame, bounds, settings: Settings) ->
                 alike, most_alike = np.bincount(doc, same * idf, n), np.bincount(doc, same * top, n)
                 low = alike / np.maximum(alike + most_apart, 1e-9)
                 high = most_alike / np.maximum(most_alike + apart, 1e-9)
-                equal = np.bincount(doc, np.where(gap == 0, total * top, 0), n)
+                equal, equal_low, equals = (np.bincount(doc, np.where(gap == 0, total * w, 0), n) for w in (top, idf, 1))
                 keep = (gap != 0) & np.array(batch.column("crowded").to_pylist(), bool)[doc]
                 doc, h, gap, total, idf = (x[keep] for x in (doc, h, gap, total, idf))
                 signed = _mix(h ^ (gap > 0).astype(np.uint64)).view(np.int64)
@@ -305,7 +308,7 @@ def compared(pairs: DataFrame, bodies: DataFrame, bounds, settings: Settings) ->
                     pa.ListArray.from_arrays(pa.array(cuts), pa.array(x, kind)) for x, kind in
                     ((signed, pa.int64()), (gap.astype(np.int32), pa.int32()), (total.astype(np.int32), pa.int32()), (idf.astype(np.float32), pa.float32()))
                 ]
-                yield batch_of(_COMPARED_ARROW, *pair, low, high, equal, *lists)
+                yield batch_of(_COMPARED_ARROW, *pair, low, high, equal, equal_low, equals.astype(np.int64), *lists)
 
     return in_both(pairs, bodies).mapInArrow(run, _COMPARED)
 
@@ -330,8 +333,8 @@ def _grade_from(grade: int) -> float:
     return 2.0**grade if grade > 0 else 0.0
 
 
-def heads(found: DataFrame, bounds) -> DataFrame:
-    """``hub, node, failed, own, any`` of all members of hubs where a member fails: the differences to look others up by.
+def heads(found: DataFrame, bounds, n: int = 0) -> DataFrame:
+    """``hub, node, failed, least, own, any, ...`` of all members of hubs where a member fails: the differences to look others up by.
 
     All members of a hub h put their differences in one order, those that fewest members have ahead: what h has alone
     all others lack, and it comes last. Write w for weights and D for the weight of the difference from h. Members x and y
@@ -343,91 +346,112 @@ def heads(found: DataFrame, bounds) -> DataFrame:
     left: the first difference that two members share stands in the heads of both. ``own`` is for failed partners, ``any``
     what a failed member looks for. Values are hashes of the difference and both grades, so that only members of these grades
     meet. Differences of a 16th of the members or more are counted, at most 16 times the mean list per hub.
+
+    Where the number ``n`` of documents is given, what the group shows bounds weights from above: a shingle that the hub holds
+    stands in all members that do not lack it, one that k members have and the hub lacks in k documents.
+    ``least`` is at most D(x) - w(x) / 9, so two members' sum is 2 N or less. ``own_left`` and ``any_left`` are, for each
+    value, the most that its difference and all after it weigh: the first difference that two linked members share has no
+    less than N there, on both sides.
     """
     wide = found.where("crowded").select(
-        F.col("a").alias("hub"), F.col("b").alias("node"), (~F.col("close")).alias("failed"), "same", "shingles", "gaps", "totals", "idfs"
+        F.col("a").alias("hub"), F.col("b").alias("node"), (~F.col("close")).alias("failed"), "same", "same_low", "same_count",
+        "shingles", "gaps", "totals", "idfs",
     )
     hubs = wide.groupBy("hub").agg(F.count(F.lit(1)).alias("members"), F.max("failed").alias("open")).where("open").select("hub", "members")
     wide = wide.join(hubs, "hub")
     often = (
         wide.select("hub", "members", F.explode("shingles").alias("shingle")).groupBy("hub", "shingle")
         .agg(F.count(F.lit(1)).alias("n"), F.first("members").alias("members")).where("n > 1 AND 16 * n >= members")
-        .groupBy("hub").agg(F.sort_array(F.collect_list(F.struct("n", "shingle")))["shingle"].alias("often"))
+        .groupBy("hub").agg(F.sort_array(F.collect_list(F.struct("n", "shingle"))).alias("often"))
+    )
+    listed = wide.join(often, "hub", "left").select(
+        "hub", "node", "failed", "same", "same_low", "same_count", "shingles", "gaps", "totals", "idfs", "members",
+        F.col("often.n").alias("times"), F.col("often.shingle").alias("often"),
     )
-    listed = wide.join(often, "hub", "left").select("hub", "node", "failed", "same", "shingles", "gaps", "totals", "idfs", "often")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, single, double = bounds.value
-        hub, place, common = None, np.zeros(0, np.int64), np.zeros(0, np.int64)
+        hub, place, common, times = None, *[np.zeros(0, np.int64)] * 3
 
         def keys(ids: np.ndarray, x: int, y: int) -> np.ndarray:
             return _mix(ids.view(np.uint64) ^ np.uint64((x << 10 | y) * 0x9E3779B97F4A7C15 % (1 << 64))).view(np.int64)
 
         for batch in batches:
-            own, any_ = [], []
-            hubs, failed, same = (batch.column(c).to_pylist() for c in ("hub", "failed", "same"))
+            least_, own, any_, own_left, any_left = [], [], [], [], []
+            hubs, failed, same, same_low, same_count, members = (
+                batch.column(c).to_pylist() for c in ("hub", "failed", "same", "same_low", "same_count", "members")
+            )
             for i in range(batch.num_rows):
                 if hub != hubs[i]:
-                    hub, common = hubs[i], batch.column("often")[i].values
-                    common = np.zeros(0, np.int64) if common is None else common.to_numpy()
+                    hub, (common, times) = hubs[i], (batch.column(c)[i].values for c in ("often", "times"))
+                    common, times = (np.zeros(0, np.int64) if c is None else c.to_numpy() for c in (common, times))
                     order = np.argsort(common, kind="stable")
-                    place, common = order + 1, common[order]
+                    place, common, times = order + 1, common[order], times[order]
                 ids, gap, total, idf = (batch.column(c)[i].values.to_numpy() for c in ("shingles", "gaps", "totals", "idfs"))
-                rank = np.zeros(len(ids), np.int64)
+                rank, held = np.zeros(len(ids), np.int64), np.where(gap < 0, members[i] - max(1, (members[i] - 1) // 16) + 1, 1)
+                often_lacked = max(1, (members[i] - 1) // 16)
                 if len(common) and len(ids):
                     at = np.minimum(np.searchsorted(common, ids), len(common) - 1)
-                    rank = np.where(common[at] == ids, place[at], 0)
-                line = np.lexsort((ids, rank))
-                ids, gap, total, idf = ids[line], gap[line].astype(float), total[line].astype(float), idf[line].astype(float) * (1 - 1e-6)
+                    listed_here = common[at] == ids
+                    rank = np.where(listed_here, place[at], 0)
+                    held = np.where(listed_here, np.where(gap < 0, members[i] - times[at] + 1, times[at]), held)
+                    others = np.ones(len(common), bool)
+                    others[at[listed_here]] = False
+                    often_lacked = max(often_lacked, times[others].max(initial=0))
+                line = np.lexsort((ids, -idf, rank))
+                ids, gap, total, held = ids[line], gap[line].astype(float), total[line].astype(float), held[line]
+                idf = idf[line].astype(float) * (1 - 1e-6)
                 size = np.abs(gap)
-                top = np.maximum(idf, np.where(size < total, double, single))
+                top, alike = np.where(size < total, double, single), same[i]
+                if n:
+                    top = np.minimum(top, true_weights(held, n))
+                    alike = min(alike, same_count[i] * float(true_weights(np.array([members[i] - often_lacked + 1]), n)[0]))
+                top = np.maximum(idf, top)
                 weighed = lambda part: np.where(part > 0, idf, top) * part
-                far, heavy = (size * idf).sum(), ((total + gap) * top).sum() / 2 + same[i] / 2
-                light = ((total + gap) / 2 * idf).sum() + same[i] / 2 / single  # a weight is at least 1, and ``single`` at most
-                light_hub = ((total - gap) / 2 * idf).sum() + same[i] / 2 / single
+                far, heavy = (size * idf).sum(), ((total + gap) * top).sum() / 2 + alike / 2
+                light = ((total + gap) / 2 * idf).sum() + same_low[i] / 2 * (1 - 1e-6)
+                light_hub = ((total - gap) / 2 * idf).sum() + same_low[i] / 2 * (1 - 1e-6)
+                least_.append(max(weighed(size - (total + gap) / 18).sum() - alike / 18, light_hub / 9 if failed[i] else -np.inf))
+                left = np.cumsum((size * top)[::-1])[::-1]
                 grade, last = _grade(far), _grade((far + heavy / 4) * (1 + 1e-6))
                 by_far = head(weighed(size / 2 - (total + gap) / 16), top * (size / 2 + (total + gap) / 16))
                 as_partner = head(idf * (size / 2 - gap / 18), top * (size / 2 + gap / 18))(0.0)
                 # Grades go by D in least weights, which differs by w / 4 at most too; ``single`` times it is more than the true D.
                 near = (far - heavy / 4) * (1 - 1e-6)
                 least = max(near, (0.8 * light + light_hub) / 9 / single * (1 - 1e-6))
-                own.append(np.concatenate([ids[:0]] + [
-                    keys(ids[: min(as_partner, by_far(same[i] / 16 - _grade_from(g) / 2))], g, grade)
-                    for g in range(last + 1) if _grade_from(g + 1) > least
-                ]))
-                if not failed[i]:
-                    any_.append(ids[:0])
-                    continue
-                as_failed = head(weighed(size / 2 - total / 18), top * (size / 2 + total / 18))(same[i] / 18)
-                any_.append(np.concatenate([ids[:0]] + [
-                    keys(ids[: min(as_failed, by_far(same[i] / 16 - _grade_from(g) / 2))], grade, g)
-                    for g in range(last + 1) if _grade_from(g + 1) > near
-                ]))
+                cuts = [
+                    (g, min(as_partner, by_far(alike / 16 - _grade_from(g) / 2))) for g in range(last + 1) if _grade_from(g + 1) > least
+                ]
+                own.append(np.concatenate([ids[:0]] + [keys(ids[:cut], g, grade) for g, cut in cuts]))
+                own_left.append(np.concatenate([left[:0]] + [left[:cut] for _, cut in cuts]))
+                cuts = []
+                if failed[i]:
+                    as_failed = head(weighed(size / 2 - total / 18), top * (size / 2 + total / 18))(alike / 18)
+                    cuts = [
+                        (g, min(as_failed, by_far(alike / 16 - _grade_from(g) / 2))) for g in range(last + 1) if _grade_from(g + 1) > near
+                    ]
+                any_.append(np.concatenate([ids[:0]] + [keys(ids[:cut], grade, g) for g, cut in cuts]))
+                any_left.append(np.concatenate([left[:0]] + [left[:cut] for _, cut in cuts]))
             if batch.num_rows:
-                yield batch_of(_HEADS_ARROW, *(batch.column(c) for c in ("hub", "node", "failed")), own, any_)
+                yield batch_of(_HEADS_ARROW, *(batch.column(c) for c in ("hub", "node", "failed")), least_, own, any_, own_left, any_left)
 
     return listed.mapInArrow(run, _HEADS)
 
 
-def exact(pairs: DataFrame, bodies: DataFrame, docs: DataFrame, n: int, settings: Settings) -> DataFrame:
-    """``a, b, similarity`` with the true document frequencies of all shingles of the pairs, over all rows of ``docs``.
+def frequencies(nodes: DataFrame, bodies: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
+    """``shingle, df``: the true document frequencies of all shingles of the texts of ``nodes`` (and of some others), over all rows of ``docs``.
 
-    A bitmap of fixed size keeps most shingles that no pair holds out of the count; the join drops the others.
+    A bitmap of fixed size keeps most shingles that no such text holds out of the count.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Words()
-        for whole in batches:
-            for batch in slices(whole, "text_a"):
-                row, h, gap, total = differences(batch, known, settings.words)
-                a, b = (batch.column(c).to_numpy()[row] for c in ("a", "b"))
-                yield batch_of(_TERMS_ARROW, a, b, h.view(np.int64), gap, total)
+    marked = pa.schema([("piece", pa.int64()), ("bits", pa.binary())])
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(_BITS // 8, np.uint8)
-        for batch in batches:
-            at = _slot(batch.column("shingle").to_numpy().view(np.uint64), _BITS)
-            np.bitwise_or.at(bits, at >> 3, (128 >> (at & 7)).astype(np.uint8))
+        known, bits = _Words(), np.zeros(_BITS // 8, np.uint8)
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                _, h, _ = shingles(batch.column("text").to_pylist(), known, settings.words)
+                at = _slot(h, _BITS)
+                np.bitwise_or.at(bits, at >> 3, (128 >> (at & 7)).astype(np.uint8))
         pieces = [p for p in range(0, _BITS, _PIECE) if bits[p // 8 : (p + _PIECE) // 8].any()]
         yield batch_of(marked, pieces, [zlib.compress(bits[p // 8 : (p + _PIECE) // 8].tobytes(), 1) for p in pieces])
 
@@ -438,10 +462,8 @@ def exact(pairs: DataFrame, bodies: DataFrame, docs: DataFrame, n: int, settings
                 bits |= np.frombuffer(zlib.decompress(c), np.uint8)
         yield batch_of(marked, [key[0].as_py()], [bits.tobytes()])
 
-    marked = pa.schema([("piece", pa.int64()), ("bits", pa.binary())])
-    terms = durable(in_both(pairs, bodies).mapInArrow(run, _TERMS), "terms")
     wanted = np.zeros(_BITS // 8, np.uint8)
-    found = terms.select("shingle").mapInArrow(mark, "piece long, bits binary")
+    found = bodies.join(nodes, "node", "left_semi").select("text").mapInArrow(mark, "piece long, bits binary")
     for r in found.groupBy("piece").applyInArrow(unite, "piece long, bits binary").toLocalIterator():
         wanted[r.piece // 8 : (r.piece + _PIECE) // 8] = np.frombuffer(r.bits, np.uint8)
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
@@ -456,7 +478,76 @@ def exact(pairs: DataFrame, bodies: DataFrame, docs: DataFrame, n: int, settings
                 h, times = np.unique(h[(bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1], return_counts=True)
                 yield batch_of(counted, h.view(np.int64), times)
 
-    frequency = texts(docs).select("text").mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("df"))
+    counts = texts(docs).select("text").mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("df"))
+    return durable(counts, "frequencies")
+
+
+def _fine_slot(h: np.ndarray) -> np.ndarray:
+    """Not from the bits that the bitmap goes by, or what that lets through by chance would meet the very shingle it passed for."""
+    return _slot(_mix(h * np.uint64(0x9E3779B97F4A7C15)), _FINE)
+
+
+def extremes(frequency: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Per hashed slot the least and the greatest frequency of its shingles, in eighths of an octave, rounded apart."""
+    schema = pa.schema([("piece", pa.int64()), ("least", pa.binary()), ("most", pa.binary())])
+    kinds = "piece long, least binary, most binary"
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least, most = np.full(_FINE, 255, np.uint8), np.zeros(_FINE, np.uint8)
+        for batch in batches:
+            at, df = _fine_slot(batch.column("shingle").to_numpy().view(np.uint64)), batch.column("df").to_numpy()
+            np.minimum.at(least, at, (np.searchsorted(_STEPS, df, "right") - 1).astype(np.uint8))
+            np.maximum.at(most, at, np.searchsorted(_STEPS, df, "left").astype(np.uint8))
+        pieces = [p for p in range(0, _FINE, _PIECE // 4) if (least[p : p + _PIECE // 4] < 255).any()]
+        yield batch_of(schema, pieces, *[[zlib.compress(x[p : p + _PIECE // 4].tobytes(), 1) for p in pieces] for x in (least, most)])
+
+    def unite(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least, most = np.full(_PIECE // 4, 255, np.uint8), np.zeros(_PIECE // 4, np.uint8)
+        for batch in batches:
+            for x, y in zip(batch.column("least").to_pylist(), batch.column("most").to_pylist()):
+                np.minimum(least, np.frombuffer(zlib.decompress(x), np.uint8), out=least)
+                np.maximum(most, np.frombuffer(zlib.decompress(y), np.uint8), out=most)
+        yield batch_of(schema, [key[0].as_py()], [least.tobytes()], [most.tobytes()])
+
+    least, most = np.full(_FINE, 255, np.uint8), np.zeros(_FINE, np.uint8)
+    for r in frequency.mapInArrow(gather, kinds).groupBy("piece").applyInArrow(unite, kinds).toLocalIterator():
+        least[r.piece : r.piece + _PIECE // 4] = np.frombuffer(r.least, np.uint8)
+        most[r.piece : r.piece + _PIECE // 4] = np.frombuffer(r.most, np.uint8)
+    return least, most
+
+
+def narrowed(pairs: DataFrame, bodies: DataFrame, extreme, n: int, settings: Settings) -> DataFrame:
+    """``a, b, low, high``: bounds of each pair's similarity by the least and the greatest frequency in each shingle's slot."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("low", pa.float64()), ("high", pa.float64())])
+    weight = true_weights(_STEPS, n)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, (least, most) = _Words(), extreme.value
+        for whole in batches:
+            for batch in slices(whole, "text_a"):
+                doc, h, gap, total = differences(batch, known, settings.words)
+                at, rows = _fine_slot(h), batch.num_rows
+                light, heavy = weight[most[at]], weight[least[at]]
+                apart, alike = np.abs(gap), (total - np.abs(gap)) / 2
+                parts = [np.bincount(doc, x * w, rows) for x, w in ((alike, light), (apart, heavy), (alike, heavy), (apart, light))]
+                low, high = (x / np.maximum(x + y, 1e-9) for x, y in (parts[:2], parts[2:]))
+                yield batch_of(schema, batch.column("a"), batch.column("b"), low, high)
+
+    return in_both(pairs, bodies).mapInArrow(run, "a long, b long, low double, high double")
+
+
+def exact(pairs: DataFrame, bodies: DataFrame, frequency: DataFrame, n: int, settings: Settings) -> DataFrame:
+    """``a, b, similarity`` with the true document frequencies, which ``frequency`` holds for all shingles of the pairs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _Words()
+        for whole in batches:
+            for batch in slices(whole, "text_a"):
+                row, h, gap, total = differences(batch, known, settings.words)
+                a, b = (batch.column(c).to_numpy()[row] for c in ("a", "b"))
+                yield batch_of(_TERMS_ARROW, a, b, h.view(np.int64), gap, total)
+
+    terms = in_both(pairs, bodies).mapInArrow(run, _TERMS)
     weight = 1 + 0.5 * F.log(1 + F.lit(float(n)) / F.col("df")) / F.log(F.lit(1.0 + max(n, 1)))
     sums = terms.join(frequency, "shingle").groupBy("a", "b").agg(
         F.sum(F.abs("gap") * weight).alias("apart"), F.sum(F.col("total") * weight).alias("all")
@@ -465,14 +556,25 @@ def exact(pairs: DataFrame, bodies: DataFrame, docs: DataFrame, n: int, settings
 
 
 def verified(pairs: DataFrame, bodies: DataFrame, docs: DataFrame, bounds, n: int, settings: Settings, name: str) -> DataFrame:
-    """``compared`` with ``close``, whether the true similarity is that of the settings or more."""
+    """``compared`` with ``close``, whether the true similarity is that of the settings or more.
+
+    What the counters leave open is compared again with the true frequencies in the slots of a finer table, and only what
+    that leaves open too is summed up over rows of pairs and shingles.
+    """
     found = durable(compared(pairs, bodies, bounds, settings), name)
-    sure = F.col("low") >= settings.similarity + 1e-9
-    left = found.where(~sure & (F.col("high") >= settings.similarity - 1e-9)).select("a", "b").distinct()
+    sure, open_ = F.col("low") >= settings.similarity + 1e-9, F.col("high") >= settings.similarity - 1e-9
+    left = found.where(~sure & open_).select("a", "b").distinct()
     if not left.limit(1).count():
         return found.withColumn("close", sure)
-    known = durable(exact(left, bodies, docs, n, settings), f"{name}-exact")
-    return found.join(known, ["a", "b"], "left").withColumn("close", F.coalesce(F.col("similarity") >= settings.similarity, sure))
+    frequency = frequencies(left.select(F.explode(F.array("a", "b")).alias("node")).distinct(), bodies, docs, settings)
+    extreme = docs.sparkSession.sparkContext.broadcast(extremes(frequency))
+    again = durable(narrowed(left, bodies, extreme, n, settings), f"{name}-narrowed")
+    extreme.unpersist()
+    known = exact(again.where(~sure & open_).select("a", "b"), bodies, frequency, n, settings)
+    known = durable(again.join(known, ["a", "b"], "left").select(
+        "a", "b", F.coalesce(F.col("similarity") >= settings.similarity, sure).alias("close")
+    ), f"{name}-exact")
+    return found.withColumn("sure", sure).join(known, ["a", "b"], "left").withColumn("close", F.coalesce("close", "sure")).drop("sure")
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings(), broadcast_rows: int = 1_000_000) -> DataFrame:
@@ -525,21 +627,25 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), broadcast_
     found = verified(pairs, bodies, docs, bounds, n, settings, "compared")
     links = found.where("close").select("a", "b").distinct()
     classes = durable(components(links), "classes")
-    listed = heads(found, bounds).join(classes.select("node", "component"), "node", "left").withColumn(
+    listed = heads(found, bounds, n).join(classes.select("node", "component"), "node", "left").withColumn(
         "class", F.coalesce("component", "node")
     )
-    sides = F.explode(F.array(F.struct(F.lit(True).alias("looks"), F.col("any").alias("keys")), F.struct(F.lit(False).alias("looks"), F.col("own").alias("keys"))))
-    keys = listed.select("hub", "node", "class", sides.alias("side")).select(
-        "node", "class", "side.looks", F.explode("side.keys").alias("key"), "hub"
-    ).withColumn("key", F.xxhash64("hub", "key")).drop("hub")
+    sides = F.explode(F.array(*[
+        F.struct(F.lit(looks).alias("looks"), F.arrays_zip(F.col(keys).alias("key"), F.col(f"{keys}_left").alias("left")).alias("keys"))
+        for looks, keys in ((True, "any"), (False, "own"))
+    ]))
+    keys = listed.select("hub", "node", "class", "least", sides.alias("side")).select(
+        "hub", "node", "class", F.col("least").alias("need"), "side.looks", F.explode("side.keys").alias("k")
+    ).select("node", "class", "need", "looks", F.xxhash64("hub", "k.key").alias("key"), "k.left")
     # Members of one class are not looked up: a key that one class holds alone goes before the join.
     group = Window.partitionBy("key")
     met = keys.withColumns({"least": F.min("class").over(group), "most": F.max("class").over(group), "looked": F.max("looks").over(group)})
-    met = durable(met.where("looked AND least <> most").select("key", "looks", "node", "class"), "heads")
-    failed = met.where("looks").select("key", F.col("node").alias("x"), F.col("class").alias("class_x"))
-    others = met.where("NOT looks").select("key", F.col("node").alias("y"), F.col("class").alias("class_y"))
-    open_ = failed.join(others, (failed.key == others.key) & (F.col("class_x") != F.col("class_y"))).select(
-        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.lit(False).alias("crowded")
+    met = durable(met.where("looked AND least <> most").select("key", "looks", "node", "class", "need", "left"), "heads")
+    failed = met.where("looks").select("key", *[F.col(c).alias(f"{c}_x") for c in ("node", "class", "need", "left")])
+    others = met.where("NOT looks").select("key", *[F.col(c).alias(f"{c}_y") for c in ("node", "class", "need", "left")])
+    reach = 2 * F.least("left_x", "left_y") * (1 + 1e-6) + 1e-6 >= F.col("need_x") + F.col("need_y")
+    open_ = failed.join(others, (failed.key == others.key) & (F.col("class_x") != F.col("class_y")) & reach).select(
+        F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"), F.lit(False).alias("crowded")
     ).distinct()
     late = verified(open_, bodies, docs, bounds, n, settings, "late")
     late = durable(late.where("close").select("a", "b").distinct(), "late-links")

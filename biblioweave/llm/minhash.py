@@ -7,6 +7,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -61,6 +62,60 @@ class _Words(dict):
         return digest
 
 
+def _letters(codes: np.ndarray) -> np.ndarray:
+    return _mix((codes.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def _places(n: int) -> np.ndarray:
+    return _mix((np.arange(n).astype(np.uint64) + np.uint64(1)) * np.uint64(0xA0761D6478BD642F)) | np.uint64(1)
+
+
+_LOWER = np.array([ord(chr(c).lower()) if c not in _APART else 0 for c in range(128)] + [0] * 128, np.uint8)
+_LETTERS, _FIRST_PLACES = _letters(np.arange(128)), _places(64)
+
+
+class _Quick(_Words):
+    """Other hashes of the same words, summed up over letters and places, which is cheaper for a whole run of texts.
+
+    Signatures, counters and nodes go by ``_Words``; these are for true frequencies, which are asked for by the same hashes.
+    """
+
+    def words(self, bodies: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        hashes, counts, run, held = [], [], [], 0
+        for text, following in zip(bodies, [*bodies[1:], None]):
+            run.append(text)
+            held += len(text)
+            if following is None or held > 1 << 17 or following.isascii() != text.isascii():
+                self._run(run, hashes, counts)
+                run, held = [], 0
+        return np.concatenate([np.zeros(0, np.uint64), *hashes]), np.concatenate([np.zeros(0, np.int64), *counts])
+
+    def _run(self, run: list[str], hashes: list, counts: list) -> None:
+        if run[0].isascii():
+            letter = _LOWER[np.frombuffer("\n".join(["", *run]).encode(), np.uint8)]
+            values, inside = _LETTERS, letter > 0
+        else:
+            run = [t.lower() for t in run]
+            letter = np.frombuffer("\n".join(["", *run]).encode("utf-32-le", "surrogatepass"), "<u4")
+            values, inside = None, _inside()[letter]
+        at = np.flatnonzero(inside)
+        heads = np.flatnonzero(~inside[at - 1])
+        ends = np.cumsum([len(t) + 1 for t in run])
+        counts.append(np.diff(np.searchsorted(at[heads], ends, "right"), prepend=0))
+        if len(heads):
+            sizes = np.diff(np.append(heads, len(at)))
+            place = np.arange(len(at)) - np.repeat(heads, sizes)
+            by_place = _FIRST_PLACES if sizes.max() <= len(_FIRST_PLACES) else _places(int(sizes.max()))
+            values = _letters(letter[at]) if values is None else values[letter[at]]
+            hashes.append(_mix(_mix(np.add.reduceat(values * by_place[place], heads)) + sizes.astype(np.uint64)))
+
+
+@cache
+def _inside() -> np.ndarray:
+    """Whether each code point belongs to words, as ``WORD`` has it."""
+    return np.array([chr(c).isalnum() or c == 95 for c in range(0x110000)])
+
+
 def shingles(bodies: list[str], known: _Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, hash, count) of the different shingles of each text, ordered by document.
 
@@ -72,6 +127,8 @@ def shingles(bodies: list[str], known: _Words, size: int) -> tuple[np.ndarray, n
 
 def words(bodies: list[str], known: _Words) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all lower-cased words of the texts, one after another, and the number of words of each text."""
+    if isinstance(known, _Quick):
+        return known.words(bodies)
     found = [t.lower().translate(_APART).split() if t.isascii() else WORD.findall(t.lower()) for t in bodies]
     counts = np.array([len(f) for f in found], np.int64)
     return np.frombuffer(b"".join(list(map(known.__getitem__, chain.from_iterable(found)))), "<u8"), counts
@@ -90,6 +147,18 @@ def sequences(flat: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def shingles_of(flat: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``shingles`` of texts given by ``words``."""
+    doc, h = runs_of(flat, counts, size)
+    cuts = [0, *(np.flatnonzero(doc[1:] != doc[:-1]) + 1).tolist(), len(doc)]
+    for begin, end in zip(cuts, cuts[1:]):
+        h[begin:end].sort()
+    fresh = np.ones(len(doc), bool)
+    fresh[1:] = (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])
+    heads = np.flatnonzero(fresh)
+    return doc[heads], h[heads], np.diff(np.append(heads, len(doc)))
+
+
+def runs_of(flat: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(document, hash) of all shingles, equal ones too, ordered by document."""
     doc_of = np.repeat(np.arange(len(counts)), counts)
     n = max(0, len(flat) - size + 1)
     h = np.zeros(n, np.uint64)
@@ -108,13 +177,7 @@ def shingles_of(flat: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.nda
     if len(docs) > 1:
         order = np.argsort(doc, kind="stable")
         doc, h = doc[order], h[order]
-    cuts = [0, *(np.flatnonzero(doc[1:] != doc[:-1]) + 1).tolist(), len(doc)]
-    for begin, end in zip(cuts, cuts[1:]):
-        h[begin:end].sort()
-    fresh = np.ones(len(doc), bool)
-    fresh[1:] = (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])
-    heads = np.flatnonzero(fresh)
-    return doc[heads], h[heads], np.diff(np.append(heads, len(doc)))
+    return doc, h
 
 
 def _slot(h: np.ndarray, slots: int) -> np.ndarray:
@@ -446,10 +509,10 @@ def frequencies(nodes: DataFrame, bodies: DataFrame, docs: DataFrame, settings:
     marked = pa.schema([("piece", pa.int64()), ("bits", pa.binary())])
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, bits = _Words(), np.zeros(_BITS // 8, np.uint8)
+        known, bits = _Quick(), np.zeros(_BITS // 8, np.uint8)
         for whole in batches:
             for batch in slices(whole, "text"):
-                _, h, _ = shingles(batch.column("text").to_pylist(), known, settings.words)
+                _, h = runs_of(*words(batch.column("text").to_pylist(), known), settings.words)
                 at = _slot(h, _BITS)
                 np.bitwise_or.at(bits, at >> 3, (128 >> (at & 7)).astype(np.uint8))
         pieces = [p for p in range(0, _BITS, _PIECE) if bits[p // 8 : (p + _PIECE) // 8].any()]
@@ -470,12 +533,17 @@ def frequencies(nodes: DataFrame, bodies: DataFrame, docs: DataFrame, settings:
     counted = pa.schema([("shingle", pa.int64()), ("n", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, bits = _Words(), shared.value
+        known, bits = _Quick(), shared.value
         for whole in batches:
             for batch in slices(whole, "text"):
-                _, h, _ = shingles(batch.column("text").to_pylist(), known, settings.words)
+                doc, h = runs_of(*words(batch.column("text").to_pylist(), known), settings.words)
                 at = _slot(h, _BITS)
-                h, times = np.unique(h[(bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1], return_counts=True)
+                asked = (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+                doc, h = doc[asked], h[asked]
+                order = np.lexsort((h, doc))
+                doc, h = doc[order], h[order]
+                fresh = np.append(True, (doc[1:] != doc[:-1]) | (h[1:] != h[:-1]))[: len(h)]
+                h, times = np.unique(h[fresh], return_counts=True)
                 yield batch_of(counted, h.view(np.int64), times)
 
     counts = texts(docs).select("text").mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("df"))
@@ -522,7 +590,7 @@ def narrowed(pairs: DataFrame, bodies: DataFrame, extreme, n: int, settings: Set
     weight = true_weights(_STEPS, n)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, (least, most) = _Words(), extreme.value
+        known, (least, most) = _Quick(), extreme.value
         for whole in batches:
             for batch in slices(whole, "text_a"):
                 doc, h, gap, total = differences(batch, known, settings.words)
@@ -540,7 +608,7 @@ def exact(pairs: DataFrame, bodies: DataFrame, frequency: DataFrame, n: int, set
     """``a, b, similarity`` with the true document frequencies, which ``frequency`` holds for all shingles of the pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Words()
+        known = _Quick()
         for whole in batches:
             for batch in slices(whole, "text_a"):
                 row, h, gap, total = differences(batch, known, settings.words)

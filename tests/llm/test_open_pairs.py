@@ -76,3 +76,17 @@ def test_few_pairs_are_summed_up_row_by_row(spark):
     assert len(summed) == len(again) and all(abs(r.similarity - alike(r.a, r.b)) < 1e-9 for r in summed)
     found = minhash.verified(pairs, nodes, docs, bounds, n, settings, "tried").collect()
     assert {r.b for r in found if r.close} == {x for x in range(1, n) if alike(0, x) >= settings.similarity}
+
+
+def test_quick_hashes_tell_the_same_words_apart():
+    rng = random.Random(9)
+    pieces = ["a", "A_b", "\x1f", "\x00", "!", "é", "ß", " ", "x1", "The", "İ", "\n", "\ud800", "中"]
+    bodies = ["", "!!", "", "".join(map(chr, range(128))), "a" * 200 + " b" + "a" * 70, "x1 the", "é x1 THE"]
+    bodies += ["".join(rng.choice(pieces[: rng.choice([5, 14])]) + rng.choice(["", " ", "."]) for _ in range(rng.randrange(0, 60))) for _ in range(300)]
+    bodies += ["Word " * 30_000, "other " * 30_000, "".join(chr(97 + i % 26) + str(i) + " " for i in range(60_000))]
+    flat, counts = minhash.words(bodies, minhash._Words())
+    quick, quick_counts = minhash.words(bodies, minhash._Quick())
+    assert (counts == quick_counts).all() and len(flat) == len(quick)
+    assert len(set(flat.tolist())) == len(set(quick.tolist())) == len(set(zip(flat.tolist(), quick.tolist())))
+    assert (minhash._Quick().words(bodies[5:6])[0] == minhash._Quick().words(bodies[6:7])[0][1:]).all()
+    assert [x.tolist() for x in minhash._Quick().words([])] == [[], []]

@@ -12,11 +12,15 @@ the shuffle.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Row, functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from ..functions import similarity as sim
 from ..functions.text import WHITESPACE
-from ..functions.wratio import weighted_ratio
+from . import weighted
 from .durable import durable
 
 _PLAIN, _SORTED = 0, 1
@@ -26,6 +30,8 @@ _HOT_SHARE = 4096
 _STRETCH = 512
 # Letters before and after a chunk that its rows carry.
 _AROUND = 16
+# Letters of a side that a block of whole texts holds.
+_BLOCK_LETTERS = 4_000_000
 
 
 def _forms(df: DataFrame, text: str, percent: int, token_sort_only: bool) -> DataFrame:
@@ -190,57 +196,94 @@ def candidates(
     return shared.where("_low < _high").select(query_id, choice_order).distinct()
 
 
-def _whole_pairs(queries: DataFrame, choices: DataFrame, percent: int, block: int) -> DataFrame:
-    """``_q, _c``: the distinct pairs of texts of which a form is within ``100 - percent`` percent of both lengths together.
+def _by_shared_token(queries: DataFrame, choices: DataFrame, choice_order: str, least: float) -> DataFrame:
+    """``_q, loss, choice_order``: the first choice that shares a token with a query and is at least half as long again, or the query is.
 
-    Nearly a third of the letters of such a pair can differ, so no chunk tells it from others: all texts in reach of each other's length are
-    compared, first by length and letters and last by their distance. Each side of a length band is dealt into parts of about
-    ``block`` texts, and every part meets every part of the other side in a task of its own, which holds that many texts at a time.
+    One shared token gives such a pair the same score as any other. Tokens meet by the few lengths of the texts that hold them, not by text.
     """
-    reach = max(2, 2 * percent - 100)
-    c, q = (_forms(x.select("_text", F.col("_text").alias("_form")), "_form", reach, False).withColumn("letters", sim.letter_bits("s")) for x in (choices, queries))
-    q = q.withColumn("band", F.explode(F.array(*[F.col("band") + d for d in (-1, 0, 1)])))
-    parts = lambda x, name: x.groupBy("form", "band").agg(F.ceil(F.count(F.lit(1)) / block).alias(name))
-    # Lengths fit into 31 bits, so there are a few hundred rows at the very most (``choice_keys``).
-    cells = F.broadcast(parts(c, "c_parts").join(parts(q, "q_parts"), ["form", "band"]))
-    tasks = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-    def dealt(x: DataFrame, own: str, other: str) -> DataFrame:
-        placed = x.join(cells, ["form", "band"]).withColumn(f"{own}_part", F.pmod(F.xxhash64("_text"), F.col(f"{own}_parts")))
-        return placed.withColumn(f"{other}_part", F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"{other}_parts") - 1))).select(
-            "_text", "s", "n", "letters", F.xxhash64("form", "band", "c_part", "q_part").alias("key"), "form", "band"
-        ).repartition(tasks, "key")
-
-    edits = f"cast(({100 - percent} * (q.n + c.n)) div 100 AS int)"
-    # Sizes do not tell the work of this join, which is pairs: neither side is broadcast, and small partitions are not merged.
-    return dealt(q, "q", "c").alias("q").join(dealt(c, "c", "q").alias("c").hint("merge"), F.expr(
-        f"""q.key = c.key AND q.form <= c.form AND q.form >= c.form AND q.band <= c.band AND q.band >= c.band
-        AND abs(q.n - c.n) <= {edits}
-        AND bit_count(q.letters & ~c.letters) <= {edits}
-        AND bit_count(c.letters & ~q.letters) <= {edits}
-        AND levenshtein(q.s, c.s, {edits}) >= 0"""
-    )).select(F.col("q._text").alias("_q"), F.col("c._text").alias("_c")).distinct()
+    def words(x: DataFrame, *own: str) -> DataFrame:
+        word = F.explode(F.array_distinct(F.split(sim.sorted_tokens(F.col("_text")), " "))).alias("word")
+        return x.select(*own, F.length("_text").alias("n"), word).where("word <> ''")
+
+    asked = words(queries, "_q")
+    offered = words(choices, choice_order).groupBy("word", "n").agg(F.min(choice_order).alias(choice_order))
+    longer, shorter = F.greatest("q.n", "c.n"), F.least("q.n", "c.n")
+    score = 1.0 * weighted.TOKENS * F.when(longer <= 8 * shorter, weighted.WINDOW).otherwise(weighted.FAR_WINDOW)
+    met = asked.select("word", "n").distinct().alias("q").join(
+        offered.alias("c").hint("merge"), (F.col("q.word") == F.col("c.word")) & (2 * longer >= 3 * shorter) & (score >= least)
+    )
+    first = met.groupBy("q.word", "q.n").agg(F.min(F.struct((-score).alias("loss"), F.col(f"c.{choice_order}").alias(choice_order))).alias("_first"))
+    return asked.join(first, ["word", "n"]).groupBy("_q").agg(F.min("_first").alias("_first")).select("_q", "_first.*")
+
+
+def _whole_pairs(queries: DataFrame, choices: DataFrame, choice_order: str, block: int) -> DataFrame:
+    """``_q, loss, choice_order``: the best choice of every query in every block of choices, of those that reach the score ``least`` of the query.
+
+    Each side is dealt into parts of about ``block`` texts, and every part meets every part of the other side in a task of its own,
+    which holds that many texts at a time and searches them by arrays (``weighted.best_of``).
+    """
+    spark = queries.sparkSession
+    parts = lambda x, most: max(1, *[-(-int(v or 0) // m) for v, m in zip(x.agg(F.count(F.lit(1)), F.sum(F.length("_text"))).first(), (block, most))])
+    q_parts, c_parts = parts(queries, _BLOCK_LETTERS), parts(choices, _BLOCK_LETTERS)
+    part = lambda many: F.pmod(F.xxhash64("_text"), F.lit(many))
+    every = lambda many: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(many - 1).cast("long")))
+    order = choices.schema[choice_order].dataType
+    q = queries.select("_q", "_text", "least", F.lit(None).cast(order).alias(choice_order), part(q_parts).alias("_own"), every(c_parts).alias("_other"))
+    c = choices.select(
+        F.lit(None).cast("long").alias("_q"), "_text", F.lit(None).cast("double").alias("least"), choice_order, every(q_parts).alias("_own"), part(c_parts).alias("_other")
+    )
+    # Sizes do not tell the work of a block, which is pairs: small partitions are not merged.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(2 * q_parts * c_parts, 1000))
+    dealt = q.unionByName(c).withColumn("_cell", F.col("_own") * c_parts + F.col("_other")).drop("_own", "_other").repartition(tasks, "_cell")
+
+    def run(rows: pa.Table) -> pa.Table:
+        return _best_of_block(rows, choice_order)
+
+    schema = StructType([StructField("_q", LongType()), StructField("loss", DoubleType()), StructField(choice_order, order)])
+    return dealt.groupBy("_cell").applyInArrow(run, schema)
+
+
+def _best_of_block(block: pa.Table, choice_order: str) -> pa.Table:
+    asked = pc.is_valid(block["_q"])
+    q, c = block.filter(asked), block.filter(pc.invert(asked))
+    order = c[choice_order].combine_chunks()
+    rank = np.empty(len(order), np.int64)
+    rank[pc.sort_indices(order).to_numpy()] = np.arange(len(order))
+    i, j, score = weighted.best_of(q["_text"].to_pylist(), c["_text"].to_pylist(), q["least"].to_numpy(), rank)
+    return pa.table({"_q": q["_q"].combine_chunks().take(pa.array(i)), "loss": pa.array(-score), choice_order: order.take(pa.array(j))})
 
 
 def best_weighted(
     queries: DataFrame, choices: DataFrame, query_id: str, query_text: str, choice_order: str, choice_text: str, percent: int,
-    block: int = 2_000,
+    block: int = 16_000,
 ) -> DataFrame:
     """The choice of the highest weighted ratio for every query, the first one on ties: the optional scorer.
 
-    Returns ``query_id, choice_order, score`` for best scores of ``percent`` or more. Levenshtein never exceeds the insertions and
-    deletions that the ratio counts, so every pair whose plain or token-sorted ratio passes is within
-    ``100 - percent`` percent of both lengths together; those pairs are searched without loss and scored. Pairs that would pass by
-    shared tokens or windows alone (one common word can do) are not searched for. Equal texts are compared once.
+    Returns ``query_id, choice_order, score`` for best scores of ``percent`` (1 or more) or more. No pair is left out: equal texts are met
+    by a join, pairs that pass by one shared token by its lengths, and what may exceed these scores is searched in blocks, for the score
+    that the query has already. Equal texts are compared once. The numbers are those of ``functions.wratio.weighted_ratio``.
     """
     asked = durable(queries.where(F.col(query_id).isNotNull()).select(query_id, F.col(query_text).alias("_text")), "queries")
-    offered = choices.where(F.col(choice_order).isNotNull()).groupBy(F.col(choice_text).alias("_text")).agg(F.min(choice_order).alias(choice_order))
+    texts = durable(asked.where("_text <> ''").select("_text").distinct().withColumn("_q", F.monotonically_increasing_id()), "query-texts")
+    offered = choices.where(F.col(choice_order).isNotNull() & (F.col(choice_text) != "")).groupBy(F.col(choice_text).alias("_text"))
+    offered = offered.agg(F.min(choice_order).alias(choice_order))
+    least = percent / 100
+    if least > weighted.FAR_WINDOW:
+        # A choice more than eight times as long or as short has no number above this.
+        short, long = texts.agg(F.min(F.length("_text")), F.max(F.length("_text"))).first()
+        offered = offered.where((F.length("_text") <= 8 * (long or 0)) & (8 * F.length("_text") >= (short or 0)))
     offered = durable(offered, "choices")
-    met = durable(_whole_pairs(asked.select("_text").distinct(), offered, percent, block), "near-texts")
-    scored = met.withColumn("score", weighted_ratio(F.col("_q"), F.col("_c"))).join(offered.withColumnRenamed("_text", "_c"), "_c")
-    best = scored.groupBy("_q").agg(F.min(F.struct((-F.col("score")).alias("loss"), choice_order)).alias("_best"))
-    best = asked.join(best, F.col("_text") == F.col("_q")).groupBy(query_id).agg(F.min("_best").alias("_best"))
-    return best.select(query_id, f"_best.{choice_order}", (-F.col("_best.loss")).alias("score")).where(F.col("score") >= percent / 100)
+    equal = texts.join(offered, "_text").select("_q", F.lit(-1.0).alias("loss"), choice_order)
+    best = F.min(F.struct("loss", choice_order)).alias("_best")
+    known = durable(equal.unionByName(_by_shared_token(texts, offered, choice_order, least)).groupBy("_q").agg(best), "known-scores")
+    # Only equal texts score 1, so there is nothing to be found for those.
+    open_texts = texts.join(known, "_q", "left").where("_best IS NULL OR _best.loss > -1").select(
+        "_q", "_text", F.greatest(F.lit(least), -F.col("_best.loss")).alias("least")
+    )
+    found = _whole_pairs(durable(open_texts, "open-texts"), offered, choice_order, block).unionByName(known.select("_q", "_best.*"))
+    best = found.groupBy("_q").agg(best).join(texts, "_q").select("_text", "_best")
+    best = asked.join(best, "_text").groupBy(query_id).agg(F.min("_best").alias("_best"))
+    return best.select(query_id, f"_best.{choice_order}", (-F.col("_best.loss")).alias("score")).where(F.col("score") >= least)
 
 
 def best_match(
